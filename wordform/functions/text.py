@@ -18,7 +18,7 @@ from pyspark.sql.types import StringType
 # Fixed patterns (must stay equal to the rules they reproduce).
 WS = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
 NOT_WS = r"[^\t-\r\x1c-\x20\x{85}\p{Z}]"
-STRIP_RE = rf"^{WS}+|{WS}+$"
+STRIP_RE = rf"^{WS}+|{WS}+\z"
 # comment-level clean-up: bracketed or bare links
 BODY_LINK_RE = r"\(?http[^ ]+\)?"
 # sentence-level clean-up, applied in this order

@@ -53,7 +53,7 @@ def review_sample(merged: DataFrame, n: int = 100, seed: int = 0) -> DataFrame:
         F.concat_ws(
             "|",
             F.lit(str(seed)),
-            *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in ANALYSIS_KEYS],
+            *[F.coalesce(F.col(k).cast("string"), F.lit("\u2400")) for k in ANALYSIS_KEYS],
         )
     )
     return merged.withColumn("_h", h).orderBy("_h").limit(n).drop("_h")

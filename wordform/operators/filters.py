@@ -37,10 +37,12 @@ def stopword_language(text: Column, stop_words: dict[str, list[str]] | None = No
     null if no stop word occurs. Pure JVM expression."""
     stop_words = stop_words or STOP_WORDS
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD_RE), 0)
-    counts = {
-        lang: F.size(F.filter(words, lambda w, sw=sw: F.array_contains(F.array(*[F.lit(x) for x in sw]), w)))
-        for lang, sw in stop_words.items()
-    }
+
+    def hits(sw: list[str]) -> Column:
+        listed = F.array(*[F.lit(x) for x in sw])
+        return F.size(F.filter(words, lambda w: F.array_contains(listed, w)))
+
+    counts = {lang: hits(sw) for lang, sw in stop_words.items()}
     best = F.greatest(*counts.values()) if len(counts) > 1 else list(counts.values())[0]
     out = F.lit(None).cast("string")
     for lang in reversed(list(counts)):
