@@ -15,11 +15,14 @@ therefore needs no extra exchange when ``types`` comes out of a
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordform.functions import rules
 from wordform.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from wordform.session import cut_lineage
 
 ANALYSIS_COLS = ["token", "mode", "prefix", "suffix", "affix", "base", "stem", "in_lexica"]
 
@@ -61,8 +64,40 @@ def max_affix_length(affixes: DataFrame) -> int:
     return int(v or 0)
 
 
+class Resources(NamedTuple):
+    """Small inputs of the analysis, prepared once per run: materialised in
+    the checkpoint folder, size-checked, broadcast-hinted when small."""
+
+    affixes: DataFrame
+    max_affix_len: int
+    dictionary: DataFrame
+    require_vocab: bool
+    vocab_keys: DataFrame  # DataFrame(v_key) of vocabulary entries
+
+
+def prepare(
+    affixes: DataFrame,
+    lexicon: DataFrame | None,
+    vocab: DataFrame | None,
+    require_vocab: bool = True,
+    materialize: bool = True,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> Resources:
+    if require_vocab and vocab is None:
+        raise ValueError("require_vocab=True needs a vocabulary")
+    aff = affixes.select("affix", "kind")
+    dictionary = build_dictionary(lexicon, vocab if require_vocab else None)
+    if materialize:
+        aff = cut_lineage(aff)
+        dictionary = cut_lineage(dictionary)
+    aff, _ = bounded_broadcast(aff, max_broadcast_rows)
+    d, _ = bounded_broadcast(dictionary, max_broadcast_rows)
+    voc = d.where("in_vocab").select(F.col("key").alias("v_key"))
+    return Resources(aff, max_affix_length(aff), d, require_vocab, voc)
+
+
 def match_affixes(types: DataFrame, affixes: DataFrame, max_len: int | None = None,
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, checked: bool = False) -> DataFrame:
     """Per token: ``prefixes`` / ``suffixes`` arrays of the affixes that the
     lower-cased token starts / ends with. Tokens without a match are dropped.
 
@@ -72,7 +107,9 @@ def match_affixes(types: DataFrame, affixes: DataFrame, max_len: int | None = No
     """
     if max_len is None:
         max_len = max_affix_length(affixes)
-    aff, _ = bounded_broadcast(affixes.select("affix", "kind"), max_broadcast_rows)
+    aff = affixes.select("affix", "kind")
+    if not checked:
+        aff, _ = bounded_broadcast(aff, max_broadcast_rows)
     lw = F.lower(F.col("token"))
     ks = F.sequence(F.lit(1), F.least(F.length(lw), F.lit(max(max_len, 1))))
     pieces = F.flatten(
@@ -240,30 +277,29 @@ def choose(evaluated: DataFrame) -> DataFrame:
 
 def analyze(
     types: DataFrame,
-    affixes: DataFrame,
-    lexicon: DataFrame | None,
-    vocab: DataFrame | None,
+    affixes: DataFrame | None = None,
+    lexicon: DataFrame | None = None,
+    vocab: DataFrame | None = None,
     require_vocab: bool = True,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    dictionary: DataFrame | None = None,
+    resources: Resources | None = None,
 ) -> DataFrame:
     """Analyse distinct tokens. ``types`` needs a ``token`` column and may
     carry more (e.g. a count); those are joined back on ``token``.
 
-    With ``require_vocab=False`` every vocabulary test passes (the
-    documented "derivatives only" mode) and ``vocab`` is not used.
+    Pass either the raw inputs (affixes, lexicon, vocab) or ``resources``
+    from ``prepare``. With ``require_vocab=False`` every vocabulary test
+    passes (the documented "derivatives only" mode).
     """
-    if require_vocab and vocab is None and dictionary is None:
-        raise ValueError("require_vocab=True needs a vocabulary")
-    if dictionary is None:
-        dictionary = build_dictionary(lexicon, vocab if require_vocab else None)
-    d, _ = bounded_broadcast(dictionary, max_broadcast_rows)
+    if resources is None:
+        resources = prepare(affixes, lexicon, vocab, require_vocab, materialize=False,
+                            max_broadcast_rows=max_broadcast_rows)
     t = types
-    if require_vocab:
-        voc = d.where("in_vocab").select(F.col("key").alias("v_key"))
+    if resources.require_vocab:
+        voc = resources.vocab_keys
         t = t.join(voc, F.lower(t["token"]) == voc["v_key"], "left_anti")
-    matched = match_affixes(t.select("token"), affixes, max_broadcast_rows=max_broadcast_rows)
-    ev = evaluate_candidates(candidates(matched), d, require_vocab)
+    matched = match_affixes(t.select("token"), resources.affixes, resources.max_affix_len, checked=True)
+    ev = evaluate_candidates(candidates(matched), resources.dictionary, resources.require_vocab)
     chosen = choose(ev)
     extra = [c for c in types.columns if c != "token"]
     if extra:

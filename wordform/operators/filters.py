@@ -33,21 +33,28 @@ def body_length_ok(clean_body: Column, min_chars: int = 31) -> Column:
 
 def stopword_language(text: Column, stop_words: dict[str, list[str]] | None = None) -> Column:
     """Default language scorer: the language whose stop words occur most
-    often among the lower-cased words; ties go to the earlier language;
-    null if no stop word occurs. Pure JVM expression."""
+    often among the lower-cased words (maximal letter runs); ties go to the
+    earlier language; null if no stop word occurs.
+
+    Each language is one compiled regex count over the text (a stop word
+    counts only as a whole letter run), evaluated JVM-side; no per-word
+    lambda."""
     stop_words = stop_words or STOP_WORDS
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD_RE), 0)
+    low = F.lower(text)
 
     def hits(sw: list[str]) -> Column:
-        listed = F.array(*[F.lit(x) for x in sw])
-        return F.size(F.filter(words, lambda w: F.array_contains(listed, w)))
-
-    counts = {lang: hits(sw) for lang, sw in stop_words.items()}
-    best = F.greatest(*counts.values()) if len(counts) > 1 else list(counts.values())[0]
-    out = F.lit(None).cast("string")
-    for lang in reversed(list(counts)):
-        out = F.when(counts[lang] == best, F.lit(lang)).otherwise(out)
-    return F.when(best > 0, out)
+        alternation = "|".join(sorted(set(sw), key=lambda w: (-len(w), w)))
+        return F.regexp_count(low, F.lit(rf"(?<!\p{{L}})(?:{alternation})(?!\p{{L}})"))
+
+    # argmax over (count, priority) structs: every count is evaluated once;
+    # the last entry wins only when all counts are 0 and yields null
+    n = len(stop_words)
+    entries = [
+        F.struct(hits(sw).alias("c"), F.lit(n - i).alias("prio"), F.lit(lang).alias("lang"))
+        for i, (lang, sw) in enumerate(stop_words.items())
+    ]
+    entries.append(F.struct(F.lit(0).alias("c"), F.lit(n + 1).alias("prio"), F.lit(None).cast("string").alias("lang")))
+    return F.array_max(F.array(*entries)).getField("lang")
 
 
 def lang_filter(df: DataFrame, text: str, lang: str = "de", scorer=None, lang_col: str | None = None) -> DataFrame:

@@ -8,8 +8,6 @@ functions. Every query runs over whole tables.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +16,8 @@ from wordform.functions.text import sanitize_body, sanitize_text
 from wordform.operators import analyze as an
 from wordform.operators.corpus import duplicate_analyses, merge_increment, merge_months, review_sample
 from wordform.operators.filters import body_length_ok, community_filter, stopword_language
-from wordform.operators.joins import bounded_broadcast
 from wordform.operators.metrics import productivity
-from wordform.operators.segment import candidate_token_filter, sentences, tokens
+from wordform.operators.segment import sentences, tokens
 from wordform.operators.splits import frequency_bins, sentence_rows, shared_split, split_by_key
 from wordform.plans.stages import filter_comments, find_derivatives
 from wordform.sources import fixtures as fx
@@ -99,35 +96,38 @@ def q_lexicon_clean(spark, sf):
 
 
 def _types(spark, sf):
+    """Vocabulary-gated token counts and the prepared analysis inputs."""
     docs, aff, lex, voc = _inputs(spark, sf)
+    res = an.prepare(aff, lex, voc)
     toks = tokens(sentences(docs, KEY, "body"), KEY)
-    v, _ = bounded_broadcast(voc)
-    toks = toks.join(v, F.lower(toks["token"]) == v["token"], "left_anti")
+    v = res.vocab_keys
+    toks = toks.join(v, F.lower(toks["token"]) == v["v_key"], "left_anti")
     types = toks.groupBy("token").agg(F.count(F.lit(1)).alias("count"))
-    return types, aff, lex, voc
+    return types, res
 
 
 def q_vocab_gate(spark, sf):
     return _types(spark, sf)[0]
 
 
+def _matched(spark, sf):
+    types, res = _types(spark, sf)
+    return an.match_affixes(types.select("token"), res.affixes, res.max_affix_len, checked=True), res
+
+
 def q_affix_match(spark, sf):
-    types, aff, _, _ = _types(spark, sf)
-    m = an.match_affixes(types.select("token"), aff)
+    m, _ = _matched(spark, sf)
     return m.select("token", F.array_join("prefixes", ",").alias("prefixes"), F.array_join("suffixes", ",").alias("suffixes"))
 
 
 def q_candidates(spark, sf):
-    types, aff, _, _ = _types(spark, sf)
-    c = an.candidates(an.match_affixes(types.select("token"), aff))
-    return c.select("token", "mode", "prefix", "suffix", "stem")
+    m, _ = _matched(spark, sf)
+    return an.candidates(m).select("token", "mode", "prefix", "suffix", "stem")
 
 
 def _evaluated(spark, sf):
-    types, aff, lex, voc = _types(spark, sf)
-    d, _ = bounded_broadcast(an.build_dictionary(lex, voc))
-    c = an.candidates(an.match_affixes(types.select("token"), aff))
-    return an.evaluate_candidates(c, d, True)
+    m, res = _matched(spark, sf)
+    return an.evaluate_candidates(an.candidates(m), res.dictionary, True)
 
 
 def q_lexicon_probe(spark, sf):
@@ -156,8 +156,8 @@ def q_suffix_base(spark, sf):
 
 
 def q_analyses(spark, sf):
-    types, aff, lex, voc = _types(spark, sf)
-    return an.analyze(types.select("token"), aff, lex, voc)
+    types, res = _types(spark, sf)
+    return an.analyze(types.select("token"), resources=res)
 
 
 # ------------------------------------------------------------ derivatives ---

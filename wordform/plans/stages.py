@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordform.functions.text import sanitize_body, sanitize_text
-from wordform.operators.analyze import ANALYSIS_COLS, analyze, build_dictionary
+from wordform.operators.analyze import ANALYSIS_COLS, analyze, prepare
 from wordform.operators.filters import body_length_ok, community_filter, lang_filter
 from wordform.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 from wordform.operators.segment import sentences, tokens
@@ -82,11 +82,8 @@ def find_derivatives(
     """
     group_cols = list(group_cols)
     keys = group_cols + [k for k in key_cols if k not in group_cols]
-    dictionary = build_dictionary(lexicon, vocab if require_vocab else None)
-    if materialize:
-        dictionary = cut_lineage(dictionary)
-    d, _ = bounded_broadcast(dictionary, max_broadcast_rows)
-    voc = d.where("in_vocab").select(F.col("key").alias("v_key"))
+    res = prepare(affixes, lexicon, vocab, require_vocab, materialize, max_broadcast_rows)
+    voc = res.vocab_keys
 
     sents = sentences(docs, keys, text, sentence_model=sentence_model, token_model=token_model)
     toks = tokens(sents, keys)
@@ -94,7 +91,7 @@ def find_derivatives(
         toks = toks.join(voc, F.lower(toks["token"]) == voc["v_key"], "left_anti")
     counts = toks.groupBy(*group_cols, "token").agg(F.count(F.lit(1)).alias("count"))
     types = counts if not group_cols else counts.select("token").distinct()
-    analyses = analyze(types, affixes, None, None, require_vocab, max_broadcast_rows, dictionary=d)
+    analyses = analyze(types, resources=res)
     if materialize:
         analyses = cut_lineage(analyses)
     summary = analyses if not group_cols else counts.join(analyses, "token", "inner")
