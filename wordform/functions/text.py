@@ -68,9 +68,12 @@ def unescape_html(c, full: bool = True) -> Column:
     Arrow-batched pandas UDF, but only on values that contain ``&``; otherwise
     the built-in replace chain runs."""
     c = _col(c)
+    amp = c.contains("&")
     if not full:
-        return F.when(c.contains("&"), unescape_builtin(c)).otherwise(c)
-    return F.when(c.contains("&"), _html_unescape(c)).otherwise(c)
+        return F.when(amp, unescape_builtin(c)).otherwise(c)
+    # Spark evaluates a Python UDF for every row of its projection; feeding it
+    # null unless the value holds "&" keeps the Arrow batches nearly empty.
+    return F.when(amp, _html_unescape(F.when(amp, c))).otherwise(c)
 
 
 def sanitize_body(c) -> Column:
