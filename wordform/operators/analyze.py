@@ -97,7 +97,8 @@ def prepare(
 
 
 def match_affixes(types: DataFrame, affixes: DataFrame, max_len: int | None = None,
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, checked: bool = False) -> DataFrame:
+                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, checked: bool = False,
+                  carry: list[str] | None = None) -> DataFrame:
     """Per token: ``prefixes`` / ``suffixes`` arrays of the affixes that the
     lower-cased token starts / ends with. Tokens without a match are dropped.
 
@@ -121,19 +122,21 @@ def match_affixes(types: DataFrame, affixes: DataFrame, max_len: int | None = No
             ),
         )
     )
-    exploded = types.where(F.length("token") >= 1).select("token", F.explode(pieces).alias("p")).select(
-        "token", F.col("p.kind").alias("kind"), F.col("p.piece").alias("piece")
+    carry = carry or []
+    exploded = types.where(F.length("token") >= 1).select("token", *carry, F.explode(pieces).alias("p")).select(
+        "token", *carry, F.col("p.kind").alias("kind"), F.col("p.piece").alias("piece")
     )
     hits = exploded.join(aff, (exploded["kind"] == aff["kind"]) & (exploded["piece"] == aff["affix"]), "inner").select(
-        "token", exploded["kind"], "affix"
+        "token", *carry, exploded["kind"], "affix"
     )
-    return hits.groupBy("token").agg(
+    # carried columns depend on the token only: extra group keys, no exchange
+    return hits.groupBy("token", *carry).agg(
         F.array_sort(F.collect_set(F.when(F.col("kind") == "prefix", F.col("affix")))).alias("prefixes"),
         F.array_sort(F.collect_set(F.when(F.col("kind") == "suffix", F.col("affix")))).alias("suffixes"),
     )
 
 
-def candidates(matched: DataFrame) -> DataFrame:
+def candidates(matched: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Candidate readings per token, with the order key of the choice rule.
 
     mode = prefix if no suffix matched, suffix if no prefix matched, else
@@ -151,12 +154,13 @@ def candidates(matched: DataFrame) -> DataFrame:
         )
     )
     ier_er = (F.size(P) == 0) & F.array_contains(S, "ier") & F.array_contains(S, "er")
-    c = matched.select("token", mode.alias("mode"), ier_er.alias("ier_er"), F.explode(pairs).alias("c"))
+    carry = carry or []
+    c = matched.select("token", *carry, mode.alias("mode"), ier_er.alias("ier_er"), F.explode(pairs).alias("c"))
     lp = F.coalesce(F.length("c.prefix"), F.lit(0))
     ls = F.coalesce(F.length("c.suffix"), F.lit(0))
     stem = F.col("token").substr(lp + 1, F.greatest(F.length("token") - lp - ls, F.lit(0)))
     return c.select(
-        "token", "mode", "ier_er",
+        "token", *carry, "mode", "ier_er",
         F.col("c.prefix").alias("prefix"), F.col("c.suffix").alias("suffix"),
         (-lp).alias("ord_p"), ls.alias("ord_s"), stem.alias("stem"),
     )
@@ -172,7 +176,7 @@ def render_affix(mode, prefix, suffix):
 
 
 def evaluate_candidates(
-    cands: DataFrame, dictionary: DataFrame, require_vocab: bool = True
+    cands: DataFrame, dictionary: DataFrame, require_vocab: bool = True, carry: list[str] | None = None
 ) -> DataFrame:
     """Apply stem length, function-word, elimination, lexicon and base rules
     to every candidate; adds in_lexica, r_base, r_stem and ``survives``."""
@@ -218,8 +222,9 @@ def evaluate_candidates(
     rule_base = F.when(F.col("mode") == "prefix", rules.prefix_rule_base(F.col("prefix"), F.col("stem"), F.col("token"))).otherwise(
         F.when(rb_suffix.getField("found"), rb_suffix.getField("base"))
     )
+    carry = carry or []
     c = c.select(
-        "token", "mode", "ier_er", "prefix", "suffix", "ord_p", "ord_s", "stem", "lstem_base",
+        "token", *carry, "mode", "ier_er", "prefix", "suffix", "ord_p", "ord_s", "stem", "lstem_base",
         F.coalesce(F.col("stem_in_vocab"), F.lit(False)).alias("stem_in_vocab"),
         bad_pos.alias("bad_pos"), eliminated.alias("eliminated"), in_lexica.alias("in_lexica"),
         rule_base.alias("rule_base"),
@@ -243,26 +248,27 @@ def evaluate_candidates(
     return c.withColumn("survives", survives)
 
 
-def choose(evaluated: DataFrame) -> DataFrame:
+def choose(evaluated: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Best surviving reading per token: the first with ``in_lexica``;
     otherwise the second if the first two are prefixes ``erz`` then ``er``,
     or if suffixes ``ier`` and ``er`` both matched and two readings survive;
     otherwise the first. The per-token arrays hold a handful of readings."""
+    carry = carry or []
     surv = evaluated.where("survives").select(
-        "token", "ier_er",
+        "token", *carry, "ier_er",
         F.struct(
             "ord_p", "ord_s", "mode", "prefix", "suffix",
             F.col("r_base").alias("base"), F.col("r_stem").alias("stem"), "in_lexica",
         ).alias("c"),
     )
-    g = surv.groupBy("token", "ier_er").agg(F.array_sort(F.collect_list("c")).alias("cs"))
+    g = surv.groupBy("token", *carry, "ier_er").agg(F.array_sort(F.collect_list("c")).alias("cs"))
     first = F.try_element_at("cs", F.lit(1))
     second = F.try_element_at("cs", F.lit(2))
     first_lex = F.try_element_at(F.filter("cs", lambda x: x["in_lexica"]), F.lit(1))
     erz_er = (first["mode"] == "prefix") & (first["prefix"] == "erz") & (second["prefix"] == "er")
     take_second = (F.size("cs") >= 2) & (F.coalesce(erz_er, F.lit(False)) | F.col("ier_er"))
     pick = F.coalesce(first_lex, F.when(take_second, second), first)
-    out = g.select("token", pick.alias("a"))
+    out = g.select("token", *carry, pick.alias("a"))
     return out.select(
         "token",
         F.col("a.mode").alias("mode"),
@@ -272,6 +278,7 @@ def choose(evaluated: DataFrame) -> DataFrame:
         F.col("a.base").alias("base"),
         F.col("a.stem").alias("stem"),
         F.col("a.in_lexica").alias("in_lexica"),
+        *carry,
     )
 
 
@@ -285,7 +292,8 @@ def analyze(
     resources: Resources | None = None,
 ) -> DataFrame:
     """Analyse distinct tokens. ``types`` needs a ``token`` column and may
-    carry more (e.g. a count); those are joined back on ``token``.
+    carry more columns that depend on the token only (e.g. a count); they
+    ride along as extra group keys, so no join back is needed.
 
     Pass either the raw inputs (affixes, lexicon, vocab) or ``resources``
     from ``prepare``. With ``require_vocab=False`` every vocabulary test
@@ -298,10 +306,7 @@ def analyze(
     if resources.require_vocab:
         voc = resources.vocab_keys
         t = t.join(voc, F.lower(t["token"]) == voc["v_key"], "left_anti")
-    matched = match_affixes(t.select("token"), resources.affixes, resources.max_affix_len, checked=True)
-    ev = evaluate_candidates(candidates(matched), resources.dictionary, resources.require_vocab)
-    chosen = choose(ev)
     extra = [c for c in types.columns if c != "token"]
-    if extra:
-        chosen = chosen.join(t, "token", "inner").select(*ANALYSIS_COLS, *extra)
-    return chosen
+    matched = match_affixes(t, resources.affixes, resources.max_affix_len, checked=True, carry=extra)
+    ev = evaluate_candidates(candidates(matched, extra), resources.dictionary, resources.require_vocab, extra)
+    return choose(ev, extra)

@@ -52,12 +52,18 @@ def sentences(
     The text is stripped first, each sentence is stripped; only sentences
     with 10..100 tokens are kept unless ``keep_all``.
     """
-    s = docs.select(
-        *key_cols,
-        F.posexplode(split_sentences(strip_ws(F.col(text)), sentence_model)).alias("sent_pos", "raw_sentence"),
-    )
-    s = s.select(*key_cols, "sent_pos", strip_ws(F.col("raw_sentence")).alias("sentence"))
-    s = s.withColumn("tokens", tokenize(F.col("sentence"), token_model)).withColumn("n_tokens", F.size("tokens"))
+    stripped = F.transform(split_sentences(strip_ws(F.col(text)), sentence_model), lambda x: strip_ws(x))
+    if token_model is None:
+        # tokens come out of the generator, so the length filter below reads
+        # them instead of re-running the tokeniser (Catalyst would otherwise
+        # inline the regex into the pushed-down filter several times)
+        items = F.transform(stripped, lambda x: F.struct(x.alias("sentence"), tokenize(x).alias("tokens")))
+        s = docs.select(*key_cols, F.posexplode(items).alias("sent_pos", "item"))
+        s = s.select(*key_cols, "sent_pos", F.col("item.sentence").alias("sentence"), F.col("item.tokens").alias("tokens"))
+    else:
+        s = docs.select(*key_cols, F.posexplode(stripped).alias("sent_pos", "sentence"))
+        s = s.withColumn("tokens", tokenize(F.col("sentence"), token_model))
+    s = s.withColumn("n_tokens", F.size("tokens"))
     if not keep_all:
         s = s.where(F.col("n_tokens").between(MIN_SENT_TOKENS, MAX_SENT_TOKENS))
     return s
