@@ -104,3 +104,95 @@ def find_derivatives(
     long = long.withColumn("context", sanitize_text(F.col("sentence"), full_unescape=full_unescape)).drop("sentence")
     long = long.select(*keys, "sent_pos", "tok_pos", *ANALYSIS_COLS, "context")
     return Derivatives(analyses, summary, long)
+
+
+def merge_months(tables: list[DataFrame]) -> DataFrame:
+    """Monthly per-token tables → one table (counts summed per analysis)."""
+    from wordform.operators.corpus import merge_months as _merge
+
+    return _merge(tables)
+
+
+def productivity(merged: DataFrame, modes: list[str] | None = ("prefix", "suffix"), with_ratio: bool = False) -> DataFrame:
+    """V / N / hapax per affix; by default for prefix and suffix mode."""
+    from wordform.operators.metrics import productivity as _prod
+
+    return _prod(merged, list(modes) if modes else None, with_ratio)
+
+
+def make_corpora(
+    long: DataFrame,
+    summary: DataFrame,
+    key_cols: tuple[str, ...] = ("doc_id",),
+    seed: int = 200,
+    bins: str = "overlap",
+    materialize: bool = True,
+    clean=None,
+) -> DataFrame:
+    """SHARED and SPLIT train/test/dev corpora for every (mode, bin).
+
+    The sentence-level rows are written to the checkpoint folder first: the
+    exact-size split reads them several times (bucket counts, settled rows,
+    cut buckets), and re-reading a written table is cheaper than recomputing
+    the derivative search. ``clean`` is an optional user DataFrame →
+    DataFrame step applied to the summary first (manual cleaning)."""
+    from wordform.operators.splits import SIZE_TEST, SIZE_TRAIN, sentence_rows, shared_split, split_by_key
+
+    if clean is not None:
+        summary = clean(summary)
+    rows = sentence_rows(long, summary, bins=bins)
+    if materialize:
+        rows = cut_lineage(rows)
+    g = ["mode", "bin"]
+    unit = ["token", *key_cols, "sent_pos", "tok_pos"]
+    shared = shared_split(rows, g, unit, seed, SIZE_TRAIN, SIZE_TEST).withColumn("condition", F.lit("shared"))
+    by_base = split_by_key(rows, g, "base", seed).withColumn("condition", F.lit("split_base"))
+    by_stem = split_by_key(rows, g, "stem", seed).withColumn("condition", F.lit("split_stem"))
+    return shared.unionByName(by_base).unionByName(by_stem)
+
+
+def run_corpus(
+    spark,
+    dumps: str,
+    communities: str,
+    prefixes: str,
+    suffixes: str,
+    lexicon: str | None,
+    vocab: str | None,
+    out: str,
+    *,
+    require_vocab: bool = True,
+    long_window: bool = False,
+    lang: str = "de",
+) -> None:
+    """All stages over every monthly dump under ``dumps``, writing each
+    stage's table under ``out`` (filtered/, derivatives/, contexts/, joined/,
+    productivity/, corpus/). Months are partition columns throughout."""
+    from wordform import sinks
+    from wordform.sources.comments import read_comments, read_filtered_comments
+    from wordform.sources.lexicon import read_lexicon
+    from wordform.sources.lists import read_affixes, read_communities, read_vocab
+
+    comments = read_comments(spark, dumps, long_window=long_window).where(~F.col("corrupt"))
+    kept = filter_comments(comments, read_communities(spark, communities), lang=lang)
+    sinks.write_filtered_comments(kept, f"{out}/filtered")
+    # re-read the written table: lineage cut, months are partition columns
+    filtered = read_filtered_comments(spark, f"{out}/filtered")
+    res = find_derivatives(
+        filtered,
+        read_affixes(spark, prefixes, suffixes),
+        read_lexicon(spark, lexicon) if lexicon else None,
+        read_vocab(spark, vocab) if vocab else None,
+        require_vocab=require_vocab,
+        key_cols=("id",),
+        group_cols=("year", "month"),
+    )
+    sinks.write_derivatives(res.summary, f"{out}/derivatives")
+    sinks.write_derivatives(res.long, f"{out}/contexts")
+    monthly = spark.read.parquet(f"{out}/derivatives")
+    merged = merge_months([monthly.drop("year", "month")])
+    sinks.write_joined(merged, f"{out}/joined")
+    merged = spark.read.parquet(f"{out}/joined")
+    sinks.write_productivity(productivity(merged), f"{out}/productivity")
+    long = spark.read.parquet(f"{out}/contexts")
+    sinks.write_corpora(make_corpora(long, merged, key_cols=("id",)), f"{out}/corpus")

@@ -86,3 +86,11 @@ def read_comment_lines(spark: SparkSession, path: str, long_window: bool = False
 
 def read_comments(spark: SparkSession, path: str, long_window: bool = False, failfast: bool = False) -> DataFrame:
     return parse_comments(read_comment_lines(spark, path, long_window), failfast=failfast)
+
+
+def read_filtered_comments(spark: SparkSession, path: str) -> DataFrame:
+    """The filter stage's output (raw lines under year=/month= folders):
+    id, body, year, month."""
+    lines = spark.read.text(path)
+    j = F.from_json(F.col("value"), COMMENT_SCHEMA)
+    return lines.select(j.alias("j"), "year", "month").select("j.id", "j.body", "year", "month")
