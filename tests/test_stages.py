@@ -44,8 +44,10 @@ def test_run_corpus_end_to_end(spark):
     _write_dumps(spark, f"{root}/dumps")
     _write_fixture_inputs(spark, root)
     out = f"{root}/out"
-    run_corpus(spark, f"{root}/dumps", f"{root}/communities.txt", PREFIX_FILE, SUFFIX_FILE,
-               f"{root}/lexicon.tsv", f"{root}/vocab.txt", out)
+    progress = run_corpus(spark, f"{root}/dumps", f"{root}/communities.txt", PREFIX_FILE, SUFFIX_FILE,
+                          f"{root}/lexicon.tsv", f"{root}/vocab.txt", out)
+    assert progress["comments"]["rows"] == 201 and progress["comments"]["corrupt"] == 1
+    assert 0 < progress["kept"]["rows"] < 200
     filtered = spark.read.text(f"{out}/filtered")
     assert set(r.month for r in filtered.select("month").distinct().collect()) == {11, 12}
     monthly = spark.read.parquet(f"{out}/derivatives")

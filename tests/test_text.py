@@ -76,3 +76,18 @@ def test_sentences_and_tokens(spark):
     t = tokens(sentences(docs, ["doc_id"], "body"), ["doc_id"]).orderBy("tok_pos").collect()
     # only the second sentence has 10..100 tokens; token 0 is lower-cased
     assert [(r.tok_pos, r.token) for r in t] == [(1, "steht"), (3, "längerer"), (6, "vielen"), (7, "Wörtern"), (11, "geschrieben"), (12, "wurde")]
+
+
+def test_parse_context_list(spark):
+    from wordform.functions.text import parse_context_list
+
+    got = _one(spark, ["['Ein Satz.', 'Noch einer.']", "['a']['b', 'c']"], parse_context_list)
+    assert got == [["Ein Satz.", "Noch einer."], ["a", "b", "c"]]
+
+
+def test_observe_rows(spark):
+    from wordform.operators.metrics import observe_rows
+
+    df, obs = observe_rows(spark.range(10).withColumn("corrupt", F.col("id") % 5 == 0), "seen")
+    df.where("id > 3").count()
+    assert obs.get == {"rows": 10, "corrupt": 2}

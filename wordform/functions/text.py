@@ -97,3 +97,12 @@ def sanitize_text(c, full_unescape: bool = True) -> Column:
     c = F.regexp_replace(c, SUB_USER_RE, "")
     c = F.when(c.contains("/"), F.regexp_replace(c, PATHLIKE_RE, "")).otherwise(c)
     return c
+
+
+def parse_context_list(c) -> Column:
+    """Importer for tables whose context lists were stored as printed Python
+    lists (``"['a', 'b']"``): strip the outer brackets and quotes and split
+    on the item separator (also across concatenated lists ``'][``)."""
+    c = _col(c)
+    inner = c.substr(F.lit(3), F.greatest(F.length(c) - 4, F.lit(0)))
+    return F.split(inner, r"', '|'\]\['")

@@ -21,3 +21,17 @@ def productivity(merged: DataFrame, modes: list[str] | None = None, with_ratio:
     if with_ratio:
         out = out.withColumn("p", F.col("abshapax") / F.col("n"))
     return out
+
+
+def observe_rows(df: DataFrame, name: str):
+    """Progress counter: returns (df, Observation) where the observation
+    reports ``rows`` (and ``corrupt`` rows when the column exists) once an
+    action on ``df`` or a DataFrame derived from it has run. Metrics are
+    aggregated by Spark alongside the job, no extra pass."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if "corrupt" in df.columns:
+        metrics.append(F.count_if(F.col("corrupt")).alias("corrupt"))
+    return df.observe(obs, *metrics), obs

@@ -169,18 +169,23 @@ def run_corpus(
     require_vocab: bool = True,
     long_window: bool = False,
     lang: str = "de",
-) -> None:
+) -> dict:
     """All stages over every monthly dump under ``dumps``, writing each
     stage's table under ``out`` (filtered/, derivatives/, contexts/, joined/,
-    productivity/, corpus/). Months are partition columns throughout."""
+    productivity/, corpus/). Months are partition columns throughout.
+    Returns the progress counters (comments read / corrupt / kept)."""
     from wordform import sinks
     from wordform.sources.comments import read_comments, read_filtered_comments
     from wordform.sources.lexicon import read_lexicon
     from wordform.sources.lists import read_affixes, read_communities, read_vocab
 
-    comments = read_comments(spark, dumps, long_window=long_window).where(~F.col("corrupt"))
-    kept = filter_comments(comments, read_communities(spark, communities), lang=lang)
+    from wordform.operators.metrics import observe_rows
+
+    comments, seen = observe_rows(read_comments(spark, dumps, long_window=long_window), "comments")
+    kept = filter_comments(comments.where(~F.col("corrupt")), read_communities(spark, communities), lang=lang)
+    kept, kept_obs = observe_rows(kept, "kept")
     sinks.write_filtered_comments(kept, f"{out}/filtered")
+    progress = {"comments": seen.get, "kept": kept_obs.get}
     # re-read the written table: lineage cut, months are partition columns
     filtered = read_filtered_comments(spark, f"{out}/filtered")
     res = find_derivatives(
@@ -201,3 +206,4 @@ def run_corpus(
     sinks.write_productivity(productivity(merged), f"{out}/productivity")
     long = spark.read.parquet(f"{out}/contexts")
     sinks.write_corpora(make_corpora(long, merged, key_cols=("id",)), f"{out}/corpus")
+    return progress
