@@ -90,10 +90,13 @@ def prepare(
     if materialize:
         aff = cut_lineage(aff)
         dictionary = cut_lineage(dictionary)
-    aff, _ = bounded_broadcast(aff, max_broadcast_rows)
+    # one job gives the size check and the longest affix
+    n_aff, max_len = aff.agg(F.count(F.lit(1)), F.max(F.length("affix"))).first()
+    if n_aff <= max_broadcast_rows:
+        aff = F.broadcast(aff)
     d, _ = bounded_broadcast(dictionary, max_broadcast_rows)
     voc = d.where("in_vocab").select(F.col("key").alias("v_key"))
-    return Resources(aff, max_affix_length(aff), d, require_vocab, voc)
+    return Resources(aff, int(max_len or 0), d, require_vocab, voc)
 
 
 def match_affixes(types: DataFrame, affixes: DataFrame, max_len: int | None = None,

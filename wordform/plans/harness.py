@@ -21,6 +21,7 @@ from wordform.operators.segment import sentences, tokens
 from wordform.operators.splits import frequency_bins, sentence_rows, shared_split, split_by_key
 from wordform.plans.stages import filter_comments, find_derivatives
 from wordform.sources import fixtures as fx
+from wordform.session import cut_lineage
 from wordform.sources.lists import read_affixes
 
 KEY = ["doc_id"]
@@ -34,8 +35,10 @@ def _affixes(spark: SparkSession) -> DataFrame:
 
 
 def _inputs(spark: SparkSession, sf: str, lexicon: bool = True):
-    lex = fx.fixture_lexicon(spark, sf) if lexicon else None
-    return fx.german_comments(spark, sf), _affixes(spark), lex, fx.fixture_vocab(spark, sf)
+    # both stand-ins derive from one word count of the German documents
+    wc = cut_lineage(fx.word_counts(spark, sf), "word-counts")
+    lex = fx.fixture_lexicon(spark, sf, wc) if lexicon else None
+    return fx.german_comments(spark, sf), _affixes(spark), lex, fx.fixture_vocab(spark, sf, wc)
 
 
 def _derivatives(spark: SparkSession, sf: str, require_vocab: bool = True, lexicon: bool = True, **kw):
@@ -234,7 +237,8 @@ ROW_COLS = ["token", "doc_id", "sent_pos", "tok_pos", "mode", "bin", "base", "st
 
 def _rows(spark, sf):
     r = _derivatives(spark, sf)
-    return sentence_rows(r.long, r.summary)
+    # the exact split reads its rows several times: materialise them once
+    return cut_lineage(sentence_rows(r.long, r.summary))
 
 
 def q_shared_split(spark, sf):

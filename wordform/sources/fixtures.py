@@ -41,17 +41,17 @@ def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
 
 
-def fixture_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wc = word_counts(spark, sf_dir)
+def fixture_vocab(spark: SparkSession, sf_dir: str, wc: DataFrame | None = None) -> DataFrame:
+    wc = wc if wc is not None else word_counts(spark, sf_dir)
     return wc.groupBy(F.lower("w").alias("token")).agg(F.sum("n").alias("n")).where(
         F.col("n") >= VOCAB_MIN_COUNT
     ).select("token")
 
 
-def fixture_lexicon_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fixture_lexicon_raw(spark: SparkSession, sf_dir: str, wc: DataFrame | None = None) -> DataFrame:
     """Raw lexicon rows incl. rows cleaning must drop. File order is
     n descending, w ascending; ``line_ord`` grows along that order."""
-    wc = word_counts(spark, sf_dir).where((F.col("n") >= LEXICON_MIN_COUNT) & (F.length("w") >= LEXICON_MIN_CHARS))
+    wc = (wc if wc is not None else word_counts(spark, sf_dir)).where((F.col("n") >= LEXICON_MIN_COUNT) & (F.length("w") >= LEXICON_MIN_CHARS))
     lw = F.lower("w")
     base = (
         F.when(F.col("n") % 11 == 0, F.lit("unknown"))
@@ -71,8 +71,8 @@ def fixture_lexicon_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fixture_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_lexicon(fixture_lexicon_raw(spark, sf_dir), order_col="line_ord")
+def fixture_lexicon(spark: SparkSession, sf_dir: str, wc: DataFrame | None = None) -> DataFrame:
+    return clean_lexicon(fixture_lexicon_raw(spark, sf_dir, wc), order_col="line_ord")
 
 
 def fixture_communities(spark: SparkSession) -> DataFrame:
