@@ -19,8 +19,11 @@ LEXICON_SCHEMA = T.StructType(
 def read_lexicon_raw(spark: SparkSession, path: str) -> DataFrame:
     """Raw lexicon rows with ``line_no`` increasing in file order.
 
-    ``monotonically_increasing_id`` grows with the split offset inside a file
-    and with the split index across splits, so it orders lines as read.
+    ``monotonically_increasing_id`` grows with the split index and the row
+    inside a split; the splits of one file keep their offset order, so for a
+    single lexicon file (the published format) it orders lines as read. For
+    several files pass a table with an explicit order column to
+    ``clean_lexicon`` instead.
     """
     df = (
         spark.read.option("sep", "\t")
