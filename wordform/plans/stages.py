@@ -206,4 +206,7 @@ def run_corpus(
     sinks.write_productivity(productivity(merged), f"{out}/productivity")
     long = spark.read.parquet(f"{out}/contexts")
     sinks.write_corpora(make_corpora(long, merged, key_cols=("id",)), f"{out}/corpus")
+    from wordform.session import drop_cut_tables
+
+    drop_cut_tables(spark)  # every sink is written; the intermediate tables are no longer read
     return progress

@@ -62,4 +62,22 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/wordform-{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    _CUT_TABLES.append(path)
     return spark.read.parquet(path)
+
+
+_CUT_TABLES: list[str] = []
+
+
+def drop_cut_tables(spark: SparkSession) -> int:
+    """Delete the intermediate tables written by ``cut_lineage`` in this
+    driver (through the Hadoop FileSystem API, so it works on any shared
+    store). Call it once nothing reads them any more; returns how many."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _CUT_TABLES:
+        p = jvm.org.apache.hadoop.fs.Path(_CUT_TABLES.pop())
+        if p.getFileSystem(conf).delete(p, True):
+            n += 1
+    return n
