@@ -50,6 +50,11 @@ def test_query_matches_oracle(spark, con, name):
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
     assert _digest(df.columns, rows) == _digest(ocols, orows)
+    names = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "StringType()": "VARCHAR",
+             "BooleanType()": "BOOLEAN", "DoubleType()": "DOUBLE"}
+    otypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    for f in df.schema.fields:
+        assert names.get(repr(f.dataType)) == otypes[f.name], (name, f.name)
 
 
 def test_every_query_has_an_oracle():

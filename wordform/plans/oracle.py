@@ -113,13 +113,13 @@ fx_lex AS (
       AND (pos IS NULL OR NOT contains(pos, '$'))) WHERE rn = 1),
 affixes AS ({_affix_values()}),
 sents_all AS (
-  SELECT doc_id, sent_pos, {strip('raw_sentence')} AS sentence FROM (
+  SELECT doc_id, sent_pos::INTEGER AS sent_pos, {strip('raw_sentence')} AS sentence FROM (
     SELECT doc_id, unnest(arr) AS raw_sentence, unnest(range(len(arr))) AS sent_pos
     FROM (SELECT doc_id, regexp_extract_all({strip('text')}, {q(SENTENCE_RE)}) AS arr FROM fx_de))),
 sents_tok AS (SELECT *, regexp_extract_all(sentence, {q(TOKEN_RE)}) AS toks FROM sents_all),
 sents AS (SELECT doc_id, sent_pos, sentence, toks FROM sents_tok WHERE len(toks) BETWEEN 10 AND 100),
 toks_all AS (
-  SELECT doc_id, sent_pos, sentence, CASE WHEN tok_pos = 0 THEN lower(raw_token) ELSE raw_token END AS token, tok_pos
+  SELECT doc_id, sent_pos, sentence, CASE WHEN tok_pos = 0 THEN lower(raw_token) ELSE raw_token END AS token, tok_pos::INTEGER AS tok_pos
   FROM (SELECT doc_id, sent_pos, sentence, unnest(toks) AS raw_token, unnest(range(len(toks))) AS tok_pos FROM sents)),
 toks AS (SELECT * FROM toks_all WHERE length(token) >= 5 AND NOT regexp_matches(token, '\\p{{Nd}}'))
 """
@@ -312,7 +312,7 @@ def _bins() -> str:
 
 def _merged(ctes: str) -> str:
     return f"""{ctes},
-merged AS (SELECT token, affix, base, in_lexica, stem, mode, prefix, suffix, sum(count) AS count
+merged AS (SELECT token, affix, base, in_lexica, stem, mode, prefix, suffix, sum(count)::BIGINT AS count
   FROM summary GROUP BY ALL)"""
 
 
@@ -362,13 +362,13 @@ mcounts AS (SELECT doc_id % 12 AS month, token, count(*) AS count FROM toks
   WHERE lower(token) NOT IN (SELECT token FROM fx_vocab) GROUP BY ALL),
 msum AS (SELECT a.*, c.month, c.count FROM analyses a JOIN mcounts c USING (token))"""
     if not increment:
-        return _with(base, f"""SELECT token, affix, base, in_lexica, stem, mode, prefix, suffix, sum(count) AS count
+        return _with(base, f"""SELECT token, affix, base, in_lexica, stem, mode, prefix, suffix, sum(count)::BIGINT AS count
 FROM msum GROUP BY ALL""")
     return _with(base + """,
-old AS (SELECT token, affix, base, in_lexica, stem, mode, prefix, suffix, sum(count) AS count
+old AS (SELECT token, affix, base, in_lexica, stem, mode, prefix, suffix, sum(count)::BIGINT AS count
   FROM msum WHERE month < 11 GROUP BY ALL),
-new AS (SELECT token, affix, base, in_lexica, stem, mode, prefix, suffix, sum(count) AS count
-  FROM msum WHERE month = 11 GROUP BY ALL)""", """SELECT token, affix, base, in_lexica, stem, mode, prefix, suffix, sum(count) AS count
+new AS (SELECT token, affix, base, in_lexica, stem, mode, prefix, suffix, sum(count)::BIGINT AS count
+  FROM msum WHERE month = 11 GROUP BY ALL)""", """SELECT token, affix, base, in_lexica, stem, mode, prefix, suffix, sum(count)::BIGINT AS count
 FROM (SELECT * FROM old UNION ALL SELECT * FROM new) GROUP BY ALL""")
 
 
@@ -377,7 +377,7 @@ def _duplicates() -> str:
     b = analysis_ctes(lexicon=False)
     return f"""WITH runa AS (WITH {a} SELECT {SUMMARY_COLS} FROM summary),
 runb AS (WITH {b} SELECT {SUMMARY_COLS} FROM summary),
-merged AS (SELECT token, affix, base, in_lexica, stem, mode, prefix, suffix, sum(count) AS count
+merged AS (SELECT token, affix, base, in_lexica, stem, mode, prefix, suffix, sum(count)::BIGINT AS count
   FROM (SELECT * FROM runa UNION ALL SELECT * FROM runb) GROUP BY ALL)
 SELECT {SUMMARY_COLS} FROM merged
 WHERE token IN (SELECT token FROM merged GROUP BY token HAVING count(*) > 1)"""
@@ -395,16 +395,16 @@ def oracle_queries() -> dict[str, str]:
         "community_filter": f"SELECT doc_id, source FROM documents WHERE source IN {_communities()}",
         "sanitize_body": f"SELECT page_id, {sanitize_body('html')} AS body, {sanitize_body('url')} AS url FROM pages",
         "sanitize_text": f"SELECT page_id, {sanitize_text('html')} AS text, {sanitize_text('url')} AS url FROM pages",
-        "body_length_filter": f"""SELECT doc_id, length(c) AS n_clean FROM (SELECT doc_id, {sanitize_body('text')} AS c FROM documents)
+        "body_length_filter": f"""SELECT doc_id, length(c)::INTEGER AS n_clean FROM (SELECT doc_id, {sanitize_body('text')} AS c FROM documents)
 WHERE length(c) >= 31 AND c <> '[deleted]'""",
         "lang_filter": f"SELECT doc_id, lang, {_lang_pred()} AS lang_pred FROM (SELECT doc_id, lang, {_stop_counts()} FROM documents)",
         "comment_filter": f"""SELECT doc_id, subreddit, n_clean FROM (
-  SELECT doc_id, subreddit, length(clean_body) AS n_clean, clean_body, {_lang_pred()} AS lang_pred FROM (
+  SELECT doc_id, subreddit, length(clean_body)::INTEGER AS n_clean, clean_body, {_lang_pred()} AS lang_pred FROM (
     SELECT doc_id, subreddit, clean_body, {_stop_counts().replace('lower(text)', 'lower(clean_body)')} FROM (
       SELECT doc_id, source AS subreddit, {sanitize_body('text')} AS clean_body FROM documents
       WHERE source IN {_communities()})))
 WHERE n_clean >= 31 AND clean_body <> '[deleted]' AND lang_pred = 'de'""",
-        "sentences": _with(FIXTURES, "SELECT doc_id, sent_pos, sentence, len(toks) AS n_tokens, len(toks) BETWEEN 10 AND 100 AS kept FROM sents_tok"),
+        "sentences": _with(FIXTURES, "SELECT doc_id, sent_pos, sentence, len(toks)::INTEGER AS n_tokens, len(toks) BETWEEN 10 AND 100 AS kept FROM sents_tok"),
         "tokens": _with(FIXTURES, "SELECT doc_id, sent_pos, tok_pos, token FROM toks"),
         "lexicon_clean": _with(FIXTURES, "SELECT word, base, pos, frequency FROM fx_lex"),
         "vocab_gate": _with(A, "SELECT token, count FROM types"),
@@ -428,11 +428,11 @@ FROM m GROUP BY token"""),
         "merge_increment": _monthly_merge(True),
         "duplicate_analyses": _duplicates(),
         "review_sample": _with(_merged(A), f"SELECT {SUMMARY_COLS} FROM merged ORDER BY {sample_key} LIMIT 100"),
-        "productivity": _with(_merged(A), """SELECT mode, affix, count(*) AS v, sum(count) AS n,
+        "productivity": _with(_merged(A), """SELECT mode, affix, count(*) AS v, sum(count)::BIGINT AS n,
   count(*) FILTER (WHERE count = 1) AS abshapax FROM merged GROUP BY mode, affix"""),
         "frequency_bins": _with(FIXTURES + "," + _bins(), """SELECT w, n, bin FROM fx_words
 JOIN bins ON n >= lo AND (hi IS NULL OR n <= hi) WHERE length(w) > 4"""),
-        "mode_split": _with(_merged(A), "SELECT mode, count(*) AS types, sum(count) AS tokens FROM merged GROUP BY mode"),
+        "mode_split": _with(_merged(A), "SELECT mode, count(*) AS types, sum(count)::BIGINT AS tokens FROM merged GROUP BY mode"),
         "shared_split": _shared(),
         "split_by_base": _key_split("base"),
         "split_by_stem": _key_split("stem"),
