@@ -91,3 +91,10 @@ def test_observe_rows(spark):
     df, obs = observe_rows(spark.range(10).withColumn("corrupt", F.col("id") % 5 == 0), "seen")
     df.where("id > 3").count()
     assert obs.get == {"rows": 10, "corrupt": 2}
+
+
+def test_title_word_matches_python(spark):
+    from wordform.functions.predicates import title_word
+
+    values = ["häus", "bauer-hof", "o'neil", "ÄRGER", "mixed CASE words"]
+    assert _one(spark, values, title_word) == [v.title() for v in values]

@@ -44,11 +44,13 @@ def starts_lower(c: Column) -> Column:
 
 
 def title_word(c: Column) -> Column:
-    """``str.title()`` for a single letter run: first letter upper, rest lower.
-
-    Stems are runs of letters (the tokeniser never puts white space, digits
-    or punctuation inside a word), so ``initcap`` and Python agree."""
-    return F.initcap(c)
+    """``str.title()``: every letter run starts upper case, the rest of the
+    run is lower case (``bauer-hof`` → ``Bauer-Hof``). Letter runs and the
+    characters between them are title-cased one by one and joined again."""
+    pieces = F.regexp_extract_all(c, F.lit(r"\p{L}+|\P{L}+"), 0)
+    return F.when(c.rlike(r"^\p{L}*\z"), F.initcap(c)).otherwise(
+        F.array_join(F.transform(pieces, lambda x: F.initcap(x)), "")
+    )
 
 
 def drop_last(c: Column, n: int) -> Column:
