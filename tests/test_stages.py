@@ -80,3 +80,12 @@ def test_streaming_filter(spark):
     batch = filter_comments(read_comments(spark, f"{root}/in"), comm)
     assert sorted(r.id for r in got.collect()) == sorted(r.id for r in batch.collect())
     assert got.count() > 0
+
+
+def test_contexts_without_broadcast_equal_broadcast_path(spark):
+    from wordform.plans import harness as H
+
+    a = H._derivatives(spark, SF_SMALL).long
+    b = H._derivatives(spark, SF_SMALL, max_broadcast_rows=0).long
+    assert a.count() > 0
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))

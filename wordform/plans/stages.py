@@ -82,8 +82,10 @@ def find_derivatives(
     (partial aggregation); the analyses of the distinct tokens are written to
     the checkpoint folder. Pass 2 tokenises again, keeps only derivative
     tokens through a broadcast join with the analyses (if a row count proves
-    them small; otherwise a shuffle join) and builds the context of each
-    occurrence, so only derivative occurrences ever carry sentence text.
+    them small) and builds the context of each occurrence, so only
+    derivative occurrences ever carry sentence text. Beyond the bound, token
+    keys join the analyses by token and each sentence's text is fetched once
+    by (doc key, sentence position).
     """
     group_cols = list(group_cols)
     keys = group_cols + [k for k in key_cols if k not in group_cols]
@@ -102,10 +104,16 @@ def find_derivatives(
     summary = analyses if not group_cols else counts.join(analyses, "token", "inner")
 
     small, is_broadcast = bounded_broadcast(analyses.select(*ANALYSIS_COLS), max_broadcast_rows)
-    toks2 = tokens(sents, keys, carry=["sentence"])
-    if require_vocab and not is_broadcast:
-        toks2 = toks2.join(voc, F.lower(toks2["token"]) == voc["v_key"], "left_anti")
-    long = toks2.join(small, "token", "inner")
+    if is_broadcast:
+        # map-side: only derivative occurrences survive the join, no exchange
+        toks2 = tokens(sents, keys, carry=["sentence"])
+        long = toks2.join(small, "token", "inner")
+    else:
+        # analyses too large to broadcast: join token keys (no text) by token,
+        # then fetch each sentence's text once by (doc key, sentence position)
+        occ = toks.join(analyses.select(*ANALYSIS_COLS), "token", "inner")
+        text = sents.select(*keys, "sent_pos", "sentence")
+        long = occ.join(text, [*keys, "sent_pos"], "inner")
     long = long.withColumn("context", sanitize_text(F.col("sentence"), full_unescape=full_unescape)).drop("sentence")
     long = long.select(*keys, "sent_pos", "tok_pos", *ANALYSIS_COLS, "context")
     return Derivatives(analyses, summary, long)
