@@ -38,7 +38,7 @@ def con():
 
 FAST = ["community_filter", "sanitize_body", "sanitize_text", "body_length_filter", "lang_filter", "comment_filter",
         "sentences", "tokens", "lexicon_clean", "frequency_bins", "analyses", "derivatives", "derivative_contexts",
-        "derivatives_no_vocab", "productivity", "shared_split", "split_by_stem"]
+        "derivatives_no_vocab", "productivity", "shared_split", "split_by_stem", "derivatives_wide"]
 
 
 @pytest.mark.parametrize("name", FAST)

@@ -63,7 +63,7 @@ def wide_contexts(long: DataFrame, counts: DataFrame, key_cols: list[str], max_p
     """The reference's list-of-contexts layout, split into rows of at most
     about ``max_per_row`` contexts: (analysis keys, part, count, context).
 
-    ``counts`` is the per-token table (token, count). ``part`` is a hash of
+    ``counts`` is the per-token table (token, count). ``part`` is an md5 of
     the occurrence key modulo the number of parts the token's count needs, so
     no task ever collects a whole hot token. Contexts inside a row follow the
     occurrence key order.
@@ -76,9 +76,9 @@ def wide_contexts(long: DataFrame, counts: DataFrame, key_cols: list[str], max_p
     )
     parts, _ = bounded_broadcast(parts)
     occ = long.join(parts, "token", "left")
-    occ = occ.withColumn(
-        "part", F.pmod(F.xxhash64(*key_cols), F.coalesce(F.col("_parts"), F.lit(1))).cast("int")
-    )
+    # part: first 32 bits of md5 over the occurrence key (reproducible in SQL)
+    h = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key_cols])), 1, 8), 16, 10)
+    occ = occ.withColumn("part", F.pmod(h.cast("long"), F.coalesce(F.col("_parts"), F.lit(1))).cast("int"))
     order = F.struct(*key_cols, F.col("context"))
     g = occ.groupBy(*keys, "part").agg(
         F.count(F.lit(1)).alias("count"),

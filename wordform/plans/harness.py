@@ -14,17 +14,18 @@ from pyspark.sql import functions as F
 from wordform import PREFIX_FILE, SUFFIX_FILE
 from wordform.functions.text import sanitize_body, sanitize_text
 from wordform.operators import analyze as an
-from wordform.operators.corpus import duplicate_analyses, merge_increment, merge_months, review_sample
+from wordform.operators.corpus import duplicate_analyses, merge_increment, merge_months, review_sample, wide_contexts
 from wordform.operators.filters import body_length_ok, community_filter, detect_language
 from wordform.operators.metrics import productivity
 from wordform.operators.segment import sentences, tokens
 from wordform.operators.splits import frequency_bins, sentence_rows, shared_split, split_by_key
-from wordform.plans.stages import filter_comments, find_derivatives
+from wordform.plans.stages import filter_comments, find_derivatives, make_corpora
 from wordform.sources import fixtures as fx
 from wordform.session import cut_lineage
 from wordform.sources.lists import read_affixes
 
 KEY = ["doc_id"]
+CONTEXT_SEP = "\u241e"
 N_PSEUDO_MONTHS = 12
 SEED = 200
 SAMPLE_SEED = 7
@@ -254,6 +255,25 @@ def q_split_by_stem(spark, sf):
     return split_by_key(_rows(spark, sf), ["mode", "bin"], "stem", SEED).select(*ROW_COLS)
 
 
+WIDE_MAX_PER_ROW = 10_000
+
+
+def q_derivatives_wide(spark, sf):
+    """The reference's derivative table layout: one row per derivative (and
+    part) with its context list, joined to one string for hashing."""
+    r = _derivatives(spark, sf)
+    w = wide_contexts(r.long, r.summary.select("token", "count"), [*KEY, "sent_pos", "tok_pos"], WIDE_MAX_PER_ROW)
+    return w.select("token", "affix", "base", "in_lexica", "stem", "mode", "part", "count",
+                    F.array_join("context", CONTEXT_SEP).alias("contexts"))
+
+
+def q_corpora(spark, sf):
+    """All SHARED and SPLIT corpora in one table (condition column)."""
+    r = _derivatives(spark, sf)
+    out = make_corpora(r.long, r.summary, key_cols=tuple(KEY), seed=SEED)
+    return out.select("condition", *ROW_COLS)
+
+
 QUERIES = {
     "community_filter": q_community_filter,
     "sanitize_body": q_sanitize_body,
@@ -286,4 +306,6 @@ QUERIES = {
     "shared_split": q_shared_split,
     "split_by_base": q_split_by_base,
     "split_by_stem": q_split_by_stem,
+    "derivatives_wide": q_derivatives_wide,
+    "corpora": q_corpora,
 }

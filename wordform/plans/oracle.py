@@ -383,6 +383,21 @@ SELECT {SUMMARY_COLS} FROM merged
 WHERE token IN (SELECT token FROM merged GROUP BY token HAVING count(*) > 1)"""
 
 
+def _wide() -> str:
+    h = "('0x' || substr(md5(concat_ws('|', doc_id::VARCHAR, sent_pos::VARCHAR, tok_pos::VARCHAR)), 1, 8))::BIGINT"
+    return _with(analysis_ctes() + ",", f"""parts AS (SELECT token, greatest(ceil(count / 10000), 1)::BIGINT AS parts FROM summary),
+lp AS (SELECT l.*, ({h} % p.parts)::INTEGER AS part FROM long l JOIN parts p USING (token))
+SELECT token, affix, base, in_lexica, stem, mode, part, count(*)::BIGINT AS count,
+  string_agg(context, '␞' ORDER BY doc_id, sent_pos, tok_pos, context) AS contexts
+FROM lp GROUP BY token, affix, base, in_lexica, stem, mode, part""")
+
+
+def _corpora() -> str:
+    return f"""SELECT 'shared' AS condition, * FROM ({_shared()})
+UNION ALL SELECT 'split_base' AS condition, * FROM ({_key_split('base')})
+UNION ALL SELECT 'split_stem' AS condition, * FROM ({_key_split('stem')})"""
+
+
 def oracle_queries() -> dict[str, str]:
     A = analysis_ctes()
     ev_cols = "token, prefix, suffix, stem"
@@ -436,4 +451,6 @@ JOIN bins ON n >= lo AND (hi IS NULL OR n <= hi) WHERE length(w) > 4"""),
         "shared_split": _shared(),
         "split_by_base": _key_split("base"),
         "split_by_stem": _key_split("stem"),
+        "derivatives_wide": _wide(),
+        "corpora": _corpora(),
     }
