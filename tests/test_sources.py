@@ -68,3 +68,13 @@ def test_lexicon_cleaning_last_wins(spark):
     open(p, "w").write("\n".join(lines) + "\n")
     got = {r.word: (r.base, r.pos) for r in read_lexicon(spark, p).collect()}
     assert got == {"haus": ("hausen", "VVINF"), "der": ("die", "ART")}
+
+
+def test_read_selected_months_skips_missing(spark):
+    d = tempfile.mkdtemp(prefix="wf-months-")
+    for name in ("RC_2019-03", "RC_2019-04"):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write("\n".join(_dump_lines()[:2]) + "\n")
+    got = read_comments(spark, d, months=[(2019, 4), (2019, 5)]).collect()
+    assert {(r.year, r.month) for r in got} == {(2019, 4)} and len(got) == 2
+    assert read_comments(spark, d, months=[(2020, 1)]).count() == 0

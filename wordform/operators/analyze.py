@@ -83,6 +83,9 @@ def prepare(
     materialize: bool = True,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> Resources:
+    """Build the dictionary, write it and the affix list to the checkpoint
+    folder (``materialize``), count both and hint them for broadcast when
+    the count is within ``max_broadcast_rows``."""
     if require_vocab and vocab is None:
         raise ValueError("require_vocab=True needs a vocabulary")
     aff = affixes.select("affix", "kind")

@@ -71,12 +71,31 @@ def _decode_zst(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     yield pd.DataFrame({"value": buf, "file": path})
 
 
-def read_comment_lines(spark: SparkSession, path: str, long_window: bool = False, partitions: int | None = None) -> DataFrame:
-    """Lines of every dump under ``path`` with their file name."""
+def month_paths(spark: SparkSession, root: str, months: list[tuple[int, int]]) -> list[str]:
+    """Existing dump files ``RC_YYYY-MM[.zst]`` under ``root`` for the given
+    (year, month) pairs; a missing month is skipped with a warning."""
+    import logging
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for year, month in months:
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/RC_{year:04d}-{month:02d}*")
+        hits = pattern.getFileSystem(conf).globStatus(pattern) or []
+        if not hits:
+            logging.getLogger("wordform").warning("no dump for %04d-%02d under %s, skipped", year, month, root)
+        found.extend(h.getPath().toString() for h in hits)
+    return found
+
+
+def read_comment_lines(spark: SparkSession, path, long_window: bool = False, partitions: int | None = None) -> DataFrame:
+    """Lines of every dump under ``path`` (a folder, glob or list of files)
+    with their file name."""
+    paths = [path] if isinstance(path, str) else list(path)
     if not long_window:
-        return spark.read.text(path).withColumn("file", F.input_file_name())
+        return spark.read.text(paths).withColumn("file", F.input_file_name())
     files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.zst").load(path).select("path")
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.zst").load(paths).select("path")
     )
     n_files = max(1, files.count())
     files = files.repartition(n_files)
@@ -84,7 +103,21 @@ def read_comment_lines(spark: SparkSession, path: str, long_window: bool = False
     return lines.repartition(partitions or spark.sparkContext.defaultParallelism)
 
 
-def read_comments(spark: SparkSession, path: str, long_window: bool = False, failfast: bool = False) -> DataFrame:
+def read_comments(
+    spark: SparkSession,
+    path: str,
+    long_window: bool = False,
+    failfast: bool = False,
+    months: list[tuple[int, int]] | None = None,
+) -> DataFrame:
+    """Comments of every dump under ``path``, or only of ``months``
+    ((year, month) pairs; missing months are skipped with a warning)."""
+    if months is not None:
+        path = month_paths(spark, path, months)
+        if not path:
+            return spark.createDataFrame(
+                [], "id string, subreddit string, body string, raw string, year int, month int, corrupt boolean"
+            )
     return parse_comments(read_comment_lines(spark, path, long_window), failfast=failfast)
 
 
