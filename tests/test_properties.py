@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from wordform.operators import analyze as an
-from wordform.operators.corpus import merge_months
 from wordform.plans import harness as H
 from wordform.plans.stages import find_derivatives
 from wordform.sources import fixtures as fx
