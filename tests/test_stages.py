@@ -89,3 +89,14 @@ def test_contexts_without_broadcast_equal_broadcast_path(spark):
     b = H._derivatives(spark, SF_SMALL, max_broadcast_rows=0).long
     assert a.count() > 0
     assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+
+
+def test_sink_overwrites_only_written_months(spark):
+    from wordform.sinks import write_derivatives
+
+    out = tempfile.mkdtemp(prefix="wf-sink-") + "/t"
+    rows = [("a", 2019, 1, 1), ("b", 2019, 2, 2)]
+    write_derivatives(spark.createDataFrame(rows, "token string, year int, month int, count long"), out)
+    write_derivatives(spark.createDataFrame([("c", 2019, 2, 5)], "token string, year int, month int, count long"), out)
+    got = sorted((r.token, r.month) for r in spark.read.parquet(out).collect())
+    assert got == [("a", 1), ("c", 2)]

@@ -10,22 +10,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def _dynamic(df: DataFrame) -> None:
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+def _writer(df: DataFrame):
+    """Overwrite only the partitions present in ``df`` (per-write option; the
+    session setting is left alone)."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
 
 
 def write_filtered_comments(df: DataFrame, path: str, partition_cols=("year", "month")) -> None:
     """The raw, unsanitised line of every kept comment, as text, per month."""
-    _dynamic(df)
     cols = [c for c in partition_cols if c in df.columns]
-    df.select("raw", *cols).write.mode("overwrite").partitionBy(*cols).text(path)
+    _writer(df.select("raw", *cols)).partitionBy(*cols).text(path)
 
 
 def write_derivatives(df: DataFrame, path: str, partition_cols=("year", "month")) -> None:
     """Monthly derivative tables (summary or long form)."""
-    _dynamic(df)
     cols = [c for c in partition_cols if c in df.columns]
-    df.write.mode("overwrite").partitionBy(*cols).parquet(path)
+    _writer(df).partitionBy(*cols).parquet(path)
 
 
 def write_joined(df: DataFrame, path: str) -> None:
@@ -34,13 +34,9 @@ def write_joined(df: DataFrame, path: str) -> None:
 
 def write_corpora(df: DataFrame, path: str) -> None:
     """SHARED and SPLIT corpora, one directory per condition/mode/bin/split."""
-    _dynamic(df)
-    df.write.mode("overwrite").partitionBy("condition", "mode", "bin", "split").parquet(path)
+    _writer(df).partitionBy("condition", "mode", "bin", "split").parquet(path)
 
 
 def write_productivity(df: DataFrame, path: str) -> None:
     """CSV with one header per mode directory: affix,v,n,abshapax."""
-    _dynamic(df)
-    df.select("mode", "affix", "v", "n", "abshapax").write.mode("overwrite").partitionBy("mode").option(
-        "header", True
-    ).csv(path)
+    _writer(df.select("mode", "affix", "v", "n", "abshapax")).partitionBy("mode").option("header", True).csv(path)
