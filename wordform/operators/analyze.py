@@ -117,21 +117,22 @@ def match_affixes(types: DataFrame, affixes: DataFrame, max_len: int | None = No
     aff = affixes.select("affix", "kind")
     if not checked:
         aff, _ = bounded_broadcast(aff, max_broadcast_rows)
-    lw = F.lower(F.col("token"))
-    ks = F.sequence(F.lit(1), F.least(F.length(lw), F.lit(max(max_len, 1))))
-    pieces = F.flatten(
-        F.transform(
-            ks,
-            lambda k: F.array(
-                F.struct(F.lit("prefix").alias("kind"), F.substring(lw, F.lit(1), k).alias("piece")),
-                F.struct(F.lit("suffix").alias("kind"), F.substring(lw, -k, k).alias("piece")),
-            ),
-        )
-    )
     carry = carry or []
-    exploded = types.where(F.length("token") >= 1).select("token", *carry, F.explode(pieces).alias("p")).select(
-        "token", *carry, F.col("p.kind").alias("kind"), F.col("p.piece").alias("piece")
+    lw = F.lower(F.col("token"))
+    # explode k = 1..min(len, longest affix), then both pieces per k: plain
+    # generators and projections, all inside whole-stage codegen
+    ks = types.where(F.length("token") >= 1).select(
+        "token", *carry, lw.alias("lw"), F.explode(F.sequence(F.lit(1), F.least(F.length(lw), F.lit(max(max_len, 1))))).alias("k")
     )
+    exploded = ks.select(
+        "token", *carry,
+        F.explode(
+            F.array(
+                F.struct(F.lit("prefix").alias("kind"), F.substring(F.col("lw"), F.lit(1), F.col("k")).alias("piece")),
+                F.struct(F.lit("suffix").alias("kind"), F.substring(F.col("lw"), -F.col("k"), F.col("k")).alias("piece")),
+            )
+        ).alias("p"),
+    ).select("token", *carry, F.col("p.kind").alias("kind"), F.col("p.piece").alias("piece"))
     hits = exploded.join(aff, (exploded["kind"] == aff["kind"]) & (exploded["piece"] == aff["affix"]), "inner").select(
         "token", *carry, exploded["kind"], "affix"
     )
