@@ -23,6 +23,10 @@ from wordform.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadca
 BINS = [(1, 1, 1), (2, 2, 3), (3, 4, 7), (4, 8, 15), (5, 16, 31), (6, 32, 64), (7, 64, 127), (8, 128, None)]
 BINS_DISJOINT = [(1, 1, 1), (2, 2, 3), (3, 4, 7), (4, 8, 15), (5, 16, 31), (6, 32, 63), (7, 64, 127), (8, 128, None)]
 
+MODES = ["prefix", "suffix", "both"]
+# (mode, bin) groups: the proven bound of the split bucket tables
+MODE_BIN_GROUPS = len(MODES) * len(BINS)
+
 SIZE_TRAIN = 0.8
 SIZE_TEST = 0.15
 HASH_BUCKET_HEX = 4  # 65 536 buckets per group
@@ -57,11 +61,16 @@ def exact_split(
     train_size,
     test_size,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_groups: int | None = None,
 ) -> DataFrame:
     """Label units train/test/dev: in each group the ``train_size(N)`` units
     first in ``hash_col`` order are train, the next ``test_size(N, n_train)``
     test, the rest dev. ``train_size``/``test_size`` are Column functions of
-    the group size. Adds ``split``."""
+    the group size. Adds ``split``.
+
+    The bucket table has at most groups × 65 536 rows; with a known
+    ``max_groups`` that bound is the size proof for its broadcast, otherwise
+    the table is counted first."""
     bucket = F.conv(F.substring(F.col(hash_col), 1, HASH_BUCKET_HEX), 16, 10).cast("int")
     u = units.withColumn("_bucket", bucket)
     stats = u.groupBy(*group_cols, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -79,7 +88,10 @@ def exact_split(
         .when(s >= c2, "dev")
     )
     stats = stats.select(*group_cols, "_bucket", "_start", "_cut1", "_cut2", label.alias("_label"))
-    stats, _ = bounded_broadcast(stats, max_broadcast_rows)
+    if max_groups is not None and max_groups * 16**HASH_BUCKET_HEX <= max_broadcast_rows:
+        stats = F.broadcast(stats)
+    else:
+        stats, _ = bounded_broadcast(stats, max_broadcast_rows)
     joined = u.join(stats, [*group_cols, "_bucket"], "inner")
     settled = joined.where(F.col("_label").isNotNull()).withColumn("split", F.col("_label"))
     cut = joined.where(F.col("_label").isNull())
@@ -114,7 +126,8 @@ def shared_split(rows: DataFrame, group_cols: list[str], key_cols: list[str], se
     round(0.8·N), n_test = round(0.15/(1−0.8)·(N − n_train)), rest dev."""
     tr, te = _shared_sizes(size_train, size_test)
     r = rows.withColumn("_h", unit_hash(seed, group_cols, key_cols))
-    return exact_split(r, group_cols, "_h", tr, te).drop("_h")
+    groups = MODE_BIN_GROUPS if sorted(group_cols) == ["bin", "mode"] else None
+    return exact_split(r, group_cols, "_h", tr, te, max_groups=groups).drop("_h")
 
 
 def split_by_key(rows: DataFrame, group_cols: list[str], key: str, seed: int = 200,
@@ -126,7 +139,8 @@ def split_by_key(rows: DataFrame, group_cols: list[str], key: str, seed: int = 2
     keys = rows.select(*group_cols, key).distinct()
     keys = keys.withColumn("_h", unit_hash(seed, group_cols, [key]))
     tr, te = _split_sizes(size_train, size_test)
-    labelled = exact_split(keys, group_cols, "_h", tr, te).drop("_h").where(F.col(key).isNotNull())
+    groups = MODE_BIN_GROUPS if sorted(group_cols) == ["bin", "mode"] else None
+    labelled = exact_split(keys, group_cols, "_h", tr, te, max_groups=groups).drop("_h").where(F.col(key).isNotNull())
     labelled, _ = bounded_broadcast(labelled, max_broadcast_rows)
     return rows.where(F.col(key).isNotNull()).join(labelled, [*group_cols, key], "inner")
 
