@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from wordform.functions import rules
 from wordform.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
-from wordform.session import cut_lineage
+from wordform.session import cut_lineage_counted
 
 ANALYSIS_COLS = ["token", "mode", "prefix", "suffix", "affix", "base", "stem", "in_lexica"]
 
@@ -91,13 +91,15 @@ def prepare(
     aff = affixes.select("affix", "kind")
     dictionary = build_dictionary(lexicon, vocab if require_vocab else None)
     if materialize:
-        aff = cut_lineage(aff)
-        dictionary = cut_lineage(dictionary)
-    # one job gives the size check and the longest affix
-    n_aff, max_len = aff.agg(F.count(F.lit(1)), F.max(F.length("affix"))).first()
-    if n_aff <= max_broadcast_rows:
-        aff = F.broadcast(aff)
-    d, _ = bounded_broadcast(dictionary, max_broadcast_rows)
+        # sizes and the longest affix are observed while writing: no extra pass
+        aff, a = cut_lineage_counted(aff, "affixes", max_len=F.max(F.length("affix")))
+        dictionary, dstats = cut_lineage_counted(dictionary, "dictionary")
+        n_aff, max_len, n_dict = a["rows"], a["max_len"], dstats["rows"]
+    else:
+        n_aff, max_len = aff.agg(F.count(F.lit(1)), F.max(F.length("affix"))).first()
+        n_dict = dictionary.limit(max_broadcast_rows + 1).count()
+    aff = F.broadcast(aff) if n_aff <= max_broadcast_rows else aff
+    d = F.broadcast(dictionary) if n_dict <= max_broadcast_rows else dictionary
     voc = d.where("in_vocab").select(F.col("key").alias("v_key"))
     return Resources(aff, int(max_len or 0), d, require_vocab, voc)
 

@@ -20,7 +20,7 @@ from wordform.operators.analyze import ANALYSIS_COLS, analyze, prepare
 from wordform.operators.filters import body_length_ok, community_filter, lang_filter, once
 from wordform.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 from wordform.operators.segment import sentences, tokens
-from wordform.session import cut_lineage
+from wordform.session import cut_lineage, cut_lineage_counted
 
 
 def filter_comments(
@@ -100,10 +100,14 @@ def find_derivatives(
     types = counts if not group_cols else counts.select("token").distinct()
     analyses = analyze(types, resources=res)
     if materialize:
-        analyses = cut_lineage(analyses)
+        analyses, stats = cut_lineage_counted(analyses, "analyses")
+        n_analyses = stats["rows"]
+    else:
+        n_analyses = analyses.limit(max_broadcast_rows + 1).count()
     summary = analyses if not group_cols else counts.join(analyses, "token", "inner")
 
-    small, is_broadcast = bounded_broadcast(analyses.select(*ANALYSIS_COLS), max_broadcast_rows)
+    is_broadcast = n_analyses <= max_broadcast_rows
+    small = F.broadcast(analyses.select(*ANALYSIS_COLS)) if is_broadcast else analyses.select(*ANALYSIS_COLS)
     if is_broadcast:
         # map-side: only derivative occurrences survive the join, no exchange
         toks2 = tokens(sents, keys, carry=["sentence"])
