@@ -51,22 +51,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def cut_lineage_counted(df: DataFrame, name: str = "table", **extra) -> tuple[DataFrame, dict]:
-    """``cut_lineage`` that also returns ``rows`` (and any ``extra``
-    aggregate Columns by name) observed while writing: no extra pass."""
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/wordform-{name}-{uuid.uuid4().hex}"
-    obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
-    metrics = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in extra.items()]
-    df.observe(obs, *metrics).write.mode("errorifexists").parquet(path)
-    _CUT_TABLES.append(path)
-    return spark.read.parquet(path), obs.get
-
-
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as a Parquet table under the shared checkpoint folder and
     return it re-read.
