@@ -4,7 +4,8 @@
 (the month and year come from the file name, so later stages can prune and
 partition by them). Hadoop's zstd codec reads ordinary ``.zst`` dumps
 natively; dumps written with a long window (up to 2 GiB) need
-``long_window=True``, which decodes them with ``zstandard`` inside tasks,
+``long_window=True``, which decodes them with ``zstandard`` inside tasks
+(files opened through pyarrow filesystems: local, HDFS, object stores),
 one task per file, streaming, and redistributes the lines afterwards (a
 ``.zst`` file cannot be split).
 """
@@ -51,14 +52,24 @@ def parse_comments(lines: DataFrame, value_col: str = "value", file_col: str = "
     )
 
 
+def _open_binary(uri: str):
+    """Open a file of any filesystem pyarrow knows (local, HDFS, object
+    stores) as a raw binary stream, without codec detection."""
+    from pyarrow import fs as pafs
+
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    filesystem, path = pafs.FileSystem.from_uri(uri)
+    return filesystem.open_input_stream(path, compression=None)
+
+
 def _decode_zst(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import zstandard
 
     chunk = 50_000
     for pdf in batches:
         for path in pdf["path"]:
-            local = path[5:] if path.startswith("file:") else path
-            with open(local, "rb") as fh:
+            with _open_binary(path) as fh:
                 reader = zstandard.ZstdDecompressor(max_window_size=ZSTD_MAX_WINDOW).stream_reader(fh)
                 text = io.TextIOWrapper(reader, encoding="utf-8")
                 buf: list[str] = []
