@@ -78,3 +78,13 @@ def test_read_selected_months_skips_missing(spark):
     got = read_comments(spark, d, months=[(2019, 4), (2019, 5)]).collect()
     assert {(r.year, r.month) for r in got} == {(2019, 4)} and len(got) == 2
     assert read_comments(spark, d, months=[(2020, 1)]).count() == 0
+
+
+def test_failfast_raises_on_malformed_line(spark):
+    import pytest
+
+    d = tempfile.mkdtemp(prefix="wf-ff-")
+    with open(os.path.join(d, "RC_2019-05"), "w") as fh:
+        fh.write("\n".join(_dump_lines()) + "\n")
+    with pytest.raises(Exception):
+        read_comments(spark, d, failfast=True).collect()

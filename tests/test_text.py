@@ -98,3 +98,29 @@ def test_title_word_matches_python(spark):
 
     values = ["häus", "bauer-hof", "o'neil", "ÄRGER", "mixed CASE words"]
     assert _one(spark, values, title_word) == [v.title() for v in values]
+
+
+def test_model_hooks(spark):
+    """User models plug in as Arrow-batched pandas UDFs."""
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+
+    from wordform.operators.filters import lang_filter
+
+    @pandas_udf("array<string>")
+    def by_semicolon(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: [x for x in t.split(";")])
+
+    @pandas_udf("array<string>")
+    def by_space(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: t.split())
+
+    @pandas_udf("string")
+    def always_de(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: "de" if "Satz" in t else "xx")
+
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j; k l")], "doc_id long, body string")
+    s = sentences(docs, ["doc_id"], "body", keep_all=True, sentence_model=by_semicolon, token_model=by_space)
+    assert [(r.sentence, r.n_tokens) for r in s.orderBy("sent_pos").collect()] == [("a b c d e f g h i j", 10), ("k l", 2)]
+    df = spark.createDataFrame([("Ein Satz hier",), ("nothing",)], "body string")
+    assert [r.body for r in lang_filter(df, "body", "de", scorer=always_de).collect()] == ["Ein Satz hier"]
