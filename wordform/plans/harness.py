@@ -274,6 +274,20 @@ def q_corpora(spark, sf):
     return out.select("condition", *ROW_COLS)
 
 
+CONV_KEY = ("conv_id", "turn")
+
+
+def q_conversation_derivatives(spark, sf):
+    """A second text source: conversation turns pass the length and language
+    filter, then the derivative search keyed by (conv_id, turn); lexicon and
+    vocabulary still come from the German documents."""
+    conv = spark.read.parquet(f"{sf}/conversations.parquet").select(*CONV_KEY, F.col("text").alias("body"))
+    kept = filter_comments(conv, None, lang="de").select(*CONV_KEY, "body")
+    _, aff, lex, voc = _inputs(spark, sf)
+    r = find_derivatives(kept, aff, lex, voc, key_cols=CONV_KEY)
+    return r.summary.select(*SUMMARY_COLS)
+
+
 QUERIES = {
     "community_filter": q_community_filter,
     "sanitize_body": q_sanitize_body,
@@ -308,4 +322,5 @@ QUERIES = {
     "split_by_stem": q_split_by_stem,
     "derivatives_wide": q_derivatives_wide,
     "corpora": q_corpora,
+    "conversation_derivatives": q_conversation_derivatives,
 }

@@ -90,7 +90,7 @@ def cut(x: str, n: int) -> str:
     return f"left({x}, length({x}) - {n})"
 
 
-FIXTURES = f"""
+FIXTURE_LEX = f"""
 fx_de AS (SELECT doc_id, source, text FROM documents WHERE lang = 'de'),
 fx_words AS (
   SELECT w, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '\\p{{L}}+')) AS w FROM fx_de) GROUP BY w),
@@ -111,18 +111,26 @@ fx_lex AS (
     FROM fx_lex_raw
     WHERE frequency IS NOT NULL AND (base IS NULL OR base NOT IN ('unknown', 'UNKNOWN'))
       AND (pos IS NULL OR NOT contains(pos, '$'))) WHERE rn = 1),
-affixes AS ({_affix_values()}),
-sents_all AS (
-  SELECT doc_id, sent_pos::INTEGER AS sent_pos, {strip('raw_sentence')} AS sentence FROM (
-    SELECT doc_id, unnest(arr) AS raw_sentence, unnest(range(len(arr))) AS sent_pos
-    FROM (SELECT doc_id, regexp_extract_all({strip('text')}, {q(SENTENCE_RE)}) AS arr FROM fx_de))),
+affixes AS ({_affix_values()})
+"""
+
+
+def segment_ctes(source: str = "fx_de", keys: tuple[str, ...] = ("doc_id",)) -> str:
+    """Sentences and candidate tokens of ``source`` (columns: keys, text)."""
+    k = ", ".join(keys)
+    return f"""sents_all AS (
+  SELECT {k}, sent_pos::INTEGER AS sent_pos, {strip('raw_sentence')} AS sentence FROM (
+    SELECT {k}, unnest(arr) AS raw_sentence, unnest(range(len(arr))) AS sent_pos
+    FROM (SELECT {k}, regexp_extract_all({strip('text')}, {q(SENTENCE_RE)}) AS arr FROM {source}))),
 sents_tok AS (SELECT *, regexp_extract_all(sentence, {q(TOKEN_RE)}) AS toks FROM sents_all),
-sents AS (SELECT doc_id, sent_pos, sentence, toks FROM sents_tok WHERE len(toks) BETWEEN 10 AND 100),
+sents AS (SELECT {k}, sent_pos, sentence, toks FROM sents_tok WHERE len(toks) BETWEEN 10 AND 100),
 toks_all AS (
-  SELECT doc_id, sent_pos, sentence, CASE WHEN tok_pos = 0 THEN lower(raw_token) ELSE raw_token END AS token, tok_pos::INTEGER AS tok_pos
-  FROM (SELECT doc_id, sent_pos, sentence, unnest(toks) AS raw_token, unnest(range(len(toks))) AS tok_pos FROM sents)),
-toks AS (SELECT * FROM toks_all WHERE length(token) >= 5 AND NOT regexp_matches(token, '\\p{{Nd}}'))
-"""
+  SELECT {k}, sent_pos, sentence, CASE WHEN tok_pos = 0 THEN lower(raw_token) ELSE raw_token END AS token, tok_pos::INTEGER AS tok_pos
+  FROM (SELECT {k}, sent_pos, sentence, unnest(toks) AS raw_token, unnest(range(len(toks))) AS tok_pos FROM sents)),
+toks AS (SELECT * FROM toks_all WHERE length(token) >= 5 AND NOT regexp_matches(token, '\\p{{Nd}}'))"""
+
+
+FIXTURES = FIXTURE_LEX + ",\n" + segment_ctes()
 
 
 def _dictionary(vocab: bool, lexicon: bool) -> str:
@@ -204,12 +212,15 @@ PREFIX_ELIM = f"""coalesce((c.prefix = 'a' AND starts_with(c.stem, 'b'))
   OR (c.prefix IN {inlist(R.PREFIX_DROP_IF_UPPER)} AND {up('c.token')}), false)"""
 
 
-def analysis_ctes(vocab: bool = True, lexicon: bool = True) -> str:
+def analysis_ctes(vocab: bool = True, lexicon: bool = True, pre: str = "", source: str = "fx_de",
+                  keys: tuple[str, ...] = ("doc_id",)) -> str:
     vt = "true" if not vocab else None
     in_lexica = "coalesce(l1.in_lexicon, false)" + ("" if not vocab else " AND coalesce(l1.base_in_vocab, false)")
     stem_ok = vt or "coalesce(l1.in_vocab, false)"
     base_ok = vt or "bv.key IS NOT NULL"
-    return f"""{FIXTURES},
+    fixtures = FIXTURE_LEX + (",\n" + pre if pre else "") + ",\n" + segment_ctes(source, keys)
+    okeys = ", ".join(f"o.{x}" for x in keys)
+    return f"""{fixtures},
 {_dictionary(vocab, lexicon)},
 {_types(vocab)},
 m AS (
@@ -274,7 +285,7 @@ analyses AS (
   FROM surv s JOIN pick p ON p.token = s.token AND p.rk = s.rk),
 summary AS (SELECT a.*, t.count FROM analyses a JOIN types t USING (token)),
 long AS (
-  SELECT o.doc_id, o.sent_pos, o.tok_pos, a.*, {sanitize_text('o.sentence')} AS context
+  SELECT {okeys}, o.sent_pos, o.tok_pos, a.*, {sanitize_text('o.sentence')} AS context
   FROM toks o JOIN analyses a USING (token))"""
 
 
@@ -398,6 +409,15 @@ UNION ALL SELECT 'split_base' AS condition, * FROM ({_key_split('base')})
 UNION ALL SELECT 'split_stem' AS condition, * FROM ({_key_split('stem')})"""
 
 
+def _conversations() -> str:
+    pre = f"""conv_clean AS (SELECT conv_id, turn, text, {sanitize_body('text')} AS clean_body FROM conversations),
+conv_scored AS (SELECT conv_id, turn, text, clean_body,
+    {_stop_counts().replace('lower(text)', 'lower(clean_body)')} FROM conv_clean),
+conv_de AS (SELECT conv_id, turn, text FROM conv_scored
+  WHERE length(clean_body) >= 31 AND clean_body <> '[deleted]' AND {_lang_pred()} = 'de')"""
+    return _with(analysis_ctes(pre=pre, source="conv_de", keys=("conv_id", "turn")), f"SELECT {SUMMARY_COLS} FROM summary")
+
+
 def oracle_queries() -> dict[str, str]:
     A = analysis_ctes()
     ev_cols = "token, prefix, suffix, stem"
@@ -453,4 +473,5 @@ JOIN bins ON n >= lo AND (hi IS NULL OR n <= hi) WHERE length(w) > 4"""),
         "split_by_stem": _key_split("stem"),
         "derivatives_wide": _wide(),
         "corpora": _corpora(),
+        "conversation_derivatives": _conversations(),
     }
