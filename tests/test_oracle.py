@@ -31,14 +31,14 @@ def _digest(cols, rows):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return c
 
 
 FAST = ["community_filter", "sanitize_body", "sanitize_text", "body_length_filter", "lang_filter", "comment_filter",
         "sentences", "tokens", "lexicon_clean", "frequency_bins", "analyses", "derivatives", "derivative_contexts",
-        "derivatives_no_vocab", "productivity", "shared_split", "split_by_stem", "derivatives_wide"]
+        "derivatives_no_vocab", "productivity", "shared_split", "split_by_stem", "derivatives_wide", "conversation_derivatives"]
 
 
 @pytest.mark.parametrize("name", FAST)
