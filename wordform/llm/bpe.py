@@ -23,15 +23,16 @@ import json
 import re
 import unicodedata
 from collections.abc import Callable
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
+from tokenizers.pre_tokenizers import ByteLevel
 
 from wordform.llm.common import map_text, table
 
-MAX_KEPT = 200_000
+MAX_KEPT = 400_000
 #: Longer words are encoded anew each time.
 MAX_KEPT_LENGTH = 256
 
@@ -41,19 +42,32 @@ _SPACE = "\t-\r \x85\xa0  -     　"
 _PLAIN = [range(0x21, 0x7F), range(0xA1, 0xAD), range(0xAE, 0x100)]
 
 
-def _class(kind: str, limit: int) -> str:
-    """Members of a general category (first letter) below ``limit``, as ranges of a regex class."""
-    out = []
-    for inside, run in groupby(range(limit), lambda c: unicodedata.category(chr(c))[0] == kind):
-        if inside:
-            points = list(run)
-            out.append(f"{re.escape(chr(points[0]))}-{re.escape(chr(points[-1]))}")
-    return "".join(out)
-
-
-def word_pattern(limit: int = 0x110000) -> re.Pattern:
-    """The word pattern for texts whose code points are all below ``limit``."""
-    letter, number = _class("L", limit), _class("N", limit)
+def char_classes() -> dict[str, list[int]]:
+    """Code points that the library takes for letters (L) and numbers (N).
+    Python's Unicode tables say so for what they know; characters that are newer
+    (``regex`` knows more) are tried in the library's own word splitter."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    kinds = [unicodedata.category(c) for c in points]
+    newer = regex.findall(r"\P{Cn}", "".join(c for c, k in zip(points, kinds) if k == "Cn"))
+    split = ByteLevel(add_prefix_space=False).pre_tokenize_str
+    out = {}
+    for kind, probe in (("L", "a"), ("N", "1")):
+        spans = {span for _, span in split("\n".join(probe + c for c in newer))}
+        late = [c for i, c in enumerate(newer) if (3 * i, 3 * i + 2) in spans]
+        out[kind] = sorted(ord(c) for c in [*(c for c, k in zip(points, kinds) if k[0] == kind), *late])
+    return out
+
+
+def word_pattern(classes: dict[str, list[int]], limit: int = 0x110000) -> re.Pattern:
+    """The word pattern for texts whose code points are all below ``limit``.
+    Ranges in a class of ``re`` are faster than properties of ``regex``."""
+
+    def ranges(points: list[int]) -> str:
+        p = np.array([c for c in points if c < limit])
+        cut = np.flatnonzero(np.diff(p) != 1) + 1
+        return "".join(f"{re.escape(chr(r[0]))}-{re.escape(chr(r[-1]))}" for r in np.split(p, cut))
+
+    letter, number = ranges(classes["L"]), ranges(classes["N"])
     return re.compile(
         rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{_SPACE}{letter}{number}]+"
         rf"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
@@ -63,7 +77,7 @@ def word_pattern(limit: int = 0x110000) -> re.Pattern:
 class Model:
     """Vocabulary, merges and added tokens of a tokenizer file."""
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, classes: dict[str, list[int]]):
         spec = json.loads(definition)
         model = spec["model"]
         plain = [b for r in _PLAIN for b in r]
@@ -85,10 +99,12 @@ class Model:
         for content, i in self.added.items():
             self.bytes[i] = content.encode()
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.ascii, self.any = word_pattern(0x80), word_pattern()
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.patterns = {limit: word_pattern(classes, limit) for limit in (0x80, 0x10000, 0x110000)}
+        self.fits: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
         self.kept: dict[str, bytes] = {}
+        #: Tokens that BPE makes of their own bytes; no other can be in an encoding.
+        self.usable = {b: i for b, i in self.ids.items() if self.reachable(i)}
 
     def _stays_apart(self, a: int, b: int, before: float) -> bool:
         """Whether no merge over the border of a and b comes before those that
@@ -107,11 +123,9 @@ class Model:
                 return True
 
     def compatible(self, a: int, b: int) -> bool:
-        got = self.fits.get((a, b))
-        if got is None:
-            if len(self.fits) > 4 * MAX_KEPT:
-                self.fits.clear()
-            got = self.fits[a, b] = self._stays_apart(a, b, float("inf"))
+        if len(self.fits) > MAX_KEPT:
+            self.fits.clear()
+        got = self.fits[a << 32 | b] = self._stays_apart(a, b, float("inf"))
         return got
 
     def reachable(self, token: int) -> bool:
@@ -125,7 +139,7 @@ class Model:
 
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
         """ids (little-endian, 32 bits) of distinct words, by the walk over their trie."""
-        ids, longest = self.ids, self.longest
+        usable, fits, longest = self.usable.get, self.fits, self.longest
         out = {}
         last, size = [-1], [0]  # of the prefix of each length: its last token, that token's length
         before = b""
@@ -136,11 +150,16 @@ class Model:
             del last[shared + 1 :], size[shared + 1 :]
             for end in range(shared + 1, len(raw) + 1):
                 for start in range(max(0, end - longest), end):
-                    token = ids.get(raw[start:end])
-                    if token is not None and (self.compatible(last[start], token) if start else True) and self.reachable(token):
-                        last.append(token)
-                        size.append(end - start)
-                        break
+                    token = usable(raw[start:end])
+                    if token is None:
+                        continue
+                    if start:
+                        fit = fits.get(last[start] << 32 | token)
+                        if not (self.compatible(last[start], token) if fit is None else fit):
+                            continue
+                    last.append(token)
+                    size.append(end - start)
+                    break
             found, at = [], len(raw)
             while at:
                 found.append(last[at])
@@ -151,7 +170,8 @@ class Model:
 
     def split(self, text: str) -> list[str]:
         """Words of a text, added tokens as words of their own."""
-        find = (self.ascii if text.isascii() else self.any).findall
+        wide = not text.isascii() and len(text.encode("utf-16-le")) > 2 * len(text)
+        find = self.patterns[0x80 if text.isascii() else 0x110000 if wide else 0x10000].findall
         if self.cut is None or not self.cut.search(text):
             return find(text)
         out = []
@@ -182,11 +202,11 @@ class Model:
 _loaded: dict[str, Model] = {}
 
 
-def _model(definition: str) -> Model:
-    key = hashlib.sha256(definition.encode()).hexdigest()
+def _model(shared: tuple[str, dict[str, list[int]]]) -> Model:
+    key = hashlib.sha256(shared[0].encode()).hexdigest()
     if key not in _loaded:
         _loaded.clear()
-        _loaded[key] = Model(definition)
+        _loaded[key] = Model(*shared)
     return _loaded[key]
 
 
@@ -205,7 +225,7 @@ def round_trip(df: DataFrame, tokenizer: str, keep: list[str], outputs: list[str
     ``tokenizer`` is a file the driver can read; its content is broadcast (its
     size is that of the vocabulary, not of the data)."""
     with open(tokenizer, encoding="utf-8") as f:
-        shared = df.sparkSession.sparkContext.broadcast(f.read())
+        shared = df.sparkSession.sparkContext.broadcast((f.read(), char_classes()))
 
     def make() -> Callable[[pa.Array], dict[str, pa.Array]]:
         model = _model(shared.value)
@@ -230,7 +250,7 @@ def round_trip(df: DataFrame, tokenizer: str, keep: list[str], outputs: list[str
 def decode_ids(df: DataFrame, tokenizer: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``df`` with the text of an ``array<int>`` column; null ids give null."""
     with open(tokenizer, encoding="utf-8") as f:
-        shared = df.sparkSession.sparkContext.broadcast(f.read())
+        shared = df.sparkSession.sparkContext.broadcast((f.read(), char_classes()))
     at = df.columns.index(ids)
 
     def run(batches):

@@ -3,11 +3,13 @@ the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+from wordform.llm.bpe import op6_encode
 from wordform.llm.decontam import OP1_SQL, op1_decontaminate
 from wordform.llm.langid import op10_language
 
 QUERIES = {
     "op1_decontamination": op1_decontaminate,
+    "op6_bpe": op6_encode,
     "op10_language": op10_language,
 }
 
