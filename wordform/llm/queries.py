@@ -6,10 +6,12 @@ from __future__ import annotations
 from wordform.llm.bpe import op6_encode
 from wordform.llm.decontam import OP1_SQL, op1_decontaminate
 from wordform.llm.langid import op10_language
+from wordform.llm.ngram_join import OP3_SQL, op3_near_duplicates
 from wordform.llm.pii import op9_pii
 
 QUERIES = {
     "op1_decontamination": op1_decontaminate,
+    "op3_ngram_join": op3_near_duplicates,
     "op6_bpe": op6_encode,
     "op9_pii": op9_pii,
     "op10_language": op10_language,
@@ -17,4 +19,5 @@ QUERIES = {
 
 ORACLE = {
     "op1_decontamination": OP1_SQL,
+    "op3_ngram_join": OP3_SQL,
 }
