@@ -8,11 +8,15 @@ from wordform.llm.decontam import OP1_SQL, op1_decontaminate
 from wordform.llm.langid import op10_language
 from wordform.llm.ngram_join import OP3_SQL, op3_near_duplicates
 from wordform.llm.pii import op9_pii
+from wordform.llm.quality import op4_quality
+from wordform.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_decontamination": op1_decontaminate,
     "op3_ngram_join": op3_near_duplicates,
+    "op4_quality": op4_quality,
     "op6_bpe": op6_encode,
+    "op8_toxicity": op8_toxicity,
     "op9_pii": op9_pii,
     "op10_language": op10_language,
 }
