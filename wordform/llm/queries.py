@@ -10,9 +10,11 @@ from wordform.llm.ngram_join import OP3_SQL, op3_near_duplicates
 from wordform.llm.pii import op9_pii
 from wordform.llm.quality import op4_quality
 from wordform.llm.toxicity import op8_toxicity
+from wordform.llm.warc import OP2_SQL, op2_archives
 
 QUERIES = {
     "op1_decontamination": op1_decontaminate,
+    "op2_warc": op2_archives,
     "op3_ngram_join": op3_near_duplicates,
     "op4_quality": op4_quality,
     "op6_bpe": op6_encode,
@@ -23,5 +25,6 @@ QUERIES = {
 
 ORACLE = {
     "op1_decontamination": OP1_SQL,
+    "op2_warc": OP2_SQL,
     "op3_ngram_join": OP3_SQL,
 }
