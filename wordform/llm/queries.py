@@ -3,6 +3,7 @@ the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+from wordform.llm.ann import op5_nearest
 from wordform.llm.bpe import op6_encode
 from wordform.llm.decontam import OP1_SQL, op1_decontaminate
 from wordform.llm.langid import op10_language
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_warc": op2_archives,
     "op3_ngram_join": op3_near_duplicates,
     "op4_quality": op4_quality,
+    "op5_nearest": op5_nearest,
     "op6_bpe": op6_encode,
     "op8_toxicity": op8_toxicity,
     "op9_pii": op9_pii,
