@@ -8,10 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wordform.llm.common import table, written
-from wordform.llm.stages import decontaminated
+from wordform.llm.stages import decontaminated, deduplicated, encoded, identified, redacted
 
 STAGES = [
+    ("language ID", identified),
+    ("n-gram Jaccard join", deduplicated),
     ("benchmark decontamination", decontaminated),
+    ("PII", redacted),
+    ("BPE encoding and decoding", encoded),
 ]
 
 #: Trained models and iterated joins take part, which SQL can't express.

@@ -214,8 +214,9 @@ def _likely(percent: int) -> Column:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: doc_id, digest (MD5 of the text), n_shingles,
-    class_id (smallest id with an equal set) and component_id (smallest id
-    reachable over links of at least ``percent`` similarity)."""
+    class_id (smallest id with an equal set), component_id (smallest id
+    reachable over links of at least ``percent`` similarity) and component (a
+    number per component, also of those without an id; null for empty sets)."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     texts = docs.select(F.unhex(F.md5("text")).alias("digest"), "text")
     rank, frequent = order_of(bucket_counts(docs, k))
@@ -291,16 +292,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     named = written(named, "named")
     smallest = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = written(named.join(smallest, "component").select("fp", F.col("least_id").alias("class_id"), "component_id"), "labels")
+    labels = named.join(smallest, "component").select("fp", "component", F.col("least_id").alias("class_id"), "component_id")
     return (
         rows.select("doc_id", "digest", "fp", "n")
-        .join(named, "fp", "left")
+        .join(written(labels, "labels"), "fp", "left")
         .select(
             "doc_id",
             "digest",
             F.col("n").alias("n_shingles"),
             F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
             F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+            F.col("component").alias("component"),
         )
     )
 
