@@ -26,6 +26,9 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wordform-test-ckpt-"))
+    from wordform.session import share_code
+
+    share_code(s)
     yield s
     s.stop()
 

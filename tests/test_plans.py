@@ -29,11 +29,38 @@ def test_long_table_moves_no_text(spark):
     plan = _plan(r.long)
     assert _shuffles(plan) == 0, plan
     assert "BroadcastHashJoin" in plan
-    assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,de)]" in r.long._jdf.queryExecution().explainString(
+    assert "ReadSchema: struct<doc_id:bigint,body:string>" in r.long._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
 
 
+def test_derivatives_take_few_jobs(spark):
+    H.stand_ins(spark, SF_SMALL)
+    spark.sparkContext.setJobGroup("derivatives", "derivatives")
+    H.q_derivatives(spark, SF_SMALL).collect()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("derivatives")
+    spark.sparkContext.setJobGroup("", "")
+    assert len(jobs) <= 10, len(jobs)
+
+
+def test_long_window_lines_are_filtered_before_they_move(spark):
+    import tempfile
+
+    import zstandard
+
+    from wordform.plans.stages import filter_comments
+    from wordform.sources.comments import read_comments
+    from wordform.sources.lists import communities_from_lines
+
+    d = tempfile.mkdtemp(prefix="wf-zst-")
+    with open(f"{d}/RC_2020-11.zst", "wb") as fh:
+        fh.write(zstandard.ZstdCompressor().compress(b'{"id": "1", "subreddit": "de", "body": "x"}\n'))
+    kept = filter_comments(read_comments(spark, d, long_window=True), communities_from_lines(spark.createDataFrame([("de",)], "value string")), spread=3)
+    plan = _plan(kept)
+    assert plan.index("Exchange RoundRobin") < plan.index("LeftSemi") < plan.index("MapInPandas")
+    assert "Exchange RoundRobin" not in plan[plan.index("LeftSemi") : plan.index("MapInPandas")]
+
+
 def test_scan_reads_only_needed_columns(spark):
     df = H.q_community_filter(spark, SF_SMALL)
     s = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))

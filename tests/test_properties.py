@@ -39,8 +39,9 @@ def test_analysis_invariants_for_random_vocabularies(spark, affixes, keep, seed)
     """Any vocabulary: stems re-assemble the token, and no token whose lower
     case is in the vocabulary is ever a derivative."""
     docs = fx.german_comments(spark, SF_SMALL)
-    vocab = fx.fixture_vocab(spark, SF_SMALL).where(F.abs(F.xxhash64("token", F.lit(seed))) % 5 < keep)
-    lex = fx.fixture_lexicon(spark, SF_SMALL)
+    words = fx.word_counts(docs)
+    vocab = fx.fixture_vocab(words).where(F.abs(F.xxhash64("token", F.lit(seed))) % 5 < keep)
+    lex = fx.fixture_lexicon(words)
     res = find_derivatives(docs, affixes, lex, vocab, materialize=False)
     rows = res.summary.collect()
     _check_reassembly(rows)
@@ -55,10 +56,12 @@ def test_month_merge_equals_single_run(spark):
 
 
 def test_independent_of_partitioning_and_order(spark, affixes):
-    docs, aff, lex, voc = H._inputs(spark, SF_SMALL)
-    a = find_derivatives(docs, aff, lex, voc).summary
+    docs = fx.german_comments(spark, SF_SMALL)
+    words = fx.word_counts(docs)
+    lex, voc = fx.fixture_lexicon(words), fx.fixture_vocab(words)
+    a = find_derivatives(docs, affixes, lex, voc).summary
     shuffled = docs.repartition(7, F.xxhash64("doc_id")).sortWithinPartitions(F.desc("doc_id"))
-    b = find_derivatives(shuffled, aff, lex, voc).summary
+    b = find_derivatives(shuffled, affixes, lex, voc).summary
     assert _rows(a) == _rows(b)
 
 
@@ -83,7 +86,6 @@ def test_splits_disjoint_and_complete(spark):
 
 
 def test_dictionary_has_one_row_per_key(spark):
-    lex = fx.fixture_lexicon(spark, SF_SMALL)
-    voc = fx.fixture_vocab(spark, SF_SMALL)
-    d = an.build_dictionary(lex, voc)
+    words = fx.word_counts(fx.german_comments(spark, SF_SMALL))
+    d = an.build_dictionary(fx.fixture_lexicon(words), fx.fixture_vocab(words))
     assert d.count() == d.select("key").distinct().count()

@@ -31,6 +31,15 @@ def test_read_plain_ndjson(spark):
     assert '"score": 3' in ok[0].raw
 
 
+def test_stray_files_are_left_alone(spark):
+    d = tempfile.mkdtemp(prefix="wf-stray-")
+    for name, text in (("RC_2019-03", "\n".join(_dump_lines()[:2])), ("checksums.txt", "0 RC_2019-03"), ("RC_later", _dump_lines()[0])):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(text + "\n")
+    got = sorted((r.id, r.year or 0, r.month or 0) for r in read_comments(spark, d).collect())
+    assert got == [("a1", 0, 0), ("a1", 2019, 3), ("a2", 2019, 3)]
+
+
 def test_read_long_window_zstd(spark):
     d = tempfile.mkdtemp(prefix="wf-zst-")
     data = ("\n".join(_dump_lines()) + "\n").encode()

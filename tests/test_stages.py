@@ -26,12 +26,13 @@ def _write_dumps(spark, root):
 
 
 def _write_fixture_inputs(spark, root):
-    lex = fx.fixture_lexicon(spark, SF_SMALL).orderBy("word").collect()
+    words = fx.word_counts(fx.german_comments(spark, SF_SMALL))
+    lex = fx.fixture_lexicon(words).orderBy("word").collect()
     with open(os.path.join(root, "lexicon.tsv"), "w", encoding="utf-8") as fh:
         for r in lex:
             fh.write(f"{r.word}\t{r.base}\t{r.pos}\t{r.frequency}\n")
     with open(os.path.join(root, "vocab.txt"), "w", encoding="utf-8") as fh:
-        for r in fx.fixture_vocab(spark, SF_SMALL).collect():
+        for r in fx.fixture_vocab(words).collect():
             fh.write(r.token + "\n")
     with open(os.path.join(root, "communities.txt"), "w", encoding="utf-8") as fh:
         fh.write("\n".join(f"src{i}" for i in range(20)) + "\n")
@@ -82,13 +83,68 @@ def test_streaming_filter(spark):
     assert got.count() > 0
 
 
-def test_contexts_without_broadcast_equal_broadcast_path(spark):
+def test_contexts_are_the_same_at_every_bound(spark):
+    """Also with repeated and null ids: one context per occurrence."""
     from wordform.plans import harness as H
 
-    a = H._derivatives(spark, SF_SMALL).long
-    b = H._derivatives(spark, SF_SMALL, max_broadcast_rows=0).long
-    assert a.count() > 0
-    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    german = H.stand_ins(spark, SF_SMALL).german
+    odd = german.withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.col("doc_id") % 4))
+    for docs in (german, odd.unionByName(odd.limit(5))):
+        runs = [H._derivatives(spark, SF_SMALL, docs=docs, max_broadcast_rows=n) for n in (2_000_000, 20, 0)]
+        rows = [sorted(map(repr, r.long.collect())) for r in runs]
+        assert len(rows[0]) == runs[0].summary.agg(F.sum("count")).first()[0] > 0
+        assert rows[0] == rows[1] == rows[2]
+
+
+def test_shuffled_contexts_move_possible_tokens_only(spark):
+    from wordform.plans import harness as H
+
+    plan = H._derivatives(spark, SF_SMALL, max_broadcast_rows=20).long._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning" in line:
+            below = plan[plan.index(line) :][:4000]
+            assert "sentence" not in below.split("Scan", 1)[0] or "exists(" in below
+
+
+def test_merged_contexts_count_whole_analyses(spark):
+    from wordform.operators.corpus import wide_contexts
+
+    schema = "month int, doc_id long, sent_pos int, tok_pos int, token string, affix string, base string, in_lexica boolean, stem string, mode string, context string"
+    rows = [(m, 1, 0, m, "unklar", "un", None, False, "klar", "prefix", f"c{m}") for m in (1, 2, 3)] + [(1, 1, 0, 9, "frei", "x", "b", True, None, "suffix", "d")]
+    keys = ["month", "doc_id", "sent_pos", "tok_pos"]
+    long = spark.createDataFrame(rows, schema)
+    got = {r.token: (r["count"], r.part_count, r.n_parts, r.context) for r in wide_contexts(long, keys).collect()}
+    assert got == {"unklar": (3, 3, 1, ["c1", "c2", "c3"]), "frei": (1, 1, 1, ["d"])}
+    parts = [r for r in wide_contexts(long, keys, max_per_row=1).collect() if r.token == "unklar"]
+    assert all((r["count"], r.n_parts) == (3, 3) for r in parts) and sum(r.part_count for r in parts) == 3
+
+
+def test_whole_tables_are_replaced(spark):
+    from wordform import sinks
+
+    out = tempfile.mkdtemp(prefix="wf-whole-")
+    corpus = spark.createDataFrame([("shared", "prefix", 1, "train", "a"), ("shared", "prefix", 1, "test", "b")], "condition string, mode string, bin int, split string, token string")
+    prod = spark.createDataFrame([("prefix", "un", 1, 2, 0), ("suffix", "ung", 2, 3, 1)], "mode string, affix string, v long, n long, abshapax long")
+    for c, p in ((corpus, prod), (corpus.limit(1), prod.limit(1)), (corpus.where("split = 'test'"), prod.where("mode = 'suffix'"))):
+        sinks.write_corpora(c, f"{out}/c")
+        sinks.write_productivity(p, f"{out}/p")
+    assert [(r.split, r.token) for r in spark.read.parquet(f"{out}/c").collect()] == [("test", "b")]
+    assert [r.affix for r in spark.read.option("header", True).csv(f"{out}/p").collect()] == ["ung"]
+
+
+def test_scope_deletes_its_own_tables_only(spark):
+    import pytest
+
+    from wordform.session import cut_lineage, cut_scope
+
+    df = spark.range(3)
+    kept = cut_lineage(df)
+    with pytest.raises(ZeroDivisionError), cut_scope(spark):
+        gone = cut_lineage(df)
+        1 / 0
+    assert kept.count() == 3
+    with pytest.raises(Exception):
+        gone.count()
 
 
 def test_sink_overwrites_only_written_months(spark):

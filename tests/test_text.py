@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from wordform.functions.predicates import has_digit, starts_lower, starts_upper
 from wordform.functions.text import sanitize_body, sanitize_text, strip_ws
-from wordform.operators.filters import stopword_language
+from wordform.operators.filters import detect_language
 from wordform.operators.segment import sentences, tokens
 
 
@@ -59,7 +59,8 @@ def test_unicode_digits_and_case(spark):
 def test_stopword_language(spark):
     rows = ["Der Hund und die Katze", "The cat and the dog", "Le chat et la souris", "El perro y la casa",
             "xyz qqq", "Das the"]
-    got = _one(spark, rows, stopword_language)
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, v string")
+    got = [r.lang_pred for r in detect_language(df, "v").orderBy("i").collect()]
     assert got == ["de", "en", "fr", "es", None, "de"]
 
 

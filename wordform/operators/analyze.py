@@ -17,13 +17,16 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordform.functions import rules
 from wordform.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 from wordform.session import cut_lineage
 
+#: Affixes that ``matching`` takes as literals at most.
+MAX_LITERAL_AFFIXES = 1000
+
 ANALYSIS_COLS = ["token", "mode", "prefix", "suffix", "affix", "base", "stem", "in_lexica"]
 
 
@@ -102,6 +105,31 @@ def prepare(
     return Resources(aff, int(max_len or 0), d, require_vocab, voc)
 
 
+def gated(toks: DataFrame, res: Resources) -> DataFrame:
+    """Rows whose token is not a vocabulary word (all without a vocabulary)."""
+    if not res.require_vocab:
+        return toks
+    voc = res.vocab_keys
+    return toks.join(voc, F.lower(toks["token"]) == voc["v_key"], "left_anti")
+
+
+def matching(toks: DataFrame, res: Resources) -> DataFrame:
+    """Rows whose lower-cased token starts or ends with an affix: a row-local
+    test by the list as literals; a list of more than ``MAX_LITERAL_AFFIXES``
+    leaves it to the join."""
+    listed = res.affixes.limit(MAX_LITERAL_AFFIXES + 1).collect()
+    if len(listed) > MAX_LITERAL_AFFIXES:
+        return toks
+    low = F.lower(F.col("token"))
+
+    def literals(kind: str) -> Column:
+        return F.array(*[F.lit(r["affix"]) for r in listed if r["kind"] == kind]).cast("array<string>")
+
+    starts = F.exists(literals("prefix"), lambda a: F.startswith(low, a))
+    ends = F.exists(literals("suffix"), lambda a: F.endswith(low, a))
+    return toks.where(starts | ends)
+
+
 def match_affixes(types: DataFrame, affixes: DataFrame, max_len: int | None = None,
                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, checked: bool = False,
                   carry: list[str] | None = None) -> DataFrame:
@@ -297,6 +325,7 @@ def analyze(
     require_vocab: bool = True,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     resources: Resources | None = None,
+    gate: bool = True,
 ) -> DataFrame:
     """Analyse distinct tokens. ``types`` needs a ``token`` column and may
     carry more columns that depend on the token only (e.g. a count); they
@@ -304,15 +333,13 @@ def analyze(
 
     Pass either the raw inputs (affixes, lexicon, vocab) or ``resources``
     from ``prepare``. With ``require_vocab=False`` every vocabulary test
-    passes (the documented "derivatives only" mode).
+    passes (the documented "derivatives only" mode). ``gate=False``: the
+    types hold no vocabulary words any more.
     """
     if resources is None:
         resources = prepare(affixes, lexicon, vocab, require_vocab, materialize=False,
                             max_broadcast_rows=max_broadcast_rows)
-    t = types
-    if resources.require_vocab:
-        voc = resources.vocab_keys
-        t = t.join(voc, F.lower(t["token"]) == voc["v_key"], "left_anti")
+    t = gated(types, resources) if gate else types
     extra = [c for c in types.columns if c != "token"]
     matched = match_affixes(t, resources.affixes, resources.max_affix_len, checked=True, carry=extra)
     ev = evaluate_candidates(candidates(matched, extra), resources.dictionary, resources.require_vocab, extra)

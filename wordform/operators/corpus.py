@@ -3,8 +3,8 @@ month merge, duplicate analyses, review sample, wide export.
 
 The long table (one row per occurrence) is the canonical form: context lists
 per token are skewed (a frequent derivative has millions of contexts), so
-they are never collected into one row except by ``wide_contexts``, which caps
-every output row at ``max_per_row`` contexts.
+they are never collected into one row except by ``wide_contexts``, which deals
+the contexts of a frequent one over several rows.
 """
 
 from __future__ import annotations
@@ -14,6 +14,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordform.session import cut_lineage
+
+NULL_KEY = "\u2400"
 ANALYSIS_KEYS = ["token", "affix", "base", "in_lexica", "stem", "mode"]
 
 
@@ -44,7 +47,7 @@ def duplicate_analyses(merged: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     n = F.count(F.lit(1)).over(Window.partitionBy("token"))
-    return merged.withColumn("n_analyses", n).where(F.col("n_analyses") > 1).drop("n_analyses")
+    return merged.withColumn("n_analyses", n).where(F.col("n_analyses") > 1).drop("n_analyses").orderBy("token")
 
 
 def review_sample(merged: DataFrame, n: int = 100, seed: int = 0) -> DataFrame:
@@ -53,35 +56,47 @@ def review_sample(merged: DataFrame, n: int = 100, seed: int = 0) -> DataFrame:
         F.concat_ws(
             "|",
             F.lit(str(seed)),
-            *[F.coalesce(F.col(k).cast("string"), F.lit("\u2400")) for k in ANALYSIS_KEYS],
+            *[F.coalesce(F.col(k).cast("string"), F.lit(NULL_KEY)) for k in ANALYSIS_KEYS],
         )
     )
     return merged.withColumn("_h", h).orderBy("_h").limit(n).drop("_h")
 
 
-def wide_contexts(long: DataFrame, counts: DataFrame, key_cols: list[str], max_per_row: int = 10_000) -> DataFrame:
-    """The reference's list-of-contexts layout, split into rows of at most
-    about ``max_per_row`` contexts: (analysis keys, part, count, context).
+def wide_contexts(long: DataFrame, key_cols: list[str], max_per_row: int = 10_000) -> DataFrame:
+    """The reference's list-of-contexts layout: one row per analysis with its
+    whole ``count`` and its contexts; an analysis with more than
+    ``max_per_row`` contexts has them dealt over ``n_parts`` rows (``part`` from
+    0, ``part_count`` contexts in this one).
 
-    ``counts`` is the per-token table (token, count). ``part`` is an md5 of
-    the occurrence key modulo the number of parts the token's count needs, so
-    no task ever collects a whole hot token. Contexts inside a row follow the
-    occurrence key order.
+    Months need no merging first: the contexts of all months of ``long`` that
+    have one analysis (nulls are keys) come together, and counts are taken from
+    ``long`` itself. ``part`` is an md5 of the occurrence key modulo
+    ``n_parts``, so parts hold about ``max_per_row`` contexts each (at most about
+    a few per cent more) and no task collects a whole hot token. Contexts inside
+    a row follow the occurrence key order.
     """
     from wordform.operators.joins import bounded_broadcast
 
     keys = [k for k in ANALYSIS_KEYS if k in long.columns]
-    parts = counts.select(
-        "token", F.greatest(F.ceil(F.col("count") / F.lit(max_per_row)), F.lit(1)).cast("long").alias("_parts")
+    # at most len(long) / max_per_row analyses have more than one part
+    heavy = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_per_row)
+    heavy = cut_lineage(
+        heavy.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_n", F.ceil(F.col("_n") / F.lit(max_per_row)).cast("int").alias("_parts")),
+        "heavy-analyses",
     )
-    parts, _ = bounded_broadcast(parts)
-    occ = long.join(parts, "token", "left")
+    heavy, _ = bounded_broadcast(heavy)
+    occ = long.join(heavy, [long[k].eqNullSafe(heavy[f"_h_{k}"]) for k in keys], "left")
     # part: first 32 bits of md5 over the occurrence key (reproducible in SQL)
-    h = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key_cols])), 1, 8), 16, 10)
-    occ = occ.withColumn("part", F.pmod(h.cast("long"), F.coalesce(F.col("_parts"), F.lit(1))).cast("int"))
+    named = [F.coalesce(F.col(k).cast("string"), F.lit(NULL_KEY)) for k in key_cols]
+    h = F.conv(F.substring(F.md5(F.concat_ws("|", *named)), 1, 8), 16, 10)
+    occ = occ.withColumn("n_parts", F.coalesce("_parts", F.lit(1)))
+    occ = occ.withColumn("part", F.pmod(h.cast("long"), F.col("n_parts")).cast("int"))
     order = F.struct(*key_cols, F.col("context"))
-    g = occ.groupBy(*keys, "part").agg(
-        F.count(F.lit(1)).alias("count"),
+    g = occ.groupBy(*keys, "part", "n_parts", "_n").agg(
+        F.count(F.lit(1)).alias("part_count"),
         F.array_sort(F.collect_list(order)).alias("_c"),
     )
-    return g.select(*keys, "part", "count", F.transform("_c", lambda x: x["context"]).alias("context"))
+    return g.select(
+        *keys, "part", "n_parts", F.coalesce("_n", "part_count").alias("count"), "part_count",
+        F.transform("_c", lambda x: x["context"]).alias("context"),
+    )

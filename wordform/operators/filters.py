@@ -14,7 +14,7 @@ STOP_WORDS = {
     "fr": "le la les de des et un une est que qui dans pour en il elle du au ne pas".split(),
     "es": "el la los las de que y en un una por con para es no se del al lo como".split(),
 }
-WORD_RE = r"\p{L}+"
+NON_WORD_RE = r"\P{L}+"
 
 
 def community_filter(df: DataFrame, communities: DataFrame, col: str = "subreddit",
@@ -31,11 +31,6 @@ def body_length_ok(clean_body: Column, min_chars: int = 31) -> Column:
     return (F.length(clean_body) >= min_chars) & (clean_body != "[deleted]")
 
 
-def _stopword_pattern(words) -> str:
-    alternation = "|".join(sorted(set(words), key=lambda w: (-len(w), w)))
-    return r"(?<!\p{L})(?:" + alternation + r")(?!\p{L})"
-
-
 def _argmax_language(counts: dict[str, Column]) -> Column:
     """Language with the highest count, earlier language on ties, null if
     every count is 0; each count is referenced once."""
@@ -48,32 +43,23 @@ def _argmax_language(counts: dict[str, Column]) -> Column:
     return F.array_max(F.array(*entries)).getField("lang")
 
 
-def stopword_language(text: Column, stop_words: dict[str, list[str]] | None = None) -> Column:
-    """Default language scorer as a Column: the language whose stop words
-    occur most often among the lower-cased words (maximal letter runs); ties
-    go to the earlier language; null if no stop word occurs. One regex count
-    per language. ``detect_language`` gives the same labels faster."""
-    stop_words = stop_words or STOP_WORDS
-    low = F.lower(text)
-    return _argmax_language(
-        {lang: F.regexp_count(low, F.lit(_stopword_pattern(sw))) for lang, sw in stop_words.items()}
-    )
-
-
 def detect_language(df: DataFrame, text: str, out: str = "lang_pred",
                     stop_words: dict[str, list[str]] | None = None) -> DataFrame:
-    """Add ``out`` = ``stopword_language(text)``, computed with one regex
-    pass that extracts every stop-word occurrence (through a one-row
-    generator, so it is evaluated once) and per-language counts over that
-    short array."""
+    """Add ``out``: the language whose stop words occur most often among the
+    lower-cased words (maximal letter runs); ties go to the earlier language;
+    null if no stop word occurs.
+
+    The text is split at non-letters once and reduced to its stop words
+    (through a one-row generator, so it is evaluated once); per-language counts
+    run over that short array."""
     stop_words = stop_words or STOP_WORDS
-    every = [w for ws in stop_words.values() for w in ws]
+    every = sorted({w for ws in stop_words.values() for w in ws})
     found = "_stop_words_found"
-    df = once(df, F.regexp_extract_all(F.lower(F.col(text)), F.lit(_stopword_pattern(every)), 0).alias(found))
+    words = F.split(F.lower(F.col(text)), NON_WORD_RE)
+    df = once(df, F.filter(words, lambda w: w.isin(every)).alias(found))
 
     def hits(sw: list[str]) -> Column:
-        listed = F.array(*[F.lit(x) for x in sw])
-        return F.size(F.filter(F.col(found), lambda w: F.array_contains(listed, w)))
+        return F.size(F.filter(F.col(found), lambda w: w.isin(sorted(set(sw)))))
 
     label = _argmax_language({lang: hits(sw) for lang, sw in stop_words.items()})
     return df.withColumn(out, label).drop(found)

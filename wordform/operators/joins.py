@@ -4,19 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side is broadcast only if it has at most this many rows; beyond it the
+# A side is broadcast only up to this many rows and bytes; beyond either the
 # planner's shuffle join (with AQE skew handling) is used instead.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 256 << 20
+#: Bytes of a row besides its strings, per column.
+COLUMN_BYTES = 16
+
+
+def table_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a table, added up by Spark in one aggregate."""
+    strings = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    size = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in strings), F.lit(COLUMN_BYTES * len(df.columns)))
+    n, total = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    return n, total or 0
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Hint ``df`` for broadcast if a row count proves it small.
+    """Hint ``df`` for broadcast if its rows and bytes prove it small.
 
-    The count runs as a Spark job (the side is small or already materialised
-    when this is called); nothing but the number reaches the driver.
+    The sizes are added up by a Spark job, so ``df`` should be a written
+    table; nothing but two numbers reaches the driver.
     """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    n, size = table_size(df)
+    if n <= max_rows and size <= MAX_BROADCAST_BYTES:
         return F.broadcast(df), True
     return df, False

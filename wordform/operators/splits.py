@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordform.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from wordform.session import cut_lineage
 
 # Frequency bins (inclusive bounds, None = open); 64 lies in
 # bins 6 and 7.
@@ -91,7 +92,7 @@ def exact_split(
     if max_groups is not None and max_groups * 16**HASH_BUCKET_HEX <= max_broadcast_rows:
         stats = F.broadcast(stats)
     else:
-        stats, _ = bounded_broadcast(stats, max_broadcast_rows)
+        stats, _ = bounded_broadcast(cut_lineage(stats, "split-buckets"), max_broadcast_rows)
     joined = u.join(stats, [*group_cols, "_bucket"], "inner")
     settled = joined.where(F.col("_label").isNotNull()).withColumn("split", F.col("_label"))
     cut = joined.where(F.col("_label").isNull())
@@ -140,8 +141,10 @@ def split_by_key(rows: DataFrame, group_cols: list[str], key: str, seed: int = 2
     keys = keys.withColumn("_h", unit_hash(seed, group_cols, [key]))
     tr, te = _split_sizes(size_train, size_test)
     groups = MODE_BIN_GROUPS if sorted(group_cols) == ["bin", "mode"] else None
+    # written once: it is measured, then joined
+    keys = cut_lineage(keys, "split-keys")
     labelled = exact_split(keys, group_cols, "_h", tr, te, max_groups=groups).drop("_h").where(F.col(key).isNotNull())
-    labelled, _ = bounded_broadcast(labelled, max_broadcast_rows)
+    labelled, _ = bounded_broadcast(cut_lineage(labelled, "split-labels"), max_broadcast_rows)
     return rows.where(F.col(key).isNotNull()).join(labelled, [*group_cols, key], "inner")
 
 
@@ -155,21 +158,8 @@ def sentence_rows(long: DataFrame, summary: DataFrame, bins: str = "overlap",
         summary.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col("count").alias("_s_count")),
         count_col="_s_count", bins=bins,
     )
-    binned, _ = bounded_broadcast(binned, max_broadcast_rows)
+    binned, _ = bounded_broadcast(cut_lineage(binned, "binned"), max_broadcast_rows)
     cond = [long[k].eqNullSafe(binned[f"_s_{k}"]) for k in keys]
     return long.join(binned, cond, "inner").select(
         long["*"], binned["_s_count"].alias("count"), binned["bin"]
     )
-
-
-def make_corpora(long: DataFrame, summary: DataFrame, key_cols: list[str], seed: int = 200,
-                 size_train: float = SIZE_TRAIN, size_test: float = SIZE_TEST, bins: str = "overlap") -> DataFrame:
-    """All corpora in one DataFrame: condition ∈ {shared, split_base,
-    split_stem}, mode, bin, split + the sentence-level row."""
-    rows = sentence_rows(long, summary, bins=bins)
-    g = ["mode", "bin"]
-    unit = ["token", *key_cols, "sent_pos", "tok_pos"]
-    shared = shared_split(rows, g, unit, seed, size_train, size_test).withColumn("condition", F.lit("shared"))
-    by_base = split_by_key(rows, g, "base", seed, size_train, size_test).withColumn("condition", F.lit("split_base"))
-    by_stem = split_by_key(rows, g, "stem", seed, size_train, size_test).withColumn("condition", F.lit("split_stem"))
-    return shared.unionByName(by_base).unionByName(by_stem)

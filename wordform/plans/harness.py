@@ -1,32 +1,41 @@
 """Harness queries: one callable (spark, sf_dir) → DataFrame per operator.
 
 Inputs are the supplied tables, or data Spark derives from them
-(``wordform.sources.fixtures``): German ``documents`` act as comments and
-yield the stand-in lexicon and vocabulary; ``pages`` feed the clean-up
-functions. Every query runs over whole tables.
+(``wordform.sources.fixtures``): ``documents`` act as comments, those that the
+language filter takes for German yield the stand-in lexicon and vocabulary;
+``pages`` feed the clean-up functions. Every query runs over whole tables. The
+stand-ins are written once per session and folder (``stand_ins``).
 """
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordform import PREFIX_FILE, SUFFIX_FILE
-from wordform.functions.text import sanitize_body, sanitize_text
+from wordform import sinks
+from wordform.functions.text import parse_context_list, sanitize_body, sanitize_text
 from wordform.operators import analyze as an
 from wordform.operators.corpus import duplicate_analyses, merge_increment, merge_months, review_sample, wide_contexts
-from wordform.operators.filters import body_length_ok, community_filter, detect_language
+from wordform.operators.filters import body_length_ok, community_filter, detect_language, lang_filter
 from wordform.operators.metrics import productivity
 from wordform.operators.segment import sentences, tokens
 from wordform.operators.splits import frequency_bins, sentence_rows, shared_split, split_by_key
-from wordform.plans.stages import filter_comments, find_derivatives, make_corpora
+from wordform.plans.stages import filter_comments, find_derivatives, make_corpora, run_corpus
+from wordform.session import cut_lineage, ensure_checkpoint_dir
 from wordform.sources import fixtures as fx
-from wordform.session import cut_lineage
-from wordform.sources.lists import read_affixes
+from wordform.sources.comments import read_comments, read_filtered_comments
+from wordform.sources.lexicon import read_lexicon
+from wordform.sources.lists import read_affixes, read_communities, read_vocab
 
 KEY = ["doc_id"]
 CONTEXT_SEP = "\u241e"
+SENTENCE = r"[^.!?\n]+[.!?]*"
 N_PSEUDO_MONTHS = 12
+FEW_ROWS = 50
 SEED = 200
 SAMPLE_SEED = 7
 
@@ -35,16 +44,45 @@ def _affixes(spark: SparkSession) -> DataFrame:
     return read_affixes(spark, PREFIX_FILE, SUFFIX_FILE)
 
 
-def _inputs(spark: SparkSession, sf: str, lexicon: bool = True):
-    # both stand-ins derive from one word count of the German documents
-    wc = cut_lineage(fx.word_counts(spark, sf), "word-counts")
-    lex = fx.fixture_lexicon(spark, sf, wc) if lexicon else None
-    return fx.german_comments(spark, sf), _affixes(spark), lex, fx.fixture_vocab(spark, sf, wc)
+@dataclass
+class StandIns:
+    """Written inputs of the derivative family, and what the analysis makes of
+    them per (vocabulary on, lexicon on)."""
+
+    german: DataFrame
+    words: DataFrame
+    prepared: dict[tuple[bool, bool], an.Resources]
+
+
+_STAND_INS: dict[tuple[str, str], StandIns] = {}
+
+
+def stand_ins(spark: SparkSession, sf: str) -> StandIns:
+    """The German comments and their word counts, written once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STAND_INS:
+        german = cut_lineage(fx.german_comments(spark, sf), "german")
+        _STAND_INS[key] = StandIns(german, cut_lineage(fx.word_counts(german), "word-counts"), {})
+    return _STAND_INS[key]
+
 
+def _inputs(spark: SparkSession, sf: str, require_vocab: bool = True, lexicon: bool = True):
+    """German comments and the prepared analysis inputs."""
+    s = stand_ins(spark, sf)
+    if (require_vocab, lexicon) not in s.prepared:
+        lex = fx.fixture_lexicon(s.words) if lexicon else None
+        s.prepared[require_vocab, lexicon] = an.prepare(_affixes(spark), lex, fx.fixture_vocab(s.words), require_vocab)
+    return s.german, s.prepared[require_vocab, lexicon]
 
-def _derivatives(spark: SparkSession, sf: str, require_vocab: bool = True, lexicon: bool = True, **kw):
-    docs, aff, lex, voc = _inputs(spark, sf, lexicon)
-    return find_derivatives(docs, aff, lex, voc, require_vocab=require_vocab, key_cols=tuple(KEY), **kw)
+
+def _derivatives(spark: SparkSession, sf: str, require_vocab: bool = True, lexicon: bool = True, docs: DataFrame | None = None, key_cols=tuple(KEY), **kw):
+    german, res = _inputs(spark, sf, require_vocab, lexicon)
+    docs = german if docs is None else docs
+    return find_derivatives(docs, None, None, None, require_vocab=require_vocab, key_cols=key_cols, resources=res, **kw)
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/wordform-{name}-{uuid.uuid4().hex}"
 
 
 # ---------------------------------------------------------------- filters ---
@@ -70,6 +108,10 @@ def q_body_length_filter(spark, sf):
 
 
 def q_lang_filter(spark, sf):
+    return lang_filter(fx.documents(spark, sf).select("doc_id", "lang", "text"), "text", "de").select("doc_id", "lang")
+
+
+def q_language_labels(spark, sf):
     d = fx.documents(spark, sf).select("doc_id", "lang", "text")
     return detect_language(d, "text", "lang_pred").drop("text")
 
@@ -83,31 +125,27 @@ def q_comment_filter(spark, sf):
 # ----------------------------------------------------------- segmentation ---
 
 def q_sentences(spark, sf):
-    s = sentences(fx.german_comments(spark, sf), KEY, "body", keep_all=True)
+    s = sentences(fx.comments(spark, sf), KEY, "body", keep_all=True)
     kept = F.col("n_tokens").between(10, 100)
     return s.select("doc_id", "sent_pos", "sentence", "n_tokens", kept.alias("kept"))
 
 
 def q_tokens(spark, sf):
-    s = sentences(fx.german_comments(spark, sf), KEY, "body")
-    return tokens(s, KEY)
+    return tokens(sentences(fx.comments(spark, sf), KEY, "body"), KEY)
 
 
 # ---------------------------------------------------------------- lexicon ---
 
 def q_lexicon_clean(spark, sf):
-    return fx.fixture_lexicon(spark, sf)
+    """Raw rows of every word of every document, cleaned."""
+    return fx.fixture_lexicon(fx.word_counts(fx.comments(spark, sf)), 1, 1)
 
 
 def _types(spark, sf):
     """Vocabulary-gated token counts and the prepared analysis inputs."""
-    docs, aff, lex, voc = _inputs(spark, sf)
-    res = an.prepare(aff, lex, voc)
-    toks = tokens(sentences(docs, KEY, "body"), KEY)
-    v = res.vocab_keys
-    toks = toks.join(v, F.lower(toks["token"]) == v["v_key"], "left_anti")
-    types = toks.groupBy("token").agg(F.count(F.lit(1)).alias("count"))
-    return types, res
+    docs, res = _inputs(spark, sf)
+    toks = an.gated(tokens(sentences(docs, KEY, "body"), KEY), res)
+    return toks.groupBy("token").agg(F.count(F.lit(1)).alias("count")), res
 
 
 def q_vocab_gate(spark, sf):
@@ -161,7 +199,7 @@ def q_suffix_base(spark, sf):
 
 def q_analyses(spark, sf):
     types, res = _types(spark, sf)
-    return an.analyze(types.select("token"), resources=res)
+    return an.analyze(types.select("token"), resources=res, gate=False)
 
 
 # ------------------------------------------------------------ derivatives ---
@@ -177,6 +215,11 @@ def q_derivative_contexts(spark, sf):
     return _derivatives(spark, sf).long
 
 
+def q_derivative_contexts_shuffled(spark, sf):
+    """The same occurrences when only a few analyses may be broadcast."""
+    return _derivatives(spark, sf, max_broadcast_rows=FEW_ROWS).long
+
+
 def q_derivatives_no_vocab(spark, sf):
     return _derivatives(spark, sf, require_vocab=False).summary.select(*SUMMARY_COLS)
 
@@ -186,18 +229,21 @@ def _with_month(docs: DataFrame) -> DataFrame:
 
 
 def _monthly(spark, sf):
-    docs, aff, lex, voc = _inputs(spark, sf)
-    r = find_derivatives(_with_month(docs), aff, lex, voc, key_cols=tuple(KEY), group_cols=("month",))
-    return r.summary
+    return _derivatives(spark, sf, docs=_with_month(stand_ins(spark, sf).german), group_cols=("month",))
 
 
 def q_month_merge(spark, sf):
-    m = _monthly(spark, sf)
-    return merge_months([m.drop("month")])
+    return merge_months([_monthly(spark, sf).summary.drop("month")])
+
+
+def q_month_merge_contexts(spark, sf):
+    """The merged table with the contexts of all months, in rows of few contexts."""
+    w = wide_contexts(_monthly(spark, sf).long, ["month", *KEY, "sent_pos", "tok_pos"], MERGED_MAX_PER_ROW)
+    return w.select(*WIDE_COLS, F.array_join("context", CONTEXT_SEP).alias("contexts"))
 
 
 def q_merge_increment(spark, sf):
-    m = _monthly(spark, sf)
+    m = _monthly(spark, sf).summary
     last = N_PSEUDO_MONTHS - 1
     merged = merge_months([m.where(F.col("month") < last).drop("month")])
     return merge_increment(merged, m.where(F.col("month") == last).drop("month"))
@@ -221,9 +267,15 @@ def q_productivity(spark, sf):
     return productivity(_merged(spark, sf))
 
 
+def q_productivity_by_mode(spark, sf):
+    """One mode at a time, put together."""
+    merged = _merged(spark, sf)
+    return productivity(merged, ["suffix"]).unionByName(productivity(merged, ["both"]))
+
+
 def q_frequency_bins(spark, sf):
-    wc = fx.word_counts(spark, sf).where(F.length("w") > 4)
-    return frequency_bins(wc, count_col="n")
+    """Bins of every word of every document."""
+    return frequency_bins(fx.word_counts(fx.comments(spark, sf)), count_col="n")
 
 
 def q_mode_split(spark, sf):
@@ -256,15 +308,16 @@ def q_split_by_stem(spark, sf):
 
 
 WIDE_MAX_PER_ROW = 10_000
+MERGED_MAX_PER_ROW = 2
+WIDE_COLS = ["token", "affix", "base", "in_lexica", "stem", "mode", "part", "n_parts", "count", "part_count"]
 
 
 def q_derivatives_wide(spark, sf):
     """The reference's derivative table layout: one row per derivative (and
     part) with its context list, joined to one string for hashing."""
     r = _derivatives(spark, sf)
-    w = wide_contexts(r.long, r.summary.select("token", "count"), [*KEY, "sent_pos", "tok_pos"], WIDE_MAX_PER_ROW)
-    return w.select("token", "affix", "base", "in_lexica", "stem", "mode", "part", "count",
-                    F.array_join("context", CONTEXT_SEP).alias("contexts"))
+    w = wide_contexts(r.long, [*KEY, "sent_pos", "tok_pos"], WIDE_MAX_PER_ROW)
+    return w.select(*WIDE_COLS, F.array_join("context", CONTEXT_SEP).alias("contexts"))
 
 
 def q_corpora(spark, sf):
@@ -283,9 +336,117 @@ def q_conversation_derivatives(spark, sf):
     vocabulary still come from the German documents."""
     conv = spark.read.parquet(f"{sf}/conversations.parquet").select(*CONV_KEY, F.col("text").alias("body"))
     kept = filter_comments(conv, None, lang="de").select(*CONV_KEY, "body")
-    _, aff, lex, voc = _inputs(spark, sf)
-    r = find_derivatives(kept, aff, lex, voc, key_cols=CONV_KEY)
-    return r.summary.select(*SUMMARY_COLS)
+    return _derivatives(spark, sf, docs=kept, key_cols=CONV_KEY).summary.select(*SUMMARY_COLS)
+
+
+# ------------------------------------------------------- sources and sinks ---
+
+
+def _dumps(spark, sf) -> str:
+    return fx.write_dumps(spark, sf, _scratch(spark, "dumps"))
+
+
+def _community_file(spark) -> str:
+    lines = spark.createDataFrame([(x,) for x in fx.FIXTURE_COMMUNITY_LINES], "value string")
+    return fx.write_lines(lines, _scratch(spark, "communities"))
+
+
+def q_comments_scan(spark, sf):
+    """Monthly dumps with malformed lines, a stray file beside them."""
+    c = read_comments(spark, _dumps(spark, sf))
+    return c.select("id", "subreddit", F.length("body").alias("n_body"), "year", "month", "corrupt")
+
+
+def q_comments_months(spark, sf):
+    """Two months by number, one of which there is no dump of."""
+    c = read_comments(spark, _dumps(spark, sf), months=[(fx.DUMP_YEAR, 3), (fx.DUMP_YEAR + 1, 3)])
+    return c.where("not corrupt").select("id", "year", "month")
+
+
+def q_filtered_roundtrip(spark, sf):
+    """Dumps through the comment filter into its files and back."""
+    path = _scratch(spark, "filtered")
+    c = read_comments(spark, _dumps(spark, sf)).where("not corrupt")
+    sinks.write_filtered_comments(filter_comments(c, read_communities(spark, _community_file(spark))), path)
+    return read_filtered_comments(spark, path).select("id", F.length("body").alias("n_body"), "year", "month")
+
+
+def q_community_scan(spark, sf):
+    """Sources in a list file, each twice and padded, and how many documents each has."""
+    d = fx.documents(spark, sf)
+    lines = d.select(F.concat(F.lit(" "), "source", F.lit("\t"))).union(d.select("source"))
+    names = read_communities(spark, fx.write_lines(lines, _scratch(spark, "list")))
+    return d.join(names, d["source"] == names["subreddit"], "left_semi").groupBy("source").agg(F.count("*").alias("n"))
+
+
+def q_vocab_scan(spark, sf):
+    """Vocabulary of every document's words, each written once per document."""
+    lower = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(fx.WORD_RE), 0))
+    lines = fx.documents(spark, sf).select(F.explode(lower).alias("value"))
+    return read_vocab(spark, fx.write_lines(lines, _scratch(spark, "vocab")))
+
+
+def _lexicon_file(spark, sf) -> str:
+    return fx.write_lexicon(fx.fixture_lexicon_raw(stand_ins(spark, sf).words), _scratch(spark, "lexicon"))
+
+
+def q_lexicon_scan(spark, sf):
+    """The stand-in lexicon from its file; the last line of a word counts."""
+    return read_lexicon(spark, _lexicon_file(spark, sf))
+
+
+def q_monthly_tables(spark, sf):
+    """Monthly tables into their files, one month once more, and back."""
+    path = _scratch(spark, "monthly")
+    m = cut_lineage(_monthly(spark, sf).summary.withColumn("year", F.lit(fx.DUMP_YEAR)))
+    sinks.write_derivatives(m, path)
+    sinks.write_derivatives(m.where("month = 3"), path)
+    return spark.read.parquet(path).select("year", "month", *SUMMARY_COLS)
+
+
+def q_joined_table(spark, sf):
+    """The merged table written twice, the second time as it is to stay."""
+    path = _scratch(spark, "joined")
+    m = cut_lineage(_merged(spark, sf))
+    sinks.write_joined(m.withColumn("count", F.col("count") + 1), path)
+    sinks.write_joined(m, path)
+    return spark.read.parquet(path).select(*SUMMARY_COLS)
+
+
+def q_corpora_roundtrip(spark, sf):
+    """All corpora, then those of one condition in their place, re-read."""
+    path = _scratch(spark, "corpora")
+    r = _derivatives(spark, sf)
+    out = cut_lineage(make_corpora(r.long, r.summary, key_cols=tuple(KEY), seed=SEED))
+    sinks.write_corpora(out, path)
+    sinks.write_corpora(out.where("condition = 'split_base'"), path)
+    return spark.read.parquet(path).select("condition", *ROW_COLS)
+
+
+def q_productivity_roundtrip(spark, sf):
+    """Both modes' files, then one mode in their place, re-read."""
+    path = _scratch(spark, "productivity")
+    m = cut_lineage(productivity(_merged(spark, sf)))
+    sinks.write_productivity(m, path)
+    sinks.write_productivity(m.where("mode = 'suffix'"), path)
+    return spark.read.option("header", True).schema("affix string, v long, n long, abshapax long, mode string").csv(path)
+
+
+def q_corpus_run(spark, sf):
+    """Every stage from dumps to corpora; the joined table."""
+    vocab = fx.write_lines(fx.fixture_vocab(stand_ins(spark, sf).words), _scratch(spark, "vocab"))
+    out = _scratch(spark, "run")
+    run_corpus(spark, _dumps(spark, sf), _community_file(spark), PREFIX_FILE, SUFFIX_FILE, _lexicon_file(spark, sf), vocab, out)
+    return spark.read.parquet(f"{out}/joined").select(*SUMMARY_COLS)
+
+
+def q_context_list_import(spark, sf):
+    """Each document's sentences as a printed list, twice in a row as a merge of
+    months leaves them, read back."""
+    s = F.regexp_extract_all(F.replace(F.replace("text", F.lit("'"), F.lit("")), F.lit("\\"), F.lit("")), F.lit(SENTENCE), 0)
+    printed = F.concat(F.lit("['"), F.array_join(s, "', '"), F.lit("']"))
+    d = fx.documents(spark, sf).select("doc_id", F.concat(printed, printed).alias("printed"))
+    return d.select("doc_id", F.array_join(parse_context_list("printed"), CONTEXT_SEP).alias("contexts"))
 
 
 QUERIES = {
@@ -294,6 +455,7 @@ QUERIES = {
     "sanitize_text": q_sanitize_text,
     "body_length_filter": q_body_length_filter,
     "lang_filter": q_lang_filter,
+    "language_labels": q_language_labels,
     "comment_filter": q_comment_filter,
     "sentences": q_sentences,
     "tokens": q_tokens,
@@ -309,12 +471,15 @@ QUERIES = {
     "analyses": q_analyses,
     "derivatives": q_derivatives,
     "derivative_contexts": q_derivative_contexts,
+    "derivative_contexts_shuffled": q_derivative_contexts_shuffled,
     "derivatives_no_vocab": q_derivatives_no_vocab,
     "month_merge": q_month_merge,
+    "month_merge_contexts": q_month_merge_contexts,
     "merge_increment": q_merge_increment,
     "duplicate_analyses": q_duplicate_analyses,
     "review_sample": q_review_sample,
     "productivity": q_productivity,
+    "productivity_by_mode": q_productivity_by_mode,
     "frequency_bins": q_frequency_bins,
     "mode_split": q_mode_split,
     "shared_split": q_shared_split,
@@ -323,4 +488,16 @@ QUERIES = {
     "derivatives_wide": q_derivatives_wide,
     "corpora": q_corpora,
     "conversation_derivatives": q_conversation_derivatives,
+    "comments_scan": q_comments_scan,
+    "comments_months": q_comments_months,
+    "filtered_roundtrip": q_filtered_roundtrip,
+    "community_scan": q_community_scan,
+    "vocab_scan": q_vocab_scan,
+    "lexicon_scan": q_lexicon_scan,
+    "monthly_tables": q_monthly_tables,
+    "joined_table": q_joined_table,
+    "corpora_roundtrip": q_corpora_roundtrip,
+    "productivity_roundtrip": q_productivity_roundtrip,
+    "corpus_run": q_corpus_run,
+    "context_list_import": q_context_list_import,
 }

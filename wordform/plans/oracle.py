@@ -1,19 +1,54 @@
 """DuckDB SQL for every harness query (the correctness oracle).
 
 Written independently of the DataFrame code: plain CTEs with global window
-functions, correlated look-ups and CASE chains. Only the fixed values (rule
-lists, patterns, affix lists) are shared with the engine.
+functions, correlated look-ups and CASE chains, with its own copy of the fixed
+values. Only the affix files are the same.
 """
 
 from __future__ import annotations
 
 from wordform import PREFIX_FILE, SUFFIX_FILE
-from wordform.functions import rules as R
-from wordform.functions.text import BODY_LINK_RE, PATHLIKE_RE, SUB_USER_RE, URL_RE, WS, YT_PARAM_RE
-from wordform.operators.filters import STOP_WORDS
-from wordform.operators.segment import SENTENCE_RE, TOKEN_RE
-from wordform.operators.splits import BINS, NULL_KEY, SIZE_TEST, SIZE_TRAIN
-from wordform.sources.fixtures import FIXTURE_COMMUNITY_LINES, FIXTURE_POS
+
+# Fixed values of the rules, written down here again so that a slip in the
+# engine's lists shows.
+
+
+class R:
+    BAD_POS = "ART PPER PRF PIS PIAT PPOSS PRELS PRELAT KOUS KON KOKOM".split()
+    ADJ_POS = "ADJA ADJD".split()
+    PREFIX_DROP_IF_UPPER = "ab ent er be".split()
+    SUFFIX_DROP_IF_LOWER = "er ast at i ie ier ik ine ist ling ner or ade ler ur".split()
+    SUFFIX_DROP_IF_UPPER = "ern weg bar fach haft end ens ig lings nd weise wegen".split()
+    SUFFIX_NEED_CONSONANT = "i ie ik in ine ade".split()
+    PREFIX_NO_BASE = "hyper ko kon konter makro mikro neo para post prä re retro sub trans über un unter wider".split()
+    PREFIX_VERBAL = "er ent ab be an de hinter miss um ver zer".split()
+    PREFIX_LATINATE = "erz ex inter in im il multi ultra".split()
+    SUFFIX_CONFIX = "abel age al ant anz ar ast at el ent ibel ie ik".split()
+    SUFFIX_BASE_IS_STEM = "alie chen ei schaft tum in keit mäßig nis".split()
+
+
+WS = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
+NOT_WS = r"[^\t-\r\x1c-\x20\x{85}\p{Z}]"
+BODY_LINK_RE = r"\(?http[^ ]+\)?"
+URL_RE = rf"https?:\/\/{NOT_WS}*"
+YT_PARAM_RE = rf"v={NOT_WS}*t={NOT_WS}*"
+SUB_USER_RE = r"\/(r|u)\/"
+PATHLIKE_RE = rf"{NOT_WS}*\/{NOT_WS}*\.{NOT_WS}*"
+SENTENCE_RE = r"[^.!?\n]+[.!?]*"
+TOKEN_RE = r"[\p{L}\p{N}]+|[^\t-\r\x1c-\x20\x{85}\p{Z}\p{L}\p{N}]"
+STOP_WORDS = {
+    "de": "der die das und ist nicht ein den von zu mit sich auf für im dem des als auch".split(),
+    "en": "the of and to in is that it for was on are as with they be at this have from".split(),
+    "fr": "le la les de des et un une est que qui dans pour en il elle du au ne pas".split(),
+    "es": "el la los las de que y en un una por con para es no se del al lo como".split(),
+}
+# (bin, least count, largest count); 64 is in two bins
+BINS = [(1, 1, 1), (2, 2, 3), (3, 4, 7), (4, 8, 15), (5, 16, 31), (6, 32, 64), (7, 64, 127), (8, 128, None)]
+SIZE_TRAIN = 0.8
+SIZE_TEST = 0.15
+NULL_KEY = "\u2400"
+COMMUNITY_LINES = ['src1', ' src4', 'src7 ', 'src7', 'SRC2', 'src12', 'src19', 'nonexistent']
+FIXTURE_POS = ['NN', 'VVINF', 'ADJD', 'ADJA', 'KON']
 
 SEED = 200
 SAMPLE_SEED = 7
@@ -90,8 +125,29 @@ def cut(x: str, n: int) -> str:
     return f"left({x}, length({x}) - {n})"
 
 
+def _stop_counts(text: str = "text") -> str:
+    words = f"regexp_extract_all(lower({text}), '\\p{{L}}+')"
+    parts = []
+    for lang, sw in STOP_WORDS.items():
+        parts.append(f"len(list_filter({words}, lambda w: list_contains([{', '.join(q(x) for x in sw)}], w))) AS c_{lang}")
+    return ", ".join(parts)
+
+
+def _lang_pred() -> str:
+    langs = list(STOP_WORDS)
+    best = "greatest(" + ", ".join(f"c_{l}" for l in langs) + ")"
+    case = " ".join(f"WHEN c_{l} = {best} THEN {q(l)}" for l in langs)
+    return f"CASE WHEN {best} > 0 THEN CASE {case} END END"
+
+
+def _communities() -> str:
+    vals = sorted({s.strip() for s in COMMUNITY_LINES if s.strip()})
+    return "(" + ", ".join(q(v) for v in vals) + ")"
+
+
 FIXTURE_LEX = f"""
-fx_de AS (SELECT doc_id, source, text FROM documents WHERE lang = 'de'),
+fx_scored AS (SELECT doc_id, source, text, {_stop_counts()} FROM documents),
+fx_de AS (SELECT doc_id, source, text FROM fx_scored WHERE {_lang_pred()} = 'de'),
 fx_words AS (
   SELECT w, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '\\p{{L}}+')) AS w FROM fx_de) GROUP BY w),
 fx_vocab AS (SELECT lower(w) AS token FROM fx_words GROUP BY lower(w) HAVING sum(n) >= 5),
@@ -130,9 +186,6 @@ toks_all AS (
 toks AS (SELECT * FROM toks_all WHERE length(token) >= 5 AND NOT regexp_matches(token, '\\p{{Nd}}'))"""
 
 
-FIXTURES = FIXTURE_LEX + ",\n" + segment_ctes()
-
-
 def _dictionary(vocab: bool, lexicon: bool) -> str:
     lex = "SELECT word, base, pos FROM fx_lex" if lexicon else "SELECT word, base, pos FROM fx_lex WHERE false"
     if not vocab:
@@ -296,26 +349,6 @@ def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
-def _stop_counts() -> str:
-    words = "regexp_extract_all(lower(text), '\\p{L}+')"
-    parts = []
-    for lang, sw in STOP_WORDS.items():
-        parts.append(f"len(list_filter({words}, lambda w: list_contains([{', '.join(q(x) for x in sw)}], w))) AS c_{lang}")
-    return ", ".join(parts)
-
-
-def _lang_pred() -> str:
-    langs = list(STOP_WORDS)
-    best = "greatest(" + ", ".join(f"c_{l}" for l in langs) + ")"
-    case = " ".join(f"WHEN c_{l} = {best} THEN {q(l)}" for l in langs)
-    return f"CASE WHEN {best} > 0 THEN CASE {case} END END"
-
-
-def _communities() -> str:
-    vals = sorted({s.strip() for s in FIXTURE_COMMUNITY_LINES if s.strip()})
-    return "(" + ", ".join(q(v) for v in vals) + ")"
-
-
 def _bins() -> str:
     rows = ", ".join(f"({b}, {lo}, {hi if hi is not None else 'NULL'})" for b, lo, hi in BINS)
     return f"bins AS (SELECT * FROM (VALUES {rows}) t(bin, lo, hi))"
@@ -367,11 +400,15 @@ FROM s2""",
     )
 
 
-def _monthly_merge(increment: bool) -> str:
-    base = f"""{analysis_ctes()},
+def _monthly() -> str:
+    return f"""{analysis_ctes()},
 mcounts AS (SELECT doc_id % 12 AS month, token, count(*) AS count FROM toks
   WHERE lower(token) NOT IN (SELECT token FROM fx_vocab) GROUP BY ALL),
 msum AS (SELECT a.*, c.month, c.count FROM analyses a JOIN mcounts c USING (token))"""
+
+
+def _monthly_merge(increment: bool) -> str:
+    base = _monthly()
     if not increment:
         return _with(base, f"""SELECT token, affix, base, in_lexica, stem, mode, prefix, suffix, sum(count)::BIGINT AS count
 FROM msum GROUP BY ALL""")
@@ -394,13 +431,19 @@ SELECT {SUMMARY_COLS} FROM merged
 WHERE token IN (SELECT token FROM merged GROUP BY token HAVING count(*) > 1)"""
 
 
-def _wide() -> str:
-    h = "('0x' || substr(md5(concat_ws('|', doc_id::VARCHAR, sent_pos::VARCHAR, tok_pos::VARCHAR)), 1, 8))::BIGINT"
-    return _with(analysis_ctes() + ",", f"""parts AS (SELECT token, greatest(ceil(count / 10000), 1)::BIGINT AS parts FROM summary),
-lp AS (SELECT l.*, ({h} % p.parts)::INTEGER AS part FROM long l JOIN parts p USING (token))
-SELECT token, affix, base, in_lexica, stem, mode, part, count(*)::BIGINT AS count,
-  string_agg(context, '␞' ORDER BY doc_id, sent_pos, tok_pos, context) AS contexts
-FROM lp GROUP BY token, affix, base, in_lexica, stem, mode, part""")
+ANALYSIS_KEYS = "token, affix, base, in_lexica, stem, mode"
+
+
+def _wide(keys: list[str], most: int) -> str:
+    """Contexts per analysis in rows of about ``most``; ``keys`` name an occurrence."""
+    h = "('0x' || substr(md5(concat_ws('|', " + ", ".join(f"{k}::VARCHAR" for k in keys) + ")), 1, 8))::BIGINT"
+    return _with(analysis_ctes() + ",", f"""whole AS (SELECT {ANALYSIS_KEYS}, count(*)::BIGINT AS count FROM long GROUP BY ALL),
+lp AS (SELECT l.*, w.count, CASE WHEN w.count > {most} THEN ceil(w.count / {most}::DOUBLE) ELSE 1 END::INTEGER AS n_parts
+  FROM (SELECT *, doc_id % 12 AS month FROM long) l JOIN (SELECT token, count FROM whole) w USING (token)),
+parts AS (SELECT *, ({h} % n_parts)::INTEGER AS part FROM lp)
+SELECT {ANALYSIS_KEYS}, part, n_parts, count, count(*)::BIGINT AS part_count,
+  string_agg(context, '␞' ORDER BY {", ".join(keys)}, context) AS contexts
+FROM parts GROUP BY {ANALYSIS_KEYS}, part, n_parts, count""")
 
 
 def _corpora() -> str:
@@ -412,12 +455,32 @@ UNION ALL SELECT 'split_stem' AS condition, * FROM ({_key_split('stem')})"""
 def _conversations() -> str:
     pre = f"""conv_clean AS (SELECT conv_id, turn, text, {sanitize_body('text')} AS clean_body FROM conversations),
 conv_scored AS (SELECT conv_id, turn, text, clean_body,
-    {_stop_counts().replace('lower(text)', 'lower(clean_body)')} FROM conv_clean),
+    {_stop_counts('clean_body')} FROM conv_clean),
 conv_de AS (SELECT conv_id, turn, text FROM conv_scored
   WHERE length(clean_body) >= 31 AND clean_body <> '[deleted]' AND {_lang_pred()} = 'de')"""
     return _with(analysis_ctes(pre=pre, source="conv_de", keys=("conv_id", "turn")), f"SELECT {SUMMARY_COLS} FROM summary")
 
 
+def _kept(text: str) -> str:
+    """Comments that pass the comment filter, with ``clean_body``."""
+    return f"""SELECT * FROM (SELECT *, {_stop_counts('clean_body')} FROM (
+      SELECT *, {sanitize_body(text)} AS clean_body FROM documents WHERE source IN {_communities()}))
+WHERE length(clean_body) >= 31 AND clean_body <> '[deleted]' AND {_lang_pred()} = 'de'"""
+
+
+def _context_list() -> str:
+    sentences = f"regexp_extract_all(replace(replace(text, chr(39), ''), chr(92), ''), {q(SENTENCE_RE)})"
+    between = "', '"
+    cuts = q(r"', '|'\]\['")
+    return f"""SELECT doc_id, array_to_string(string_split_regex(substr(p, 3, length(p) - 4), {cuts}), '␞') AS contexts
+FROM (SELECT doc_id, one || one AS p FROM (
+  SELECT doc_id, '[' || chr(39) || array_to_string({sentences}, {q(between)}) || chr(39) || ']' AS one FROM documents))"""
+
+
+ALL_WORDS = """fx_all_words AS (
+  SELECT w, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '\\p{L}+')) AS w FROM documents) GROUP BY w)"""
+
+
 def oracle_queries() -> dict[str, str]:
     A = analysis_ctes()
     ev_cols = "token, prefix, suffix, stem"
@@ -432,16 +495,18 @@ def oracle_queries() -> dict[str, str]:
         "sanitize_text": f"SELECT page_id, {sanitize_text('html')} AS text, {sanitize_text('url')} AS url FROM pages",
         "body_length_filter": f"""SELECT doc_id, length(c)::INTEGER AS n_clean FROM (SELECT doc_id, {sanitize_body('text')} AS c FROM documents)
 WHERE length(c) >= 31 AND c <> '[deleted]'""",
-        "lang_filter": f"SELECT doc_id, lang, {_lang_pred()} AS lang_pred FROM (SELECT doc_id, lang, {_stop_counts()} FROM documents)",
-        "comment_filter": f"""SELECT doc_id, subreddit, n_clean FROM (
-  SELECT doc_id, subreddit, length(clean_body)::INTEGER AS n_clean, clean_body, {_lang_pred()} AS lang_pred FROM (
-    SELECT doc_id, subreddit, clean_body, {_stop_counts().replace('lower(text)', 'lower(clean_body)')} FROM (
-      SELECT doc_id, source AS subreddit, {sanitize_body('text')} AS clean_body FROM documents
-      WHERE source IN {_communities()})))
-WHERE n_clean >= 31 AND clean_body <> '[deleted]' AND lang_pred = 'de'""",
-        "sentences": _with(FIXTURES, "SELECT doc_id, sent_pos, sentence, len(toks)::INTEGER AS n_tokens, len(toks) BETWEEN 10 AND 100 AS kept FROM sents_tok"),
-        "tokens": _with(FIXTURES, "SELECT doc_id, sent_pos, tok_pos, token FROM toks"),
-        "lexicon_clean": _with(FIXTURES, "SELECT word, base, pos, frequency FROM fx_lex"),
+        "lang_filter": f"SELECT doc_id, lang FROM (SELECT doc_id, lang, {_stop_counts()} FROM documents) WHERE {_lang_pred()} = 'de'",
+        "language_labels": f"SELECT doc_id, lang, {_lang_pred()} AS lang_pred FROM (SELECT doc_id, lang, {_stop_counts()} FROM documents)",
+        "comment_filter": f"SELECT doc_id, source AS subreddit, length(clean_body)::INTEGER AS n_clean FROM ({_kept('text')})",
+        "sentences": _with(
+            segment_ctes("documents"),
+            "SELECT doc_id, sent_pos, sentence, len(toks)::INTEGER AS n_tokens, len(toks) BETWEEN 10 AND 100 AS kept FROM sents_tok",
+        ),
+        "tokens": _with(segment_ctes("documents"), "SELECT doc_id, sent_pos, tok_pos, token FROM toks"),
+        "lexicon_clean": _with(
+            FIXTURE_LEX.replace("FROM fx_words WHERE n >= 3 AND length(w) >= 3", "FROM fx_all_words").replace("fx_lex_raw AS (", ALL_WORDS + ",\nfx_lex_raw AS (", 1),
+            "SELECT word, base, pos, frequency FROM fx_lex",
+        ),
         "vocab_gate": _with(A, "SELECT token, count FROM types"),
         "affix_match": _with(A, """SELECT token,
   coalesce(string_agg(affix, ',' ORDER BY affix) FILTER (WHERE kind = 'prefix'), '') AS prefixes,
@@ -458,20 +523,42 @@ FROM m GROUP BY token"""),
         "derivative_contexts": _with(
             A, "SELECT doc_id, sent_pos, tok_pos, token, mode, prefix, suffix, affix, base, stem, in_lexica, context FROM long"
         ),
+        "derivative_contexts_shuffled": _with(
+            A, "SELECT doc_id, sent_pos, tok_pos, token, mode, prefix, suffix, affix, base, stem, in_lexica, context FROM long"
+        ),
         "derivatives_no_vocab": _with(analysis_ctes(vocab=False), f"SELECT {SUMMARY_COLS} FROM summary"),
         "month_merge": _monthly_merge(False),
+        "month_merge_contexts": _wide(["month", "doc_id", "sent_pos", "tok_pos"], 2),
         "merge_increment": _monthly_merge(True),
         "duplicate_analyses": _duplicates(),
         "review_sample": _with(_merged(A), f"SELECT {SUMMARY_COLS} FROM merged ORDER BY {sample_key} LIMIT 100"),
         "productivity": _with(_merged(A), """SELECT mode, affix, count(*) AS v, sum(count)::BIGINT AS n,
   count(*) FILTER (WHERE count = 1) AS abshapax FROM merged GROUP BY mode, affix"""),
-        "frequency_bins": _with(FIXTURES + "," + _bins(), """SELECT w, n, bin FROM fx_words
-JOIN bins ON n >= lo AND (hi IS NULL OR n <= hi) WHERE length(w) > 4"""),
+        "productivity_by_mode": _with(_merged(A), """SELECT mode, affix, count(*) AS v, sum(count)::BIGINT AS n,
+  count(*) FILTER (WHERE count = 1) AS abshapax FROM merged WHERE mode IN ('suffix', 'both') GROUP BY mode, affix"""),
+        "frequency_bins": _with(ALL_WORDS + "," + _bins(), """SELECT w, n, bin FROM fx_all_words
+JOIN bins ON n >= lo AND (hi IS NULL OR n <= hi)"""),
         "mode_split": _with(_merged(A), "SELECT mode, count(*) AS types, sum(count)::BIGINT AS tokens FROM merged GROUP BY mode"),
         "shared_split": _shared(),
         "split_by_base": _key_split("base"),
         "split_by_stem": _key_split("stem"),
-        "derivatives_wide": _wide(),
+        "derivatives_wide": _wide(["doc_id", "sent_pos", "tok_pos"], 10_000),
         "corpora": _corpora(),
         "conversation_derivatives": _conversations(),
+        "comments_scan": """SELECT doc_id::VARCHAR AS id, source AS subreddit, length(text)::INTEGER AS n_body, 2019 AS year,
+  (doc_id % 12 + 1)::INTEGER AS month, text IS NULL AS corrupt FROM documents
+UNION ALL SELECT NULL, NULL, NULL, 2019, (doc_id % 12 + 1)::INTEGER, true FROM documents WHERE doc_id % 10 = 0""",
+        "comments_months": "SELECT doc_id::VARCHAR AS id, 2019 AS year, 3 AS month FROM documents WHERE doc_id % 12 + 1 = 3 AND text IS NOT NULL",
+        "filtered_roundtrip": f"""SELECT doc_id::VARCHAR AS id, length(text)::INTEGER AS n_body, 2019 AS year, (doc_id % 12 + 1)::INTEGER AS month
+FROM ({_kept('text')})""",
+        "community_scan": "SELECT source, count(*) AS n FROM documents WHERE trim(source) <> '' GROUP BY source",
+        "vocab_scan": "SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS token FROM documents",
+        "lexicon_scan": _with(FIXTURE_LEX, "SELECT word, base, pos, frequency FROM fx_lex"),
+        "monthly_tables": _with(_monthly(), f"SELECT 2019 AS year, month::INTEGER AS month, {SUMMARY_COLS} FROM msum"),
+        "joined_table": _with(_merged(A), f"SELECT {SUMMARY_COLS} FROM merged"),
+        "corpora_roundtrip": f"SELECT 'split_base' AS condition, * FROM ({_key_split('base')})",
+        "productivity_roundtrip": _with(_merged(A), """SELECT mode, affix, count(*) AS v, sum(count)::BIGINT AS n,
+  count(*) FILTER (WHERE count = 1) AS abshapax FROM merged WHERE mode = 'suffix' GROUP BY mode, affix"""),
+        "corpus_run": _with(analysis_ctes(pre=f"run_docs AS ({_kept('text')})", source="run_docs"), f"SELECT {SUMMARY_COLS} FROM summary"),
+        "context_list_import": _context_list(),
     }

@@ -16,11 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordform.functions.text import sanitize_body, sanitize_text
-from wordform.operators.analyze import ANALYSIS_COLS, analyze, prepare
+from wordform.operators.analyze import ANALYSIS_COLS, Resources, analyze, gated, matching, prepare
+from wordform.operators.corpus import merge_months, wide_contexts
 from wordform.operators.filters import body_length_ok, community_filter, lang_filter, once
-from wordform.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from wordform.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES, table_size
+from wordform.operators.metrics import observe_rows, productivity
 from wordform.operators.segment import sentences, tokens
-from wordform.session import cut_lineage
+from wordform.operators.splits import SIZE_TEST, SIZE_TRAIN, sentence_rows, shared_split, split_by_key
+from wordform.session import cut_lineage, cut_scope
 
 
 def filter_comments(
@@ -30,10 +33,14 @@ def filter_comments(
     min_chars: int = 31,
     scorer=None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    spread: int | None = None,
 ) -> DataFrame:
     """Comments of the listed communities whose cleaned body has at least
     ``min_chars`` characters and whose language is ``lang``.
 
+    ``spread``: partitions to deal the rows over once community and length
+    have been tested, for sources with one task per unsplittable file.
+
     Cheap predicates run first; a user language model (``scorer``) runs last
     because Catalyst cannot move filters across a Python UDF. Adds
     ``clean_body``; all input columns (including ``raw``) pass through.
@@ -48,6 +55,8 @@ def filter_comments(
         df = community_filter(df, communities, max_broadcast_rows=max_broadcast_rows)
     df = once(df, sanitize_body(F.col("body")).alias("clean_body"))
     df = df.where(body_length_ok(F.col("clean_body"), min_chars))
+    if spread:
+        df = df.repartition(spread)
     if lang is not None:
         df = lang_filter(df, "clean_body", lang, scorer=scorer)
     return df
@@ -74,63 +83,65 @@ def find_derivatives(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     sentence_model=None,
     token_model=None,
+    resources: Resources | None = None,
 ) -> Derivatives:
     """Find derivatives in ``docs[text]``.
 
     Two passes over the documents instead of one shuffle of all text: pass 1
     tokenises, drops vocabulary words (broadcast anti-join) and counts tokens
-    (partial aggregation); the analyses of the distinct tokens are written to
-    the checkpoint folder. Pass 2 tokenises again, keeps only derivative
-    tokens through a broadcast join with the analyses (if a row count proves
-    them small) and builds the context of each occurrence, so only
-    derivative occurrences ever carry sentence text. Beyond the bound, token
-    keys join the analyses by token and each sentence's text is fetched once
-    by (doc key, sentence position).
+    per group (partial aggregation); the counts and the analyses of the
+    distinct tokens are written to the checkpoint folder. Pass 2 tokenises
+    again with each token carrying its sentence and keeps derivative tokens
+    (``occurrences``), so only they are cleaned and kept as contexts. Every
+    occurrence gives one context, whatever the keys: nothing is joined back by
+    a user's key.
     """
     group_cols = list(group_cols)
     keys = group_cols + [k for k in key_cols if k not in group_cols]
-    res = prepare(affixes, lexicon, vocab, require_vocab, materialize, max_broadcast_rows)
-    voc = res.vocab_keys
+    res = resources or prepare(affixes, lexicon, vocab, require_vocab, materialize, max_broadcast_rows)
 
     sents = sentences(docs, keys, text, sentence_model=sentence_model, token_model=token_model)
-    toks = tokens(sents, keys)
-    if require_vocab:
-        toks = toks.join(voc, F.lower(toks["token"]) == voc["v_key"], "left_anti")
-    counts = toks.groupBy(*group_cols, "token").agg(F.count(F.lit(1)).alias("count"))
-    types = counts if not group_cols else counts.select("token").distinct()
-    analyses = analyze(types, resources=res)
+    counts = gated(tokens(sents, keys), res).groupBy(*group_cols, "token").agg(F.count(F.lit(1)).alias("count"))
+    if materialize and group_cols:
+        counts = cut_lineage(counts, "token-counts")
+    types = counts if not group_cols else counts.groupBy("token").agg(F.sum("count").alias("count"))
+    analyses = analyze(types, resources=res, gate=False)
     if materialize:
-        analyses = cut_lineage(analyses)
-    summary = analyses if not group_cols else counts.join(analyses, "token", "inner")
-
-    small, is_broadcast = bounded_broadcast(analyses.select(*ANALYSIS_COLS), max_broadcast_rows)
-    if is_broadcast:
-        # map-side: only derivative occurrences survive the join, no exchange
-        toks2 = tokens(sents, keys, carry=["sentence"])
-        long = toks2.join(small, "token", "inner")
+        analyses = cut_lineage(analyses, "analyses")
+    if group_cols:
+        summary = counts.join(analyses.drop("count"), "token", "inner")
     else:
-        # analyses too large to broadcast: join token keys (no text) by token,
-        # then fetch each sentence's text once by (doc key, sentence position)
-        occ = toks.join(analyses.select(*ANALYSIS_COLS), "token", "inner")
-        text = sents.select(*keys, "sent_pos", "sentence")
-        long = occ.join(text, [*keys, "sent_pos"], "inner")
+        summary = analyses
+
+    long = occurrences(sents, keys, analyses, res, max_broadcast_rows)
     long = long.withColumn("context", sanitize_text(F.col("sentence"), full_unescape=full_unescape)).drop("sentence")
     long = long.select(*keys, "sent_pos", "tok_pos", *ANALYSIS_COLS, "context")
-    return Derivatives(analyses, summary, long)
-
-
-def merge_months(tables: list[DataFrame]) -> DataFrame:
-    """Monthly per-token tables → one table (counts summed per analysis)."""
-    from wordform.operators.corpus import merge_months as _merge
+    return Derivatives(analyses.drop("count") if group_cols else analyses, summary, long)
 
-    return _merge(tables)
 
+def occurrences(sents: DataFrame, keys: list[str], analyses: DataFrame, res: Resources, max_rows: int) -> DataFrame:
+    """Every occurrence of an analysed token with its sentence.
 
-def productivity(merged: DataFrame, modes: list[str] | None = ("prefix", "suffix"), with_ratio: bool = False) -> DataFrame:
-    """V / N / hapax per affix; by default for prefix and suffix mode."""
-    from wordform.operators.metrics import productivity as _prod
-
-    return _prod(merged, list(modes) if modes else None, with_ratio)
+    ``analyses`` (written, with ``count``) that fit the broadcast bounds are
+    broadcast. Of more, the most frequent ones that fit still are: they are
+    the hot tokens and nearly all occurrences. The others are rare by
+    construction, so their occurrences are joined by token without skew, and of
+    the other tokens only those that are not in the vocabulary and match an
+    affix are moved at all.
+    """
+    toks = tokens(sents, keys, carry=["sentence"])
+    small = analyses.select(*ANALYSIS_COLS)
+    n, size = table_size(small)
+    if n <= max_rows and size <= MAX_BROADCAST_BYTES:
+        return toks.join(F.broadcast(small), "token", "inner")
+    fit = min(max_rows, int(MAX_BROADCAST_BYTES * n / max(size, 1)))
+    # counts above this one have at most about ``fit`` analyses
+    (least,) = analyses.agg(F.percentile_approx("count", F.lit(1 - fit / n), F.lit(10_000))).first()
+    frequent = F.broadcast(analyses.where(F.col("count") > least).select(*ANALYSIS_COLS))
+    rare = analyses.where(F.col("count") <= least).select(*ANALYSIS_COLS)
+    others = toks.join(frequent.select("token"), "token", "left_anti")
+    possible = matching(gated(others, res), res)
+    return toks.join(frequent, "token", "inner").unionByName(possible.join(rare, "token", "inner"))
 
 
 def make_corpora(
@@ -149,8 +160,6 @@ def make_corpora(
     cut buckets), and re-reading a written table is cheaper than recomputing
     the derivative search. ``clean`` is an optional user DataFrame →
     DataFrame step applied to the summary first (manual cleaning)."""
-    from wordform.operators.splits import SIZE_TEST, SIZE_TRAIN, sentence_rows, shared_split, split_by_key
-
     if clean is not None:
         summary = clean(summary)
     rows = sentence_rows(long, summary, bins=bins)
@@ -180,41 +189,41 @@ def run_corpus(
 ) -> dict:
     """All stages over every monthly dump under ``dumps``, writing each
     stage's table under ``out`` (filtered/, derivatives/, contexts/, joined/,
-    productivity/, corpus/). Months are partition columns throughout.
-    Returns the progress counters (comments read / corrupt / kept)."""
+    joined_contexts/, productivity/, corpus/). Months are partition columns
+    throughout; the tables from joined/ on are made from all months there are
+    and replaced as a whole. Intermediate tables are deleted at the end, also
+    after a failure. Returns the progress counters (comments read / corrupt /
+    kept)."""
     from wordform import sinks
-    from wordform.sources.comments import read_comments, read_filtered_comments
+    from wordform.sources.comments import read_comments, read_filtered_comments, spread_partitions
     from wordform.sources.lexicon import read_lexicon
     from wordform.sources.lists import read_affixes, read_communities, read_vocab
 
-    from wordform.operators.metrics import observe_rows
-
-    comments, seen = observe_rows(read_comments(spark, dumps, long_window=long_window), "comments")
-    kept = filter_comments(comments.where(~F.col("corrupt")), read_communities(spark, communities), lang=lang)
-    kept, kept_obs = observe_rows(kept, "kept")
-    sinks.write_filtered_comments(kept, f"{out}/filtered")
-    progress = {"comments": seen.get, "kept": kept_obs.get}
-    # re-read the written table: lineage cut, months are partition columns
-    filtered = read_filtered_comments(spark, f"{out}/filtered")
-    res = find_derivatives(
-        filtered,
-        read_affixes(spark, prefixes, suffixes),
-        read_lexicon(spark, lexicon) if lexicon else None,
-        read_vocab(spark, vocab) if vocab else None,
-        require_vocab=require_vocab,
-        key_cols=("id",),
-        group_cols=("year", "month"),
-    )
-    sinks.write_derivatives(res.summary, f"{out}/derivatives")
-    sinks.write_derivatives(res.long, f"{out}/contexts")
-    monthly = spark.read.parquet(f"{out}/derivatives")
-    merged = merge_months([monthly.drop("year", "month")])
-    sinks.write_joined(merged, f"{out}/joined")
-    merged = spark.read.parquet(f"{out}/joined")
-    sinks.write_productivity(productivity(merged), f"{out}/productivity")
-    long = spark.read.parquet(f"{out}/contexts")
-    sinks.write_corpora(make_corpora(long, merged, key_cols=("id",)), f"{out}/corpus")
-    from wordform.session import drop_cut_tables
-
-    drop_cut_tables(spark)  # every sink is written; the intermediate tables are no longer read
+    with cut_scope(spark):
+        comments, seen = observe_rows(read_comments(spark, dumps, long_window=long_window), "comments")
+        spread = spread_partitions(spark, dumps) if long_window else None
+        kept = filter_comments(comments.where(~F.col("corrupt")), read_communities(spark, communities), lang=lang, spread=spread)
+        kept, kept_obs = observe_rows(kept, "kept")
+        sinks.write_filtered_comments(kept, f"{out}/filtered")
+        progress = {"comments": seen.get, "kept": kept_obs.get}
+        # re-read the written table: lineage cut, months are partition columns
+        filtered = read_filtered_comments(spark, f"{out}/filtered")
+        res = find_derivatives(
+            filtered,
+            read_affixes(spark, prefixes, suffixes),
+            read_lexicon(spark, lexicon) if lexicon else None,
+            read_vocab(spark, vocab) if vocab else None,
+            require_vocab=require_vocab,
+            key_cols=("id",),
+            group_cols=("year", "month"),
+        )
+        sinks.write_derivatives(res.summary, f"{out}/derivatives")
+        sinks.write_derivatives(res.long, f"{out}/contexts")
+        monthly = spark.read.parquet(f"{out}/derivatives")
+        sinks.write_joined(merge_months([monthly.drop("year", "month")]), f"{out}/joined")
+        merged = spark.read.parquet(f"{out}/joined")
+        sinks.write_productivity(productivity(merged, ["prefix", "suffix"]), f"{out}/productivity")
+        long = spark.read.parquet(f"{out}/contexts")
+        sinks.write_joined(wide_contexts(long, ["year", "month", "id", "sent_pos", "tok_pos"]), f"{out}/joined_contexts")
+        sinks.write_corpora(make_corpora(long, merged, key_cols=("year", "month", "id")), f"{out}/corpus")
     return progress

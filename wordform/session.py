@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,33 +54,52 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started.
+    (On a cluster, install the package or ship it with ``--py-files``.)"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
+#: Paths that the current ``cut_scope`` owns; None outside of one.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("cut_scope", default=None)
+
+
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as a Parquet table under the shared checkpoint folder and
     return it re-read.
 
     One computation (``DataFrame.checkpoint`` computes its input twice: once
     for the triggering count, once for the write), the result survives
-    executor loss, and the re-read table carries exact size statistics."""
+    executor loss, and the re-read table carries exact size statistics.
+    Inside a ``cut_scope`` the table belongs to that scope; outside of one it
+    stays until the folder is cleaned."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/wordform-{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    _CUT_TABLES.append(path)
-    return spark.read.parquet(path)
-
-
-_CUT_TABLES: list[str] = []
+    owned = _SCOPE.get()
+    if owned is not None:
+        owned.append(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_cut_tables(spark: SparkSession) -> int:
-    """Delete the intermediate tables written by ``cut_lineage`` in this
-    driver (through the Hadoop FileSystem API, so it works on any shared
-    store). Call it once nothing reads them any more; returns how many."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    n = 0
-    while _CUT_TABLES:
-        p = jvm.org.apache.hadoop.fs.Path(_CUT_TABLES.pop())
-        if p.getFileSystem(conf).delete(p, True):
-            n += 1
-    return n
+@contextmanager
+def cut_scope(spark: SparkSession) -> Iterator[None]:
+    """Owns the tables that ``cut_lineage`` writes inside the ``with`` block and
+    deletes them at its end, also after a failure (through the Hadoop
+    FileSystem API, so on any shared store). Tables of other runs stay."""
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)

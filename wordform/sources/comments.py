@@ -6,8 +6,9 @@ partition by them). Hadoop's zstd codec reads ordinary ``.zst`` dumps
 natively; dumps written with a long window (up to 2 GiB) need
 ``long_window=True``, which decodes them with ``zstandard`` inside tasks
 (files opened through pyarrow filesystems: local, HDFS, object stores),
-one task per file, streaming, and redistributes the lines afterwards (a
-``.zst`` file cannot be split).
+one task per file, streaming. Such a file cannot be split, so whoever filters
+the lines spreads what is left (``filter_comments(spread=...)``); raw lines
+are never shuffled. Only files named ``RC_*`` are read.
 """
 
 from __future__ import annotations
@@ -44,8 +45,8 @@ def parse_comments(lines: DataFrame, value_col: str = "value", file_col: str = "
     return lines.select(
         parsed.alias("j"),
         raw.alias("raw"),
-        F.regexp_extract(f, FILE_RE, 1).cast("int").alias("year"),
-        F.regexp_extract(f, FILE_RE, 2).cast("int").alias("month"),
+        F.regexp_extract(f, FILE_RE, 1).try_cast("int").alias("year"),
+        F.regexp_extract(f, FILE_RE, 2).try_cast("int").alias("month"),
     ).select(
         "j.id", "j.subreddit", "j.body", "raw", "year", "month",
         (F.col("j").isNull() | F.col("j.body").isNull()).alias("corrupt"),
@@ -99,19 +100,30 @@ def month_paths(spark: SparkSession, root: str, months: list[tuple[int, int]]) -
     return found
 
 
-def read_comment_lines(spark: SparkSession, path, long_window: bool = False, partitions: int | None = None) -> DataFrame:
+DUMP_GLOB = "RC_*"
+
+
+def _dump_files(spark: SparkSession, path) -> DataFrame:
+    """(path, length) of every compressed dump."""
+    paths = [path] if isinstance(path, str) else list(path)
+    return spark.read.format("binaryFile").option("pathGlobFilter", f"{DUMP_GLOB}.zst").load(paths).select("path", "length")
+
+
+def spread_partitions(spark: SparkSession, path, target_bytes: int = 64 << 20) -> int:
+    """Partitions that give the listed compressed dumps about ``target_bytes`` each."""
+    total = _dump_files(spark, path).agg(F.sum("length")).first()[0] or 0
+    return max(1, -(-total // target_bytes))
+
+
+def read_comment_lines(spark: SparkSession, path, long_window: bool = False) -> DataFrame:
     """Lines of every dump under ``path`` (a folder, glob or list of files)
     with their file name."""
-    paths = [path] if isinstance(path, str) else list(path)
     if not long_window:
-        return spark.read.text(paths).withColumn("file", F.input_file_name())
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.zst").load(paths).select("path")
-    )
-    n_files = max(1, files.count())
-    files = files.repartition(n_files)
-    lines = files.mapInPandas(_decode_zst, "value string, file string")
-    return lines.repartition(partitions or spark.sparkContext.defaultParallelism)
+        paths = [path] if isinstance(path, str) else list(path)
+        return spark.read.option("pathGlobFilter", DUMP_GLOB).text(paths).withColumn("file", F.input_file_name())
+    files = _dump_files(spark, path).select("path")
+    # only paths are dealt out: one file per task
+    return files.repartition(max(1, files.count())).mapInPandas(_decode_zst, "value string, file string")
 
 
 def read_comments(

@@ -1,10 +1,9 @@
 """Month-at-a-time operation.
 
 The reference processes one monthly dump at a time and merges the monthly
-tables afterwards. Two forms here:
+tables afterwards. ``operators.corpus.merge_increment`` folds a new
+month's table into the merged one; here:
 
-* ``merge_increment`` folds a new month's per-token table into the merged
-  table (the merge is an associative sum), batch.
 * ``stream_filter_comments`` runs the comment filter as a Structured
   Streaming query over a folder where monthly dumps arrive; it is stateless
   (semi-join with a static list, row filters), so it runs in append mode and
@@ -16,9 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordform.operators.corpus import merge_increment  # noqa: F401  (re-export)
 from wordform.plans.stages import filter_comments
-from wordform.sources.comments import parse_comments
+from wordform.sources.comments import DUMP_GLOB, parse_comments
 
 
 def stream_filter_comments(
@@ -32,7 +30,7 @@ def stream_filter_comments(
     max_files_per_trigger: int | None = None,
 ):
     """Start the streaming comment filter; returns the StreamingQuery."""
-    reader = spark.readStream.format("text")
+    reader = spark.readStream.format("text").option("pathGlobFilter", DUMP_GLOB)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(input_dir).withColumn("file", F.input_file_name())
