@@ -7,6 +7,7 @@ from wordform.llm.ann import op5_nearest
 from wordform.llm.bpe import op6_encode
 from wordform.llm.decontam import OP1_SQL, op1_decontaminate
 from wordform.llm.langid import op10_language
+from wordform.llm.licenses import op7_licenses
 from wordform.llm.ngram_join import OP3_SQL, op3_near_duplicates
 from wordform.llm.pii import op9_pii
 from wordform.llm.quality import op4_quality
@@ -20,6 +21,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_nearest": op5_nearest,
     "op6_bpe": op6_encode,
+    "op7_licenses": op7_licenses,
     "op8_toxicity": op8_toxicity,
     "op9_pii": op9_pii,
     "op10_language": op10_language,
