@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordform.llm.common import table, written
+from wordform.llm.common import table
 from wordform.llm.stages import decontaminated, deduplicated, encoded, identified, redacted
+from wordform.session import cut_scope
 
 STAGES = [
     ("language ID", identified),
@@ -26,5 +27,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; the last stage's rows."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with cut_scope(spark) as keep:  # what a stage wrote for itself goes with it
+            docs = keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

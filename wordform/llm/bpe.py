@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from tokenizers.pre_tokenizers import ByteLevel
 
 from wordform.llm.common import map_text, table
@@ -259,7 +260,7 @@ def decode_ids(df: DataFrame, tokenizer: str, ids: str = "ids", into: str = "dec
             texts = [None if i is None else model.decode(np.array(i, "<u4").tobytes()) for i in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, into])
 
-    return df.mapInArrow(run, df.schema.add(into, "string"))
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(into, T.StringType())]))
 
 
 TOKENIZER = "byte_bpe_50k.json"

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordform.session import ensure_checkpoint_dir
+from wordform.session import cut_lineage, ensure_checkpoint_dir
 
 #: Bytes of text that one vectorised step handles; a longer text is a step of its own.
 CHUNK_BYTES = 1 << 20
@@ -25,10 +25,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again: lineage is
-    cut, lost executors cost nothing that was written, rows are computed once."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    cut, lost executors cost nothing that was written, rows are computed once.
+    Inside a ``cut_scope`` the table is deleted at the scope's end."""
+    return cut_lineage(df, f"llm-{name}")
 
 
 def fold(id_col: str | Column, n: int) -> Column:

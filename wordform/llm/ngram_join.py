@@ -13,13 +13,15 @@ similar sets then share a rare shingle or a pair of one class.
 
 Candidates come from equal signatures, without emitting all pairs of a list:
 
-1. each signature's members are held against one member of the list, the one
-   with the fewest rarer shingles before it; verified links give components;
+1. each list names one member, the one with the fewest rarer shingles before
+   it, and each class is held against the member that most of its lists name;
+   verified links give components;
 2. lists that still hold several components pair members of different
    components only. This rest is complete: no link between components is lost.
 
-Candidates pass a length bound and a bound on the symmetric difference (parity
-bitmaps of 256 bits) before their whole sets are compared.
+Candidates pass a length bound, a bound on the symmetric difference (parity
+bitmaps of 256 bits) and, in the rest, a bound on the number of signatures that
+they share, before their whole sets are compared.
 
 Sets up to 7 shingles index single shingles only. Without words or text a set is
 empty, links with nothing and is its own component, as is any row without a
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 
 from wordform.llm.common import NON_SPACE, Words, mix, shingle_hashes, table, text_buffer, text_ranges, written
 from wordform.llm.graph import components
+from wordform.session import cut_scope
 
 SHINGLE = 3
 PERCENT = 90
@@ -133,12 +136,13 @@ def signatures(t: np.ndarray, frequent: np.uint64, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-_SKETCH = "digest binary, fp binary, n bigint, p0 bigint, p1 bigint, p2 bigint, p3 bigint, sigs array<bigint>, pos array<int>"
+_SKETCH = "digest binary, fp binary, n bigint, plain boolean, p0 bigint, p1 bigint, p2 bigint, p3 bigint, sigs array<bigint>, pos array<int>"
 
 
 def sketches(docs: DataFrame, k: int, percent: int, rank: np.ndarray, frequent: np.uint64) -> DataFrame:
-    """Per row: id, digest of the text, fingerprint and size of its set, the
-    set's parity bitmap, its signatures and each one's place in the order."""
+    """Per row: id, digest of the text, fingerprint and size of its set, whether
+    its signatures are single shingles only, the set's parity bitmap, its
+    signatures and each one's place in the order."""
     shared = docs.sparkSession.sparkContext.broadcast((rank, frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +152,7 @@ def sketches(docs: DataFrame, k: int, percent: int, rank: np.ndarray, frequent:
             for a, b in text_ranges(offsets):
                 w = Words(data, offsets[a : b + 1], NON_SPACE)
                 raw, base = data[offsets[a] : offsets[b]].tobytes(), int(offsets[a])
-                cols: list[list] = [[] for _ in range(9)]
+                cols: list[list] = [[] for _ in range(10)]
                 for d, s in zip(range(a, b), _doc_shingles(w, w.hashes(), k)):
                     t = tokens_of(s, rank)
                     one = mix(t)
@@ -158,14 +162,15 @@ def sketches(docs: DataFrame, k: int, percent: int, rank: np.ndarray, frequent:
                     cols[0].append(hashlib.md5(raw[offsets[d] - base : offsets[d + 1] - base]).digest())
                     cols[1].append(fp.tobytes())
                     cols[2].append(len(t))
+                    cols[3].append(int(np.searchsorted(t, frequent)) > len(t) - least_overlap(len(t), percent))
                     for i, p in enumerate(bits.view(np.int64)):
-                        cols[3 + i].append(p)
-                    cols[7].append(sig.view(np.int64))
-                    cols[8].append(np.searchsorted(t, sig).astype(np.int32))
-                kinds = [pa.binary(), pa.binary(), *[pa.int64()] * 5, pa.list_(pa.int64()), pa.list_(pa.int32())]
+                        cols[4 + i].append(p)
+                    cols[8].append(sig.view(np.int64))
+                    cols[9].append(np.searchsorted(t, sig).astype(np.int32))
+                kinds = [pa.binary(), pa.binary(), pa.int64(), pa.bool_(), *[pa.int64()] * 4, pa.list_(pa.int64()), pa.list_(pa.int32())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), *(pa.array(c, kind) for c, kind in zip(cols, kinds))],
-                    names=["doc_id", "digest", "fp", "n", "p0", "p1", "p2", "p3", "sigs", "pos"],
+                    names=["doc_id", "digest", "fp", "n", "plain", "p0", "p1", "p2", "p3", "sigs", "pos"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -212,18 +217,33 @@ def _likely(percent: int) -> Column:
     return sizes & (apart <= n - 2 * overlap)
 
 
+def _shared_at_least(percent: int) -> Column:
+    """Signatures that similar classes a, b share: of the prefix that ends first,
+    ``n - least overlap + 1`` long, at most ``n - overlap`` are not in the
+    other's. One if frequent shingles take part in a prefix."""
+    overlap = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / F.lit(100 + percent))
+    least = overlap - F.ceil(F.lit(percent) * F.greatest("na", "nb") / F.lit(100)) + 1
+    return F.when(F.col("plain"), F.greatest(least, F.lit(1))).otherwise(1)
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: doc_id, digest (MD5 of the text), n_shingles,
     class_id (smallest id with an equal set), component_id (smallest id
     reachable over links of at least ``percent`` similarity) and component (a
-    number per component, also of those without an id; null for empty sets)."""
+    number per component, also of those without an id; null for empty sets).
+    Intermediate tables are deleted once the result is written."""
+    with cut_scope(docs.sparkSession) as keep:
+        return keep(_near_duplicates(docs, doc_id, text, k, percent), "llm-near-duplicates")
+
+
+def _near_duplicates(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> DataFrame:
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     texts = docs.select(F.unhex(F.md5("text")).alias("digest"), "text")
     rank, frequent = order_of(bucket_counts(docs, k))
     rows = written(sketches(docs, k, percent, rank, frequent), "sketches")
 
     # classes of equal sets: one row each, numbered
-    firsts = [F.first(c).alias(c) for c in ("n", "p0", "p1", "p2", "p3", "sigs", "pos")]
+    firsts = [F.first(c).alias(c) for c in ("n", "plain", "p0", "p1", "p2", "p3", "sigs", "pos")]
     classes = written(
         rows.where("n > 0")
         .groupBy("fp")
@@ -236,25 +256,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if shared.count() <= MAX_BROADCAST_SIGNATURES:
         shared = F.broadcast(shared)
     listed = written(listed.join(shared, "sig", "left_semi"), "listed")
-    about = classes.select("cid", "n", "p0", "p1", "p2", "p3", "digest")
+    about = classes.select("cid", "n", "plain", "p0", "p1", "p2", "p3", "digest")
     full = written(listed.join(about, "cid"), "lists")
 
     def pairs(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
-        found = left.alias("x").join(right.alias("y"), on & _likely(percent))
-        return written(
-            found.select(
-                F.least("x.cid", "y.cid").alias("a"),
-                F.greatest("x.cid", "y.cid").alias("b"),
-                F.when(F.col("x.cid") < F.col("y.cid"), F.col("x.digest")).otherwise(F.col("y.digest")).alias("da"),
-                F.when(F.col("x.cid") < F.col("y.cid"), F.col("y.digest")).otherwise(F.col("x.digest")).alias("db"),
-            ).distinct(),
-            "pairs",
-        )
-
-    # first: every list against one of its members
+        """Candidates (a, b, ...) of lists that hold both, with the number of such lists."""
+        swap = F.col("x.cid") > F.col("y.cid")
+        pick = lambda c, first: F.when(swap == F.lit(first), F.col(f"y.{c}")).otherwise(F.col(f"x.{c}"))
+        one = [pick(c, True).alias(f"{k}a") for c, k in (("cid", "c"), ("n", "n"), ("digest", "d"))]
+        two = [pick(c, False).alias(f"{k}b") for c, k in (("cid", "c"), ("n", "n"), ("digest", "d"))]
+        found = left.alias("x").join(right.alias("y"), on & _likely(percent)).select(*one, *two, (F.col("x.plain") & F.col("y.plain")).alias("plain"))
+        return found.groupBy(F.col("ca").alias("a"), F.col("cb").alias("b"), "na", "nb", "da", "db", "plain").agg(F.count("*").alias("m"))
+
+    # first: every class against the member that most of its lists name
     pivot = written(listed.groupBy("sig").agg(F.min(F.struct("pos", "cid")).alias("p")).select("sig", F.col("p.cid").alias("cid")), "pivots")
-    pivots = pivot.join(about, "cid")
-    links = written(verify(pairs(full, pivots, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.cid") != F.col("y.cid"))), texts, k, percent), "links")
+    named = pairs(full, pivot.join(about, "cid"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.cid") != F.col("y.cid")))
+    best = F.struct("m", F.struct("a", "b", "da", "db").alias("pair"))
+    named = named.select(F.explode(F.array("a", "b")).alias("cid"), "m", "a", "b", "da", "db").groupBy("cid").agg(F.max(best).alias("best"))
+    first = written(named.select("best.pair.*").distinct(), "first-pairs")
+    links = written(verify(first, texts, k, percent), "links")
     grouped = written(components(links), "components")
     # then: the rest between different components of one list
     lists = written(
@@ -273,7 +293,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         lists,
         (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.cid") < F.col("y.cid"))),
     )
-    more = verify(rest.join(links, ["a", "b"], "left_anti"), texts, k, percent)
+    rest = written(rest.where(F.col("m") >= _shared_at_least(percent)), "rest-pairs")
+    more = verify(rest.join(first.select("a", "b"), ["a", "b"], "left_anti"), texts, k, percent)
     # links of the rest join components, not single classes: contract first
     node = grouped.select("node", "component")
     joined = (
