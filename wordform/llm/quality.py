@@ -164,7 +164,7 @@ def text_features(df: DataFrame, keep: list[str], text: str = "text") -> DataFra
 
 def fit(sample: DataFrame) -> Trees | None:
     """Trees from (text, label) rows; None without any."""
-    rows = text_features(sample, ["doc_id", "label"]).orderBy("doc_id").collect()
+    rows = sorted(text_features(sample, ["doc_id", "label"]).collect())
     if not rows:
         return None
     return train(np.array([r["x"] for r in rows]), np.array([r["label"] for r in rows], np.float64))

@@ -208,7 +208,7 @@ def fit(sample: DataFrame, corpus: DataFrame) -> Model | None:
                 names=["label", "n", "scores"],
             )
 
-    rows = sample.select("text", "label").mapInArrow(best, "label int, n bigint, scores array<double>").orderBy("n", "scores").collect()
+    rows = sorted(sample.select("text", "label").mapInArrow(best, "label int, n bigint, scores array<double>").collect())
     clean = [r for r in rows if r["label"] == 0]
     least = DRIFT
     above = sum(s >= least for r in clean for s in r["scores"])
