@@ -9,5 +9,6 @@ merge_months, productivity, make_corpora. Operators live in
 import os
 
 DATA_DIR = os.path.join(os.path.dirname(__file__), "data")
+# The affix lists that results must be made with, one per line.
 PREFIX_FILE = os.path.join(DATA_DIR, "prefixes.txt")
 SUFFIX_FILE = os.path.join(DATA_DIR, "suffixes.txt")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -88,14 +88,25 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 @contextmanager
-def cut_scope(spark: SparkSession) -> Iterator[None]:
+def cut_scope(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Owns the tables that ``cut_lineage`` writes inside the ``with`` block and
     deletes them at its end, also after a failure (through the Hadoop
-    FileSystem API, so on any shared store). Tables of other runs stay."""
+    FileSystem API, so on any shared store). Tables of other runs stay. Yields
+    a ``cut_lineage`` whose tables outlast the block: they belong to the
+    enclosing scope, if there is one."""
     paths: list[str] = []
+    enclosing = _SCOPE.get()
     token = _SCOPE.set(paths)
+
+    def keep(df: DataFrame, name: str = "table") -> DataFrame:
+        out = cut_lineage(df, name)
+        path = paths.pop()
+        if enclosing is not None:
+            enclosing.append(path)
+        return out
+
     try:
-        yield
+        yield keep
     finally:
         _SCOPE.reset(token)
         jvm = spark.sparkContext._jvm
