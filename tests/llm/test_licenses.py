@@ -59,8 +59,8 @@ def test_own_licences_equal_plain_tf_idf(spark):
 
 def test_inheritance_takes_the_nearest_ancestor(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
-    files = [(1, "a/LICENSE", mit), (2, "a/x", "code"), (3, "a/b/y", "code"), (4, "a/b/c/LICENSE.txt", "title\n\n\n\n\n" + gpl), (5, "a/b/c/d/z", "code"), (6, "top", "code"), (7, "other/f", "code"),
-             (8, "a/b/late", "code\n\n\n\n" + gpl), (9, None, "code"), (10, None, mit), (2, "a/x", "code"), (11, "ab/q", "code"), (12, "a/b/w", None)]
+    files = [(1, "a/LICENSE", mit), (2, "a/x", "code"), (3, "a/b/y", "code"), (4, "a/b/c/LICENSE.txt", "title\nand\nmore\nlines\n\n" + gpl), (5, "a/b/c/d/z", "code"), (6, "top", "code"), (7, "other/f", "code"),
+             (8, "a/b/late", "code\ncode\ncode\n\n" + gpl), (9, None, "code"), (10, None, mit), (2, "a/x", "code"), (11, "ab/q", "code"), (12, "a/b/w", None)]
     df = spark.createDataFrame([(i, p, t, "x", 1) for i, p, t in files], SCHEMA)
     got = sorted((r["id"], r["license"], r["origin"], r["from_path"]) for r in scan(df, keep=["id"]).collect())
     assert got == [

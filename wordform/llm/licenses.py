@@ -7,7 +7,8 @@ bucket of words, so any word has one. A line is only scored if the templates'
 terms in it could reach ``least``: by Cauchy and Schwarz the cosine is at most
 the share of the template's norm on the shared terms.
 
-A file's own licence is its best line's, the first of equal ones. Files with a licence in
+A file's own licence is its best line's, the first of equal ones (empty lines do not
+count). Files with a licence in
 their first ``HEADER_LINES`` lines, and files named like one, speak for their
 directory; of several the best, then that with the smallest path counts. A file
 without a licence inherits that of the nearest ancestor directory that has one:
