@@ -33,7 +33,7 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from wordform.llm.common import map_text, table
 
-MAX_KEPT = 400_000
+MAX_KEPT = 250_000
 #: Longer words are encoded anew each time.
 MAX_KEPT_LENGTH = 256
 
@@ -195,6 +195,11 @@ class Model:
             del kept[w]
         return out
 
+    def forget(self) -> None:
+        """Drop what was kept of words and pairs."""
+        self.kept.clear()
+        self.fits.clear()
+
     def decode(self, ids: bytes) -> str:
         of = self.bytes
         return b"".join([of[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
@@ -243,6 +248,7 @@ def round_trip(df: DataFrame, tokenizer: str, keep: list[str], outputs: list[str
                 got["decoded_sha256"] = [hashlib.sha256(t.encode()).hexdigest() for t in got["decoded"]]
             return {c: pa.array(got[c], _KINDS[c][1]) for c in outputs}
 
+        run.close = model.forget
         return run
 
     return map_text(df, keep, make, ", ".join(f"{c} {_KINDS[c][0]}" for c in outputs), text)

@@ -73,7 +73,8 @@ def map_text(
 ) -> DataFrame:
     """One output row per row: the columns ``keep`` and what ``make()``'s
     function returns for slices of the text column of at most ``CHUNK_BYTES``.
-    ``make`` runs once per task, in the worker."""
+    ``make`` runs once per task, in the worker; the function's ``close``, if it
+    has one, at the task's end."""
     names = [f.name for f in df.sparkSession.createDataFrame([], schema).schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,6 +86,9 @@ def map_text(
                 out = fn(text.slice(a, b - a))
                 cols = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(cols + [out[c] for c in names], names=[*keep, *names])
+        # the worker lives on: give back what only this task needed
+        getattr(fn, "close", int)()
+        pa.default_memory_pool().release_unused()
 
     kept = df.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("_text"))
     full = ", ".join([f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in keep] + [schema])
