@@ -14,8 +14,9 @@ similar sets then share a rare shingle or a pair of one class.
 Candidates come from equal signatures, without emitting all pairs of a list:
 
 1. each list names one member, the one with the fewest rarer shingles before
-   it, and each class is held against the member that most of its lists name;
-   verified links give components;
+   it, and each class is held against the member that most of its lists name, if
+   these are at least half as many as a link needs; verified links give
+   components;
 2. lists that still hold several components pair members of different
    components only. This rest is complete: no link between components is lost.
 
@@ -271,6 +272,8 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str, k: int, percent: i
     # first: every class against the member that most of its lists name
     pivot = written(listed.groupBy("sig").agg(F.min(F.struct("pos", "cid")).alias("p")).select("sig", F.col("p.cid").alias("cid")), "pivots")
     named = pairs(full, pivot.join(about, "cid"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.cid") != F.col("y.cid")))
+    # what shares too little even so is left to the rest, which counts all lists
+    named = named.where(F.col("m") * 2 >= _shared_at_least(percent))
     best = F.struct("m", F.struct("a", "b", "da", "db").alias("pair"))
     named = named.select(F.explode(F.array("a", "b")).alias("cid"), "m", "a", "b", "da", "db").groupBy("cid").agg(F.max(best).alias("best"))
     first = written(named.select("best.pair.*").distinct(), "first-pairs")
