@@ -3,6 +3,8 @@ and vectorised words and shingles over Arrow text buffers."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from wordform.session import cut_lineage, ensure_checkpoint_dir
 
 #: Bytes of text that one vectorised step handles; a longer text is a step of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -40,6 +42,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release() -> None:
+    """Give freed memory back to the system: a Python worker lives on after its
+    task, and what its allocators keep counts against the executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` that releases memory at each task's end."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(task, schema)
+
+
 def text_ranges(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges of at most ``limit`` bytes (or one row)."""
     n, a = len(offsets) - 1, 0
@@ -86,13 +111,11 @@ def map_text(
                 out = fn(text.slice(a, b - a))
                 cols = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(cols + [out[c] for c in names], names=[*keep, *names])
-        # the worker lives on: give back what only this task needed
         getattr(fn, "close", int)()
-        pa.default_memory_pool().release_unused()
 
     kept = df.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("_text"))
     full = ", ".join([f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in keep] + [schema])
-    return kept.mapInArrow(run, full)
+    return map_arrow(kept, run, full)
 
 
 # -- words ------------------------------------------------------------------

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordform.llm.common import ALNUM, Words, shingle_hashes, text_buffer, text_ranges, written
+from wordform.llm.common import ALNUM, Words, map_arrow, shingle_hashes, text_buffer, text_ranges, written
 
 WINDOW = 13
 SHINGLE = 3
@@ -70,7 +70,7 @@ def item_shingles(items: DataFrame, item_id: str, text: str, shingle: int = SHIN
 
     rows = items.select(F.col(item_id).alias("item_id"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["item_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"item_id {kind}, k int, words array<string>, sh array<bigint>").where("k > 0")
+    return map_arrow(rows, run, f"item_id {kind}, k int, words array<string>, sh array<bigint>").where("k > 0")
 
 
 def item_windows(shingled: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -142,7 +142,7 @@ def _segments(docs: DataFrame, known: dict[int, np.ndarray], least: dict[int, in
     keyed = "row_key" in docs.columns
     rows = docs.select("doc_id", "text", *["row_key"] * keyed)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row_key bigint, doc_id {kind}, n_words bigint, segs {_SEG}")
+    return map_arrow(rows, run, f"row_key bigint, doc_id {kind}, n_words bigint, segs {_SEG}")
 
 
 def decontaminate(

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordform.llm.common import _LOWER, fold, map_text, table, text_buffer
+from wordform.llm.common import _LOWER, fold, map_arrow, map_text, table, text_buffer
 
 LENGTH = 256
 WIDTHS = (2, 4, 6)
@@ -164,7 +164,7 @@ def fit(docs: DataFrame, text: str, lang: str, seed: int = 7) -> tuple[list[str]
                     rows.append(data[a + j * LENGTH : min(a + j * LENGTH + LENGTH + PAD, b)].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(rows, pa.binary())], names=["lang", "bytes"])
 
-    rows = sorted(sample.mapInArrow(cut, "lang string, bytes binary").collect(), key=lambda r: (bytes(r["bytes"]), r["lang"]))
+    rows = sorted(map_arrow(sample, cut, "lang string, bytes binary").collect(), key=lambda r: (bytes(r["bytes"]), r["lang"]))
     if not rows:
         return None
     x = np.zeros((len(rows), LENGTH + PAD), np.uint8)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordform.llm.common import ALNUM, Words, byte_table, map_text, table, text_buffer, text_ranges, written
+from wordform.llm.common import ALNUM, Words, byte_table, map_arrow, map_text, table, text_buffer, text_ranges, written
 
 WINDOW = 32
 LEAST = 0.5
@@ -81,7 +81,7 @@ def bucket_frequencies(df: DataFrame) -> tuple[np.ndarray, int]:
         full = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array(counts[full], pa.int64())], names=["bucket", "n"])
 
-    rows = df.select("text").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = map_arrow(df.select("text"), run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros((1 << BITS) + 1, np.int64)
     counts[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return counts[:-1], int(counts[-1])

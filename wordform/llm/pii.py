@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordform.llm.common import map_text, table
+from wordform.llm.common import map_arrow, map_text, table
 
 KINDS = ("email", "ip", "card", "phone")
 #: Tokens of a span at most, tokens of context on either side of a trigger.
@@ -347,7 +347,7 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, seed: int = 5
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(golds, gold_type)], names=["text", "gold"])
 
     gold_type = pa.list_(pa.struct([("s", pa.int32()), ("k", pa.int32()), ("e", pa.int32())]))
-    rows = some.mapInArrow(cut, "text string, gold array<struct<s:int,k:int,e:int>>").collect()
+    rows = map_arrow(some, cut, "text string, gold array<struct<s:int,k:int,e:int>>").collect()
     found = sorted((r["text"], [(g["s"], g["k"], g["e"]) for g in r["gold"]]) for r in rows)
     random.Random(seed).shuffle(found)
     return Field().fit(training_set(found[: 2 * sample], seed))

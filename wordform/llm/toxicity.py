@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordform.llm.common import ALNUM, Words, fold, map_text, table, text_buffer, text_ranges, written
+from wordform.llm.common import ALNUM, Words, fold, map_arrow, map_text, table, text_buffer, text_ranges, written
 from wordform.llm.labelled import labelled_sample
 
 SAMPLE = 5000
@@ -64,7 +64,7 @@ def word_counts(df: DataFrame, extra: str | None = None) -> DataFrame:
 
     rows = df.select(F.coalesce(F.col("text").cast("string"), F.lit("")), F.col(extra) if extra else F.lit(0))
     by = ["word", "kind"] if extra else ["word"]
-    return rows.mapInArrow(run, "word string, kind int, n bigint").groupBy(*by).agg(F.sum("n").alias("n"))
+    return map_arrow(rows, run, "word string, kind int, n bigint").groupBy(*by).agg(F.sum("n").alias("n"))
 
 
 def segments(scores: np.ndarray, at: np.ndarray) -> list[tuple[int, int, float]]:
@@ -208,7 +208,7 @@ def fit(sample: DataFrame, corpus: DataFrame) -> Model | None:
                 names=["label", "n", "scores"],
             )
 
-    rows = sorted(sample.select("text", "label").mapInArrow(best, "label int, n bigint, scores array<double>").collect())
+    rows = sorted(map_arrow(sample.select("text", "label"), best, "label int, n bigint, scores array<double>").collect())
     clean = [r for r in rows if r["label"] == 0]
     least = DRIFT
     above = sum(s >= least for r in clean for s in r["scores"])
