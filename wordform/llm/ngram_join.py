@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordform.llm.common import NON_SPACE, Words, mix, shingle_hashes, table, text_buffer, text_ranges, written
+from wordform.llm.common import NON_SPACE, Words, map_arrow, mix, shingle_hashes, table, text_buffer, text_ranges, written
 from wordform.llm.graph import components
 from wordform.session import cut_scope
 
@@ -77,7 +77,7 @@ def bucket_counts(docs: DataFrame, k: int) -> np.ndarray:
         full = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array(counts[full], pa.int64())], names=["bucket", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = map_arrow(docs.select("text"), run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(1 << BITS, np.int64)
     counts[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return counts
@@ -175,7 +175,7 @@ def sketches(docs: DataFrame, k: int, percent: int, rank: np.ndarray, frequent:
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {_SKETCH}")
+    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, {_SKETCH}")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -205,7 +205,7 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return with_texts.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint")
+    return map_arrow(with_texts.select("a", "b", "ta", "tb"), run, "a bigint, b bigint")
 
 
 def _likely(percent: int) -> Column:
@@ -219,12 +219,12 @@ def _likely(percent: int) -> Column:
 
 
 def _shared_at_least(percent: int) -> Column:
-    """Signatures that similar classes a, b share: of the prefix that ends first,
+    """Signatures that similar classes x, y share: of the prefix that ends first,
     ``n - least overlap + 1`` long, at most ``n - overlap`` are not in the
     other's. One if frequent shingles take part in a prefix."""
-    overlap = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / F.lit(100 + percent))
-    least = overlap - F.ceil(F.lit(percent) * F.greatest("na", "nb") / F.lit(100)) + 1
-    return F.when(F.col("plain"), F.greatest(least, F.lit(1))).otherwise(1)
+    overlap = F.ceil(F.lit(percent) * (F.col("x.n") + F.col("y.n")) / F.lit(100 + percent))
+    least = overlap - F.ceil(F.lit(percent) * F.greatest("x.n", "y.n") / F.lit(100)) + 1
+    return F.when(F.col("x.plain") & F.col("y.plain"), F.greatest(least, F.lit(1))).otherwise(1)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -257,31 +257,31 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str, k: int, percent: i
     if shared.count() <= MAX_BROADCAST_SIGNATURES:
         shared = F.broadcast(shared)
     listed = written(listed.join(shared, "sig", "left_semi"), "listed")
-    about = classes.select("cid", "n", "plain", "p0", "p1", "p2", "p3", "digest")
-    full = written(listed.join(about, "cid"), "lists")
-
-    def pairs(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
-        """Candidates (a, b, ...) of lists that hold both, with the number of such lists."""
-        swap = F.col("x.cid") > F.col("y.cid")
-        pick = lambda c, first: F.when(swap == F.lit(first), F.col(f"y.{c}")).otherwise(F.col(f"x.{c}"))
-        one = [pick(c, True).alias(f"{k}a") for c, k in (("cid", "c"), ("n", "n"), ("digest", "d"))]
-        two = [pick(c, False).alias(f"{k}b") for c, k in (("cid", "c"), ("n", "n"), ("digest", "d"))]
-        found = left.alias("x").join(right.alias("y"), on & _likely(percent)).select(*one, *two, (F.col("x.plain") & F.col("y.plain")).alias("plain"))
-        return found.groupBy(F.col("ca").alias("a"), F.col("cb").alias("b"), "na", "nb", "da", "db", "plain").agg(F.count("*").alias("m"))
-
-    # first: every class against the member that most of its lists name
-    pivot = written(listed.groupBy("sig").agg(F.min(F.struct("pos", "cid")).alias("p")).select("sig", F.col("p.cid").alias("cid")), "pivots")
-    named = pairs(full, pivot.join(about, "cid"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.cid") != F.col("y.cid")))
+    sizes = classes.select("cid", "n", "plain", "p0", "p1", "p2", "p3")
+    digests = classes.select("cid", "digest")
+
+    # first: every class against the member that most of its lists name, counted on narrow rows
+    pivot = listed.groupBy("sig").agg(F.min(F.struct("pos", "cid")).alias("p")).select("sig", F.col("p.cid").alias("pid"))
+    named = written(listed.join(written(pivot, "pivots"), "sig").where("cid <> pid").groupBy(F.col("cid").alias("own"), "pid").agg(F.count("*").alias("m")), "named")
+    x, y = sizes.alias("x"), sizes.alias("y")
+    named = named.join(x, F.col("own") == F.col("x.cid")).join(y, F.col("pid") == F.col("y.cid"))
+    named = named.where(_likely(percent) & (F.col("m") * 2 >= _shared_at_least(percent)))
     # what shares too little even so is left to the rest, which counts all lists
-    named = named.where(F.col("m") * 2 >= _shared_at_least(percent))
-    best = F.struct("m", F.struct("a", "b", "da", "db").alias("pair"))
-    named = named.select(F.explode(F.array("a", "b")).alias("cid"), "m", "a", "b", "da", "db").groupBy("cid").agg(F.max(best).alias("best"))
-    first = written(named.select("best.pair.*").distinct(), "first-pairs")
-    links = written(verify(first, texts, k, percent), "links")
+    pair = F.struct(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b"))
+    named = named.select("m", pair.alias("pair")).select(F.explode(F.array("pair.a", "pair.b")).alias("cid"), F.struct("m", "pair").alias("best"))
+    first = written(named.groupBy("cid").agg(F.max("best").alias("best")).select("best.pair.*").distinct(), "first-pairs")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        """The similar ones of pairs (a, b)."""
+        named = pairs.join(digests.select(F.col("cid").alias("a"), F.col("digest").alias("da")), "a")
+        named = written(named.join(digests.select(F.col("cid").alias("b"), F.col("digest").alias("db")), "b"), "pairs")
+        return verify(named.select("a", "b", "da", "db"), texts, k, percent)
+
+    links = written(compared(first), "links")
     grouped = written(components(links), "components")
     # then: the rest between different components of one list
     lists = written(
-        full.join(grouped, F.col("cid") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "cid")).drop("node", "component"), "rest"
+        listed.join(grouped, F.col("cid") == F.col("node"), "left").select("sig", "pos", "cid", F.coalesce("component", "cid").alias("comp")), "lists"
     )
     main = (
         lists.groupBy("sig")
@@ -289,15 +289,20 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str, k: int, percent: i
         .where("lo <> hi")
         .select("sig", F.col("p.comp").alias("main"))
     )
-    lists = written(lists.join(main, "sig"), "open")
-    minor = lists.where("comp <> main")
-    rest = pairs(
-        minor,
-        lists,
-        (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.cid") < F.col("y.cid"))),
+    lists = written(lists.drop("pos").join(main, "sig"), "open-lists")
+    lists = written(lists.join(sizes, "cid"), "open")
+    together = (
+        (F.col("x.sig") == F.col("y.sig"))
+        & (F.col("x.comp") != F.col("y.comp"))
+        & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.cid") < F.col("y.cid")))
+        & _likely(percent)
+    )
+    rest = lists.where("comp <> main").alias("x").join(lists.alias("y"), together)
+    rest = rest.groupBy(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).agg(
+        F.count("*").alias("m"), F.first(_shared_at_least(percent)).alias("least")
     )
-    rest = written(rest.where(F.col("m") >= _shared_at_least(percent)), "rest-pairs")
-    more = verify(rest.join(first.select("a", "b"), ["a", "b"], "left_anti"), texts, k, percent)
+    rest = written(rest.where("m >= least").select("a", "b"), "rest-pairs")
+    more = compared(rest.join(first, ["a", "b"], "left_anti"))
     # links of the rest join components, not single classes: contract first
     node = grouped.select("node", "component")
     joined = (
