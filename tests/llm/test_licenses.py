@@ -86,3 +86,22 @@ def test_query_finds_every_notice(spark):
     for r in rows:
         mine = {k for k, v in notices.items() if v in (texts[r["doc_id"]] or "")}
         assert (r["license"] in mine) if mine else r["origin"] != "own"
+
+
+def test_notices_in_the_middle_of_long_lines(spark):
+    around = " ".join(f"plain{i}" for i in range(40))
+    texts = [f"{around} {notice} {around}" for _, notice in TEMPLATES] + [f"{around} the rights of a public work under this license {around}", f"{around} all the {around} rights {around} reserved {around}"]
+    df = spark.createDataFrame([(i, f"d{i}/x", t, "x", 1) for i, t in enumerate(texts)], SCHEMA)
+    got = {r["id"]: (r["license"], r["score"]) for r in scan(df, keep=["id"], stretches=True).collect()}
+    for i, (name, _) in enumerate(TEMPLATES):
+        assert got[i][0] == name and got[i][1] > 0.9
+    assert got[len(TEMPLATES)] == got[len(TEMPLATES) + 1] == (None, 0.0)
+
+
+def test_query_finds_notices_in_running_text(spark, tmp_path):
+    around = " ".join(f"plain{i}" for i in range(40))
+    notices = ["Released under the MIT License", "All rights reserved", "Licensed under the Apache License, Version 2.0", "nothing of this kind"]
+    docs = spark.createDataFrame([(i * 11 + 10, f"{around} {n} {around}", f"l{i}", f"s{i}") for i, n in enumerate(notices)], "doc_id long, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = [r["license"] for r in op7_licenses(spark, str(tmp_path)).orderBy("doc_id").collect()]
+    assert got == ["MIT", "Proprietary", "Apache-2.0", None]

@@ -7,6 +7,13 @@ bucket of words, so any word has one. A line is only scored if the templates'
 terms in it could reach ``least``: by Cauchy and Schwarz the cosine is at most
 the share of the template's norm on the shared terms.
 
+With ``stretches``, notices within a longer line count too: from every template
+term, the stretches of the line that end at another and are at most as long as
+the template and ``slack`` words more are scored by their own cosine, whatever
+stands before and after them. A stretch holds at least half of the template's
+terms, and ``FEW`` of them or all. Candidates come from exact counts of distinct
+terms per pair of neighbouring blocks of that length.
+
 A file's own licence is its best line's, the first of equal ones (empty lines do not
 count). Files with a licence in
 their first ``HEADER_LINES`` lines, and files named like one, speak for their
@@ -33,6 +40,8 @@ from wordform.llm.common import ALNUM, Words, byte_table, map_arrow, map_text, t
 
 WINDOW = 32
 LEAST = 0.5
+#: Distinct terms of a template (all of a smaller one) that a stretch of running text holds at least.
+FEW = 4
 BITS = 18
 _MASK = np.uint64((1 << BITS) - 1)
 _LINE = byte_table(lambda b: b != 0x0A)
@@ -87,6 +96,11 @@ def bucket_frequencies(df: DataFrame) -> tuple[np.ndarray, int]:
     return counts[:-1], int(counts[-1])
 
 
+def slack(length: int) -> int:
+    """Words that may stand between those of a notice of ``length`` words."""
+    return max(FEW, length // 4)
+
+
 def _hashes(text: str) -> np.ndarray:
     raw = np.frombuffer(text.encode(), np.uint8)
     return Words(raw, np.array([0, len(raw)]), ALNUM).hashes()
@@ -107,6 +121,7 @@ class Matcher:
             term, tf = np.unique(h, return_counts=True)
             v = tf * self._weight(term)
             self.vectors[np.searchsorted(self.terms, term), t] = v / math.sqrt((v * v).sum())
+        self.lengths = [len(h) for h in hashed]
         self.bits = np.zeros(1 << 16, dtype=bool)
         self.bits[(self.terms & np.uint64(0xFFFF)).astype(np.int64)] = True
 
@@ -123,8 +138,45 @@ class Matcher:
         t = int(cosines.argmax())
         return float(cosines[t]), t
 
-    def match(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[str | None, float, int | None]]:
-        """Per text: licence, cosine and line number of its best line."""
+    def stretches(self, h: np.ndarray, at: np.ndarray, term: np.ndarray, stop: np.ndarray) -> Iterator[tuple[int, float, int]]:
+        """(first word, cosine, template) of the best stretch from each word
+        ``at`` that is a template's ``term`` and has enough of its terms after
+        it, before the word ``stop``."""
+        for t, length in enumerate(self.lengths):
+            mine = self.vectors[term, t] > 0
+            p, e, x = at[mine], stop[mine], term[mine]
+            m = int((self.vectors[:, t] > 0).sum())
+            need = min(m, max(FEW, -(-m // 2)))
+            reach = length + slack(length)
+            # a stretch lies in two neighbouring blocks: each term of a block counts for it and the one before
+            block = p // reach
+            pair = np.unique(np.concatenate([block, np.maximum(block - 1, 0)]) * len(self.terms) + np.concatenate([x, x]))
+            full, n = np.unique(pair // len(self.terms), return_counts=True)
+            full = full[n >= need]
+            if not len(full):
+                continue
+            found = full[np.minimum(np.searchsorted(full, block), len(full) - 1)] == block
+            own = dict(zip(self.terms.tolist(), self.vectors[:, t].tolist()))
+            for a, end in zip(p[found].tolist(), np.minimum(p + reach, e)[found].tolist()):
+                words = h[a:end]
+                tf: dict[int, int] = {}
+                dot = norm = best = 0.0
+                held = 0
+                for word, w in zip(words.tolist(), self._weight(words).tolist()):
+                    k = tf.get(word, 0)
+                    tf[word] = k + 1
+                    norm += w * w * (2 * k + 1)
+                    v = own.get(word, 0.0)
+                    if v:
+                        dot += w * v
+                        held += k == 0
+                        if held >= need:
+                            best = max(best, dot / math.sqrt(norm))
+                if best >= self.least:
+                    yield a, best, t
+
+    def match(self, data: np.ndarray, offsets: np.ndarray, stretches: bool = False) -> list[tuple[str | None, float, int | None]]:
+        """Per text: licence, cosine and line number of its best line, or stretch of a line."""
         w = Words(data, offsets, ALNUM)
         lines = Words(data, offsets, _LINE)
         h = w.hashes()
@@ -133,6 +185,7 @@ class Matcher:
         term = np.minimum(np.searchsorted(self.terms, h[at]), len(self.terms) - 1)
         hit = self.terms[term] == h[at]
         at, term = at[hit], term[hit]
+        all_terms = term
         if not len(at):
             return out
         line = np.searchsorted(lines.starts, w.starts[at], side="right") - 1
@@ -149,17 +202,24 @@ class Matcher:
                 score, t = self.best(h[x : min(x + WINDOW, b)])
                 if score >= self.least and score > out[d][1] + 1e-12:
                     out[d] = (self.names[t], score, k - int(lines.ptr[d]))
+        if stretches:
+            for a, score, t in self.stretches(h, at, all_terms, np.searchsorted(w.starts, lines.ends[line])):
+                k = int(np.searchsorted(lines.starts, w.starts[a], side="right")) - 1
+                d = int(np.searchsorted(lines.ptr, k, side="right")) - 1
+                k -= int(lines.ptr[d])
+                if score > out[d][1] + 1e-12 or (score > out[d][1] - 1e-12 and k < out[d][2]):
+                    out[d] = (self.names[t], score, k)
         return out
 
 
-def own_licenses(files: DataFrame, templates: list[tuple[str, str]], least: float = LEAST) -> DataFrame:
+def own_licenses(files: DataFrame, templates: list[tuple[str, str]], least: float = LEAST, stretches: bool = False) -> DataFrame:
     """(row, path, license, score, line) of each row of ``files`` (row, path, text)."""
     counts, n = bucket_frequencies(files)
     shared = files.sparkSession.sparkContext.broadcast(Matcher(templates, counts, n, least))
 
     def make() -> Callable[[pa.Array], dict[str, pa.Array]]:
         def run(texts: pa.Array) -> dict[str, pa.Array]:
-            found = shared.value.match(*text_buffer(texts))
+            found = shared.value.match(*text_buffer(texts), stretches)
             return {
                 "license": pa.array([x[0] for x in found], pa.string()),
                 "score": pa.array([x[1] for x in found], pa.float64()),
@@ -215,14 +275,15 @@ def inherit(own: DataFrame) -> DataFrame:
     )
 
 
-def scan(files: DataFrame, path: str | Column = "path", text: str = "text", keep: list[str] | None = None, templates: list[tuple[str, str]] | None = None, least: float = LEAST) -> DataFrame:
+def scan(files: DataFrame, path: str | Column = "path", text: str = "text", keep: list[str] | None = None, templates: list[tuple[str, str]] | None = None, least: float = LEAST, stretches: bool = False) -> DataFrame:
     """Per row of ``files``: the columns ``keep``, path, license (in force),
-    score, line (of the own one), origin and from_path."""
+    score, line (of the own one), origin and from_path. ``stretches`` looks
+    within longer lines too; without it only lines and their windows count."""
     where = F.col(path) if isinstance(path, str) else path
     kept = F.struct(*[F.col(c) for c in keep or []]) if keep else F.struct(F.lit(None).alias("none"))
     rows = files.select(kept.alias("kept"), where.cast("string").alias("path"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     # a row's name must hold between the scans: it goes with what is written first
-    own = own_licenses(rows.select(F.struct("kept", F.monotonically_increasing_id().alias("id")).alias("row"), "path", "text"), templates or TEMPLATES, least)
+    own = own_licenses(rows.select(F.struct("kept", F.monotonically_increasing_id().alias("id")).alias("row"), "path", "text"), templates or TEMPLATES, least, stretches)
     own = written(own.select(F.col("row.id").alias("row"), F.col("row.kept").alias("kept"), "path", "license", "score", "line"), "licenses")
     found = inherit(own.drop("kept"))
     return own.select("row", "kept").join(found, "row").select(*[F.col(f"kept.`{c}`").alias(c) for c in keep or []], "path", "license", "score", "line", "origin", "from_path")
@@ -234,4 +295,4 @@ def op7_licenses(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     digits = F.array_join(F.split(F.col("doc_id").cast("string"), ""), "/")
     path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), digits)
-    return scan(docs, F.when(F.col("doc_id").isNotNull(), path), keep=["doc_id"])
+    return scan(docs, F.when(F.col("doc_id").isNotNull(), path), keep=["doc_id"], stretches=True)
