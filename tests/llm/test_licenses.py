@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from wordform.llm.common import ALNUM, Words
-from wordform.llm.licenses import TEMPLATES, bucket_frequencies, op7_licenses, scan
+from wordform.llm.licenses import HEADERS, TEMPLATES, bucket_frequencies, license_texts, op7_licenses, scan
 
 SCHEMA = "id long, path string, text string, license string, row int"
 
@@ -105,3 +105,17 @@ def test_query_finds_notices_in_running_text(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     got = [r["license"] for r in op7_licenses(spark, str(tmp_path)).orderBy("doc_id").collect()]
     assert got == ["MIT", "Proprietary", "Apache-2.0", None]
+
+
+def test_headers_and_licence_files(spark, tmp_path):
+    prose = "\n".join(" ".join(f"plain{i * j}" for i in range(8)) for j in range(60))
+    wrap = lambda t, n: "\n".join(" * " + " ".join(t.split()[i : i + n]) for i in range(0, len(t.split()), n))
+    texts = [(name, "/*\n * Copyright (c) Someone. All rights reserved.\n *\n" + wrap(t, 7) + "\n */\n" + prose) for name, t in HEADERS]
+    texts += [(name, t) for name, t in license_texts()]
+    texts += [(name, "All rights reserved by Someone\n\n" + " ".join(t.split())) for name, t in license_texts()]
+    texts += [("Apache-2.0", "words before, licensed under the Apache\nLicense, Version 2.0, and after\n" + prose), (None, prose)]
+    docs = spark.createDataFrame([(i * 11 + 10, t, f"l{i}", f"s{i}") for i, (_, t) in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = [(r["license"], r["score"]) for r in op7_licenses(spark, str(tmp_path)).orderBy("doc_id").collect()]
+    assert [g[0] for g in got] == [name for name, _ in texts]
+    assert all(score > 0.9 for _, score in got[:-2])

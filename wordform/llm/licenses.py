@@ -7,12 +7,15 @@ bucket of words, so any word has one. A line is only scored if the templates'
 terms in it could reach ``least``: by Cauchy and Schwarz the cosine is at most
 the share of the template's norm on the shared terms.
 
-With ``stretches``, notices within a longer line count too: from every template
-term, the stretches of the line that end at another and are at most as long as
-the template and ``slack`` words more are scored by their own cosine, whatever
-stands before and after them. A stretch holds at least half of the template's
-terms, and ``FEW`` of them or all. Candidates come from exact counts of distinct
-terms per pair of neighbouring blocks of that length.
+With ``stretches``, notices within longer lines and over line ends count too:
+from every template term, the stretches of the text that end at another and are
+at most as long as the template and ``slack`` words more are scored by their own
+cosine, whatever stands before and after them. A stretch holds at least half of
+the template's terms, and ``FEW`` of them or all. Candidates come from exact
+counts of distinct terms per pair of neighbouring blocks of that length. Headers
+(``HEADERS``) are found in the same way, and every whole text is scored against
+the texts of licences in ``data/licenses``, by the same bound; the best of these
+two decides over lines and notices from ``HEADER_LEAST`` and ``WHOLE_LEAST``.
 
 A file's own licence is its best line's, the first of equal ones (empty lines do not
 count). Files with a licence in
@@ -29,6 +32,7 @@ read."""
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -40,6 +44,9 @@ from wordform.llm.common import ALNUM, Words, byte_table, map_arrow, map_text, t
 
 WINDOW = 32
 LEAST = 0.5
+#: Cosines from which a header or a whole text decides over single lines.
+HEADER_LEAST, WHOLE_LEAST = 0.7, 0.8
+LICENSE_TEXTS = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "data", "licenses")
 #: Distinct terms of a template (all of a smaller one) that a stretch of running text holds at least.
 FEW = 4
 BITS = 18
@@ -70,6 +77,20 @@ TEMPLATES = [
     ("Proprietary", "All rights reserved"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
 ]
+_GNU = (
+    "This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} License"
+    " as published by the Free Software Foundation, either version {2} of the License, or (at your option) any later version"
+)
+# What the headers of files say.
+HEADERS = [
+    ("AGPL-3.0", _GNU.format("program", "Affero General Public", "3")),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'),
+    ("GPL-2.0", _GNU.format("program", "General Public", "2")),
+    ("GPL-3.0", _GNU.format("program", "General Public", "3")),
+    ("LGPL-2.1", _GNU.format("library", "Lesser General Public", "2.1")),
+    ("LGPL-3.0", _GNU.format("library", "Lesser General Public", "3")),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"),
+]
 LICENSE_NAMES = "(?i)^(licen[cs]e|copying|notice)([._-].*)?$"
 
 
@@ -96,6 +117,15 @@ def bucket_frequencies(df: DataFrame) -> tuple[np.ndarray, int]:
     return counts[:-1], int(counts[-1])
 
 
+def license_texts() -> list[tuple[str, str]]:
+    """(licence, its whole text), from the files in ``LICENSE_TEXTS``."""
+    out = []
+    for name in sorted(os.listdir(LICENSE_TEXTS)):
+        with open(os.path.join(LICENSE_TEXTS, name), encoding="utf-8") as f:
+            out.append((name.removesuffix(".txt"), f.read()))
+    return out
+
+
 def slack(length: int) -> int:
     """Words that may stand between those of a notice of ``length`` words."""
     return max(FEW, length // 4)
@@ -112,6 +142,8 @@ class Matcher:
     def __init__(self, templates: list[tuple[str, str]], counts: np.ndarray, n: int, least: float):
         self.idf = np.log((1 + n) / (1 + counts)) + 1
         self.least = least
+        self.headers: Matcher | None = None
+        self.whole: Matcher | None = None
         templates = sorted(templates)
         self.names = [name for name, _ in templates]
         hashed = [_hashes(text) for _, text in templates]
@@ -125,6 +157,12 @@ class Matcher:
         self.bits = np.zeros(1 << 16, dtype=bool)
         self.bits[(self.terms & np.uint64(0xFFFF)).astype(np.int64)] = True
 
+    def with_blocks(self, headers: Matcher, whole: Matcher) -> Matcher:
+        """Look for headers and whole texts too."""
+        headers.idf = whole.idf = self.idf
+        self.headers, self.whole = headers, whole
+        return self
+
     def _weight(self, h: np.ndarray) -> np.ndarray:
         return self.idf[(h & _MASK).astype(np.int64)]
 
@@ -138,6 +176,19 @@ class Matcher:
         t = int(cosines.argmax())
         return float(cosines[t]), t
 
+    def found(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words that are template terms, and their terms."""
+        at = np.flatnonzero(self.bits[(h & np.uint64(0xFFFF)).astype(np.int64)])
+        term = np.minimum(np.searchsorted(self.terms, h[at]), len(self.terms) - 1)
+        hit = self.terms[term] == h[at]
+        return at[hit], term[hit]
+
+    def likely(self, which: np.ndarray, term: np.ndarray) -> np.ndarray:
+        """Those of ``which`` (sorted, each term once) whose terms hold enough of a template's norm."""
+        some, first = np.unique(which, return_index=True)
+        held = np.add.reduceat(self.vectors[term] ** 2, first, axis=0)
+        return some[held.max(axis=1) >= self.least**2 * (1 - 1e-9)]
+
     def stretches(self, h: np.ndarray, at: np.ndarray, term: np.ndarray, stop: np.ndarray) -> Iterator[tuple[int, float, int]]:
         """(first word, cosine, template) of the best stretch from each word
         ``at`` that is a template's ``term`` and has enough of its terms after
@@ -176,25 +227,20 @@ class Matcher:
                     yield a, best, t
 
     def match(self, data: np.ndarray, offsets: np.ndarray, stretches: bool = False) -> list[tuple[str | None, float, int | None]]:
-        """Per text: licence, cosine and line number of its best line, or stretch of a line."""
+        """Per text: licence, cosine and line number of its best line, or of its best header, whole text or stretch."""
         w = Words(data, offsets, ALNUM)
         lines = Words(data, offsets, _LINE)
         h = w.hashes()
         out: list[tuple[str | None, float, int | None]] = [(None, 0.0, None)] * (len(offsets) - 1)
-        at = np.flatnonzero(self.bits[(h & np.uint64(0xFFFF)).astype(np.int64)])
-        term = np.minimum(np.searchsorted(self.terms, h[at]), len(self.terms) - 1)
-        hit = self.terms[term] == h[at]
-        at, term = at[hit], term[hit]
-        all_terms = term
+        at, term = self.found(h)
         if not len(at):
             return out
+        all_terms = term
         line = np.searchsorted(lines.starts, w.starts[at], side="right") - 1
         # lines whose shared terms hold enough of a template's norm, each term once
         pair = np.unique(line * len(self.terms) + term)
         which, term = np.divmod(pair, len(self.terms))
-        some, first = np.unique(which, return_index=True)
-        held = np.add.reduceat(self.vectors[term] ** 2, first, axis=0)
-        some = some[(held.max(axis=1) >= self.least**2 * (1 - 1e-9))]
+        some = self.likely(which, term)
         words_of = np.searchsorted(w.starts, np.stack([lines.starts[some], lines.ends[some]]))
         doc = np.searchsorted(lines.ptr, some, side="right") - 1
         for k, d, a, b in zip(some.tolist(), doc.tolist(), words_of[0].tolist(), words_of[1].tolist()):
@@ -202,20 +248,50 @@ class Matcher:
                 score, t = self.best(h[x : min(x + WINDOW, b)])
                 if score >= self.least and score > out[d][1] + 1e-12:
                     out[d] = (self.names[t], score, k - int(lines.ptr[d]))
-        if stretches:
-            for a, score, t in self.stretches(h, at, all_terms, np.searchsorted(w.starts, lines.ends[line])):
-                k = int(np.searchsorted(lines.starts, w.starts[a], side="right")) - 1
-                d = int(np.searchsorted(lines.ptr, k, side="right")) - 1
-                k -= int(lines.ptr[d])
-                if score > out[d][1] + 1e-12 or (score > out[d][1] - 1e-12 and k < out[d][2]):
-                    out[d] = (self.names[t], score, k)
+        if not stretches:
+            return out
+
+        def place(a: int) -> tuple[int, int]:
+            """Text and line of a word."""
+            k = int(np.searchsorted(lines.starts, w.starts[a], side="right")) - 1
+            d = int(np.searchsorted(lines.ptr, k, side="right")) - 1
+            return d, k - int(lines.ptr[d])
+
+        def better(new: tuple[str, float, int], old: tuple[str | None, float, int | None]) -> bool:
+            return old[0] is None or new[1] > old[1] + 1e-12 or (new[1] > old[1] - 1e-12 and new[2] < old[2])
+
+        stop = lambda at: w.ptr[np.searchsorted(w.ptr, at, side="right")]
+        for a, score, t in self.stretches(h, at, all_terms, stop(at)):
+            d, k = place(a)
+            if better((self.names[t], score, k), out[d]):
+                out[d] = (self.names[t], score, k)
+        if self.headers is None:
+            return out
+        # headers and whole texts: the best of these decides over lines
+        blocks: dict[int, tuple[str, float, int]] = {}
+        at, term = self.headers.found(h)
+        for a, score, t in self.headers.stretches(h, at, term, stop(at)) if len(at) else ():
+            d, k = place(a)
+            if better((self.headers.names[t], score, k), blocks.get(d, (None, 0.0, None))):
+                blocks[d] = (self.headers.names[t], score, k)
+        at, term = self.whole.found(h)
+        pair = np.unique((np.searchsorted(w.ptr, at, side="right") - 1) * len(self.whole.terms) + term)
+        for d in self.whole.likely(*np.divmod(pair, len(self.whole.terms))).tolist() if len(pair) else ():
+            score, t = self.whole.best(h[w.ptr[d] : w.ptr[d + 1]])
+            if score >= self.whole.least and score > blocks.get(d, (None, 0.0, None))[1] + 1e-12:
+                blocks[d] = (self.whole.names[t], score, 0)
+        for d, found in blocks.items():
+            out[d] = found
         return out
 
 
 def own_licenses(files: DataFrame, templates: list[tuple[str, str]], least: float = LEAST, stretches: bool = False) -> DataFrame:
     """(row, path, license, score, line) of each row of ``files`` (row, path, text)."""
     counts, n = bucket_frequencies(files)
-    shared = files.sparkSession.sparkContext.broadcast(Matcher(templates, counts, n, least))
+    matcher = Matcher(templates, counts, n, least)
+    if stretches:
+        matcher = matcher.with_blocks(Matcher(HEADERS, counts, n, HEADER_LEAST), Matcher(license_texts(), counts, n, WHOLE_LEAST))
+    shared = files.sparkSession.sparkContext.broadcast(matcher)
 
     def make() -> Callable[[pa.Array], dict[str, pa.Array]]:
         def run(texts: pa.Array) -> dict[str, pa.Array]:
@@ -278,7 +354,8 @@ def inherit(own: DataFrame) -> DataFrame:
 def scan(files: DataFrame, path: str | Column = "path", text: str = "text", keep: list[str] | None = None, templates: list[tuple[str, str]] | None = None, least: float = LEAST, stretches: bool = False) -> DataFrame:
     """Per row of ``files``: the columns ``keep``, path, license (in force),
     score, line (of the own one), origin and from_path. ``stretches`` looks
-    within longer lines too; without it only lines and their windows count."""
+    within longer lines, over line ends, at headers and at whole texts too;
+    without it only lines and their windows count."""
     where = F.col(path) if isinstance(path, str) else path
     kept = F.struct(*[F.col(c) for c in keep or []]) if keep else F.struct(F.lit(None).alias("none"))
     rows = files.select(kept.alias("kept"), where.cast("string").alias("path"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
