@@ -105,3 +105,18 @@ def test_query_keeps_base_spans(spark):
         assert r["base_sha256"] == hashlib.sha256(digest(base).encode()).hexdigest()
         assert [r[f"n_{k}"] for k in KINDS] == [sum(x[1] == i for x in base) for i in range(4)]
         assert set(filter(None, digest(base).split(","))) <= set(r["spans"].split(","))
+
+
+FORMS = ["anna.meyer at example.com", "anna at example.com", "anna {at} example.com", "anna [AT] example.com", "anna ( at ) example.com", "anna(AT)example.com",
+         "anna {  at  } example.com", "anna [at] example [dot] com", "anna{dot}meyer{at}example{dot}com", "anna At example Dot com", "anna ( AT ) example ( DOT ) com"]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_spelled_out_addresses_without_digits(form, field):
+    text = f"Wer mehr wissen will, schreibt an {form} und wartet."
+    start = text.index(form)
+    base, spans = find(text, field)
+    assert not base
+    assert any(k == 0 and s < start + len(form) and e == start + len(form) for s, k, e in spans), spans
+    assert "example" not in masked(text, spans)
+    assert find("Sie kam at last, dot by dot, und ging.", field) == ([], [])

@@ -1,7 +1,8 @@
 """Personal data: base patterns and a semi-Markov conditional random field.
 
 The base patterns (e-mail, IP address, card, phone) are matched over the whole
-text. Around every digit, ``@`` and spelled-out ``at``/``dot`` a region of tokens
+text. Around every digit, ``@`` and spelled-out ``at``/``dot`` (in any case: in
+brackets, ``dot`` as a word, ``at`` before a name with dots or a ``dot``) a region of tokens
 is cut; the field scores whole candidate spans of it (at most ``SPAN`` tokens)
 by features of the span as a unit: its shape, digits, check digit, separators,
 the characters beside it and the word before it. A forward-backward pass over
@@ -12,7 +13,8 @@ that overlap no base span are added; base spans always stay.
 It is learned from base spans of a bounded sample of regions (``SAMPLE``, those
 of the documents with the smallest hashes) and from rewritings of them that the
 base patterns miss (spelled-out e-mails, defanged addresses, grouped cards,
-phones without ``+``); digits that no base pattern takes teach it what to leave.
+phones without ``+``), half of the e-mails without digits; digits that no base
+pattern takes, and words around ``at`` alone, teach it what to leave.
 
 Null and empty texts have no spans. Repeated rows are judged alike. Offsets are
 code points, ends exclusive. Other columns are not read."""
@@ -92,16 +94,18 @@ def base_spans(text: str) -> list[Span]:
 # -- regions and span features --------------------------------------------------
 
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
-_SPELLED = re.compile(r"[\[({] ?(?:at|dot) ?[\])}]|\b(?:at|AT)\b(?=.{1,40}\b(?:dot|DOT)\b)|\b(?:dot|DOT)\b")
+# at or dot in brackets, dot as a word, at before a name with dots
+_SPELLED = re.compile(r"[\[({]\s*+(?:at|dot)\s*+[\])}]|\b(?:dot|at\b(?=\s++[a-z0-9-]++\.[a-z0-9-]|.{1,40}\bdot\b))\b", re.IGNORECASE)
+_DOT = r"(?:\.|\s*[\[({]\s*dot\s*[\])}]\s*|\s+dot\s+)"
+#: A whole address in any of these forms: names with dots, at, names with a dot or more.
+_ADDRESS = re.compile(rf"[\w%+-]+(?:{_DOT}[\w%+-]+)*(?:\s*[\[({{]\s*at\s*[\])}}]\s*|\s+at\s+|\s*@\s*)[\w-]+(?:{_DOT}[\w-]+)+", re.IGNORECASE)
 _MARKS = re.compile(r"[0-9@]+")
 _ENDS = set(")]}")
 
 
 def regions(text: str) -> list[tuple[int, int]]:
     """Stretches of text around triggers; close ones are one region."""
-    marks = [m.span() for m in _MARKS.finditer(text)]
-    if "dot" in text or "DOT" in text or "[at]" in text or "(at)" in text:
-        marks = sorted(marks + [m.span() for m in _SPELLED.finditer(text)])
+    marks = sorted([m.span() for m in _MARKS.finditer(text)] + [m.span() for m in _SPELLED.finditer(text)])
     out: list[list[int]] = []
     for a, b in marks:
         if out and a - CONTEXT <= out[-1][1]:
@@ -133,7 +137,8 @@ def candidates(text: str, a: int, b: int) -> tuple[list[tuple[int, int]], list[t
     spans = [(m.start() + a, m.end() + a) for m in _TOKEN.finditer(text[a:b])]
     words = [text[s:e] for s, e in spans]
     digits = [sum("0" <= c <= "9" for c in w) for w in words]
-    mark = [d > 0 or w == "@" or w.lower() == "at" or w.lower() == "dot" for d, w in zip(digits, words)]
+    worded = [w.lower() in ("at", "dot") for w in words]
+    mark = [d > 0 or w == "@" or spelled for d, w, spelled in zip(digits, words, worded)]
     out = []
     for i, w in enumerate(words):
         if not (w[0].isalnum() or w in "+([") or not any(mark[i : i + SPAN]):
@@ -141,7 +146,7 @@ def candidates(text: str, a: int, b: int) -> tuple[list[tuple[int, int]], list[t
         n, seen, at = 0, False, False
         for j in range(i, min(i + SPAN, len(words))):
             gap = text[spans[j - 1][1] : spans[j][0]] if j > i else ""
-            if len(gap) > 1 or "\n" in gap:
+            if "\n" in gap or (len(gap) > 1 and not worded[j] and not worded[j - 1]):
                 break
             n += digits[j]
             seen |= mark[j]
@@ -163,6 +168,7 @@ def candidates(text: str, a: int, b: int) -> tuple[list[tuple[int, int]], list[t
                 f"nd{n}{plain}",
                 f"g{len(numbers)}{plain}",
                 f"at{whole.count('@')}{at}{'.' in whole}{'dot' in shape}",
+                f"ad{at and bool(_ADDRESS.fullmatch(whole))}",
                 f"lu{n >= 13 and luhn(figures)}{n >= 13}{plain}",
                 f"oc{len(numbers) == 4 and all(map(_small, numbers))}{plain}",
                 f"l{_side(text[s - 1 : s])}{_shape(whole[:1])}",
@@ -290,14 +296,32 @@ class Field:
 # -- training data ----------------------------------------------------------------
 
 
+def without_digits(user: str, host: str) -> tuple[str, str]:
+    """Both parts of an address without digits; a part that then has an empty name stays."""
+    user = re.sub("[0-9]", "", user).strip("._%+-") or user
+    bare = re.sub("[0-9]", "", host)
+    return user, bare if all(bare.split(".")) else host
+
+
 def rewritten(text: str, span: Span, rng: random.Random) -> tuple[str, Span] | None:
     """The text with one span in a form that the base patterns don't take."""
     start, kind, end = span
     s = text[start:end]
     if kind == 0:
         user, host = s.split("@", 1)
+        if rng.random() < 0.5:  # an address needs no digits
+            user, host = without_digits(user, host)
+            host = rng.choice([host, host.split(".", 1)[1] if host.count(".") > 1 else host])
         at = rng.choice([" at ", " [at] ", "[at]", " (at) ", "(at)", " @ "])
         dot = rng.choice([" dot ", "[dot]", " [dot] ", "(dot)", ".", "."]) if at != " @ " else "."
+        if rng.random() < 0.4:  # other brackets, spaces within them, capitals
+            opening, closing = rng.choice(["{}", "[]", "()"])
+            gap, beside = rng.choice(["", " ", "  "]), rng.choice(["", " "])
+            form = lambda word: f"{beside}{opening}{gap}{word}{gap}{closing}{beside}"
+            at, dot = form("at"), rng.choice([form("dot"), "."])
+        if rng.random() < 0.3:
+            change = rng.choice([str.upper, str.title])
+            at, dot = change(at), change(dot)
         new = user + at + host.replace(".", dot)
     elif kind == 1:
         new = s.replace(".", rng.choice(["[.]", "(.)", " . ", "[dot]", "-"]))
@@ -318,9 +342,13 @@ def training_set(found: list[tuple[str, list[Span]]], seed: int = 5) -> list[tup
     out = list(found)
     for text, gold in found:
         if len(gold) == 1:
-            for _ in range(2):
+            for _ in range(6 if gold[0][1] == 0 else 2):  # e-mails have the most forms
                 new, span = rewritten(text, gold[0], rng)
                 out.append((new, [span]))
+            start, kind, end = gold[0]
+            if kind == 0:  # words on either side of "at" alone are no address
+                user, host = without_digits(*text[start:end].split("@", 1))
+                out.append((f"{text[:start]}{user.split('.')[0]} at {host.split('.')[0]}{text[end:]}", []))
     return out
 
 
