@@ -3,8 +3,9 @@ import random
 import numpy as np
 import pytest
 
+import wordform.llm.ngram_join as module
 from wordform.llm.graph import components
-from wordform.llm.ngram_join import OP3_SQL, least_overlap, near_duplicates, op3_near_duplicates, signatures
+from wordform.llm.ngram_join import LINKS_SQL, OP3_SQL, least_overlap, near_duplicates, ngram_links, op3_near_duplicates, signatures, similarity_join
 
 
 def sets(text, k):
@@ -107,3 +108,23 @@ def test_empty_table(spark):
 
 def test_query_equals_sql(spark, oracle):
     oracle(op3_near_duplicates, OP3_SQL)
+
+
+@pytest.mark.parametrize("seed,vocab,k,percent,block", [(1, 5, 3, 90, 2), (2, 2000, 3, 90, 128), (3, 40, 5, 80, 3)])
+def test_all_links_within_components(spark, monkeypatch, seed, vocab, k, percent, block):
+    monkeypatch.setattr(module, "BLOCK", block)
+    docs = near_copies(seed, vocab)
+    df = spark.createDataFrame([(d, t, 1, "fp") for d, t in docs], "doc_id long, text string, n int, fp string")
+    rows, links = similarity_join(df, k=k, percent=percent)
+    s = [sets(t, k) for _, t in docs]
+    similar = lambda x, y: x and y and 100 * len(x & y) >= percent * len(x | y)
+    want = [(d, len(x), sum(bool(similar(x, y)) for j, y in enumerate(s) if j != i)) for i, ((d, _), x) in enumerate(zip(docs, s))]
+    got = [tuple(r) for r in rows.select("doc_id", "n_shingles", "n_links").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    classes = list({frozenset(x) for x in s if x})
+    pairs = sorted((len(x & y), len(x | y)) for i, x in enumerate(classes) for y in classes[:i] if similar(x, y))
+    assert pairs and sorted((r["both"], r["either"]) for r in links.collect()) == pairs
+
+
+def test_links_equal_sql(spark, oracle):
+    oracle(ngram_links, LINKS_SQL)

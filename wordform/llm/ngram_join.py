@@ -24,6 +24,11 @@ Candidates pass a length bound, a bound on the symmetric difference (parity
 bitmaps of 256 bits) and, in the rest, a bound on the number of signatures that
 they share, before their whole sets are compared.
 
+``similarity_join`` gives all links: every link lies within a component, so the
+classes of each are compared with each other, by size, bitmap and whole sets. They
+are dealt into blocks of about ``BLOCK`` and each pair of blocks is one group, so
+that a component of any size is many tasks; small ones share groups.
+
 Sets up to 7 shingles index single shingles only. Without words or text a set is
 empty, links with nothing and is its own component, as is any row without a
 partner. Repeated rows and copies are one class. Rows with a null id take part
@@ -54,6 +59,8 @@ FREQUENT = 4
 #: Sets below 2^3 shingles have no frequent class.
 SMALL_BAND = 3
 MAX_BROADCAST_SIGNATURES = 2_000_000
+#: Classes of a component that are compared with as many others at once.
+BLOCK = 128
 
 
 def _doc_shingles(w: Words, h: np.ndarray, k: int) -> Iterator[np.ndarray]:
@@ -227,6 +234,72 @@ def _shared_at_least(percent: int) -> Column:
     return F.when(F.col("x.plain") & F.col("y.plain"), F.greatest(least, F.lit(1))).otherwise(1)
 
 
+def links_within(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """All similar pairs (a, b, both, either: shingles in both and in either
+    set) among the rows of ``members`` (cid, component, digest) of one
+    component. ``texts`` has (digest, text)."""
+    sizes = members.groupBy("component").agg(F.count("*").alias("m")).where("m > 1")
+    some = written(members.join(sizes, "component").select("component", "m", "cid", "digest"), "members")
+    groups = -(-some.where(F.col("m") <= BLOCK).count() // BLOCK) + 1
+    need = some.select("digest")
+    if need.count() <= MAX_BROADCAST_SIGNATURES:
+        need = F.broadcast(need)
+    own = written(texts.join(need, "digest", "left_semi").dropDuplicates(["digest"]), "texts")
+    blocks = F.ceil(F.col("m") / F.lit(BLOCK))
+    mine = F.pmod(F.xxhash64("cid"), blocks)
+    small = F.struct(F.lit(-1).cast("long").alias("c"), F.pmod(F.xxhash64("component"), F.lit(groups)).alias("lo"), F.lit(0).cast("long").alias("hi"))
+    each = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct(F.col("component").alias("c"), F.least("mine", o).alias("lo"), F.greatest("mine", o).alias("hi")))
+    dealt = some.withColumn("mine", F.when(F.col("m") > BLOCK, mine).otherwise(0))
+    dealt = dealt.select("component", "cid", "mine", "digest", F.explode(F.when(F.col("m") > BLOCK, each).otherwise(F.array(small))).alias("key"))
+    dealt = dealt.join(own, "digest").select("key.c", "key.lo", "key.hi", "component", "cid", "mine", "text")
+
+    def run(group: pa.Table) -> pa.Table:
+        c, lo, hi = (group.column(x)[0].as_py() for x in ("c", "lo", "hi"))
+        data, offsets = text_buffer(group.column("text"))
+        sets = []
+        for a, b in text_ranges(offsets):
+            w = Words(data, offsets[a : b + 1], NON_SPACE)
+            sets += [np.unique(s) for s in _doc_shingles(w, w.hashes(), k)]
+        n = np.array([len(s) for s in sets])
+        bits = np.stack([np.bincount((mix(s) >> np.uint64(56)).astype(np.int64), minlength=256) & 1 for s in sets]).astype(bool)
+        comp, cid, block = (group.column(x).to_numpy() for x in ("component", "cid", "mine"))
+        out: list[tuple[int, int, int, int]] = []
+        for i in range(len(sets)):
+            fit = (comp == comp[i]) & (cid > cid[i])
+            if c >= 0 and lo != hi:  # pairs within a block are those of its own group
+                fit &= block != block[i]
+            overlap = -(-percent * (n + n[i]) // (100 + percent))
+            fit &= (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])) & ((bits != bits[i]).sum(axis=1) <= n + n[i] - 2 * overlap)
+            for j in np.flatnonzero(fit).tolist():
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                either = int(n[i] + n[j]) - both
+                if both and 100 * both >= percent * either:
+                    out.append((int(cid[i]), int(cid[j]), both, either))
+        return pa.table({x: pa.array([r[y] for r in out], pa.int64()) for y, x in enumerate(("a", "b", "both", "either"))})
+
+    return dealt.groupBy("c", "lo", "hi").applyInArrow(run, "a bigint, b bigint, both bigint, either bigint")
+
+
+def similarity_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(rows, links). Rows: those of ``near_duplicates`` with ``class`` (a number
+    per class of equal sets, null for empty ones) and ``n_links``, the other rows
+    that are similar to a row, copies included. Links: every pair of similar
+    classes (a, b: their numbers, a < b; both, either: sizes of intersection and
+    union). Rows of one class are similar to each other and to all rows of the
+    classes that theirs is linked with."""
+    with cut_scope(docs.sparkSession) as keep:
+        rows, classes, texts = _near_duplicates(docs, doc_id, text, k, percent, numbered=True)
+        rows = written(rows, "rows")
+        members = rows.where("class is not null").groupBy("class").agg(F.first("component").alias("component"), F.count("*").alias("copies"))
+        members = written(members.withColumnRenamed("class", "cid"), "copies")
+        links = keep(links_within(members.join(classes.select("cid", "digest"), "cid"), texts, k, percent), "llm-links")
+        ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("cid"), F.col("b").alias("o")), F.struct(F.col("b").alias("cid"), F.col("a").alias("o")))).alias("e")).select("e.*")
+        others = ends.join(members.select(F.col("cid").alias("o"), "copies"), "o").groupBy("cid").agg(F.sum("copies").alias("linked"))
+        counted = members.join(others, "cid", "left").select(F.col("cid").alias("class"), (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"))
+        rows = rows.join(counted, "class", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
+        return keep(rows, "llm-similar-rows"), links
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: doc_id, digest (MD5 of the text), n_shingles,
     class_id (smallest id with an equal set), component_id (smallest id
@@ -234,10 +307,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     number per component, also of those without an id; null for empty sets).
     Intermediate tables are deleted once the result is written."""
     with cut_scope(docs.sparkSession) as keep:
-        return keep(_near_duplicates(docs, doc_id, text, k, percent), "llm-near-duplicates")
+        return keep(_near_duplicates(docs, doc_id, text, k, percent)[0], "llm-near-duplicates")
 
 
-def _near_duplicates(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> DataFrame:
+def _near_duplicates(docs: DataFrame, doc_id: str, text: str, k: int, percent: int, numbered: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, with ``class`` if ``numbered``; classes; texts by digest)."""
+    number = ["cid"] if numbered else []
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     texts = docs.select(F.unhex(F.md5("text")).alias("digest"), "text")
     rank, frequent = order_of(bucket_counts(docs, k))
@@ -317,12 +392,12 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str, k: int, percent: i
         .join(grouped, F.col("cid") == F.col("node"), "left")
         .withColumn("component", F.coalesce("component", "cid"))
         .join(merged, "component", "left")
-        .select("fp", "least_id", F.coalesce("top", "component").alias("component"))
+        .select("fp", "least_id", *number, F.coalesce("top", "component").alias("component"))
     )
     named = written(named, "named")
     smallest = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    labels = named.join(smallest, "component").select("fp", "component", F.col("least_id").alias("class_id"), "component_id")
-    return (
+    labels = named.join(smallest, "component").select("fp", *number, "component", F.col("least_id").alias("class_id"), "component_id")
+    found = (
         rows.select("doc_id", "digest", "fp", "n")
         .join(written(labels, "labels"), "fp", "left")
         .select(
@@ -332,8 +407,10 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str, k: int, percent: i
             F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
             F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
             F.col("component").alias("component"),
+            *[F.col(c).alias("class") for c in number],
         )
     )
+    return found, classes, texts
 
 
 def op3_near_duplicates(spark, sf_dir: str) -> DataFrame:
@@ -341,6 +418,11 @@ def op3_near_duplicates(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def ngram_links(spark, sf_dir: str) -> DataFrame:
+    """How many other documents each is similar to, by all links of the join of ``op3``."""
+    return similarity_join(table(spark, sf_dir, "documents"))[0].select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 _ASCII = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 OP3_SQL = rf"""
 with recursive docs as (
@@ -366,3 +448,8 @@ with recursive docs as (
 select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id
 from (select doc_id, min(c) as component_id from reach group by doc_id) left join sizes using (doc_id)
 """
+
+#: The same with the links of every document.
+LINKS_SQL = OP3_SQL.replace("component_id\nfrom (", "component_id, coalesce(n_links, 0)::bigint as n_links\nfrom (") + """
+left join (select a as doc_id, count(*) as n_links from edges group by a) using (doc_id)
+"""

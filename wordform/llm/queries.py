@@ -8,7 +8,7 @@ from wordform.llm.bpe import op6_encode
 from wordform.llm.decontam import OP1_SQL, op1_decontaminate
 from wordform.llm.langid import op10_language
 from wordform.llm.licenses import op7_licenses
-from wordform.llm.ngram_join import OP3_SQL, op3_near_duplicates
+from wordform.llm.ngram_join import LINKS_SQL, OP3_SQL, ngram_links, op3_near_duplicates
 from wordform.llm.pii import op9_pii
 from wordform.llm.quality import op4_quality
 from wordform.llm.toxicity import op8_toxicity
@@ -25,10 +25,12 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_pii": op9_pii,
     "op10_language": op10_language,
+    "ngram_links": ngram_links,
 }
 
 ORACLE = {
     "op1_decontamination": OP1_SQL,
     "op2_warc": OP2_SQL,
     "op3_ngram_join": OP3_SQL,
+    "ngram_links": LINKS_SQL,
 }
