@@ -128,3 +128,13 @@ def test_all_links_within_components(spark, monkeypatch, seed, vocab, k, percent
 
 def test_links_equal_sql(spark, oracle):
     oracle(ngram_links, LINKS_SQL)
+
+
+def test_sets_share_a_signature_over_several_bands():
+    rng = np.random.default_rng(7)
+    for n, m in [(51, 85), (30, 50), (100, 166), (7, 11)]:
+        for _ in range(50):
+            y = np.unique(rng.integers(0, 2**64 - 1, m, dtype=np.uint64))
+            x = np.sort(rng.choice(y, n, replace=False))
+            assert 100 * n >= 60 * m
+            assert len(np.intersect1d(signatures(x, np.uint64(0), 60), signatures(y, np.uint64(0), 60))), (n, m)

@@ -121,9 +121,9 @@ def signatures(t: np.ndarray, frequent: np.uint64, percent: int) -> np.ndarray:
     if rare >= need:
         return t[:need]
     out = [t[:rare]]
-    # sizes of similar sets reach into at most two bands of sizes, which fix the number of classes
-    bands = {least_overlap(n, percent).bit_length() - 1, (100 * n // percent).bit_length() - 1}
-    for band in bands:
+    # the number of classes is fixed by bands of sizes: all that sizes of similar sets reach into, two from 71 percent on
+    lo, hi = least_overlap(n, percent).bit_length() - 1, (100 * n // percent).bit_length() - 1
+    for band in range(lo, hi + 1):
         if band < SMALL_BAND:
             out.append(t[:need])
             continue
