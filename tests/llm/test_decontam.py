@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from wordform.llm import decontam
 from wordform.llm.decontam import OP1_SQL, decontaminate, op1_decontaminate
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -78,3 +79,14 @@ def test_query_equals_sql(spark, oracle):
 def test_digest_of_no_items(spark):
     row = op1_decontaminate(spark, "/root/testdata/sf0.001").where("n_items = 0").first()
     assert row["items_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+def test_blocks_are_bounded_by_shingles(spark, monkeypatch):
+    sizes = []
+    scan = decontam._segments
+    monkeypatch.setattr(decontam, "_segments", lambda docs, known, *rest: sizes.append(sum(map(len, known.values()))) or scan(docs, known, *rest))
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(13))) for i in range(40)]  # a window and 11 shingles each
+    docs = [(1, items[3][1]), (2, items[30][1] + " more")]
+    d, b = tables(spark, docs, items)
+    assert got(decontaminate(d, b, max_shingles=150)) == brute(docs, items)
+    assert sum(sizes) == 440 and max(sizes) <= 150

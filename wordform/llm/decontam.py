@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordform.llm.common import ALNUM, Words, map_arrow, shingle_hashes, text_buffer, text_ranges, written
@@ -43,6 +43,8 @@ SHINGLE = 3
 #: Words of a segment beyond the overlap of one window.
 SEGMENT = 64
 MAX_SHINGLES = 2_000_000
+#: Hash buckets of items, of which blocks are made.
+BUCKETS = 4096
 MAX_PREFIX_ROWS = 1_000_000
 
 _SEG = "array<struct<k:int,first:bigint,words:array<string>,sh:array<bigint>>>"
@@ -89,6 +91,27 @@ def item_windows(shingled: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("words"), F.lit(BUCKETS))
+
+
+def item_blocks(shingled: DataFrame, max_shingles: int) -> list[tuple[int, int]]:
+    """Ranges of hash buckets of items that hold at most ``max_shingles``
+    distinct shingles each (or are one bucket); one range if all items do."""
+    each = shingled.select("k", F.explode("sh").alias("sh"), _bucket().alias("bucket"))
+    if each.select("k", "sh").distinct().count() <= max_shingles:
+        return [(0, BUCKETS)]
+    counts = {r["bucket"]: r["n"] for r in each.distinct().groupBy("bucket").agg(F.count("*").alias("n")).collect()}
+    blocks, first, held = [], 0, 0
+    for bucket in range(BUCKETS):
+        n = counts.get(bucket, 0)
+        if held and held + n > max_shingles:
+            blocks.append((first, bucket))
+            first, held = bucket, 0
+        held += n
+    return [*blocks, (first, BUCKETS)]
+
+
 def _segments(docs: DataFrame, known: dict[int, np.ndarray], least: dict[int, int], window: int) -> DataFrame:
     """(row_key, doc_id, n_words, segs): per document, the segments made of
     shingles in ``known`` (by k) of at least ``least[k]`` words. Rows without a
@@ -161,18 +184,14 @@ def decontaminate(
     ids as strings) and contaminated (``share * n_hit >= n_words``, with a hit)."""
     shingled = written(item_shingles(items, item_id, item_text, shingle), "items")
     windows = written(item_windows(shingled, window), "windows")
-    sizes = {
-        r["k"]: (r["n"], r["least"])
-        for r in windows.groupBy("k").agg(F.count_distinct("win").alias("n"), F.min(F.size("win_words")).alias("least")).collect()
-    }
-    blocks = max(1, -(-sum(n for n, _ in sizes.values()) // max_shingles))
-    least = {k: v for k, (_, v) in sizes.items()}
+    least = {r["k"]: r["least"] for r in windows.groupBy("k").agg(F.min(F.size("win_words")).alias("least")).collect()}
+    blocks = item_blocks(shingled, max_shingles)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    if blocks > 1:  # every scan must name a row alike
+    if len(blocks) > 1:  # every scan must name a row alike
         docs = written(docs.withColumn("row_key", F.monotonically_increasing_id()), "keyed")
     tables = []
-    for block in range(blocks):
-        part = shingled if blocks == 1 else shingled.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == block)
+    for first, stop in blocks:
+        part = shingled if len(blocks) == 1 else shingled.where((_bucket() >= first) & (_bucket() < stop))
         values = part.select("k", F.explode("sh").alias("sh")).distinct().toPandas()
         known = {int(k): np.sort(g["sh"].to_numpy(np.int64).view(np.uint64)) for k, g in values.groupby("k")}
         tables.append(written(_segments(docs, known, least, window), "segments"))
