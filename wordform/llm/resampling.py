@@ -109,7 +109,7 @@ def _pieces(text: pa.Array, n: int) -> Iterator[tuple[int, int, Words]]:
         while lo < hi:  # one long text
             cut = min(lo + CHUNK_BYTES, hi)
             while cut < hi and ALNUM[data[cut]]:
-                word = ALNUM[data[cut : cut + CHUNK_BYTES]]
+                word = ALNUM[data[cut : min(cut + CHUNK_BYTES, hi)]]
                 cut += int(np.argmin(word)) if not word.all() else len(word)
             yield a, 1, Words(data, np.array([lo, cut], np.int64), ALNUM)
             lo = cut
