@@ -7,10 +7,12 @@ vocabulary), so it runs once per distinct token, never per occurrence:
           ──⋈ dictionary on lower(stem), on the probe key, on lower(rule base)
           ──► rule columns ──► survivors ──► best candidate per token
 
-All dictionary joins are broadcast hash joins behind a row-count check, and
-they keep the token partitioning of ``types``; the final per-token choice
-therefore needs no extra exchange when ``types`` comes out of a
-``groupBy('token')``.
+The dictionary is broadcast behind a check of its rows and bytes: once, all
+probes share the exchange. The joins keep the token partitioning of ``types``, so
+the final per-token choice needs no extra exchange when ``types`` comes out of
+a ``groupBy('token')``. A dictionary beyond the bounds stays where it is: a Bloom
+filter (``operators.bloom``) tells which keys can be in it, and only those, once per
+token, are joined with it.
 """
 
 from __future__ import annotations
@@ -21,12 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordform.functions import rules
+from wordform.operators.bloom import BloomFilter
 from wordform.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 from wordform.session import cut_lineage
 
-#: Affixes that ``matching`` takes as literals at most.
-MAX_LITERAL_AFFIXES = 1000
-
 ANALYSIS_COLS = ["token", "mode", "prefix", "suffix", "affix", "base", "stem", "in_lexica"]
 
 
@@ -75,7 +75,9 @@ class Resources(NamedTuple):
     max_affix_len: int
     dictionary: DataFrame
     require_vocab: bool
-    vocab_keys: DataFrame  # DataFrame(v_key) of vocabulary entries
+    #: Filters of the keys and of the vocabulary's, for a dictionary that isn't broadcast.
+    known: BloomFilter | None = None
+    vocab_known: BloomFilter | None = None
 
 
 def prepare(
@@ -87,8 +89,8 @@ def prepare(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> Resources:
     """Build the dictionary, write it and the affix list to the checkpoint
-    folder (``materialize``), count both and hint them for broadcast when
-    the count is within ``max_broadcast_rows``."""
+    folder (``materialize``), measure both and hint them for broadcast within
+    ``max_broadcast_rows``; a larger dictionary gets Bloom filters."""
     if require_vocab and vocab is None:
         raise ValueError("require_vocab=True needs a vocabulary")
     aff = affixes.select("affix", "kind")
@@ -100,34 +102,78 @@ def prepare(
     n_aff, max_len = aff.agg(F.count(F.lit(1)), F.max(F.length("affix"))).first()
     if n_aff <= max_broadcast_rows:
         aff = F.broadcast(aff)
-    d, _ = bounded_broadcast(dictionary, max_broadcast_rows)
-    voc = d.where("in_vocab").select(F.col("key").alias("v_key"))
-    return Resources(aff, int(max_len or 0), d, require_vocab, voc)
+    d, small = bounded_broadcast(dictionary, max_broadcast_rows)
+    if small:
+        return Resources(aff, int(max_len or 0), d, require_vocab)
+    n, n_vocab = dictionary.agg(F.count(F.lit(1)), F.count_if(F.col("in_vocab"))).first()
+    known = BloomFilter.of(dictionary.select("key"), n)
+    vocab_known = BloomFilter.of(dictionary.where("in_vocab").select("key"), n_vocab) if require_vocab else None
+    return Resources(aff, int(max_len or 0), d, require_vocab, known, vocab_known)
 
 
-def gated(toks: DataFrame, res: Resources) -> DataFrame:
-    """Rows whose token is not a vocabulary word (all without a vocabulary)."""
-    if not res.require_vocab:
-        return toks
-    voc = res.vocab_keys
-    return toks.join(voc, F.lower(toks["token"]) == voc["v_key"], "left_anti")
+#: What a dictionary row says, as one array: every join takes the same two columns,
+#: so that Spark broadcasts one table for all of them.
+FACTS = {"in_lexicon": 0, "lex_base": 1, "lex_pos": 2, "base_in_vocab": 3, "in_vocab": 4}
 
 
-def matching(toks: DataFrame, res: Resources) -> DataFrame:
-    """Rows whose lower-cased token starts or ends with an affix: a row-local
-    test by the list as literals; a list of more than ``MAX_LITERAL_AFFIXES``
-    leaves it to the join."""
-    listed = res.affixes.limit(MAX_LITERAL_AFFIXES + 1).collect()
-    if len(listed) > MAX_LITERAL_AFFIXES:
-        return toks
-    low = F.lower(F.col("token"))
+def _facts(dictionary: DataFrame, key: str, out: str) -> DataFrame:
+    each = [F.when(F.col(c), F.lit("1")) if c not in ("lex_base", "lex_pos") else F.col(c) for c in FACTS]
+    return dictionary.select(F.col("key").alias(key), F.array(*each).alias(out))
 
-    def literals(kind: str) -> Column:
-        return F.array(*[F.lit(r["affix"]) for r in listed if r["kind"] == kind]).cast("array<string>")
 
-    starts = F.exists(literals("prefix"), lambda a: F.startswith(low, a))
-    ends = F.exists(literals("suffix"), lambda a: F.endswith(low, a))
-    return toks.where(starts | ends)
+def _fact(facts: str, name: str) -> Column:
+    value = F.get(F.col(facts), F.lit(FACTS[name]))
+    return value if name in ("lex_base", "lex_pos") else value.isNotNull()
+
+
+def looked_up(df: DataFrame, keys: dict[str, Column], res: Resources) -> DataFrame:
+    """``df`` (with ``token``) with the dictionary's facts of each key: columns
+    named as in ``keys``, null where the key isn't in the dictionary.
+
+    Within the broadcast bounds each key is a hash join with the one broadcast table.
+    Beyond them the keys of all rows of a token that the Bloom filter lets through
+    are joined in one go, distinct, and come back as a map per token: what moves
+    are those keys and the rows of one join by token."""
+    if res.known is None:
+        for name, key in keys.items():
+            df = df.join(_facts(res.dictionary, "_key", name), key == F.col("_key"), "left").drop("_key")
+        return df
+    each = df.select("token", F.explode(F.array_distinct(F.array(*keys.values()))).alias("_key")).where("_key is not null").distinct()
+    asked = res.known.probed(each, F.col("_key")).where("may_be_in").drop("may_be_in")
+    found = asked.join(_facts(res.dictionary, "_d_key", "_facts"), F.col("_key") == F.col("_d_key"))
+    # a token has a handful of keys
+    found = found.groupBy(F.col("token").alias("_token")).agg(F.map_from_entries(F.collect_list(F.struct("_key", "_facts"))).alias("_found"))
+    df = df.join(found, F.col("token") == F.col("_token"), "left")
+    return df.select("*", *[F.try_element_at("_found", key).alias(name) for name, key in keys.items()]).drop("_token", "_found")
+
+
+def gated(toks: DataFrame, res: Resources) -> DataFrame:
+    """Rows whose token is not a vocabulary word (all without a vocabulary).
+
+    Within the broadcast bounds a row-local probe. Beyond them only rows that the
+    Bloom filter takes for vocabulary words meet the vocabulary itself; pass
+    counted tokens then (``gated_counts``)."""
+    if not res.require_vocab:
+        return toks
+    word = F.lower(F.col("token"))
+    if res.vocab_known is None:
+        return toks.join(_facts(res.dictionary, "_key", "_facts"), word == F.col("_key"), "left").where(
+            ~F.coalesce(_fact("_facts", "in_vocab"), F.lit(False))
+        ).drop("_key", "_facts")
+    probed = res.vocab_known.probed(toks, word, "_may")
+    voc = res.dictionary.where("in_vocab").select(F.col("key").alias("_key"))
+    asked = probed.where("_may").join(voc, word == F.col("_key"), "left_anti")
+    return probed.where("not _may").unionByName(asked).drop("_may")
+
+
+def gated_counts(toks: DataFrame, res: Resources, group_cols: list[str] | None = None) -> DataFrame:
+    """Counts of the tokens that are not vocabulary words, per group. A vocabulary
+    that is broadcast is probed before the count, so its words are never
+    counted; a larger one after it, so that only distinct tokens move."""
+    keys = [*(group_cols or []), "token"]
+    first = res.vocab_known is None
+    counts = (gated(toks, res) if first else toks).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
+    return counts if first else gated(cut_lineage(counts, "all-counts"), res)
 
 
 def match_affixes(types: DataFrame, affixes: DataFrame, max_len: int | None = None,
@@ -210,32 +256,27 @@ def render_affix(mode, prefix, suffix):
     )
 
 
-def evaluate_candidates(
-    cands: DataFrame, dictionary: DataFrame, require_vocab: bool = True, carry: list[str] | None = None
-) -> DataFrame:
+def evaluate_candidates(cands: DataFrame, res: Resources, carry: list[str] | None = None) -> DataFrame:
     """Apply stem length, function-word, elimination, lexicon and base rules
     to every candidate; adds in_lexica, r_base, r_stem and ``survives``."""
-    d = dictionary
-    tok = d.select(F.col("key").alias("t_key"), F.when(F.col("in_lexicon"), F.col("lex_pos")).alias("token_pos"))
-    l1 = d.select(
-        F.col("key").alias("l_key"),
-        F.col("in_lexicon").alias("lstem_in_lexicon"),
-        F.col("lex_base").alias("lstem_base"),
-        F.when(F.col("in_lexicon"), F.col("lex_pos")).alias("lstem_pos"),
-        F.col("base_in_vocab").alias("lstem_base_in_vocab"),
-        F.col("in_vocab").alias("stem_in_vocab"),
-    )
-    pr = d.where("in_lexicon").select(F.col("key").alias("p_key"), F.col("lex_base").alias("probe_base"))
-    bv = d.where("in_vocab").select(F.col("key").alias("b_key"))
-
+    require_vocab = res.require_vocab
     c = cands.where(F.length("stem") > 3)
-    c = c.join(tok, c["token"] == tok["t_key"], "left").drop("t_key")
-    c = c.withColumn("lstem", F.lower("stem"))
-    c = c.join(l1, c["lstem"] == l1["l_key"], "left").drop("l_key")
-    c = c.withColumn("pkey", rules.probe_key(F.col("suffix"), F.col("stem")))
-    c = c.join(pr, c["pkey"] == pr["p_key"], "left").withColumn("probe_hit", F.col("p_key").isNotNull()).drop("p_key")
+    c = c.withColumn("lstem", F.lower("stem")).withColumn("pkey", rules.probe_key(F.col("suffix"), F.col("stem")))
+    c = looked_up(c, {"f_token": F.col("token"), "f_stem": F.col("lstem"), "f_probe": F.col("pkey")}, res)
+    in_lexicon = lambda f: F.coalesce(_fact(f, "in_lexicon"), F.lit(False))
+    c = c.select(
+        "*",
+        F.when(in_lexicon("f_token"), _fact("f_token", "lex_pos")).alias("token_pos"),
+        in_lexicon("f_stem").alias("lstem_in_lexicon"),
+        _fact("f_stem", "lex_base").alias("lstem_base"),
+        F.when(in_lexicon("f_stem"), _fact("f_stem", "lex_pos")).alias("lstem_pos"),
+        _fact("f_stem", "base_in_vocab").alias("lstem_base_in_vocab"),
+        F.coalesce(_fact("f_stem", "in_vocab"), F.lit(False)).alias("stem_in_vocab"),
+        in_lexicon("f_probe").alias("probe_hit"),
+        F.when(in_lexicon("f_probe"), _fact("f_probe", "lex_base")).alias("probe_base"),
+    )
 
-    lstem_in_lex = F.coalesce(F.col("lstem_in_lexicon"), F.lit(False))
+    lstem_in_lex = F.col("lstem_in_lexicon")
     # raw-case lexicon probe of the stem: keys are lower case, so a raw hit
     # means the stem is itself lower case and its lower-case probe hit
     stem_pos_raw = F.when(F.col("stem") == F.col("lstem"), F.col("lstem_pos"))
@@ -260,13 +301,11 @@ def evaluate_candidates(
     carry = carry or []
     c = c.select(
         "token", *carry, "mode", "ier_er", "prefix", "suffix", "ord_p", "ord_s", "stem", "lstem_base",
-        F.coalesce(F.col("stem_in_vocab"), F.lit(False)).alias("stem_in_vocab"),
-        bad_pos.alias("bad_pos"), eliminated.alias("eliminated"), in_lexica.alias("in_lexica"),
+        "stem_in_vocab", bad_pos.alias("bad_pos"), eliminated.alias("eliminated"), in_lexica.alias("in_lexica"),
         rule_base.alias("rule_base"),
     )
-    c = c.join(bv, F.lower(c["rule_base"]) == bv["b_key"], "left").withColumn(
-        "rule_base_in_vocab", F.col("b_key").isNotNull()
-    ).drop("b_key")
+    c = looked_up(c, {"f_base": F.lower(F.col("rule_base"))}, res)
+    c = c.withColumn("rule_base_in_vocab", F.coalesce(_fact("f_base", "in_vocab"), F.lit(False))).drop("f_base")
 
     vocab_ok = (lambda col: col) if require_vocab else (lambda col: F.lit(True))
     use_lexicon_base = F.col("in_lexica") & (
@@ -342,5 +381,5 @@ def analyze(
     t = gated(types, resources) if gate else types
     extra = [c for c in types.columns if c != "token"]
     matched = match_affixes(t, resources.affixes, resources.max_affix_len, checked=True, carry=extra)
-    ev = evaluate_candidates(candidates(matched, extra), resources.dictionary, resources.require_vocab, extra)
+    ev = evaluate_candidates(candidates(matched, extra), resources, extra)
     return choose(ev, extra)

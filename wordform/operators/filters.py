@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordform.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from wordform.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, sized_broadcast
 
 # Stop words of the default language scorer, in tie order.
 STOP_WORDS = {
@@ -21,8 +21,8 @@ def community_filter(df: DataFrame, communities: DataFrame, col: str = "subreddi
                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Keep rows whose community is listed (exact case): a left-semi join,
     broadcast when the list is proven small."""
-    c = communities.select(F.col(communities.columns[0]).alias("_community")).distinct()
-    c, _ = bounded_broadcast(c, max_broadcast_rows)
+    c = communities.select(F.col(communities.columns[0]).alias("_community"))
+    c = sized_broadcast(c, max_broadcast_rows)
     return df.join(c, df[col] == c["_community"], "left_semi")
 
 

@@ -32,3 +32,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     if n <= max_rows and size <= MAX_BROADCAST_BYTES:
         return F.broadcast(df), True
     return df, False
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` for a join that broadcasts it if it is small. What Spark's own size
+    statistics (file sizes, for a list read from files) put below its threshold for
+    automatic broadcasts needs no job to be measured; the rest is measured."""
+    spark = df.sparkSession
+    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if known <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold():
+        return df
+    return bounded_broadcast(df.distinct(), max_rows)[0]

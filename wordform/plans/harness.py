@@ -24,7 +24,7 @@ from wordform.operators.filters import body_length_ok, community_filter, detect_
 from wordform.operators.metrics import productivity
 from wordform.operators.segment import sentences, tokens
 from wordform.operators.splits import frequency_bins, sentence_rows, shared_split, split_by_key
-from wordform.plans.stages import filter_comments, find_derivatives, make_corpora, run_corpus
+from wordform.plans.stages import Derivatives, filter_comments, find_derivatives, make_corpora, run_corpus
 from wordform.session import cut_lineage, ensure_checkpoint_dir
 from wordform.sources import fixtures as fx
 from wordform.sources.comments import read_comments, read_filtered_comments
@@ -52,6 +52,7 @@ class StandIns:
     german: DataFrame
     words: DataFrame
     prepared: dict[tuple[bool, bool], an.Resources]
+    derived: dict[tuple, Derivatives]
 
 
 _STAND_INS: dict[tuple[str, str], StandIns] = {}
@@ -62,7 +63,7 @@ def stand_ins(spark: SparkSession, sf: str) -> StandIns:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _STAND_INS:
         german = cut_lineage(fx.german_comments(spark, sf), "german")
-        _STAND_INS[key] = StandIns(german, cut_lineage(fx.word_counts(german), "word-counts"), {})
+        _STAND_INS[key] = StandIns(german, cut_lineage(fx.word_counts(german), "word-counts"), {}, {})
     return _STAND_INS[key]
 
 
@@ -76,9 +77,17 @@ def _inputs(spark: SparkSession, sf: str, require_vocab: bool = True, lexicon: b
 
 
 def _derivatives(spark: SparkSession, sf: str, require_vocab: bool = True, lexicon: bool = True, docs: DataFrame | None = None, key_cols=tuple(KEY), **kw):
+    """The search over the German comments or ``docs``; queries that differ only in
+    what they make of it share its written analyses."""
     german, res = _inputs(spark, sf, require_vocab, lexicon)
-    docs = german if docs is None else docs
-    return find_derivatives(docs, None, None, None, require_vocab=require_vocab, key_cols=key_cols, resources=res, **kw)
+    known = stand_ins(spark, sf).derived
+    key = (require_vocab, lexicon, *sorted(kw.items()))
+    if docs is None and key in known:
+        return known[key]
+    found = find_derivatives(german if docs is None else docs, None, None, None, require_vocab=require_vocab, key_cols=key_cols, resources=res, **kw)
+    if docs is None:
+        known[key] = found
+    return found
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -144,14 +153,34 @@ def q_lexicon_clean(spark, sf):
 def _types(spark, sf):
     """Vocabulary-gated token counts and the prepared analysis inputs."""
     docs, res = _inputs(spark, sf)
-    toks = an.gated(tokens(sentences(docs, KEY, "body"), KEY), res)
-    return toks.groupBy("token").agg(F.count(F.lit(1)).alias("count")), res
+    return an.gated_counts(tokens(sentences(docs, KEY, "body"), KEY), res), res
 
 
 def q_vocab_gate(spark, sf):
     return _types(spark, sf)[0]
 
 
+def _forced(spark, sf) -> an.Resources:
+    """The analysis inputs with a dictionary that may not be broadcast."""
+    s = stand_ins(spark, sf)
+    if "forced" not in s.prepared:
+        lex, vocab = fx.fixture_lexicon(s.words), fx.fixture_vocab(s.words)
+        s.prepared["forced"] = an.prepare(_affixes(spark), lex, vocab, True, max_broadcast_rows=FEW_ROWS)
+    return s.prepared["forced"]
+
+
+def q_vocab_gate_bloom(spark, sf):
+    """The gate when the vocabulary is beyond the broadcast bounds: tokens are
+    counted, a Bloom filter lets most new words pass, the rest meet the vocabulary."""
+    toks = tokens(sentences(stand_ins(spark, sf).german, KEY, "body"), KEY)
+    return an.gated_counts(toks, _forced(spark, sf))
+
+
+def q_analyses_bloom(spark, sf):
+    """The analysis with a dictionary beyond the broadcast bounds."""
+    return an.analyze(q_vocab_gate_bloom(spark, sf).select("token"), resources=_forced(spark, sf), gate=False)
+
+
 def _matched(spark, sf):
     types, res = _types(spark, sf)
     return an.match_affixes(types.select("token"), res.affixes, res.max_affix_len, checked=True), res
@@ -169,7 +198,7 @@ def q_candidates(spark, sf):
 
 def _evaluated(spark, sf):
     m, res = _matched(spark, sf)
-    return an.evaluate_candidates(an.candidates(m), res.dictionary, True)
+    return an.evaluate_candidates(an.candidates(m), res)
 
 
 def q_lexicon_probe(spark, sf):
@@ -229,7 +258,10 @@ def _with_month(docs: DataFrame) -> DataFrame:
 
 
 def _monthly(spark, sf):
-    return _derivatives(spark, sf, docs=_with_month(stand_ins(spark, sf).german), group_cols=("month",))
+    known = stand_ins(spark, sf).derived
+    if "monthly" not in known:
+        known["monthly"] = _derivatives(spark, sf, docs=_with_month(stand_ins(spark, sf).german), group_cols=("month",))
+    return known["monthly"]
 
 
 def q_month_merge(spark, sf):
@@ -461,6 +493,8 @@ QUERIES = {
     "tokens": q_tokens,
     "lexicon_clean": q_lexicon_clean,
     "vocab_gate": q_vocab_gate,
+    "vocab_gate_bloom": q_vocab_gate_bloom,
+    "analyses_bloom": q_analyses_bloom,
     "affix_match": q_affix_match,
     "candidates": q_candidates,
     "lexicon_probe": q_lexicon_probe,

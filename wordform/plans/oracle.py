@@ -508,6 +508,7 @@ WHERE length(c) >= 31 AND c <> '[deleted]'""",
             "SELECT word, base, pos, frequency FROM fx_lex",
         ),
         "vocab_gate": _with(A, "SELECT token, count FROM types"),
+        "vocab_gate_bloom": _with(A, "SELECT token, count FROM types"),
         "affix_match": _with(A, """SELECT token,
   coalesce(string_agg(affix, ',' ORDER BY affix) FILTER (WHERE kind = 'prefix'), '') AS prefixes,
   coalesce(string_agg(affix, ',' ORDER BY affix) FILTER (WHERE kind = 'suffix'), '') AS suffixes
@@ -519,6 +520,7 @@ FROM m GROUP BY token"""),
         "prefix_base": _with(A, "SELECT token, prefix, stem, rule_base FROM ev WHERE mode = 'prefix'"),
         "suffix_base": _with(A, f"SELECT {ev_cols}, rule_base FROM ev WHERE mode <> 'prefix'"),
         "analyses": _with(A, "SELECT token, mode, prefix, suffix, affix, base, stem, in_lexica FROM analyses"),
+        "analyses_bloom": _with(A, "SELECT token, mode, prefix, suffix, affix, base, stem, in_lexica FROM analyses"),
         "derivatives": _with(A, f"SELECT {SUMMARY_COLS} FROM summary"),
         "derivative_contexts": _with(
             A, "SELECT doc_id, sent_pos, tok_pos, token, mode, prefix, suffix, affix, base, stem, in_lexica, context FROM long"

@@ -10,13 +10,15 @@ make_corpora     bins × sentence-level rows → SHARED and SPLIT train/test/dev
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordform.functions.text import sanitize_body, sanitize_text
-from wordform.operators.analyze import ANALYSIS_COLS, Resources, analyze, gated, matching, prepare
+from wordform.operators.analyze import ANALYSIS_COLS, Resources, analyze, gated_counts, prepare
+from wordform.operators.bloom import BloomFilter
 from wordform.operators.corpus import merge_months, wide_contexts
 from wordform.operators.filters import body_length_ok, community_filter, lang_filter, once
 from wordform.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES, table_size
@@ -62,10 +64,18 @@ def filter_comments(
     return df
 
 
-class Derivatives(NamedTuple):
-    analyses: DataFrame  # one row per derivative token (+ count when no group columns)
-    summary: DataFrame  # group columns + token, analysis, count
-    long: DataFrame  # one row per occurrence: group + key columns, sent_pos, tok_pos, analysis, context
+class Derivatives:
+    """``analyses``: one row per derivative token (with its count when there are no
+    group columns); ``summary``: group columns, token, analysis, count; ``long``: one
+    row per occurrence with group and key columns, sent_pos, tok_pos, analysis and
+    context, planned when it is first asked for."""
+
+    def __init__(self, analyses: DataFrame, summary: DataFrame, contexts: Callable[[], DataFrame]):
+        self.analyses, self.summary, self._contexts = analyses, summary, contexts
+
+    @cached_property
+    def long(self) -> DataFrame:
+        return self._contexts()
 
 
 def find_derivatives(
@@ -88,8 +98,8 @@ def find_derivatives(
     """Find derivatives in ``docs[text]``.
 
     Two passes over the documents instead of one shuffle of all text: pass 1
-    tokenises, drops vocabulary words (broadcast anti-join) and counts tokens
-    per group (partial aggregation); the counts and the analyses of the
+    tokenises, drops vocabulary words and counts tokens per group (partial
+    aggregation, ``gated_counts``); the counts and the analyses of the
     distinct tokens are written to the checkpoint folder. Pass 2 tokenises
     again with each token carrying its sentence and keeps derivative tokens
     (``occurrences``), so only they are cleaned and kept as contexts. Every
@@ -101,7 +111,7 @@ def find_derivatives(
     res = resources or prepare(affixes, lexicon, vocab, require_vocab, materialize, max_broadcast_rows)
 
     sents = sentences(docs, keys, text, sentence_model=sentence_model, token_model=token_model)
-    counts = gated(tokens(sents, keys), res).groupBy(*group_cols, "token").agg(F.count(F.lit(1)).alias("count"))
+    counts = gated_counts(tokens(sents, keys), res, group_cols)
     if materialize and group_cols:
         counts = cut_lineage(counts, "token-counts")
     types = counts if not group_cols else counts.groupBy("token").agg(F.sum("count").alias("count"))
@@ -113,21 +123,23 @@ def find_derivatives(
     else:
         summary = analyses
 
-    long = occurrences(sents, keys, analyses, res, max_broadcast_rows)
-    long = long.withColumn("context", sanitize_text(F.col("sentence"), full_unescape=full_unescape)).drop("sentence")
-    long = long.select(*keys, "sent_pos", "tok_pos", *ANALYSIS_COLS, "context")
-    return Derivatives(analyses.drop("count") if group_cols else analyses, summary, long)
+    def contexts() -> DataFrame:
+        long = occurrences(sents, keys, analyses, max_broadcast_rows)
+        long = long.withColumn("context", sanitize_text(F.col("sentence"), full_unescape=full_unescape))
+        return long.select(*keys, "sent_pos", "tok_pos", *ANALYSIS_COLS, "context")
+
+    return Derivatives(analyses.drop("count") if group_cols else analyses, summary, contexts)
 
 
-def occurrences(sents: DataFrame, keys: list[str], analyses: DataFrame, res: Resources, max_rows: int) -> DataFrame:
+def occurrences(sents: DataFrame, keys: list[str], analyses: DataFrame, max_rows: int) -> DataFrame:
     """Every occurrence of an analysed token with its sentence.
 
     ``analyses`` (written, with ``count``) that fit the broadcast bounds are
     broadcast. Of more, the most frequent ones that fit still are: they are
     the hot tokens and nearly all occurrences. The others are rare by
     construction, so their occurrences are joined by token without skew, and of
-    the other tokens only those that are not in the vocabulary and match an
-    affix are moved at all.
+    the other tokens only those that a Bloom filter of the rare ones lets through
+    are moved at all.
     """
     toks = tokens(sents, keys, carry=["sentence"])
     small = analyses.select(*ANALYSIS_COLS)
@@ -140,7 +152,7 @@ def occurrences(sents: DataFrame, keys: list[str], analyses: DataFrame, res: Res
     frequent = F.broadcast(analyses.where(F.col("count") > least).select(*ANALYSIS_COLS))
     rare = analyses.where(F.col("count") <= least).select(*ANALYSIS_COLS)
     others = toks.join(frequent.select("token"), "token", "left_anti")
-    possible = matching(gated(others, res), res)
+    possible = BloomFilter.of(rare.select("token"), n).probed(others, F.col("token"), "_may").where("_may").drop("_may")
     return toks.join(frequent, "token", "inner").unionByName(possible.join(rare, "token", "inner"))
 
 

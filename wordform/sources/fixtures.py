@@ -82,7 +82,8 @@ def fixture_lexicon(wc: DataFrame, least_count: int = LEXICON_MIN_COUNT, least_c
 def fixture_communities(spark: SparkSession) -> DataFrame:
     from wordform.sources.lists import communities_from_lines
 
-    return communities_from_lines(spark.createDataFrame([(x,) for x in FIXTURE_COMMUNITY_LINES], "value string"))
+    lines = spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in FIXTURE_COMMUNITY_LINES])).alias("value"))
+    return communities_from_lines(lines)
 
 
 # ------------------------------------------------------- files of the sources
