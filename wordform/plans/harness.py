@@ -30,6 +30,7 @@ from wordform.sources import fixtures as fx
 from wordform.sources.comments import read_comments, read_filtered_comments
 from wordform.sources.lexicon import read_lexicon
 from wordform.sources.lists import read_affixes, read_communities, read_vocab
+from wordform.streaming.increment import merged_derivatives, stream_counts
 
 KEY = ["doc_id"]
 CONTEXT_SEP = "\u241e"
@@ -268,6 +269,19 @@ def q_month_merge(spark, sf):
     return merge_months([_monthly(spark, sf).summary.drop("month")])
 
 
+def q_stream_merge(spark, sf):
+    """Months that arrive as files: the running counts over the first half of the year,
+    and, started again, over the rest."""
+    german, res = _inputs(spark, sf)
+    dumps, state = _scratch(spark, "arriving"), _scratch(spark, "merge-state")
+    half = N_PSEUDO_MONTHS // 2
+    fx.write_dumps(spark, german, dumps, range(1, half + 1))
+    stream_counts(spark, dumps, res, state, filtered=True).awaitTermination()
+    fx.add_dumps(spark, dumps, range(half + 1, N_PSEUDO_MONTHS + 1))
+    stream_counts(spark, dumps, res, state, filtered=True).awaitTermination()
+    return merged_derivatives(spark, state, res).select(*SUMMARY_COLS)
+
+
 def q_month_merge_contexts(spark, sf):
     """The merged table with the contexts of all months, in rows of few contexts."""
     w = wide_contexts(_monthly(spark, sf).long, ["month", *KEY, "sent_pos", "tok_pos"], MERGED_MAX_PER_ROW)
@@ -375,7 +389,7 @@ def q_conversation_derivatives(spark, sf):
 
 
 def _dumps(spark, sf) -> str:
-    return fx.write_dumps(spark, sf, _scratch(spark, "dumps"))
+    return fx.write_dumps(spark, fx.comments(spark, sf), _scratch(spark, "dumps"))
 
 
 def _community_file(spark) -> str:
@@ -508,6 +522,7 @@ QUERIES = {
     "derivative_contexts_shuffled": q_derivative_contexts_shuffled,
     "derivatives_no_vocab": q_derivatives_no_vocab,
     "month_merge": q_month_merge,
+    "stream_merge": q_stream_merge,
     "month_merge_contexts": q_month_merge_contexts,
     "merge_increment": q_merge_increment,
     "duplicate_analyses": q_duplicate_analyses,

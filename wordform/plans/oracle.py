@@ -530,6 +530,7 @@ FROM m GROUP BY token"""),
         ),
         "derivatives_no_vocab": _with(analysis_ctes(vocab=False), f"SELECT {SUMMARY_COLS} FROM summary"),
         "month_merge": _monthly_merge(False),
+        "stream_merge": _monthly_merge(False),
         "month_merge_contexts": _wide(["month", "doc_id", "sent_pos", "tok_pos"], 2),
         "merge_increment": _monthly_merge(True),
         "duplicate_analyses": _duplicates(),

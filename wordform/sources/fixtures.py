@@ -105,10 +105,10 @@ def write_lines(lines: DataFrame, path: str) -> str:
     return path
 
 
-def write_dumps(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """The comments as monthly dumps ``RC_2019-MM_k`` in one folder (month =
-    doc_id % 12 + 1), with malformed lines and one stray file beside them."""
-    c = comments(spark, sf_dir)
+def write_dumps(spark: SparkSession, c: DataFrame, path: str, months=range(1, 13)) -> str:
+    """Comments as monthly dumps ``RC_2019-MM_k`` in one folder (month =
+    doc_id % 12 + 1), with malformed lines and one stray file beside them; those of
+    other ``months`` wait for ``add_dumps``."""
     month = (F.col("doc_id") % 12 + 1).cast("int").alias("month")
     good = c.select(F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), "subreddit", "body")).alias("value"), month)
     bad = c.where(F.col("doc_id") % MALFORMED_EVERY == 0).select(F.concat(F.lit("not json "), "doc_id").alias("value"), month)
@@ -116,14 +116,20 @@ def write_dumps(spark: SparkSession, sf_dir: str, path: str) -> str:
     write_lines(spark.createDataFrame([("0 RC_2019-01",)], "value string").coalesce(1), f"{path}-stray")
     fs, Path = _fs(spark, path)
     fs.mkdirs(Path(path))
-    for m in range(1, 13):
-        for i, status in enumerate(fs.globStatus(Path(f"{path}-parts/month={m}/part-*")) or []):
-            fs.rename(status.getPath(), Path(f"{path}/RC_{DUMP_YEAR}-{m:02d}_{i}"))
+    add_dumps(spark, path, months)
     for status in fs.globStatus(Path(f"{path}-stray/part-*")):
         fs.rename(status.getPath(), Path(f"{path}/checksums.txt"))
     return path
 
 
+def add_dumps(spark: SparkSession, path: str, months) -> None:
+    """Let the given months' dumps arrive in the folder."""
+    fs, Path = _fs(spark, path)
+    for m in months:
+        for i, status in enumerate(fs.globStatus(Path(f"{path}-parts/month={m}/part-*")) or []):
+            fs.rename(status.getPath(), Path(f"{path}/RC_{DUMP_YEAR}-{m:02d}_{i}"))
+
+
 def write_lexicon(raw: DataFrame, path: str) -> str:
     """Raw lexicon rows as one TSV file in line order (a lexicon is one file)."""
     rows = raw.orderBy("line_ord").select("word", "base", "pos", "frequency")
