@@ -57,8 +57,8 @@ def test_long_window_lines_are_filtered_before_they_move(spark):
         fh.write(zstandard.ZstdCompressor().compress(b'{"id": "1", "subreddit": "de", "body": "x"}\n'))
     kept = filter_comments(read_comments(spark, d, long_window=True), communities_from_lines(spark.createDataFrame([("de",)], "value string")), spread=3)
     plan = _plan(kept)
-    assert plan.index("Exchange RoundRobin") < plan.index("LeftSemi") < plan.index("MapInPandas")
-    assert "Exchange RoundRobin" not in plan[plan.index("LeftSemi") : plan.index("MapInPandas")]
+    assert plan.index("Exchange RoundRobin") < plan.index("LeftSemi") < plan.index("BatchScan")
+    assert "Exchange RoundRobin" not in plan[plan.index("LeftSemi") : plan.index("BatchScan")]
 
 
 def test_scan_reads_only_needed_columns(spark):

@@ -28,6 +28,7 @@ from wordform.plans.stages import Derivatives, filter_comments, find_derivatives
 from wordform.session import cut_lineage, ensure_checkpoint_dir
 from wordform.sources import fixtures as fx
 from wordform.sources.comments import read_comments, read_filtered_comments
+from wordform.sources.dumps import scan_dumps
 from wordform.sources.lexicon import read_lexicon
 from wordform.sources.lists import read_affixes, read_communities, read_vocab
 from wordform.streaming.increment import merged_derivatives, stream_counts
@@ -400,7 +401,23 @@ def _community_file(spark) -> str:
 def q_comments_scan(spark, sf):
     """Monthly dumps with malformed lines, a stray file beside them."""
     c = read_comments(spark, _dumps(spark, sf))
-    return c.select("id", "subreddit", F.length("body").alias("n_body"), "year", "month", "corrupt")
+    return c.select("id", "subreddit", F.length("body").alias("n_body"), F.md5("body").alias("body_md5"), "year", "month", "corrupt")
+
+
+SMALL_SPLIT = 1 << 16
+
+
+def q_dump_source(spark, sf):
+    """The same dumps through the data source, each in several byte ranges."""
+    c = scan_dumps(spark, _dumps(spark, sf), split_bytes=SMALL_SPLIT)
+    return c.select("id", "subreddit", F.md5("body").alias("body_md5"), "year", "month", "corrupt")
+
+
+def q_dump_source_pushed(spark, sf):
+    """Two months and three communities, chosen inside the reader."""
+    months = [(fx.DUMP_YEAR, 3), (fx.DUMP_YEAR, 7), (fx.DUMP_YEAR + 1, 7)]
+    c = scan_dumps(spark, _dumps(spark, sf), months=months, communities=["src0", "src3", "nobody"], split_bytes=SMALL_SPLIT)
+    return c.select("id", "subreddit", F.md5("body").alias("body_md5"), "month")
 
 
 def q_comments_months(spark, sf):
@@ -414,7 +431,7 @@ def q_filtered_roundtrip(spark, sf):
     path = _scratch(spark, "filtered")
     c = read_comments(spark, _dumps(spark, sf)).where("not corrupt")
     sinks.write_filtered_comments(filter_comments(c, read_communities(spark, _community_file(spark))), path)
-    return read_filtered_comments(spark, path).select("id", F.length("body").alias("n_body"), "year", "month")
+    return read_filtered_comments(spark, path).select("id", F.length("body").alias("n_body"), F.md5("body").alias("body_md5"), "year", "month")
 
 
 def q_community_scan(spark, sf):
@@ -538,6 +555,8 @@ QUERIES = {
     "corpora": q_corpora,
     "conversation_derivatives": q_conversation_derivatives,
     "comments_scan": q_comments_scan,
+    "dump_source": q_dump_source,
+    "dump_source_pushed": q_dump_source_pushed,
     "comments_months": q_comments_months,
     "filtered_roundtrip": q_filtered_roundtrip,
     "community_scan": q_community_scan,

@@ -4,23 +4,21 @@
 (the month and year come from the file name, so later stages can prune and
 partition by them). Hadoop's zstd codec reads ordinary ``.zst`` dumps
 natively; dumps written with a long window (up to 2 GiB) need
-``long_window=True``, which decodes them with ``zstandard`` inside tasks
-(files opened through pyarrow filesystems: local, HDFS, object stores),
-one task per file, streaming. Such a file cannot be split, so whoever filters
-the lines spreads what is left (``filter_comments(spread=...)``); raw lines
-are never shuffled. Only files named ``RC_*`` are read.
+``long_window=True``, which reads them through the data source of
+``sources.dumps``: a task per range of zstd frames. A file of one frame cannot
+be split, so whoever filters the lines spreads what is left
+(``filter_comments(spread=...)``); raw lines are never shuffled. Only files named
+``RC_*`` are read.
 """
 
 from __future__ import annotations
 
-import io
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wordform.sources.dumps import SCHEMA, scan_dumps
+
 COMMENT_SCHEMA = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -29,7 +27,6 @@ COMMENT_SCHEMA = T.StructType(
     ]
 )
 FILE_RE = r"RC_(\d{4})-(\d{2})"
-ZSTD_MAX_WINDOW = 2**31
 
 
 def parse_comments(lines: DataFrame, value_col: str = "value", file_col: str = "file", failfast: bool = False) -> DataFrame:
@@ -53,36 +50,6 @@ def parse_comments(lines: DataFrame, value_col: str = "value", file_col: str = "
     )
 
 
-def _open_binary(uri: str):
-    """Open a file of any filesystem pyarrow knows (local, HDFS, object
-    stores) as a raw binary stream, without codec detection."""
-    from pyarrow import fs as pafs
-
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    filesystem, path = pafs.FileSystem.from_uri(uri)
-    return filesystem.open_input_stream(path, compression=None)
-
-
-def _decode_zst(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import zstandard
-
-    chunk = 50_000
-    for pdf in batches:
-        for path in pdf["path"]:
-            with _open_binary(path) as fh:
-                reader = zstandard.ZstdDecompressor(max_window_size=ZSTD_MAX_WINDOW).stream_reader(fh)
-                text = io.TextIOWrapper(reader, encoding="utf-8")
-                buf: list[str] = []
-                for line in text:
-                    buf.append(line.rstrip("\n"))
-                    if len(buf) >= chunk:
-                        yield pd.DataFrame({"value": buf, "file": path})
-                        buf = []
-                if buf:
-                    yield pd.DataFrame({"value": buf, "file": path})
-
-
 def month_paths(spark: SparkSession, root: str, months: list[tuple[int, int]]) -> list[str]:
     """Existing dump files ``RC_YYYY-MM[.zst]`` under ``root`` for the given
     (year, month) pairs; a missing month is skipped with a warning."""
@@ -115,15 +82,11 @@ def spread_partitions(spark: SparkSession, path, target_bytes: int = 64 << 20) -
     return max(1, -(-total // target_bytes))
 
 
-def read_comment_lines(spark: SparkSession, path, long_window: bool = False) -> DataFrame:
+def read_comment_lines(spark: SparkSession, path) -> DataFrame:
     """Lines of every dump under ``path`` (a folder, glob or list of files)
     with their file name."""
-    if not long_window:
-        paths = [path] if isinstance(path, str) else list(path)
-        return spark.read.option("pathGlobFilter", DUMP_GLOB).text(paths).withColumn("file", F.input_file_name())
-    files = _dump_files(spark, path).select("path")
-    # only paths are dealt out: one file per task
-    return files.repartition(max(1, files.count())).mapInPandas(_decode_zst, "value string, file string")
+    paths = [path] if isinstance(path, str) else list(path)
+    return spark.read.option("pathGlobFilter", DUMP_GLOB).text(paths).withColumn("file", F.input_file_name())
 
 
 def read_comments(
@@ -135,13 +98,12 @@ def read_comments(
 ) -> DataFrame:
     """Comments of every dump under ``path``, or only of ``months``
     ((year, month) pairs; missing months are skipped with a warning)."""
-    if months is not None:
-        path = month_paths(spark, path, months)
-        if not path:
-            return spark.createDataFrame(
-                [], "id string, subreddit string, body string, raw string, year int, month int, corrupt boolean"
-            )
-    return parse_comments(read_comment_lines(spark, path, long_window), failfast=failfast)
+    found = None if months is None else month_paths(spark, path, months)
+    if long_window:
+        return scan_dumps(spark, path, months=months, failfast=failfast)
+    if found is not None and not found:
+        return spark.createDataFrame([], SCHEMA)
+    return parse_comments(read_comment_lines(spark, found or path), failfast=failfast)
 
 
 def read_filtered_comments(spark: SparkSession, path: str) -> DataFrame:
