@@ -416,7 +416,7 @@ def q_dump_source(spark, sf):
 def q_dump_source_pushed(spark, sf):
     """Two months and three communities, chosen inside the reader."""
     months = [(fx.DUMP_YEAR, 3), (fx.DUMP_YEAR, 7), (fx.DUMP_YEAR + 1, 7)]
-    c = scan_dumps(spark, _dumps(spark, sf), months=months, communities=["src0", "src3", "nobody"], split_bytes=SMALL_SPLIT)
+    c = scan_dumps(spark, _dumps(spark, sf), months=months, communities=["src2", "src3", "src14", "nobody"], split_bytes=SMALL_SPLIT)
     return c.select("id", "subreddit", F.md5("body").alias("body_md5"), "month")
 
 

@@ -555,7 +555,7 @@ UNION ALL SELECT NULL, NULL, NULL, NULL, 2019, (doc_id % 12 + 1)::INTEGER, true
   (doc_id % 12 + 1)::INTEGER AS month, text IS NULL AS corrupt FROM documents
 UNION ALL SELECT NULL, NULL, NULL, 2019, (doc_id % 12 + 1)::INTEGER, true FROM documents WHERE doc_id % 10 = 0""",
         "dump_source_pushed": """SELECT doc_id::VARCHAR AS id, source AS subreddit, md5(text) AS body_md5, (doc_id % 12 + 1)::INTEGER AS month
-FROM documents WHERE doc_id % 12 + 1 IN (3, 7) AND source IN ('src0', 'src3')""",
+FROM documents WHERE doc_id % 12 + 1 IN (3, 7) AND source IN ('src2', 'src3', 'src14')""",
         "comments_months": "SELECT doc_id::VARCHAR AS id, 2019 AS year, 3 AS month FROM documents WHERE doc_id % 12 + 1 = 3 AND text IS NOT NULL",
         "filtered_roundtrip": f"""SELECT doc_id::VARCHAR AS id, length(text)::INTEGER AS n_body, md5(text) AS body_md5, 2019 AS year, (doc_id % 12 + 1)::INTEGER AS month
 FROM ({_kept('text')})""",
