@@ -138,3 +138,31 @@ def test_sets_share_a_signature_over_several_bands():
             x = np.sort(rng.choice(y, n, replace=False))
             assert 100 * n >= 60 * m
             assert len(np.intersect1d(signatures(x, np.uint64(0), 60), signatures(y, np.uint64(0), 60))), (n, m)
+
+
+def test_long_texts_around_the_limit(spark):
+    """One group of long near copies, and texts that share a long passage only."""
+    rng = random.Random(9)
+    base = [f"v{rng.randrange(9000)}" for _ in range(1500)]
+    docs = []
+    for i in range(24):
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), rng.choice([0, 20, 24, 25, 26, 27, 30, 60])):
+            copy[at] = f"u{rng.randrange(9000)}"
+        docs.append((i, " ".join(copy[: len(copy) - rng.choice([0, 0, 150])])))
+    for i in range(24, 40):
+        docs.append((i, " ".join(base[:900] + [f"t{rng.randrange(9000)}" for _ in range(600)])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = brute(docs, 3, 90)
+    assert len({r[2] for r in want}) > 17
+    rows = near_duplicates(df).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted([tuple(r) for r in rows], key=str) == want
+
+
+def test_parity_bounds_the_difference():
+    rng = np.random.default_rng(3)
+    for bits in (8, module.WIDE_BITS):
+        x = rng.integers(0, 2**64 - 1, 3000, dtype=np.uint64)
+        y = np.concatenate([x[200:], rng.integers(0, 2**64 - 1, 300, dtype=np.uint64)])
+        apart = sum(int(a).bit_count() for a in (module._parity(x, bits) ^ module._parity(y, bits)).view(np.uint64))
+        assert apart <= 500 and (bits == 8 or apart > 300)

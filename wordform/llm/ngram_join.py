@@ -21,8 +21,10 @@ Candidates come from equal signatures, without emitting all pairs of a list:
    components only. This rest is complete: no link between components is lost.
 
 Candidates pass a length bound, a bound on the symmetric difference (parity
-bitmaps of 256 bits) and, in the rest, a bound on the number of signatures that
-they share, before their whole sets are compared.
+bitmaps of 256 bits; in the rest, where texts that share long passages meet in many
+lists, of 2048 bits for sets from 1024 shingles on, whose difference 256 bits can't
+show) and, in the rest, a bound on the number of signatures that they share, before
+their whole sets are compared.
 
 ``similarity_join`` gives all links: every link lies within a component, so the
 classes of each are compared with each other, by size, bitmap and whole sets. They
@@ -59,6 +61,8 @@ FREQUENT = 4
 #: Sets below 2^3 shingles have no frequent class.
 SMALL_BAND = 3
 MAX_BROADCAST_SIGNATURES = 2_000_000
+#: Sets of so many shingles have a second parity bitmap, of 2^11 bits.
+WIDE_FROM, WIDE_BITS = 1024, 11
 #: Classes of a component that are compared with as many others at once.
 BLOCK = 128
 
@@ -144,7 +148,13 @@ def signatures(t: np.ndarray, frequent: np.uint64, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-_SKETCH = "digest binary, fp binary, n bigint, plain boolean, p0 bigint, p1 bigint, p2 bigint, p3 bigint, sigs array<bigint>, pos array<int>"
+def _parity(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """For each value of the first ``bits`` bits, whether an odd number of hashes has it: 64 to a word."""
+    odd = np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+_SKETCH = "digest binary, fp binary, n bigint, plain boolean, p0 bigint, p1 bigint, p2 bigint, p3 bigint, sigs array<bigint>, pos array<int>, wide array<bigint>"
 
 
 def sketches(docs: DataFrame, k: int, percent: int, rank: np.ndarray, frequent: np.uint64) -> DataFrame:
@@ -160,25 +170,26 @@ def sketches(docs: DataFrame, k: int, percent: int, rank: np.ndarray, frequent:
             for a, b in text_ranges(offsets):
                 w = Words(data, offsets[a : b + 1], NON_SPACE)
                 raw, base = data[offsets[a] : offsets[b]].tobytes(), int(offsets[a])
-                cols: list[list] = [[] for _ in range(10)]
+                cols: list[list] = [[] for _ in range(11)]
                 for d, s in zip(range(a, b), _doc_shingles(w, w.hashes(), k)):
                     t = tokens_of(s, rank)
                     one = mix(t)
-                    bits = np.packbits((np.bincount((one >> np.uint64(56)).astype(np.int64), minlength=256) & 1).astype(np.uint8))
+                    bits = _parity(one, 8)
                     fp = np.array([one.sum(dtype=np.uint64), mix(one + np.uint64(1)).sum(dtype=np.uint64)])
                     sig = signatures(t, frequent, percent) if len(t) else t
                     cols[0].append(hashlib.md5(raw[offsets[d] - base : offsets[d + 1] - base]).digest())
                     cols[1].append(fp.tobytes())
                     cols[2].append(len(t))
                     cols[3].append(int(np.searchsorted(t, frequent)) > len(t) - least_overlap(len(t), percent))
-                    for i, p in enumerate(bits.view(np.int64)):
+                    for i, p in enumerate(bits):
                         cols[4 + i].append(p)
                     cols[8].append(sig.view(np.int64))
                     cols[9].append(np.searchsorted(t, sig).astype(np.int32))
-                kinds = [pa.binary(), pa.binary(), pa.int64(), pa.bool_(), *[pa.int64()] * 4, pa.list_(pa.int64()), pa.list_(pa.int32())]
+                    cols[10].append(_parity(one, WIDE_BITS) if len(t) >= WIDE_FROM else None)
+                kinds = [pa.binary(), pa.binary(), pa.int64(), pa.bool_(), *[pa.int64()] * 4, pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), *(pa.array(c, kind) for c, kind in zip(cols, kinds))],
-                    names=["doc_id", "digest", "fp", "n", "plain", "p0", "p1", "p2", "p3", "sigs", "pos"],
+                    names=["doc_id", "digest", "fp", "n", "plain", "p0", "p1", "p2", "p3", "sigs", "pos", "wide"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -215,14 +226,19 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     return map_arrow(with_texts.select("a", "b", "ta", "tb"), run, "a bigint, b bigint")
 
 
-def _likely(percent: int) -> Column:
+def _likely(percent: int, wide: bool = False) -> Column:
     """Bounds on a candidate pair x, y of classes: sizes, and the symmetric
     difference, of which differing parity bits are a lower bound."""
     n = F.col("x.n") + F.col("y.n")
     apart = sum((F.bit_count(F.col(f"x.p{i}").bitwiseXOR(F.col(f"y.p{i}"))) for i in range(4)), F.lit(0))
     overlap = F.ceil(F.lit(percent) * n / F.lit(100 + percent))
     sizes = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
-    return sizes & (apart <= n - 2 * overlap)
+    near = sizes & (apart <= n - 2 * overlap)
+    if wide:
+        each = F.zip_with("x.wide", "y.wide", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+        more = F.aggregate(each, F.lit(0), lambda total, bits: total + bits)
+        near = near & (F.col("x.wide").isNull() | F.col("y.wide").isNull() | (more <= n - 2 * overlap))
+    return near
 
 
 def _shared_at_least(percent: int) -> Column:
@@ -319,7 +335,7 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str, k: int, percent: i
     rows = written(sketches(docs, k, percent, rank, frequent), "sketches")
 
     # classes of equal sets: one row each, numbered
-    firsts = [F.first(c).alias(c) for c in ("n", "plain", "p0", "p1", "p2", "p3", "sigs", "pos")]
+    firsts = [F.first(c).alias(c) for c in ("n", "plain", "p0", "p1", "p2", "p3", "sigs", "pos", "wide")]
     classes = written(
         rows.where("n > 0")
         .groupBy("fp")
@@ -365,12 +381,12 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str, k: int, percent: i
         .select("sig", F.col("p.comp").alias("main"))
     )
     lists = written(lists.drop("pos").join(main, "sig"), "open-lists")
-    lists = written(lists.join(sizes, "cid"), "open")
+    lists = written(lists.join(classes.select(*sizes.columns, "wide"), "cid"), "open")
     together = (
         (F.col("x.sig") == F.col("y.sig"))
         & (F.col("x.comp") != F.col("y.comp"))
         & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.cid") < F.col("y.cid")))
-        & _likely(percent)
+        & _likely(percent, wide=True)
     )
     rest = lists.where("comp <> main").alias("x").join(lists.alias("y"), together)
     rest = rest.groupBy(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).agg(
