@@ -8,6 +8,9 @@ stage; the others keep them. Empty tables pass through."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +24,30 @@ LANGUAGE_SCORE = 0.3
 DUPLICATE_WORDS, DUPLICATE_PERCENT = 5, 80
 
 
+#: Bytes that a task and its Python worker exchange at once. Stages follow each
+#: other in the same executors, which keep the memory that one stage took; Spark's
+#: default of 64 MB is held several times over, in Arrow buffers on both sides.
+BATCH_KEY, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4194304b"
+
+
+def small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage in whose session batches are small, unless they were set already.
+    The setting stays: what a stage returns runs after it."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if spark.conf.get(BATCH_KEY) == BATCH_DEFAULT:
+            spark.conf.set(BATCH_KEY, BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def _text():
     return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
 
+@small_batches
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network knows, learned from three folds of four."""
     model = langid.fit(docs.where(fold("doc_id", 4) != 2), "text", "lang")
@@ -32,6 +55,7 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(docs, judged.where(f"lang_pred = 'und' or score < {LANGUAGE_SCORE}"), F.md5(_text()), "digest")
 
 
+@small_batches
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates: that with the smallest
     id; rows that repeat it go too."""
@@ -56,12 +80,14 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return without(kept, often, mine, "key").unionByName(once)
 
 
+@small_batches
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark doesn't contaminate."""
     report = decontaminate(docs.select(F.md5(_text()).alias("digest"), "text"), table(spark, sf_dir, "benchmark"), doc_id="digest")
     return without(docs, report.where("contaminated"), F.md5(_text()), "doc_id")
 
 
+@small_batches
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every span of personal data replaced by its kind, ``n_chars`` to match."""
     others = [c for c in docs.columns if c != "text"]
@@ -73,6 +99,7 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(*[value[c].alias(c) for c in docs.columns])
 
 
+@small_batches
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of what they decode to."""
     import public_tokenizers
