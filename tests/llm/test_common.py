@@ -73,3 +73,15 @@ def test_without(spark):
     keys = spark.createDataFrame([("b",), ("b",), (None,)], "key string")
     assert sorted(r["t"] for r in without(df, keys, F.col("t"), "key").collect()) == ["a", "c"]
     assert [r["t"] for r in without(df, keys, F.col("t"), "key", keep=True).collect()] == ["b", "b"]
+
+
+def test_without_keeps_columns_of_any_name(spark):
+    from pyspark.sql import functions as F
+
+    from wordform.llm.common import without
+
+    df = spark.createDataFrame([(1, "a", "b", "c", "d"), (2, "e", "f", "g", "h")], "doc_id int, _own string, _key string, __own string, _mine string")
+    keys = spark.createDataFrame([("1",), ("1",), ("7",)], "k string")
+    assert [tuple(r) for r in without(df, keys, F.col("doc_id").cast("string"), "k").collect()] == [(2, "e", "f", "g", "h")]
+    kept = without(df, keys, F.col("doc_id").cast("string"), "k", keep=True)
+    assert kept.columns == df.columns and [tuple(r) for r in kept.collect()] == [(1, "a", "b", "c", "d")]

@@ -19,7 +19,8 @@ def _docs(spark):
     base = " ".join(f"the and of thing{i}" for i in range(60))
     near = base.replace("thing7 ", "other ")
     rows = [(1, base), (2, near), (2, near), (3, base), (None, base), (4, None), (5, ""), (6, "alone with few words"), (7, "alone with few words"), (8, "12 34 56"), (None, "mail to x.y@example.com please")]
-    return spark.createDataFrame([(i, t, "en", "s", len(t or ""), "k", 0.5) for i, t in rows], SCHEMA)
+    odd = f"{SCHEMA}, _own string, _key string, _mine int"  # names that the stages use themselves
+    return spark.createDataFrame([(i, t, "en", "s", len(t or ""), "k", 0.5, "o", "k", 1) for i, t in rows], odd)
 
 
 def test_near_duplicates_leave_one_row(spark):
@@ -30,7 +31,9 @@ def test_near_duplicates_leave_one_row(spark):
 
 
 def test_language_rejects_texts_without_any(spark):
-    out = stages.identified(spark, _docs(spark), SF)
+    docs = _docs(spark)
+    out = stages.identified(spark, docs, SF)
+    assert out.columns == docs.columns and {(r["_own"], r["_key"], r["_mine"]) for r in out.collect()} == {("o", "k", 1)}
     assert sorted(r["doc_id"] or 0 for r in out.collect()) == [0, 0, 1, 2, 2, 3, 6, 7]
 
 

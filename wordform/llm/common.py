@@ -204,6 +204,14 @@ def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it, such that ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 #: Keys of 32 bytes that ``without`` broadcasts at most.
 MAX_BROADCAST_KEYS = 1_000_000
 
@@ -212,7 +220,9 @@ def without(df: DataFrame, keys: DataFrame, key: Column, name: str, keep: bool =
     """Rows of ``df`` whose ``key`` is not in ``keys`` (or is, with ``keep``).
     The written, distinct keys are broadcast up to a checked count, else the
     rows are shuffled by key (a semi or anti join needs no salt: AQE splits it)."""
-    keys = written(keys.select(F.col(name).alias("_key")).distinct(), "keys")
+    own = unused(df, "_own")
+    theirs = unused(df.withColumn(own, key), "_key")
+    keys = written(keys.select(F.col(name).alias(theirs)).distinct(), "keys")
     if keys.count() <= MAX_BROADCAST_KEYS:
         keys = F.broadcast(keys)
-    return df.withColumn("_own", key).join(keys, F.col("_own") == F.col("_key"), "left_semi" if keep else "left_anti").drop("_own")
+    return df.withColumn(own, key).join(keys, F.col(own) == F.col(theirs), "left_semi" if keep else "left_anti").drop(own)

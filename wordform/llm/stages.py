@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordform.llm import bpe, langid, ngram_join, pii
-from wordform.llm.common import fold, table, without, written
+from wordform.llm.common import fold, table, unused, without, written
 from wordform.llm.decontam import decontaminate
 
 #: A text whose best language scores less is in none that was learned.
@@ -76,7 +76,8 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     # a kept row that is there more than once: few, so only these are shuffled
     often = written(marked.where("key = first").groupBy("key").count().where("count > 1").select("key"), "often")
     mine = key(F.col("doc_id"), F.md5(_text()))
-    once = without(kept, often, mine, "key", keep=True).withColumn("_mine", mine).dropDuplicates(["_mine"]).drop("_mine")
+    own = unused(docs, "_mine")
+    once = without(kept, often, mine, "key", keep=True).withColumn(own, mine).dropDuplicates([own]).drop(own)
     return without(kept, often, mine, "key").unionByName(once)
 
 
