@@ -97,3 +97,17 @@ def test_failfast_raises_on_malformed_line(spark):
         fh.write("\n".join(_dump_lines()) + "\n")
     with pytest.raises(Exception):
         read_comments(spark, d, failfast=True).collect()
+
+
+def test_line_status_tells_lines_apart(spark):
+    from pyspark.sql import functions as F
+
+    from wordform.sources.comments import line_status
+
+    lines = {
+        '{"id": 1, "body": "x", "new field": [1, {"a": null}]}': "comment", '{"body": ""}': "comment", '{"body": 5}': "comment",
+        '{"body": null}': "null_body", '{"id": "a"}': "no_body", "{}": "no_body", "[1]": "no_object", '"text"': "no_object", "null": "no_object",
+        "{broken": "not_json", "not json 1": "not_json",
+    }
+    rows = spark.createDataFrame([(x,) for x in lines], "raw string").select("raw", line_status(F.col("raw")).alias("s")).collect()
+    assert {r.raw: r.s for r in rows} == lines

@@ -27,7 +27,7 @@ from wordform.operators.splits import frequency_bins, sentence_rows, shared_spli
 from wordform.plans.stages import Derivatives, filter_comments, find_derivatives, make_corpora, run_corpus
 from wordform.session import cut_lineage, ensure_checkpoint_dir
 from wordform.sources import fixtures as fx
-from wordform.sources.comments import read_comments, read_filtered_comments
+from wordform.sources.comments import line_status, read_comments, read_filtered_comments
 from wordform.sources.dumps import scan_dumps
 from wordform.sources.lexicon import read_lexicon
 from wordform.sources.lists import read_affixes, read_communities, read_vocab
@@ -404,6 +404,16 @@ def q_comments_scan(spark, sf):
     return c.select("id", "subreddit", F.length("body").alias("n_body"), F.md5("body").alias("body_md5"), "year", "month", "corrupt")
 
 
+def q_line_status(spark, sf):
+    """How many lines of each month's dumps are what; every third document's body is
+    left out, every fifth's is null."""
+    body = F.when(F.col("doc_id") % 3 == 0, F.lit("{}")).when(F.col("doc_id") % 5 == 0, F.lit('{"body":null}')).otherwise(F.to_json(F.struct(F.col("text").alias("body"))))
+    lines = fx.documents(spark, sf).select(F.col("doc_id").alias("id"), body.alias("raw"))
+    dumped = read_comments(spark, _dumps(spark, sf)).select("month", "raw")
+    every = lines.select(F.lit(0).alias("month"), "raw").unionByName(dumped)
+    return every.groupBy("month", line_status(F.col("raw")).alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
 SMALL_SPLIT = 1 << 16
 
 
@@ -486,6 +496,16 @@ def q_corpora_roundtrip(spark, sf):
     return spark.read.parquet(path).select("condition", *ROW_COLS)
 
 
+def q_shared_roundtrip(spark, sf):
+    """The SHARED corpora written over all corpora, re-read."""
+    path = _scratch(spark, "shared")
+    r = _derivatives(spark, sf)
+    out = cut_lineage(make_corpora(r.long, r.summary, key_cols=tuple(KEY), seed=SEED))
+    sinks.write_corpora(out, path)
+    sinks.write_corpora(out.where("condition = 'shared'"), path)
+    return spark.read.parquet(path).select("condition", *ROW_COLS)
+
+
 def q_productivity_roundtrip(spark, sf):
     """Both modes' files, then one mode in their place, re-read."""
     path = _scratch(spark, "productivity")
@@ -555,6 +575,7 @@ QUERIES = {
     "corpora": q_corpora,
     "conversation_derivatives": q_conversation_derivatives,
     "comments_scan": q_comments_scan,
+    "line_status": q_line_status,
     "dump_source": q_dump_source,
     "dump_source_pushed": q_dump_source_pushed,
     "comments_months": q_comments_months,
@@ -565,6 +586,7 @@ QUERIES = {
     "monthly_tables": q_monthly_tables,
     "joined_table": q_joined_table,
     "corpora_roundtrip": q_corpora_roundtrip,
+    "shared_roundtrip": q_shared_roundtrip,
     "productivity_roundtrip": q_productivity_roundtrip,
     "corpus_run": q_corpus_run,
     "context_list_import": q_context_list_import,

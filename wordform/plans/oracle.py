@@ -551,6 +551,10 @@ JOIN bins ON n >= lo AND (hi IS NULL OR n <= hi)"""),
         "comments_scan": """SELECT doc_id::VARCHAR AS id, source AS subreddit, length(text)::INTEGER AS n_body, md5(text) AS body_md5, 2019 AS year,
   (doc_id % 12 + 1)::INTEGER AS month, text IS NULL AS corrupt FROM documents
 UNION ALL SELECT NULL, NULL, NULL, NULL, 2019, (doc_id % 12 + 1)::INTEGER, true FROM documents WHERE doc_id % 10 = 0""",
+        "line_status": """SELECT month, status, count(*) AS n FROM (
+  SELECT 0 AS month, CASE WHEN doc_id % 3 = 0 THEN 'no_body' WHEN doc_id % 5 = 0 THEN 'null_body' WHEN text IS NULL THEN 'no_body' ELSE 'comment' END AS status FROM documents
+  UNION ALL SELECT (doc_id % 12 + 1)::INTEGER, CASE WHEN text IS NULL THEN 'no_body' ELSE 'comment' END FROM documents
+  UNION ALL SELECT (doc_id % 12 + 1)::INTEGER, 'not_json' FROM documents WHERE doc_id % 10 = 0) GROUP BY month, status""",
         "dump_source": """SELECT doc_id::VARCHAR AS id, source AS subreddit, md5(text) AS body_md5, 2019 AS year,
   (doc_id % 12 + 1)::INTEGER AS month, text IS NULL AS corrupt FROM documents
 UNION ALL SELECT NULL, NULL, NULL, 2019, (doc_id % 12 + 1)::INTEGER, true FROM documents WHERE doc_id % 10 = 0""",
@@ -564,6 +568,7 @@ FROM ({_kept('text')})""",
         "lexicon_scan": _with(FIXTURE_LEX, "SELECT word, base, pos, frequency FROM fx_lex"),
         "monthly_tables": _with(_monthly(), f"SELECT 2019 AS year, month::INTEGER AS month, {SUMMARY_COLS} FROM msum"),
         "joined_table": _with(_merged(A), f"SELECT {SUMMARY_COLS} FROM merged"),
+        "shared_roundtrip": f"SELECT 'shared' AS condition, * FROM ({_shared()})",
         "corpora_roundtrip": f"SELECT 'split_base' AS condition, * FROM ({_key_split('base')})",
         "productivity_roundtrip": _with(_merged(A), """SELECT mode, affix, count(*) AS v, sum(count)::BIGINT AS n,
   count(*) FILTER (WHERE count = 1) AS abshapax FROM merged WHERE mode = 'suffix' GROUP BY mode, affix"""),

@@ -13,7 +13,7 @@ be split, so whoever filters the lines spreads what is left
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +50,22 @@ def parse_comments(lines: DataFrame, value_col: str = "value", file_col: str = "
     )
 
 
+def line_status(raw: Column) -> Column:
+    """What a dump line is: ``comment``, ``null_body``, ``no_body``, ``no_object`` (JSON,
+    but not an object) or ``not_json``. The line is parsed without a schema
+    (VARIANT), so a missing and a null body are told apart and unknown fields do no
+    harm; ``corrupt`` of ``parse_comments`` holds for all but the first."""
+    line = F.try_parse_json(raw)
+    body = F.try_variant_get(line, "$.body", "variant")
+    return (
+        F.when(line.isNull(), "not_json")
+        .when(~F.startswith(F.schema_of_variant(line), F.lit("OBJECT")), "no_object")
+        .when(body.isNull(), "no_body")
+        .when(F.is_variant_null(body), "null_body")
+        .otherwise("comment")
+    )
+
+
 def month_paths(spark: SparkSession, root: str, months: list[tuple[int, int]]) -> list[str]:
     """Existing dump files ``RC_YYYY-MM[.zst]`` under ``root`` for the given
     (year, month) pairs; a missing month is skipped with a warning."""
