@@ -7,8 +7,8 @@ vocabulary), so it runs once per distinct token, never per occurrence:
           ──⋈ dictionary on lower(stem), on the probe key, on lower(rule base)
           ──► rule columns ──► survivors ──► best candidate per token
 
-The dictionary is broadcast behind a check of its rows and bytes: once, all
-probes share the exchange. The joins keep the token partitioning of ``types``, so
+The dictionary is broadcast behind a check of its rows and bytes; probes share
+the exchange. The joins keep the token partitioning of ``types``, so
 the final per-token choice needs no extra exchange when ``types`` comes out of
 a ``groupBy('token')``. A dictionary beyond the bounds stays where it is: a Bloom
 filter (``operators.bloom``) tells which keys can be in it, and only those, once per
@@ -112,7 +112,7 @@ def prepare(
 
 
 #: What a dictionary row says, as one array: every join takes the same two columns,
-#: so that Spark broadcasts one table for all of them.
+#: so that Spark can reuse one broadcast for several of them.
 FACTS = {"in_lexicon": 0, "lex_base": 1, "lex_pos": 2, "base_in_vocab": 3, "in_vocab": 4}
 
 
@@ -130,7 +130,7 @@ def looked_up(df: DataFrame, keys: dict[str, Column], res: Resources) -> DataFra
     """``df`` (with ``token``) with the dictionary's facts of each key: columns
     named as in ``keys``, null where the key isn't in the dictionary.
 
-    Within the broadcast bounds each key is a hash join with the one broadcast table.
+    Within the broadcast bounds each key is a hash join with a broadcast table.
     Beyond them the keys of all rows of a token that the Bloom filter lets through
     are joined in one go, distinct, and come back as a map per token: what moves
     are those keys and the rows of one join by token."""
