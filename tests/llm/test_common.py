@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from wordform.llm.common import ALNUM, CHUNK_BYTES, NON_SPACE, Words, fold, map_text, shingle_hashes, text_buffer, text_ranges, without
+from wordform.llm.common import ALNUM, CHUNK_BYTES, HASH_BLOCK, NON_SPACE, Words, fold, map_text, shingle_hashes, text_buffer, text_ranges, without
 
 ALNUM_RE = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SPACE_RE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -85,3 +85,17 @@ def test_without_keeps_columns_of_any_name(spark):
     assert [tuple(r) for r in without(df, keys, F.col("doc_id").cast("string"), "k").collect()] == [(2, "e", "f", "g", "h")]
     kept = without(df, keys, F.col("doc_id").cast("string"), "k", keep=True)
     assert kept.columns == df.columns and [tuple(r) for r in kept.collect()] == [(1, "a", "b", "c", "d")]
+
+
+def test_hashes_over_several_blocks():
+    """Texts and words longer than a block hash like short ones."""
+    long = "x" * (2 * HASH_BLOCK + 17)
+    texts = ["one two", "some words and one two " * 60000, f"one {long} two", long, long[1:]]
+    data, offsets = text_buffer(pa.array(texts))
+    w = Words(data, offsets, ALNUM)
+    h = w.hashes()
+    one, two = h[:2]
+    of = [h[a:b] for a, b in zip(w.ptr[:-1], w.ptr[1:])]
+    assert (of[1].reshape(-1, 5)[:, 3:] == [one, two]).all() and len(set(of[1].tolist())) == 5
+    assert of[2][0] == one and of[2][2] == two and of[2][1] == of[3][0] != of[4][0]
+    assert (Words(*text_buffer(pa.array(texts[1:2])), ALNUM).hashes() == of[1]).all()

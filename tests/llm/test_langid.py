@@ -1,7 +1,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from wordform.llm.langid import LENGTH, PAD, Net, fit, identify, op10_language, score_windows, train
+from wordform.llm import langid
+from wordform.llm.langid import LEAST_DOCS, LENGTH, PAD, Net, fit, identify, op10_language, score_windows, train
 
 SF = "/root/testdata/sf0.01"
 
@@ -62,3 +63,47 @@ def test_edges(spark):
     assert by[1] == by[2] == by[3] == "und" and by[4] in model[0] and by[5] in model[0] and by[6] in model[0]
     assert fit(df.withColumn("lang", F.lit(None).cast("string")), "text", "lang") is None
     assert identify(df.limit(0), model, ["doc_id"]).count() == 0
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    """300 languages: one with most rows, all copies of one text, one with a single text."""
+    seen = {}
+
+    def recorded(x, y, classes, seed, steps):
+        seen.update(x=x, y=y, classes=classes, steps=steps)
+        return Net(classes, np.random.default_rng(0))
+
+    monkeypatch.setattr(langid, "train", recorded)
+    few = spark.range(298 * 60).select((F.col("id") % 298).alias("k"), "id")
+    rows = few.select(F.format_string("l%03d", "k").alias("lang"), F.format_string("text %d of language %d", "id", "k").alias("text"))
+    rows = rows.union(spark.range(20000).select(F.lit("copies"), F.lit("the same text again")))
+    rows = rows.union(spark.range(1).select(F.lit("single"), F.lit("only this")))
+    langs, _ = fit(rows, "text", "lang")
+    assert len(langs) == seen["classes"] == 300
+    n = np.bincount(seen["y"], minlength=300)
+    assert n[langs.index("copies")] == n[langs.index("single")] == 1
+    assert n.min() == 1 and 4 <= np.sort(n)[2] and n.max() < 3 * LEAST_DOCS and seen["steps"] > langid.STEPS
+
+
+def test_windows_of_a_long_text_are_made_in_turn(spark):
+    """One text of 8 MB takes no multiple of its size in windows."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    model = (["a", "b"], Net(2, np.random.default_rng(3)).tables())
+    made = []
+    whole = langid.map_text
+    langid.map_text = lambda docs, keep, make, schema, text: made.append(make)
+    try:
+        identify(spark.createDataFrame([], "doc_id long, text string"), model, ["doc_id"])
+    finally:
+        langid.map_text = whole
+    size = 8 << 20
+    texts = pa.array(["words of a text " * (size // 16)])
+    run = made[0]()
+    tracemalloc.start()
+    got = run(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got["lang_pred"][0].as_py() in "ab" and peak < 4 * size

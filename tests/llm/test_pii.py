@@ -120,3 +120,55 @@ def test_spelled_out_addresses_without_digits(form, field):
     assert any(k == 0 and s < start + len(form) and e == start + len(form) for s, k, e in spans), spans
     assert "example" not in masked(text, spans)
     assert find("Sie kam at last, dot by dot, und ging.", field) == ([], [])
+
+
+def test_a_table_of_numbers_is_walked_from_left_to_right():
+    """One region as long as the text; its candidates are made one at a time."""
+    import tracemalloc
+
+    from wordform.llm import pii
+
+    text = "12 34 " * 3000
+    assert len(pii.regions(text)) == 1
+    spans, cands = pii.candidates(text, 0, len(text))
+    assert len(spans) == 6000 and sum(1 for _ in cands) > 40000
+    field = pii.Field()
+    tracemalloc.start()
+    base, found = pii.find(text, field)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert base == found == [] and peak < 200 * len(text)
+
+
+def test_spans_that_touch_base_spans_are_left_out():
+    import random
+
+    from wordform.llm import pii
+
+    class Every(pii.Field):
+        """Takes each token that is a number."""
+
+        def scores(self, cands):
+            return [(i, j, 3, 1.0) for i, j, _ in cands if j - i == 1]
+
+    rng = random.Random(4)
+    for _ in range(300):
+        text = " ".join(rng.choice(["1.2.3.4", "12345", "a@b.de", "word", "+49 170 1234567", "4111 1111 1111 1111", "77777"]) for _ in range(12))
+        base, found = pii.find(text, Every())
+        for s, k, e in set(found) - set(base):
+            assert not any(s < y and x < e for x, _, y in base)
+        left = set()
+        for a, b in pii.regions(text):
+            spans, cands = pii.candidates(text, a, b)
+            left |= {(*spans[i], 0) for i, j, _ in cands if j - i == 1}
+        left = {(s, 3, e) for s, e, _ in left if not any(s < y and x < e for x, _, y in base)}
+        assert left == set(found) - set(base)
+
+
+def test_long_regions_are_learned_from_in_stretches():
+    from wordform.llm import pii
+
+    base = [(10, 1, 20), (595, 2, 615), (1400, 0, 1420)]
+    assert pii.stretches(0, 600, base) == [(0, 600)]
+    assert pii.stretches(0, 2000, base) == [(0, 595), (1420, 2000)]
+    assert pii.within(base, 0, 595) == base[:1] and pii.within(base, 10, 2000) == base

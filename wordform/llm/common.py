@@ -134,19 +134,18 @@ _LOWER[0x41:0x5B] += 32
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+#: Bytes that are hashed at once; a longer text takes several blocks.
+HASH_BLOCK = CHUNK_BYTES + 4096
 _powers: list[np.ndarray] = []
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base mod 2^64 and of its inverse, n or more of them."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, CHUNK_BYTES + 4096)
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        for base in (_BASE, inverse):
-            p = np.full(size, base, np.uint64)
+def _power_tables() -> tuple[np.ndarray, np.ndarray]:
+    """``HASH_BLOCK`` powers of an odd base mod 2^64 and of its inverse."""
+    if not _powers:
+        for base in (_BASE, np.uint64(pow(int(_BASE), -1, 1 << 64))):
+            p = np.full(HASH_BLOCK, base, np.uint64)
             p[0] = 1
             _powers.append(np.cumprod(p, dtype=np.uint64))
-        del _powers[:-2]
     return _powers[0], _powers[1]
 
 
@@ -179,13 +178,32 @@ class Words:
         self.ptr = np.searchsorted(self.starts, rel)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word."""
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        power, inverse = _power_tables(len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power[: len(self.data)], out=total[1:])
-        return mix((total[self.ends] - total[self.starts]) * inverse[self.starts])
+        """A 64-bit hash of each word: its bytes as a polynomial, block by block."""
+        power, inverse = _power_tables()
+        out = np.zeros(len(self.starts), np.uint64)
+        i = 0
+        while i < len(out):
+            base = int(self.starts[i])
+            j = int(np.searchsorted(self.ends, base + HASH_BLOCK, side="right"))
+            if j == i:  # a word longer than a block
+                out[i] = self._long_word(base, int(self.ends[i]), power)
+                i += 1
+                continue
+            block = self.data[base : int(self.ends[j - 1])]
+            total = np.zeros(len(block) + 1, np.uint64)
+            np.cumsum((block.astype(np.uint64) + np.uint64(1)) * power[: len(block)], out=total[1:])
+            first = self.starts[i:j] - base
+            out[i:j] = (total[self.ends[i:j] - base] - total[first]) * inverse[first]
+            i = j
+        return mix(out)
+
+    def _long_word(self, start: int, end: int, power: np.ndarray) -> np.uint64:
+        value = 0
+        for at in range(start, end, HASH_BLOCK):
+            piece = self.data[at : min(at + HASH_BLOCK, end)]
+            part = int(((piece.astype(np.uint64) + np.uint64(1)) * power[: len(piece)]).sum(dtype=np.uint64))
+            value += part * pow(int(_BASE), at - start, 1 << 64)
+        return np.uint64(value % (1 << 64))
 
     def words(self, a: int, b: int) -> list[str]:
         raw = self.data.tobytes()

@@ -7,10 +7,13 @@ texts. For prediction the embeddings are folded into the filters, so that a
 filter of width 2w is the sum of w look-ups of byte pairs; every window of every
 text is scored and a text's score is the mean of its windows, by length.
 
-Sample: per language at most ``SAMPLE_DOCS / languages`` documents, those with
-the smallest hashes of their text (expected number; the threshold comes from
-the language's count), of each at most ``SAMPLE_WINDOWS`` windows spread over
-the whole text; at most ``MAX_LANGS`` languages, the most frequent.
+Every labelled language is learned. Sample: per language ``SAMPLE_DOCS / languages``
+different texts, or ``LEAST_DOCS`` if that is more (all, where it has fewer), those
+with the smallest hashes (expected number; the threshold comes from the language's
+count of different texts), of each at most ``SAMPLE_WINDOWS`` windows spread over
+the whole text. A window that occurs in many copies is learned from once, so the
+sample's size depends on the number of languages only. Windows of a text are
+scored ``BATCH`` at a time, whatever its length.
 
 A null text, an empty one and one without a letter are ``und`` with score 0; so
 is every text if there is nothing to learn from. Repeated rows are judged
@@ -35,7 +38,10 @@ EMBED = 8
 PAD = max(WIDTHS) - 1
 SAMPLE_DOCS = 6000
 SAMPLE_WINDOWS = 4
-MAX_LANGS = 200
+LEAST_DOCS = 24
+#: Steps of training, more of them from 100 languages on.
+STEPS = 600
+STEPS_PER_LANG = 6
 #: Windows that are convolved at once.
 BATCH = 256
 
@@ -104,7 +110,7 @@ class Net:
         return out
 
 
-def train(x: np.ndarray, y: np.ndarray, classes: int, seed: int = 7, steps: int = 600, batch: int = 64, rate: float = 0.01) -> Net:
+def train(x: np.ndarray, y: np.ndarray, classes: int, seed: int = 7, steps: int = STEPS, batch: int = 64, rate: float = 0.01) -> Net:
     """Adam over random batches, each class as likely as any other."""
     rng = np.random.default_rng(seed)
     net = Net(classes, rng)
@@ -144,14 +150,15 @@ def score_windows(t: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, text: str, lang: str, seed: int = 7) -> tuple[list[str], dict[str, np.ndarray]] | None:
     """Languages and tables learned from the rows of ``docs`` with a language; None without any."""
     known = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).where("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
-    if not counts:
+    known = known.withColumn("h", F.pmod(F.xxhash64("text"), F.lit(1 << 40)))
+    different = known.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row per language
+    if not different:
         return None
-    langs = sorted(counts)
-    most = SAMPLE_DOCS / len(langs)
-    shares = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, most / n))])
-    unit = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    sample = known.where(unit < F.coalesce(shares[F.col("lang")], F.lit(0.0)))
+    langs = sorted(r["lang"] for r in different)
+    most = max(SAMPLE_DOCS / len(langs), LEAST_DOCS)
+    bounds = [(r["lang"], int((1 << 40) * min(1.0, most / r["n"]))) for r in different]
+    bounds = known.sparkSession.createDataFrame(bounds, "lang string, below bigint")
+    sample = known.join(F.broadcast(bounds), "lang").where("h < below").select("text", "lang")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,14 +171,16 @@ def fit(docs: DataFrame, text: str, lang: str, seed: int = 7) -> tuple[list[str]
                     rows.append(data[a + j * LENGTH : min(a + j * LENGTH + LENGTH + PAD, b)].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(rows, pa.binary())], names=["lang", "bytes"])
 
-    rows = sorted(map_arrow(sample, cut, "lang string, bytes binary").collect(), key=lambda r: (bytes(r["bytes"]), r["lang"]))
+    windows = map_arrow(sample, cut, "lang string, bytes binary").distinct()
+    rows = sorted(windows.collect(), key=lambda r: (bytes(r["bytes"]), r["lang"]))
     if not rows:
         return None
     x = np.zeros((len(rows), LENGTH + PAD), np.uint8)
     for i, r in enumerate(rows):
         x[i, : len(r["bytes"])] = _LOWER[np.frombuffer(bytes(r["bytes"]), np.uint8)]
-    y = np.array([langs.index(r["lang"]) for r in rows])
-    return langs, train(x, y, len(langs), seed).tables()
+    at = {name: i for i, name in enumerate(langs)}
+    y = np.array([at[r["lang"]] for r in rows])
+    return langs, train(x, y, len(langs), seed, steps=max(STEPS, STEPS_PER_LANG * len(langs))).tables()
 
 
 _ASCII_LETTER = np.array([0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A for b in range(256)])
@@ -187,8 +196,7 @@ def identify(docs: DataFrame, model: tuple[list[str], dict[str, np.ndarray]] | N
         def run(texts: pa.Array) -> dict[str, pa.Array]:
             data, offsets = text_buffer(texts)
             begin, end = offsets[:-1], offsets[1:]
-            before = np.concatenate([[0], np.cumsum(_ASCII_LETTER[data])])
-            letter = before[end] > before[begin]
+            letter = np.array([_ASCII_LETTER[data[a:b]].any() for a, b in zip(begin.tolist(), end.tolist())], dtype=bool)
             for i in np.flatnonzero(~letter & (end > begin)):
                 letter[i] = any(c.isalpha() for c in texts[int(i)].as_py())
             if not langs:
@@ -199,9 +207,11 @@ def identify(docs: DataFrame, model: tuple[list[str], dict[str, np.ndarray]] | N
             starts = begin[doc] + (np.arange(first[-1]) - first[doc]) * LENGTH
             names, scores = ["und"] * len(n), np.zeros(len(n))
             if len(doc):
-                size = np.minimum(end[doc] - starts, LENGTH)
                 total = np.zeros((len(n), len(langs)))
-                np.add.at(total, doc, score_windows(tables, windows_of(data, starts, end[doc])) * size[:, None])
+                for a in range(0, len(doc), BATCH):
+                    of, at = doc[a : a + BATCH], starts[a : a + BATCH]
+                    size = np.minimum(end[of] - at, LENGTH)
+                    np.add.at(total, of, score_windows(tables, windows_of(data, at, end[of])) * size[:, None])
                 for i in np.flatnonzero(n):
                     best = int(total[i].argmax())
                     names[i] = langs[best]

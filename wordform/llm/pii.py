@@ -11,7 +11,7 @@ entities of bounded length picks the best segmentation. Spans that it finds and
 that overlap no base span are added; base spans always stay.
 
 It is learned from base spans of a bounded sample of regions (``SAMPLE``, those
-of the documents with the smallest hashes) and from rewritings of them that the
+of the different texts with the smallest hashes; stretches of ``TRAIN_CHARS`` at most) and from rewritings of them that the
 base patterns miss (spelled-out e-mails, defanged addresses, grouped cards,
 phones without ``+``), half of the e-mails without digits; digits that no base
 pattern takes, and words around ``at`` alone, teach it what to leave.
@@ -24,7 +24,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections.abc import Callable, Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,7 @@ SPAN = 18
 CONTEXT = 60
 SAMPLE = 400
 EPOCHS = 6
+TRAIN_CHARS = 600
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -132,14 +135,22 @@ def _side(c: str) -> str:
     return "^" if not c else "s" if c.isspace() else "a" if c.isalnum() else c if c in "@.-+_/:=" else "p"
 
 
-def candidates(text: str, a: int, b: int) -> tuple[list[tuple[int, int]], list[tuple[int, int, list[str]]]]:
-    """Tokens of a region and its candidate spans: (first token, token after the last, features)."""
+Candidate = tuple[int, int, list[str]]
+
+
+def candidates(text: str, a: int, b: int) -> tuple[list[tuple[int, int]], Iterator[Candidate]]:
+    """Tokens of a region and its candidate spans: (first token, token after the last,
+    features). They are made one at a time, left to right: a region without an end,
+    such as a table of numbers, has many times more of them than tokens."""
     spans = [(m.start() + a, m.end() + a) for m in _TOKEN.finditer(text[a:b])]
+    return spans, _candidates(text, spans)
+
+
+def _candidates(text: str, spans: list[tuple[int, int]]) -> Iterator[Candidate]:
     words = [text[s:e] for s, e in spans]
     digits = [sum("0" <= c <= "9" for c in w) for w in words]
     worded = [w.lower() in ("at", "dot") for w in words]
     mark = [d > 0 or w == "@" or spelled for d, w, spelled in zip(digits, words, worded)]
-    out = []
     for i, w in enumerate(words):
         if not (w[0].isalnum() or w in "+([") or not any(mark[i : i + SPAN]):
             continue
@@ -179,8 +190,7 @@ def candidates(text: str, a: int, b: int) -> tuple[list[tuple[int, int]], list[t
                 f"w{before}" if len(before) < 9 else "w",
                 f"sep{''.join(sorted(set(re.findall(r'[^0-9A-Za-z]', whole)))[:4])}{plain}",
             ]
-            out.append((i, j + 1, f))
-    return spans, out
+            yield i, j + 1, f
 
 
 # -- the field ------------------------------------------------------------------
@@ -194,7 +204,7 @@ class Field:
         self.w = np.zeros((0, len(KINDS)))
         self.beside = 0.0
 
-    def scores(self, cands: list) -> list[tuple[int, int, int, float]]:
+    def scores(self, cands: Iterable[Candidate]) -> list[tuple[int, int, int, float]]:
         """Best kind and score of each candidate."""
         get, w, out = self.index.get, self.rows, []
         for i, j, f in cands:
@@ -246,6 +256,7 @@ class Field:
         prepared, counts = [], {}
         for text, gold in data:
             spans, cands = candidates(text, 0, len(text))
+            cands = list(cands)
             at = {(s, e): kind for s, kind, e in gold}
             truth = [at.get((spans[i][0], spans[j - 1][1]), -1) for i, j, _ in cands]
             if cands:
@@ -352,6 +363,28 @@ def training_set(found: list[tuple[str, list[Span]]], seed: int = 5) -> list[tup
     return out
 
 
+def within(base: list[Span], a: int, b: int) -> list[Span]:
+    """The spans that lie in ``a`` to ``b``."""
+    return [s for s in base[bisect_left(base, (a,)) : bisect_left(base, (b,))] if s[2] <= b]
+
+
+def stretches(a: int, b: int, base: list[Span]) -> list[tuple[int, int]]:
+    """A region, or of a longer one the first ``TRAIN_CHARS`` and the last, each ended so
+    that it cuts no base span (left out where a span is as long as that)."""
+    if b - a <= TRAIN_CHARS:
+        return [(a, b)]
+    out = []
+    for x, y in ((a, a + TRAIN_CHARS), (b - TRAIN_CHARS, b)):
+        for s, _, e in base[: bisect_left(base, (y,))]:
+            if s < x < e:
+                x = e
+            if s < y < e:
+                y = min(y, s)
+        if y > x:
+            out.append((x, y))
+    return out
+
+
 def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, seed: int = 5) -> Field:
     """Learn a field from regions of at most ``sample`` texts that have any trigger."""
     some = (
@@ -359,7 +392,7 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, seed: int = 5
         .where(F.col("text").rlike("[0-9@]"))
         .select("text", F.xxhash64("text").alias("h"))
     )
-    n = some.count()
+    n = some.select("h").distinct().count()
     some = some.where(F.pmod("h", F.lit(1 << 40)) < int((1 << 40) * min(1.0, sample / max(n, 1)))).select("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,13 +402,13 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, seed: int = 5
                 base = base_spans(t)
                 cuts = regions(t)
                 for a, b in cuts[:: max(1, len(cuts) // 4)]:
-                    if b - a <= 600:
+                    for a, b in stretches(a, b, base):
                         texts.append(t[a:b])
-                        golds.append([{"s": s - a, "k": k, "e": e - a} for s, k, e in base if a <= s and e <= b])
+                        golds.append([{"s": s - a, "k": k, "e": e - a} for s, k, e in within(base, a, b)])
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(golds, gold_type)], names=["text", "gold"])
 
     gold_type = pa.list_(pa.struct([("s", pa.int32()), ("k", pa.int32()), ("e", pa.int32())]))
-    rows = map_arrow(some, cut, "text string, gold array<struct<s:int,k:int,e:int>>").collect()
+    rows = map_arrow(some, cut, "text string, gold array<struct<s:int,k:int,e:int>>").distinct().collect()
     found = sorted((r["text"], [(g["s"], g["k"], g["e"]) for g in r["gold"]]) for r in rows)
     random.Random(seed).shuffle(found)
     return Field().fit(training_set(found[: 2 * sample], seed))
@@ -384,12 +417,15 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, seed: int = 5
 def find(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans)."""
     base = base_spans(text)
+    starts = [s for s, _, _ in base]
+    reach = list(accumulate((e for _, _, e in base), max))  # the furthest end so far
     added = []
     for a, b in regions(text):
         spans, cands = candidates(text, a, b)
         for i, j, kind in field.decode(len(spans), field.scores(cands)):
             s, e = spans[i][0], spans[j - 1][1]
-            if not any(s < y and x < e for x, _, y in base):
+            before = bisect_left(starts, e)
+            if not before or reach[before - 1] <= s:
                 added.append((s, kind, e))
     return base, sorted(base + added)
 

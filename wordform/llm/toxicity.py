@@ -10,8 +10,9 @@ sum p exp(lambda s) = 1 over the clean word distribution and K comes from the
 clean labelled texts. The sum statistic of a text's best segments is turned into
 a score by a logistic curve fitted to the same labelled texts.
 
-Learned from at most about ``SAMPLE`` labelled texts per label and at most
-``MAX_WORDS`` words; the prior's counts cover the whole corpus. With only one
+Learned from at most about ``SAMPLE`` labelled texts per label, and from every
+significant word of them (so their number is bounded by the sample's words); the
+prior's counts cover the whole corpus. With only one
 label, or no significant word, every score is 0. Null, empty and wordless texts
 have no segment and the score of a text without any. Repeated rows get equal
 scores. A null id is in no fold: ``held_out`` is null. Other columns are not
@@ -32,7 +33,6 @@ from wordform.llm.common import ALNUM, Words, fold, map_arrow, map_text, table,
 from wordform.llm.labelled import labelled_sample
 
 SAMPLE = 5000
-MAX_WORDS = 50_000
 #: Weight of the prior as a share of the words learned from, and its least count of a word.
 PRIOR = 0.01
 PRIOR_LEAST = 0.5
@@ -180,7 +180,6 @@ def fit(sample: DataFrame, corpus: DataFrame) -> Model | None:
         .withColumn("z", F.col("odds") / F.col("sd"))
         .where(F.abs("z") >= SIGNIFICANT)
         .orderBy(F.abs("z").desc(), "word")
-        .limit(MAX_WORDS)
         .collect()
     )
     if not any(r["odds"] > DRIFT for r in words):
