@@ -21,6 +21,7 @@ from wordform.functions.text import parse_context_list, sanitize_body, sanitize_
 from wordform.operators import analyze as an
 from wordform.operators.corpus import duplicate_analyses, merge_increment, merge_months, review_sample, wide_contexts
 from wordform.operators.filters import body_length_ok, community_filter, detect_language, lang_filter
+from wordform.operators.language_model import LanguageModel, language_weights
 from wordform.operators.metrics import productivity
 from wordform.operators.segment import sentences, tokens
 from wordform.operators.splits import frequency_bins, sentence_rows, shared_split, split_by_key
@@ -127,6 +128,26 @@ def q_language_labels(spark, sf):
     return detect_language(d, "text", "lang_pred").drop("text")
 
 
+HELD_OUT_EVERY = 5
+
+
+def _learned_from(spark, sf) -> DataFrame:
+    """Documents of which language models are learned: four of five."""
+    return fx.documents(spark, sf).where(F.col("doc_id") % HELD_OUT_EVERY != 0)
+
+
+def q_language_weights(spark, sf):
+    """The learned language model as a table."""
+    return language_weights(_learned_from(spark, sf), "text", "lang")
+
+
+def q_language_learned(spark, sf):
+    """Every document's language by the learned model, those it has not seen marked."""
+    model = LanguageModel.fit(_learned_from(spark, sf), "text", "lang")
+    held_out = F.col("doc_id") % HELD_OUT_EVERY == 0
+    return fx.documents(spark, sf).select("doc_id", held_out.alias("held_out"), model.label(F.col("text")).alias("lang_pred"))
+
+
 def q_comment_filter(spark, sf):
     d = fx.documents(spark, sf).select("doc_id", F.col("source").alias("subreddit"), F.col("text").alias("body"))
     kept = filter_comments(d, fx.fixture_communities(spark))
@@ -539,6 +560,8 @@ QUERIES = {
     "body_length_filter": q_body_length_filter,
     "lang_filter": q_lang_filter,
     "language_labels": q_language_labels,
+    "language_weights": q_language_weights,
+    "language_learned": q_language_learned,
     "comment_filter": q_comment_filter,
     "sentences": q_sentences,
     "tokens": q_tokens,

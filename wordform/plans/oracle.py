@@ -446,6 +446,32 @@ SELECT {ANALYSIS_KEYS}, part, n_parts, count, count(*)::BIGINT AS part_count,
 FROM parts GROUP BY {ANALYSIS_KEYS}, part, n_parts, count""")
 
 
+def _language_ctes() -> str:
+    """Hashed character trigrams of every document and the weights learned from four of five."""
+    letters = r"regexp_replace(regexp_replace(lower(text), '\P{L}+', ' ', 'g'), '[\x{10000}-\x{10FFFF}]', chr(65533), 'g')"
+    return f"""WITH lm_text AS (SELECT doc_id, lang, ' ' || trim({letters}) || ' ' AS s FROM documents),
+lm_grams AS (SELECT doc_id, lang, unnest(list_transform(range(1, length(s) - 1), lambda i: substr(s, i, 3))) AS g FROM lm_text),
+lm_hits AS (
+  SELECT doc_id, lang, (unicode(substr(g, 1, 1)) * 17161 + unicode(substr(g, 2, 1)) * 131 + unicode(substr(g, 3, 1))) % 8192 AS bucket
+  FROM lm_grams),
+lm_counts AS (SELECT lang, bucket, count(*) AS n FROM lm_hits WHERE doc_id % 5 <> 0 AND lang IS NOT NULL GROUP BY ALL),
+lm_totals AS (SELECT lang, sum(n)::BIGINT AS total FROM lm_counts GROUP BY lang),
+lm_weights AS (
+  SELECT t.lang, b.bucket::INTEGER AS bucket, floor(1000 * ln((coalesce(c.n, 0) + 1)::DOUBLE / (t.total + 8192)))::BIGINT AS weight
+  FROM lm_totals t CROSS JOIN (SELECT unnest(range(8192)) AS bucket) b
+  LEFT JOIN lm_counts c ON c.lang = t.lang AND c.bucket = b.bucket)"""
+
+
+def _language_learned() -> str:
+    return f"""{_language_ctes()},
+lm_sums AS (
+  SELECT h.doc_id, w.lang, sum(h.k * w.weight) AS total
+  FROM (SELECT doc_id, bucket, count(*) AS k FROM lm_hits GROUP BY ALL) h JOIN lm_weights w USING (bucket) GROUP BY ALL),
+lm_best AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY doc_id ORDER BY total DESC, lang) AS place FROM lm_sums)
+SELECT d.doc_id, d.doc_id % 5 = 0 AS held_out, b.lang AS lang_pred
+FROM documents d LEFT JOIN (SELECT * FROM lm_best WHERE place = 1) b USING (doc_id)"""
+
+
 def _corpora() -> str:
     return f"""SELECT 'shared' AS condition, * FROM ({_shared()})
 UNION ALL SELECT 'split_base' AS condition, * FROM ({_key_split('base')})
@@ -497,6 +523,8 @@ def oracle_queries() -> dict[str, str]:
 WHERE length(c) >= 31 AND c <> '[deleted]'""",
         "lang_filter": f"SELECT doc_id, lang FROM (SELECT doc_id, lang, {_stop_counts()} FROM documents) WHERE {_lang_pred()} = 'de'",
         "language_labels": f"SELECT doc_id, lang, {_lang_pred()} AS lang_pred FROM (SELECT doc_id, lang, {_stop_counts()} FROM documents)",
+        "language_weights": f"{_language_ctes()} SELECT lang, bucket, weight FROM lm_weights",
+        "language_learned": _language_learned(),
         "comment_filter": f"SELECT doc_id, source AS subreddit, length(clean_body)::INTEGER AS n_clean FROM ({_kept('text')})",
         "sentences": _with(
             segment_ctes("documents"),
