@@ -24,6 +24,7 @@ from wordform.operators.filters import body_length_ok, community_filter, detect_
 from wordform.operators.language_model import LanguageModel, language_weights
 from wordform.operators.metrics import productivity
 from wordform.operators.segment import sentences, tokens
+from wordform.operators.sentence_model import SentenceModel, abbreviation_scores, follower_scores, type_counts
 from wordform.operators.splits import frequency_bins, sentence_rows, shared_split, split_by_key
 from wordform.plans.stages import Derivatives, filter_comments, find_derivatives, make_corpora, run_corpus
 from wordform.session import cut_lineage, ensure_checkpoint_dir
@@ -166,6 +167,26 @@ def q_tokens(spark, sf):
     return tokens(sentences(fx.comments(spark, sf), KEY, "body"), KEY)
 
 
+def q_abbreviation_scores(spark, sf):
+    """Every word type of all documents, how often a full stop follows it, and whether it is an abbreviation."""
+    return abbreviation_scores(cut_lineage(type_counts(fx.documents(spark, sf), "text"), "types"))
+
+
+def q_follower_scores(spark, sf):
+    """Words behind sentence ends, and behind abbreviations, initials and numbers."""
+    docs = fx.documents(spark, sf)
+    counts = cut_lineage(type_counts(docs, "text"), "types")
+    known = [r["type"] for r in abbreviation_scores(counts).where("abbreviation and n_dot >= 2").select("type").collect()]
+    return follower_scores(docs, "text", counts, known)
+
+
+def q_sentences_learned(spark, sf):
+    """The sentences of all documents by the model that is learned from them."""
+    docs = fx.documents(spark, sf)
+    model = SentenceModel.fit(docs, "text")
+    return docs.select("doc_id", F.posexplode(model.split(F.col("text"))).alias("sent_pos", "sentence"))
+
+
 # ---------------------------------------------------------------- lexicon ---
 
 def q_lexicon_clean(spark, sf):
@@ -565,6 +586,9 @@ QUERIES = {
     "comment_filter": q_comment_filter,
     "sentences": q_sentences,
     "tokens": q_tokens,
+    "abbreviation_scores": q_abbreviation_scores,
+    "follower_scores": q_follower_scores,
+    "sentences_learned": q_sentences_learned,
     "lexicon_clean": q_lexicon_clean,
     "vocab_gate": q_vocab_gate,
     "vocab_gate_bloom": q_vocab_gate_bloom,

@@ -446,6 +446,55 @@ SELECT {ANALYSIS_KEYS}, part, n_parts, count, count(*)::BIGINT AS part_count,
 FROM parts GROUP BY {ANALYSIS_KEYS}, part, n_parts, count""")
 
 
+def _sentence_ctes() -> str:
+    """Words of all documents, scores of types and of words behind others."""
+    spaces = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+    opening, closing, marks = "\"'([{<„“”‚‘»«›‹*_~", "\"')]}>“”’‘»«›‹*_~", ".,;:!?…"
+    piece = f"[^{WS[1:-1]}]+[{WS[1:-1]}]*"
+
+    def lnl(k: str, n: str, p: str) -> str:
+        return f"(CASE WHEN {k} > 0 THEN {k} * ln({p}) ELSE 0 END + CASE WHEN {n} > {k} THEN ({n} - {k}) * ln(1 - {p}) ELSE 0 END)"
+
+    return f"""WITH sm_lists AS (SELECT doc_id, regexp_extract_all(text, {q(piece)}) AS ps FROM documents),
+sm_pieces AS (SELECT doc_id, unnest(range(len(ps))) AS i, unnest(ps) AS piece FROM sm_lists),
+sm_cores AS (SELECT *, ltrim(rtrim(piece, {q(spaces + closing)}), {q(opening)}) AS core FROM sm_pieces),
+sm_bare AS (SELECT *, rtrim(core, {q(marks)}) AS bare FROM sm_cores),
+sm_typed AS (SELECT doc_id, i, piece, substr(core, length(bare) + 1) AS tail, regexp_matches(core, '^\\p{{Lu}}') AS up, contains(piece, chr(10)) AS nl,
+  CASE WHEN regexp_full_match(bare, '[0-9]+([.,:][0-9]+)*') THEN '#' ELSE lower(bare) END AS type FROM sm_bare),
+sm_words AS (SELECT *, type = '#' OR regexp_matches(type, '\\p{{L}}') AS known, regexp_full_match(tail, '[.][,;:]*') AS dot,
+  regexp_matches(tail, '[.!?]$') AND NOT regexp_full_match(tail, '[.]+') AS sure FROM sm_typed),
+sm_next AS (SELECT *, lead(type) OVER w AS next_type, lead(known) OVER w AS next_known, lead(up) OVER w AS next_up
+  FROM sm_words WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+sm_types AS (SELECT type, count(*) AS n, count(*) FILTER (WHERE dot) AS n_dot FROM sm_words WHERE known GROUP BY type),
+sm_all AS (SELECT sum(n)::DOUBLE AS words, (sum(n_dot) + 1)::DOUBLE / (sum(n) + 2) AS p FROM sm_types),
+sm_long AS (SELECT sm_types.*, words, p, length(replace(type, '.', '')) AS letters FROM sm_types, sm_all),
+sm_scored AS (SELECT type, n, n_dot, round(1000 * 2 * (n_dot * (ln(0.99) - ln(p)) + (n - n_dot) * (ln(0.01) - ln(1 - p)))
+  * (length(type) - letters + 1) * exp(-letters - (n - n_dot) * ln(letters)))::BIGINT AS score FROM sm_long),
+sm_abbr AS (SELECT type, n, n_dot, score, type <> '#' AND score >= 300 AS abbreviation FROM sm_scored),
+sm_short AS (SELECT type FROM sm_abbr WHERE abbreviation AND n_dot >= 2),
+sm_left AS (SELECT CASE WHEN dot AND (type = '#' OR regexp_full_match(type, '\\p{{L}}') OR type IN (FROM sm_short)) THEN type
+  WHEN sure OR tail = '.' THEN '' END AS lft, next_type AS rgt FROM sm_next WHERE known AND NOT nl AND next_known),
+sm_both AS (SELECT lft, rgt, count(*) AS k FROM sm_left WHERE lft IS NOT NULL GROUP BY ALL),
+sm_odds AS (SELECT lft, rgt, k, sum(k) OVER (PARTITION BY lft) AS nl, n AS nr, words FROM sm_both JOIN sm_types ON type = rgt, sm_all),
+sm_rates AS (SELECT *, k / nl AS p1, CASE WHEN words > nl THEN (nr - k) / (words - nl) ELSE 0 END AS p2, nr / words AS p FROM sm_odds),
+sm_follow AS (SELECT lft, rgt, nl, nr, k, round(1000 * CASE WHEN p1 > p THEN 1 ELSE -1 END * 2 * ({lnl('k', 'nl', 'p1')}
+  + {lnl('(nr - k)', '(words - nl)', 'p2')} - {lnl('k', 'nl', 'p')} - {lnl('(nr - k)', '(words - nl)', 'p')}))::BIGINT AS score FROM sm_rates)"""
+
+
+def _sentences_learned() -> str:
+    return f"""{_sentence_ctes()},
+sm_start AS (SELECT rgt FROM sm_follow WHERE lft = '' AND k >= 2 AND score >= 30000),
+sm_ordinal AS (SELECT rgt FROM sm_follow WHERE lft = '#' AND k >= 2 AND score >= 7880 AND rgt NOT IN (FROM sm_start)),
+sm_ends AS (SELECT doc_id, i, piece, CASE WHEN next_type IS NULL OR nl THEN true
+  WHEN tail = '.' AND type = '#' THEN next_up AND next_type NOT IN (FROM sm_ordinal)
+  WHEN tail = '.' AND (regexp_full_match(type, '\\p{{L}}') OR type IN (FROM sm_short)) THEN next_up AND next_type IN (FROM sm_start)
+  WHEN tail = '.' THEN true
+  WHEN regexp_full_match(tail, '[.][.]+|…') THEN next_up
+  ELSE sure END AS ends FROM sm_next),
+sm_placed AS (SELECT *, coalesce(sum(ends::INTEGER) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM sm_ends)
+SELECT doc_id, place::INTEGER AS sent_pos, regexp_replace(string_agg(piece, '' ORDER BY i), {q(WS + '+$')}, '') AS sentence FROM sm_placed GROUP BY doc_id, place"""
+
+
 def _language_ctes() -> str:
     """Hashed character trigrams of every document and the weights learned from four of five."""
     letters = r"regexp_replace(regexp_replace(lower(text), '\P{L}+', ' ', 'g'), '[\x{10000}-\x{10FFFF}]', chr(65533), 'g')"
@@ -531,6 +580,9 @@ WHERE length(c) >= 31 AND c <> '[deleted]'""",
             "SELECT doc_id, sent_pos, sentence, len(toks)::INTEGER AS n_tokens, len(toks) BETWEEN 10 AND 100 AS kept FROM sents_tok",
         ),
         "tokens": _with(segment_ctes("documents"), "SELECT doc_id, sent_pos, tok_pos, token FROM toks"),
+        "abbreviation_scores": f"{_sentence_ctes()} SELECT type, n, n_dot, score, abbreviation FROM sm_abbr",
+        "follower_scores": f"""{_sentence_ctes()} SELECT lft AS "left", rgt AS "right", nl::BIGINT AS n_left, nr AS n_right, k AS n_both, score FROM sm_follow""",
+        "sentences_learned": _sentences_learned(),
         "lexicon_clean": _with(
             FIXTURE_LEX.replace("FROM fx_words WHERE n >= 3 AND length(w) >= 3", "FROM fx_all_words").replace("fx_lex_raw AS (", ALL_WORDS + ",\nfx_lex_raw AS (", 1),
             "SELECT word, base, pos, frequency FROM fx_lex",
