@@ -25,6 +25,7 @@ from wordform.operators.language_model import LanguageModel, language_weights
 from wordform.operators.metrics import productivity
 from wordform.operators.segment import sentences, tokens
 from wordform.operators.sentence_model import SentenceModel, abbreviation_scores, follower_scores, type_counts
+from wordform.operators.tokenizer import RuleTokenizer
 from wordform.operators.splits import frequency_bins, sentence_rows, shared_split, split_by_key
 from wordform.plans.stages import Derivatives, filter_comments, find_derivatives, make_corpora, run_corpus
 from wordform.session import cut_lineage, ensure_checkpoint_dir
@@ -187,6 +188,13 @@ def q_sentences_learned(spark, sf):
     return docs.select("doc_id", F.posexplode(model.split(F.col("text"))).alias("sent_pos", "sentence"))
 
 
+def q_tokens_ruled(spark, sf):
+    """Every document's tokens by the rule tokeniser, in order, as a number and a digest."""
+    toks = RuleTokenizer().tokenize(F.col("text"))
+    d = fx.documents(spark, sf).where("text is not null").select("doc_id", F.explode(F.array(toks)).alias("toks"))
+    return d.select("doc_id", F.size("toks").alias("n_tokens"), F.md5(F.encode(F.array_join("toks", " "), "utf-8")).alias("tokens_md5"))
+
+
 # ---------------------------------------------------------------- lexicon ---
 
 def q_lexicon_clean(spark, sf):
@@ -589,6 +597,7 @@ QUERIES = {
     "abbreviation_scores": q_abbreviation_scores,
     "follower_scores": q_follower_scores,
     "sentences_learned": q_sentences_learned,
+    "tokens_ruled": q_tokens_ruled,
     "lexicon_clean": q_lexicon_clean,
     "vocab_gate": q_vocab_gate,
     "vocab_gate_bloom": q_vocab_gate_bloom,

@@ -495,6 +495,45 @@ sm_placed AS (SELECT *, coalesce(sum(ends::INTEGER) OVER (PARTITION BY doc_id OR
 SELECT doc_id, place::INTEGER AS sent_pos, regexp_replace(string_agg(piece, '' ORDER BY i), {q(WS + '+$')}, '') AS sentence FROM sm_placed GROUP BY doc_id, place"""
 
 
+# exceptions of the rule tokeniser
+EXCEPTIONS = (
+    "abs. allg. bspw. bzgl. bzw. ca. dipl. dr. ebd. etc. evtl. exkl. fr. ggf. hr. hrsg. inkl. jh. kap. max. min. "
+    "mio. mrd. nr. prof. s. sog. st. str. tel. u. usf. usw. v. vgl. vs. zzgl. :) :( ;) :D :P :/ :-) :-( ;-) :-D <3 ^^"
+).split()
+TWO_TOKENS = "z.B. d.h. u.a. z.T. i.d. s.o. s.u. o.ä. v.a. m.E. i.A. n.Chr. v.Chr.".split()
+
+
+def _tokens_ruled() -> str:
+    """Distinct words are peeled mark by mark in a recursive CTE."""
+    opening, closing = "\"'([{<„“”‚‘’»«›‹¿¡§#*_~", ".,;:!?…\"')]}>“”‘’»«›‹%€$°*_~"
+    whole = sorted({x for w in EXCEPTIONS for x in (w, w[0].upper() + w[1:])} | {x for w in TWO_TOKENS for x in (w, w[0].upper() + w[1:])})
+    two = sorted({x for w in TWO_TOKENS for x in (w, w[0].upper() + w[1:])})
+    number, address = "[+-]?[0-9]+([.,:/–-][0-9]+)*", "^([A-Za-z][A-Za-z0-9+.-]*://|www[.])|^[^@]+@[^@]+[.][^@]+$"
+    inner = '([/&=<>:;,!?…()\\[\\]{}"“”„«»]|--+)'
+    stop = f"""(rest IN {inlist(whole)} OR regexp_full_match(rest, '\\p{{L}}[.]') OR (regexp_full_match(rest, '[0-9]+[.]') AND NOT (final AND rgt = '')))"""
+    front = f"(rest <> '' AND contains({q(opening)}, substr(rest, 1, 1)))"
+    back = f"(rest <> '' AND contains({q(closing)}, right(rest, 1)))"
+    cut = f"""regexp_replace(regexp_replace(regexp_replace(rest, {q(inner)}, chr(31) || '\\1' || chr(31), 'g'),
+    '(\\p{{Ll}})[.](\\p{{Lu}})', '\\1' || chr(31) || '.' || chr(31) || '\\2', 'g'), '(\\p{{L}})([''’][sS])$', '\\1' || chr(31) || '\\2')"""
+    return f"""WITH RECURSIVE rt_lists AS (SELECT doc_id, regexp_extract_all(text, {q(NOT_WS + '+')}) AS ws FROM documents WHERE text IS NOT NULL),
+rt_words AS (SELECT doc_id, unnest(range(len(ws))) AS i, unnest(ws) AS w, len(ws) AS n FROM rt_lists),
+rt_peel(w, final, lft, rest, rgt) AS (
+  SELECT DISTINCT w, i = n - 1, '', w, '' FROM rt_words
+  UNION ALL
+  SELECT w, final, CASE WHEN {front} THEN lft || substr(rest, 1, 1) ELSE lft END,
+    CASE WHEN {front} THEN substr(rest, 2) ELSE left(rest, length(rest) - 1) END,
+    CASE WHEN {front} THEN rgt ELSE right(rest, 1) || rgt END
+  FROM rt_peel WHERE NOT {stop} AND ({front} OR {back})),
+rt_left AS (SELECT * FROM rt_peel WHERE {stop} OR NOT ({front} OR {back})),
+rt_tokens AS (SELECT w, final, list_concat(list_concat(regexp_extract_all(lft, '[.][.]+|.'),
+  CASE WHEN rest IN {inlist(two)} THEN [split_part(rest, '.', 1) || '.', split_part(rest, '.', 2) || '.']
+    WHEN {stop} OR regexp_full_match(rest, {q(number)}) OR regexp_matches(rest, {q(address)}) THEN [rest]
+    ELSE list_filter(string_split({cut}, chr(31)), x -> x <> '') END), regexp_extract_all(rgt, '[.][.]+|.')) AS toks FROM rt_left),
+rt_docs AS (SELECT doc_id, sum(len(toks)) AS n, string_agg(array_to_string(toks, ' '), ' ' ORDER BY i) AS joined
+  FROM rt_words JOIN rt_tokens ON rt_words.w = rt_tokens.w AND (i = n - 1) = final GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::INTEGER AS n_tokens, md5(coalesce(joined, '')) AS tokens_md5 FROM rt_lists LEFT JOIN rt_docs USING (doc_id)"""
+
+
 def _language_ctes() -> str:
     """Hashed character trigrams of every document and the weights learned from four of five."""
     letters = r"regexp_replace(regexp_replace(lower(text), '\P{L}+', ' ', 'g'), '[\x{10000}-\x{10FFFF}]', chr(65533), 'g')"
@@ -583,6 +622,7 @@ WHERE length(c) >= 31 AND c <> '[deleted]'""",
         "abbreviation_scores": f"{_sentence_ctes()} SELECT type, n, n_dot, score, abbreviation FROM sm_abbr",
         "follower_scores": f"""{_sentence_ctes()} SELECT lft AS "left", rgt AS "right", nl::BIGINT AS n_left, nr AS n_right, k AS n_both, score FROM sm_follow""",
         "sentences_learned": _sentences_learned(),
+        "tokens_ruled": _tokens_ruled(),
         "lexicon_clean": _with(
             FIXTURE_LEX.replace("FROM fx_words WHERE n >= 3 AND length(w) >= 3", "FROM fx_all_words").replace("fx_lex_raw AS (", ALL_WORDS + ",\nfx_lex_raw AS (", 1),
             "SELECT word, base, pos, frequency FROM fx_lex",
