@@ -107,9 +107,11 @@ def initial(w: Column) -> Column:
 
 def type_counts(docs: DataFrame, text: str) -> DataFrame:
     """(type, n, n_dot): how often a type occurs, and with a full stop."""
-    words = docs.select(F.explode(F.transform(pieces(F.col(text)), word)).alias("w")).where(counted(F.col("w")))
-    return words.groupBy(F.col("w.type").alias("type")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(dotted(F.col("w"))).alias("n_dot")
+    # counted as they stand first, so that every distinct word is looked at once
+    raw = docs.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(f"{NOT_WS}+"), 0)).alias("raw"))
+    words = raw.groupBy("raw").agg(F.count(F.lit(1)).alias("n")).select("n", F.explode(F.array(word(F.col("raw")))).alias("w"))
+    return words.where(counted(F.col("w"))).groupBy(F.col("w.type").alias("type")).agg(
+        F.sum("n").alias("n"), F.sum(F.when(dotted(F.col("w")), F.col("n")).otherwise(0)).alias("n_dot")
     )
 
 
@@ -149,14 +151,18 @@ def follower_scores(docs: DataFrame, text: str, counts: DataFrame, abbreviations
         unsure = (w["type"] == NUMBER) | initial(w) | known.has(w["type"])
         return F.when(dotted(w) & unsure, w["type"]).when(closes(w) | (w["tail"] == "."), F.lit(""))
 
-    def pairs(ws: Column) -> Column:
-        def pair(w: Column, i: Column) -> Column:
-            after = F.get(ws, i + 1)
-            return F.when(counted(w) & ~w["last"] & counted(after), F.struct(left(w).alias("left"), after["type"].alias("right")))
+    def pair(w: Column, after: Column) -> Column:
+        return F.when(counted(w) & ~w["last"] & counted(after), F.struct(left(w).alias("left"), after["type"].alias("right")))
 
-        return F.filter(F.transform(ws, pair), lambda x: x["left"].isNotNull())
+    def pairs(ps: Column) -> Column:
+        def found(p: Column, i: Column) -> Column:
+            # words without a mark are no left side
+            both = F.struct(word(p).alias("w"), word(F.get(ps, i + 1)).alias("after"))
+            return F.when(p.rlike("[.!?]"), _bind(both, lambda x: pair(x["w"], x["after"])))
+
+        return F.filter(F.transform(ps, found), lambda x: x["left"].isNotNull())
 
-    rows = docs.select(F.inline(_bind(F.transform(pieces(F.col(text)), word), pairs)))
+    rows = docs.select(F.inline(_bind(pieces(F.col(text)), pairs)))
     both = cut_lineage(rows.groupBy("left", "right").agg(F.count(F.lit(1)).alias("n_both")), "followers")
     lefts, _ = bounded_broadcast(both.groupBy("left").agg(F.sum("n_both").alias("n_left")))
     n = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -528,7 +528,7 @@ rt_left AS (SELECT * FROM rt_peel WHERE {stop} OR NOT ({front} OR {back})),
 rt_tokens AS (SELECT w, final, list_concat(list_concat(regexp_extract_all(lft, '[.][.]+|.'),
   CASE WHEN rest IN {inlist(two)} THEN [split_part(rest, '.', 1) || '.', split_part(rest, '.', 2) || '.']
     WHEN {stop} OR regexp_full_match(rest, {q(number)}) OR regexp_matches(rest, {q(address)}) THEN [rest]
-    ELSE list_filter(string_split({cut}, chr(31)), x -> x <> '') END), regexp_extract_all(rgt, '[.][.]+|.')) AS toks FROM rt_left),
+    ELSE [x FOR x IN string_split({cut}, chr(31)) IF x <> ''] END), regexp_extract_all(rgt, '[.][.]+|.')) AS toks FROM rt_left),
 rt_docs AS (SELECT doc_id, sum(len(toks)) AS n, string_agg(array_to_string(toks, ' '), ' ' ORDER BY i) AS joined
   FROM rt_words JOIN rt_tokens ON rt_words.w = rt_tokens.w AND (i = n - 1) = final GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0)::INTEGER AS n_tokens, md5(coalesce(joined, '')) AS tokens_md5 FROM rt_lists LEFT JOIN rt_docs USING (doc_id)"""
