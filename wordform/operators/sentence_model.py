@@ -134,6 +134,12 @@ def abbreviation_scores(counts: DataFrame) -> DataFrame:
     return scored.withColumn("abbreviation", (F.col("type") != NUMBER) & (F.col("score") >= ABBREVIATION))
 
 
+def learned_abbreviations(counts: DataFrame, min_count: int = 2) -> list[str]:
+    """Abbreviations with at least ``min_count`` full stops, at most ``MAX_ENTRIES``."""
+    found = abbreviation_scores(counts).where(F.col("abbreviation") & (F.col("n_dot") >= min_count))
+    return [r["type"] for r in _few(found.select("type"))]
+
+
 def _log_likelihood(k: Column, n: Column, p: Column) -> Column:
     """ln(p^k * (1 - p)^(n - k)), 0 * ln(0) = 0."""
     return F.when(k > 0, k * F.log(p)).otherwise(0.0) + F.when(n > k, (n - k) * F.log(1 - p)).otherwise(0.0)
@@ -208,8 +214,7 @@ class SentenceModel:
         than ``min_count`` times is none."""
         with cut_scope(docs.sparkSession):
             counts = cut_lineage(type_counts(docs, text), "types")
-            found = abbreviation_scores(counts).where(F.col("abbreviation") & (F.col("n_dot") >= min_count))
-            abbreviations = [r["type"] for r in _few(found.select("type"))]
+            abbreviations = learned_abbreviations(counts, min_count)
             pairs = follower_scores(docs, text, counts, abbreviations).where(F.col("n_both") >= min_count)
             needed = F.when(F.col("left") == "", STARTER).when(F.col("left") == NUMBER, COLLOCATION)
             rows = _few(pairs.where(F.col("score") >= needed).select("left", "right"))

@@ -24,9 +24,9 @@ from wordform.operators.filters import body_length_ok, community_filter, detect_
 from wordform.operators.language_model import LanguageModel, language_weights
 from wordform.operators.metrics import productivity
 from wordform.operators.segment import sentences, tokens
-from wordform.operators.sentence_model import SentenceModel, abbreviation_scores, follower_scores, type_counts
-from wordform.operators.tokenizer import RuleTokenizer
+from wordform.operators.sentence_model import SentenceModel, abbreviation_scores, follower_scores, learned_abbreviations, type_counts
 from wordform.operators.splits import frequency_bins, sentence_rows, shared_split, split_by_key
+from wordform.operators.tokenizer import RuleTokenizer
 from wordform.plans.stages import Derivatives, filter_comments, find_derivatives, make_corpora, run_corpus
 from wordform.session import cut_lineage, ensure_checkpoint_dir
 from wordform.sources import fixtures as fx
@@ -177,8 +177,7 @@ def q_follower_scores(spark, sf):
     """Words behind sentence ends, and behind abbreviations, initials and numbers."""
     docs = fx.documents(spark, sf)
     counts = cut_lineage(type_counts(docs, "text"), "types")
-    known = [r["type"] for r in abbreviation_scores(counts).where("abbreviation and n_dot >= 2").select("type").collect()]
-    return follower_scores(docs, "text", counts, known)
+    return follower_scores(docs, "text", counts, learned_abbreviations(counts))
 
 
 def q_sentences_learned(spark, sf):
