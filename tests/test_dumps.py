@@ -119,3 +119,22 @@ def test_empty(spark):
     _write(f"{d}/RC_2021-01", [""])
     assert scan_dumps(spark, d).where("raw <> ''").count() == 0
     assert dumps.SCHEMA.startswith("id string")
+
+
+def test_small_ranges_share_tasks_and_read_little_past_their_end(spark, tmp_path, monkeypatch):
+    lines = [json.dumps({"id": str(i), "subreddit": "a", "body": "x" * (i % 90)}) for i in range(20_000)]
+    for m in (1, 2):
+        _write(f"{tmp_path}/RC_2020-0{m}", lines[: 10_000 * m])
+    reader = dumps.DumpReader({"path": str(tmp_path), "splitbytes": "700"})
+    tasks = reader.partitions()
+    ranges = [r for t in tasks for r in t.ranges]
+    assert len(ranges) > 3000 and dumps.TASKS // 2 <= len(tasks) <= 2 * dumps.TASKS
+    assert [(r.path, r.start) for r in ranges] == sorted((r.path, r.start) for r in ranges) and max(r.end - r.start for r in ranges) == 700
+    assert sum(r.end - r.start for r in ranges) == sum(os.path.getsize(f"{tmp_path}/RC_2020-0{m}") for m in (1, 2))
+    assert [r for t in tasks for b in reader.read(t) for r in b.column(0).to_pylist()] == [str(i) for m in (1, 2) for i in range(10_000 * m)]
+    with open(f"{tmp_path}/RC_2020-02", "rb") as fh:
+        read = sum(len(data) for data, _ in list(dumps._plain(fh, ranges[-100]))[:2])
+    assert read <= 700 + dumps.TAIL_BYTES
+    assert _rows(scan_dumps(spark, str(tmp_path), split_bytes=700)) == _rows(scan_dumps(spark, str(tmp_path)))
+    assert len(dumps._tasks([dumps.DumpRange("a", 1, 1, i << 26, (i + 1) << 26) for i in range(1000)])) == 1000  # large ranges stay alone
+    assert dumps._tasks([]) == []

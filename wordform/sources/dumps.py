@@ -5,7 +5,7 @@ read by many tasks: a plain file in byte ranges, a compressed one in ranges of z
 frames, which are found by walking the block headers (three bytes of every 128 KB)
 without decompressing anything. A line belongs to the range in which it begins: a range
 skips what is left of the line before it and reads its last line to the end, also
-into the next frames.
+into the next frames. Small ranges share tasks once there are many of them.
 
 Filters on ``year`` and ``month`` choose files before any is opened, those on
 ``subreddit`` drop comments before their rows are built; Spark shows both as pushed.
@@ -42,7 +42,12 @@ FILE_RE = re.compile(r"RC_(\d{4})-(\d{2})")
 ZSTD_MAX_WINDOW = 2**31
 #: Compressed (or plain) bytes that a task takes at least, if the file has as many.
 SPLIT_BYTES = 64 << 20
+#: Ranges are read together, in one task, up to so many bytes and as long as there
+#: are so many tasks: the cost of a task is not paid for every small range.
+TASK_BYTES, TASKS = 16 << 20, 256
 READ_BYTES = 1 << 20
+#: What is read first for the end of a range's last line; twice as much each time after.
+TAIL_BYTES = 4 << 10
 BATCH_ROWS, BATCH_BYTES = 10_000, 4 << 20
 
 # Fixed values of the zstd frame format.
@@ -90,7 +95,7 @@ def frames(fh, size: int) -> Iterator[tuple[int, int]]:
 
 
 @dataclass
-class DumpRange(InputPartition):
+class DumpRange:
     path: str
     year: int | None
     month: int | None
@@ -98,6 +103,25 @@ class DumpRange(InputPartition):
     end: int
 
 
+@dataclass
+class DumpTask(InputPartition):
+    ranges: list[DumpRange]
+
+
+def _tasks(ranges: list[DumpRange]) -> list[DumpTask]:
+    """Consecutive ranges dealt into tasks."""
+    share = min(TASK_BYTES, sum(r.end - r.start for r in ranges) // TASKS)
+    tasks: list[DumpTask] = []
+    size = share
+    for r in ranges:
+        if size + r.end - r.start > share:
+            tasks.append(DumpTask([]))
+            size = 0
+        tasks[-1].ranges.append(r)
+        size += r.end - r.start
+    return tasks
+
+
 def _ranges(path: str, year: int | None, month: int | None, size: int, split: int) -> Iterator[DumpRange]:
     if not path.endswith(".zst"):
         for start in range(0, size, split):
@@ -118,9 +142,11 @@ def _ranges(path: str, year: int | None, month: int | None, size: int, split: in
 
 
 def _plain(fh, part: DumpRange) -> Iterator[tuple[bytes, bool]]:
-    at = part.start
+    at, tail = part.start, TAIL_BYTES
     fh.seek(at)
-    while data := fh.read(READ_BYTES if at >= part.end else min(READ_BYTES, part.end - at)):
+    while data := fh.read(tail if at >= part.end else min(READ_BYTES, part.end - at)):
+        if at >= part.end:
+            tail = min(2 * tail, READ_BYTES)
         yield data, at < part.end
         at += len(data)
 
@@ -211,14 +237,14 @@ class DumpReader(DataSourceReader):
                 return False
         return True
 
-    def partitions(self) -> list[DumpRange]:
+    def partitions(self) -> list[DumpTask]:
         from pyarrow import fs as pafs
 
         filesystem, inner = _open(self.path if "://" in self.path or self.path.startswith("file:") else f"file://{self.path}")
         infos = filesystem.get_file_info(inner)
         infos = filesystem.get_file_info(pafs.FileSelector(inner, recursive=False)) if infos.type == pafs.FileType.Directory else [infos]
         prefix = self.path.rstrip("/") + "/" if len(infos) != 1 or infos[0].path != inner else None
-        out = []
+        out: list[DumpRange] = []
         for info in sorted(infos, key=lambda i: i.path):
             found = FILE_RE.match(info.base_name)
             if info.type != pafs.FileType.File or not info.base_name.startswith("RC_"):
@@ -227,11 +253,13 @@ class DumpReader(DataSourceReader):
             if self._wanted(year, month):
                 path = prefix + info.base_name if prefix else self.path
                 out += _ranges(path if ":" in path else f"file://{path}", year, month, info.size, self.split)
-        return out
+        return _tasks(out)
 
-    def read(self, part: DumpRange | None) -> Iterator[pa.RecordBatch]:
-        if part is None:  # no file is wanted
-            return
+    def read(self, task: DumpTask | None) -> Iterator[pa.RecordBatch]:
+        for part in task.ranges if task else []:  # none: no file is wanted
+            yield from self._read(part)
+
+    def _read(self, part: DumpRange) -> Iterator[pa.RecordBatch]:
         filesystem, inner = _open(part.path)
         rows: list[tuple] = []
         size = 0
