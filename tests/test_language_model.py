@@ -107,3 +107,11 @@ def test_time_grows_with_the_length_of_a_text(spark, labelled):
 
     seconds(1000)
     assert seconds(40_000) < 30
+
+
+def test_a_text_is_turned_into_numbers_once(spark, documents_model):
+    """No string is made per n-gram, and the weights are an array once, before any row."""
+    _, model = documents_model
+    df = spark.range(1).select(F.col("id").cast("string").alias("t"))
+    plan = df.select(model.label(F.col("t")).alias("l"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "substring" not in plan and "from_json" not in plan

@@ -38,17 +38,20 @@ def normalized(text: Column) -> Column:
 
 
 def buckets(text: Column) -> Column:
-    """array<int>: the bucket of every n-gram of the text, in order. A look-ahead
-    finds them in one pass; taking substrings by position would walk a long text once for each."""
-    grams = F.regexp_extract_all(normalized(text), F.lit(f"(?=({'.' * NGRAM}))"), 1)
+    """array<int>: the bucket of every n-gram of the text, in order. Each character is
+    turned into its number once, and n-grams are hashed from the array of these."""
 
-    def hashed(gram: Column) -> Column:
-        value = F.ascii(gram)
-        for i in range(1, NGRAM):
-            value = value * FACTOR + F.ascii(F.substring(gram, i + 1, 1))
-        return value % BUCKETS
+    def hashed(codes: Column) -> Column:
+        def value(first: Column, at: Column) -> Column:
+            for i in range(1, NGRAM):
+                first = first * FACTOR + codes[at + i]
+            return first % BUCKETS
 
-    return F.transform(grams, hashed)
+        return F.transform(F.slice(codes, 1, F.greatest(F.size(codes) - (NGRAM - 1), F.lit(0))), value)
+
+    codes = F.transform(F.split(normalized(text), ""), F.ascii)
+    # a one-element array keeps the numbers from being worked out once per n-gram
+    return F.transform(F.array(codes), hashed)[0]
 
 
 def language_weights(labelled: DataFrame, text: str, lang: str) -> DataFrame:
@@ -99,15 +102,17 @@ class LanguageModel:
 
     def scores(self, text: Column) -> Column:
         """A struct with a sum of weights per language (s0, s1, ...)."""
-        n = len(self.languages)
-        # one string, folded into an array once, instead of a literal per weight
-        weights = F.split(F.lit(",".join(map(str, self.weights))), ",").cast("array<int>")
-        start = F.struct(*[F.lit(0).cast("long").alias(f"s{i}") for i in range(n)])
+        names = [f"s{i}" for i in range(len(self.languages))]
+        per_bucket = zip(*[iter(self.weights)] * len(names))
+        # one string, folded into an array once, instead of a literal per weight; a bucket's weights are looked up together
+        text_of = "[" + ",".join("{" + ",".join(f'"{s}":{w}' for s, w in zip(names, row)) + "}" for row in per_bucket) + "]"
+        weights = F.from_json(F.lit(text_of), f"array<struct<{','.join(f'{s}:bigint' for s in names)}>>")
+        start = F.struct(*[F.lit(0).cast("long").alias(s) for s in names])
 
-        def add(sums: Column, bucket: Column) -> Column:
-            return F.struct(*[(sums[f"s{i}"] + weights[bucket * n + i]).alias(f"s{i}") for i in range(n)])
+        def add(sums: Column, row: Column) -> Column:
+            return F.struct(*[(sums[s] + row[s]).alias(s) for s in names])
 
-        return F.aggregate(buckets(text), start, add)
+        return F.aggregate(F.transform(buckets(text), lambda b: weights[b]), start, add)
 
     def label(self, text: Column) -> Column:
         """The language of a text; null without letters or without anything learned."""
