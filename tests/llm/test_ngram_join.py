@@ -166,3 +166,32 @@ def test_parity_bounds_the_difference():
         y = np.concatenate([x[200:], rng.integers(0, 2**64 - 1, 300, dtype=np.uint64)])
         apart = sum(int(a).bit_count() for a in (module._parity(x, bits) ^ module._parity(y, bits)).view(np.uint64))
         assert apart <= 500 and (bits == 8 or apart > 300)
+
+
+def test_lists_of_the_same_classes_are_one(spark):
+    rows = [(s, s, c) for s, members in {9: [1, 2], 5: [1, 2], 7: [2, 1], 6: [1, 2, 3], 8: [1, 3], 4: [2, 3]}.items() for c in members]
+    listed = spark.createDataFrame(rows, "sig long, pos int, cid long").repartition(5)
+    got = sorted(tuple(r) for r in module.merged_lists(listed).select("sig", "weight", "pos", "cid").collect())
+    assert got == [(4, 1, 4, 2), (4, 1, 4, 3), (5, 3, 5, 1), (5, 3, 5, 2), (6, 1, 6, 1), (6, 1, 6, 2), (6, 1, 6, 3), (8, 1, 8, 1), (8, 1, 8, 3)]
+
+
+def test_rest_join_emits_a_shared_passage_once(spark, monkeypatch):
+    """Texts that begin with one long passage and go on differently."""
+    open_rows, real = [], module.written
+    monkeypatch.setattr(module, "written", lambda df, name: open_rows.append(real(df, name).count()) or real(df, name) if name == "open" else real(df, name))
+    shared = [f"s{i}" for i in range(300)]
+    docs = [(d, " ".join(shared + [f"x{d}_{i}" for i in range(300 + d)])) for d in range(6)]
+    df = spark.createDataFrame(docs + [(9, docs[0][1] + " end")], "doc_id long, text string")
+    rows = near_duplicates(df, k=3, percent=50).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted([tuple(r) for r in rows], key=str) == brute(docs + [(9, docs[0][1] + " end")], 3, 50)
+    assert open_rows and max(open_rows) <= 3 * len(docs)
+
+
+def test_bitmaps_show_that_middle_sized_sets_differ(spark):
+    """700 shingles of which 300 are shared: 256 bits would let them pass at 80 percent."""
+    shared = [f"s{i}" for i in range(302)]
+    docs = spark.createDataFrame([(d, " ".join(shared + [f"x{d}_{i}" for i in range(400)])) for d in range(8)], "doc_id long, text string")
+    rank, frequent = module.order_of(module.bucket_counts(docs, 3))
+    rows = module.sketches(docs, 3, 80, rank, frequent).select("doc_id", "n", *module.BITMAP)
+    pairs = rows.alias("x").join(rows.alias("y"), module.F.col("x.doc_id") < module.F.col("y.doc_id"))
+    assert pairs.count() == 28 and pairs.where(module._likely(80)).count() == 0

@@ -20,9 +20,12 @@ Candidates come from equal signatures, without emitting all pairs of a list:
 2. lists that still hold several components pair members of different
    components only. This rest is complete: no link between components is lost.
 
+Signatures that the same classes have are one list, which counts as many times: a
+passage that several texts share gives a pair of them once, however long it is.
+
 Candidates pass a length bound, a bound on the symmetric difference (parity
-bitmaps of 256 bits; in the rest, where texts that share long passages meet in many
-lists, of 2048 bits for sets from 1024 shingles on, whose difference 256 bits can't
+bitmaps of 512 bits; in the rest, where texts that share long passages meet in many
+lists, of 2048 bits for sets from 1024 shingles on, whose difference 512 bits can't
 show) and, in the rest, a bound on the number of signatures that they share, before
 their whole sets are compared.
 
@@ -61,7 +64,9 @@ FREQUENT = 4
 #: Sets below 2^3 shingles have no frequent class.
 SMALL_BAND = 3
 MAX_BROADCAST_SIGNATURES = 2_000_000
-#: Sets of so many shingles have a second parity bitmap, of 2^11 bits.
+#: Parity bitmaps have 2^9 bits; sets of so many shingles have a second one, of 2^11.
+BITMAP_BITS = 9
+BITMAP = [f"p{i}" for i in range(1 << (BITMAP_BITS - 6))]
 WIDE_FROM, WIDE_BITS = 1024, 11
 #: Classes of a component that are compared with as many others at once.
 BLOCK = 128
@@ -154,7 +159,7 @@ def _parity(hashes: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-_SKETCH = "digest binary, fp binary, n bigint, plain boolean, p0 bigint, p1 bigint, p2 bigint, p3 bigint, sigs array<bigint>, pos array<int>, wide array<bigint>"
+_SKETCH = f"digest binary, fp binary, n bigint, plain boolean, {', '.join(f'{p} bigint' for p in BITMAP)}, sigs array<bigint>, pos array<int>, wide array<bigint>"
 
 
 def sketches(docs: DataFrame, k: int, percent: int, rank: np.ndarray, frequent: np.uint64) -> DataFrame:
@@ -170,11 +175,11 @@ def sketches(docs: DataFrame, k: int, percent: int, rank: np.ndarray, frequent:
             for a, b in text_ranges(offsets):
                 w = Words(data, offsets[a : b + 1], NON_SPACE)
                 raw, base = data[offsets[a] : offsets[b]].tobytes(), int(offsets[a])
-                cols: list[list] = [[] for _ in range(11)]
+                cols: list[list] = [[] for _ in range(7 + len(BITMAP))]
                 for d, s in zip(range(a, b), _doc_shingles(w, w.hashes(), k)):
                     t = tokens_of(s, rank)
                     one = mix(t)
-                    bits = _parity(one, 8)
+                    bits = _parity(one, BITMAP_BITS)
                     fp = np.array([one.sum(dtype=np.uint64), mix(one + np.uint64(1)).sum(dtype=np.uint64)])
                     sig = signatures(t, frequent, percent) if len(t) else t
                     cols[0].append(hashlib.md5(raw[offsets[d] - base : offsets[d + 1] - base]).digest())
@@ -183,13 +188,13 @@ def sketches(docs: DataFrame, k: int, percent: int, rank: np.ndarray, frequent:
                     cols[3].append(int(np.searchsorted(t, frequent)) > len(t) - least_overlap(len(t), percent))
                     for i, p in enumerate(bits):
                         cols[4 + i].append(p)
-                    cols[8].append(sig.view(np.int64))
-                    cols[9].append(np.searchsorted(t, sig).astype(np.int32))
-                    cols[10].append(_parity(one, WIDE_BITS) if len(t) >= WIDE_FROM else None)
-                kinds = [pa.binary(), pa.binary(), pa.int64(), pa.bool_(), *[pa.int64()] * 4, pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+                    cols[-3].append(sig.view(np.int64))
+                    cols[-2].append(np.searchsorted(t, sig).astype(np.int32))
+                    cols[-1].append(_parity(one, WIDE_BITS) if len(t) >= WIDE_FROM else None)
+                kinds = [pa.binary(), pa.binary(), pa.int64(), pa.bool_(), *[pa.int64()] * len(BITMAP), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), *(pa.array(c, kind) for c, kind in zip(cols, kinds))],
-                    names=["doc_id", "digest", "fp", "n", "plain", "p0", "p1", "p2", "p3", "sigs", "pos", "wide"],
+                    names=["doc_id", "digest", "fp", "n", "plain", *BITMAP, "sigs", "pos", "wide"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -230,7 +235,7 @@ def _likely(percent: int, wide: bool = False) -> Column:
     """Bounds on a candidate pair x, y of classes: sizes, and the symmetric
     difference, of which differing parity bits are a lower bound."""
     n = F.col("x.n") + F.col("y.n")
-    apart = sum((F.bit_count(F.col(f"x.p{i}").bitwiseXOR(F.col(f"y.p{i}"))) for i in range(4)), F.lit(0))
+    apart = sum((F.bit_count(F.col(f"x.{p}").bitwiseXOR(F.col(f"y.{p}"))) for p in BITMAP), F.lit(0))
     overlap = F.ceil(F.lit(percent) * n / F.lit(100 + percent))
     sizes = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
     near = sizes & (apart <= n - 2 * overlap)
@@ -250,6 +255,15 @@ def _shared_at_least(percent: int) -> Column:
     return F.when(F.col("x.plain") & F.col("y.plain"), F.greatest(least, F.lit(1))).otherwise(1)
 
 
+def merged_lists(listed: DataFrame) -> DataFrame:
+    """``listed`` (sig, pos, cid; a class once in a list) with one signature, the
+    smallest, of all that the same classes have, and their number as ``weight``."""
+    members = [F.bit_xor(F.xxhash64(F.lit(i), F.col("cid"))).alias(f"h{i}") for i in range(2)]
+    lists = listed.groupBy("sig").agg(F.count("*").alias("m"), *members)
+    merged = lists.groupBy("m", "h0", "h1").agg(F.min("sig").alias("sig"), F.count("*").alias("weight")).select("sig", "weight")
+    return written(listed.join(written(merged, "merged"), "sig"), "merged-lists")
+
+
 def links_within(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """All similar pairs (a, b, both, either: shingles in both and in either
     set) among the rows of ``members`` (cid, component, digest) of one
@@ -335,7 +349,7 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str, k: int, percent: i
     rows = written(sketches(docs, k, percent, rank, frequent), "sketches")
 
     # classes of equal sets: one row each, numbered
-    firsts = [F.first(c).alias(c) for c in ("n", "plain", "p0", "p1", "p2", "p3", "sigs", "pos", "wide")]
+    firsts = [F.first(c).alias(c) for c in ("n", "plain", *BITMAP, "sigs", "pos", "wide")]
     classes = written(
         rows.where("n > 0")
         .groupBy("fp")
@@ -347,13 +361,13 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str, k: int, percent: i
     shared = written(listed.groupBy("sig").agg(F.count("*").alias("m")).where("m > 1").select("sig"), "shared")
     if shared.count() <= MAX_BROADCAST_SIGNATURES:
         shared = F.broadcast(shared)
-    listed = written(listed.join(shared, "sig", "left_semi"), "listed")
-    sizes = classes.select("cid", "n", "plain", "p0", "p1", "p2", "p3")
+    listed = merged_lists(written(listed.join(shared, "sig", "left_semi"), "listed"))
+    sizes = classes.select("cid", "n", "plain", *BITMAP)
     digests = classes.select("cid", "digest")
 
     # first: every class against the member that most of its lists name, counted on narrow rows
     pivot = listed.groupBy("sig").agg(F.min(F.struct("pos", "cid")).alias("p")).select("sig", F.col("p.cid").alias("pid"))
-    named = written(listed.join(written(pivot, "pivots"), "sig").where("cid <> pid").groupBy(F.col("cid").alias("own"), "pid").agg(F.count("*").alias("m")), "named")
+    named = written(listed.join(written(pivot, "pivots"), "sig").where("cid <> pid").groupBy(F.col("cid").alias("own"), "pid").agg(F.sum("weight").alias("m")), "named")
     x, y = sizes.alias("x"), sizes.alias("y")
     named = named.join(x, F.col("own") == F.col("x.cid")).join(y, F.col("pid") == F.col("y.cid"))
     named = named.where(_likely(percent) & (F.col("m") * 2 >= _shared_at_least(percent)))
@@ -372,7 +386,7 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str, k: int, percent: i
     grouped = written(components(links), "components")
     # then: the rest between different components of one list
     lists = written(
-        listed.join(grouped, F.col("cid") == F.col("node"), "left").select("sig", "pos", "cid", F.coalesce("component", "cid").alias("comp")), "lists"
+        listed.join(grouped, F.col("cid") == F.col("node"), "left").select("sig", "weight", "pos", "cid", F.coalesce("component", "cid").alias("comp")), "lists"
     )
     main = (
         lists.groupBy("sig")
@@ -382,15 +396,16 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str, k: int, percent: i
     )
     lists = written(lists.drop("pos").join(main, "sig"), "open-lists")
     lists = written(lists.join(classes.select(*sizes.columns, "wide"), "cid"), "open")
+    # members of the main component are on the right only; both sides read the same columns and rows, so one shuffle serves them
     together = (
         (F.col("x.sig") == F.col("y.sig"))
         & (F.col("x.comp") != F.col("y.comp"))
-        & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.cid") < F.col("y.cid")))
+        & ((F.col("y.comp") == F.col("x.main")) | ((F.col("x.comp") != F.col("y.main")) & (F.col("x.cid") < F.col("y.cid"))))
         & _likely(percent, wide=True)
     )
-    rest = lists.where("comp <> main").alias("x").join(lists.alias("y"), together)
+    rest = lists.alias("x").join(lists.alias("y"), together)
     rest = rest.groupBy(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).agg(
-        F.count("*").alias("m"), F.first(_shared_at_least(percent)).alias("least")
+        F.sum(F.least("x.weight", "y.weight")).alias("m"), F.first(_shared_at_least(percent)).alias("least")
     )
     rest = written(rest.where("m >= least").select("a", "b"), "rest-pairs")
     more = compared(rest.join(first, ["a", "b"], "left_anti"))
