@@ -195,3 +195,53 @@ def test_bitmaps_show_that_middle_sized_sets_differ(spark):
     rows = module.sketches(docs, 3, 80, rank, frequent).select("doc_id", "n", *module.BITMAP)
     pairs = rows.alias("x").join(rows.alias("y"), module.F.col("x.doc_id") < module.F.col("y.doc_id"))
     assert pairs.count() == 28 and pairs.where(module._likely(80)).count() == 0
+
+
+def test_rest_join_meets_a_pair_about_once(spark, monkeypatch):
+    """Copies of one text with so many changes that few or none are similar: they share most of their lists."""
+    rng, met, real = random.Random(11), [], module.meetings
+
+    def meetings(lists, percent):
+        out = real(lists, percent)
+        met.extend(tuple(r) for r in out.select(module.F.least("x.cid", "y.cid"), module.F.greatest("x.cid", "y.cid")).collect())
+        return out
+
+    monkeypatch.setattr(module, "meetings", meetings)
+    base = [f"b{i}" for i in range(400)]
+    docs = []
+    for d in range(30):
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), rng.choice([2, 3, 5, 7, 8])):
+            copy[at] = f"u{d}_{at}"
+        docs.append((d, " ".join(copy)))
+    docs += [(100 + d, " ".join(f"o{d % 40}_{i}" for i in range(60 + d // 40))) for d in range(400)]  # shingles as frequent as those of the base
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = near_duplicates(df, k=5, percent=80).select("doc_id", "n_shingles", "component_id").collect()
+    want = brute(docs, 5, 80)
+    assert sorted([tuple(r) for r in rows], key=str) == want and 1 < len({r[2] for r in want if r[0] < 30}) < 30
+    assert len(met) <= 4 * len(set(met)), len(met) / len(set(met))
+    assert set(met)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_similar_sets_open_early(percent):
+    """The first shingle of two similar sets, in any order of shingles, lies before the bound."""
+    rng = np.random.default_rng(percent)
+    for _ in range(2000):
+        pool = rng.permutation(260)
+        x, y = (np.sort(pool[: rng.integers(1, 200)]), np.sort(pool[rng.integers(0, 12) : rng.integers(13, 220)]))
+        both = np.intersect1d(x, y)
+        if not len(both) or 100 * len(both) < percent * (len(x) + len(y) - len(both)):
+            continue
+        overlap = -(-percent * (len(x) + len(y)) // (100 + percent))
+        assert np.searchsorted(x, both[0]) <= len(x) - overlap and np.searchsorted(y, both[0]) <= len(y) - overlap
+
+
+def test_lists_before_and_rare_ends(spark):
+    """Rows that come too late for any member are left out; the rarest of merged lists is the unsigned least."""
+    merged = module.merged_lists(spark.createDataFrame([(s, p, c) for p, s in enumerate([5, -7]) for c in (1, 2)], "sig long, pos int, cid long"))
+    assert sorted(tuple(r) for r in merged.collect()) == [(5, 0, 1, 2), (5, 0, 2, 2)]
+    rows = [(sig, pos, cid, cid, 100, True) for sig, pos in [(3, 0), (4, 5), (-9, 10), (-8, 11)] for cid in (1, 2)]
+    lists = spark.createDataFrame(rows + [(6, 19, 1, 1, 100, True), (6, 2, 3, 3, 100, False)], "sig long, pos int, cid long, comp long, n long, plain boolean")
+    got = {(r["sig"], r["cid"]): r["before"] for r in module.openings(lists, 90).collect()}
+    assert got == {(3, 1): [], (3, 2): [], (4, 1): [3], (4, 2): [3], (6, 1): [3, 4], (6, 3): []}

@@ -19,6 +19,9 @@ Candidates come from equal signatures, without emitting all pairs of a list:
    components;
 2. lists that still hold several components pair members of different
    components only. This rest is complete: no link between components is lost.
+   A pair is needed in the first list that both have only: there the shingles
+   from their places on are as many as the least overlap, and the lists just
+   before it are not the same ones.
 
 Signatures that the same classes have are one list, which counts as many times: a
 passage that several texts share gives a pair of them once, however long it is.
@@ -26,8 +29,8 @@ passage that several texts share gives a pair of them once, however long it is.
 Candidates pass a length bound, a bound on the symmetric difference (parity
 bitmaps of 512 bits; in the rest, where texts that share long passages meet in many
 lists, of 2048 bits for sets from 1024 shingles on, whose difference 512 bits can't
-show) and, in the rest, a bound on the number of signatures that they share, before
-their whole sets are compared.
+show) and, in the rest, a bound on the number of signatures that they share, counted
+once per pair, before their whole sets are compared.
 
 ``similarity_join`` gives all links: every link lies within a component, so the
 classes of each are compared with each other, by size, bitmap and whole sets. They
@@ -49,6 +52,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wordform.llm.common import NON_SPACE, Words, map_arrow, mix, shingle_hashes, table, text_buffer, text_ranges, written
 from wordform.llm.graph import components
@@ -68,6 +72,8 @@ MAX_BROADCAST_SIGNATURES = 2_000_000
 BITMAP_BITS = 9
 BITMAP = [f"p{i}" for i in range(1 << (BITMAP_BITS - 6))]
 WIDE_FROM, WIDE_BITS = 1024, 11
+#: Lists of a class before one, in the rest, of which another class must have none.
+BEFORE = 4
 #: Classes of a component that are compared with as many others at once.
 BLOCK = 128
 
@@ -255,12 +261,79 @@ def _shared_at_least(percent: int) -> Column:
     return F.when(F.col("x.plain") & F.col("y.plain"), F.greatest(least, F.lit(1))).otherwise(1)
 
 
+def _unsigned(sig: str) -> Column:
+    """Orders signatures as unsigned numbers, of which tokens are: the rarest first."""
+    return F.col(sig).bitwiseXOR(F.lit(-(1 << 63)))
+
+
+def _last_first(n: Column, other: Column, percent: int) -> Column:
+    """Last place of the first shingle that a set of n shares with a similar one
+    of ``other``: as many as their least overlap start there."""
+    return n - F.ceil(F.lit(percent) * (n + other) / F.lit(100 + percent))
+
+
+def _may_be_first(percent: int) -> Column:
+    """Whether classes x, y of one list may be similar without an earlier list in
+    common: their places allow it, and none of the lists before it is one of both."""
+    x, y = F.col("x.n"), F.col("y.n")
+    places = (F.col("x.pos") <= _last_first(x, y, percent)) & (F.col("y.pos") <= _last_first(y, x, percent))
+    return (~(F.col("x.plain") & F.col("y.plain")) | places) & ~F.arrays_overlap("x.before", "y.before")
+
+
+def openings(lists: DataFrame, percent: int) -> DataFrame:
+    """Rows of ``lists`` (sig, pos, cid, comp, n, plain) of several components that
+    may be the first common one of a similar pair, with the component of the
+    list's first member (``main``) and the class's ``BEFORE`` lists before it."""
+    main = (
+        lists.groupBy("sig")
+        .agg(
+            F.min("comp").alias("lo"),
+            F.max("comp").alias("hi"),
+            F.min(F.struct("pos", "cid", "comp")).alias("p"),
+            F.min("n").alias("least"),
+            F.bool_and("plain").alias("simple"),
+        )
+        .where("lo <> hi")
+        .select("sig", "least", "simple", F.col("p.comp").alias("main"))
+    )
+    other = F.greatest("least", F.ceil(F.lit(percent) * F.col("n") / F.lit(100)))
+    early = ~F.col("simple") | (F.col("pos") <= _last_first(F.col("n"), other, percent))
+    some = written(lists.join(main, "sig").where(early).select("sig", "pos", "cid", "comp", "main"), "open-lists")
+    before = Window.partitionBy("cid").orderBy(_unsigned("sig")).rowsBetween(-BEFORE, -1)
+    return some.withColumn("before", F.collect_list("sig").over(before))
+
+
+def meetings(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs x, y of classes of different components in one list that may be
+    similar; every similar pair once or, where its lists lie far apart, a few times."""
+    # members of the main component are on the right only; both sides read the same columns and rows, so one shuffle serves them
+    together = (
+        (F.col("x.sig") == F.col("y.sig"))
+        & (F.col("x.comp") != F.col("y.comp"))
+        & ((F.col("y.comp") == F.col("x.main")) | ((F.col("x.comp") != F.col("y.main")) & (F.col("x.cid") < F.col("y.cid"))))
+        & _may_be_first(percent)
+        & _likely(percent, wide=True)
+    )
+    return lists.alias("x").join(lists.alias("y"), together)
+
+
+def sharing_enough(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that have as many signatures in common as similar ones."""
+    need = written(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "counted")
+    if need.count() <= MAX_BROADCAST_SIGNATURES:
+        need = F.broadcast(need)
+    some = written(classes.select("cid", "n", "plain", F.when(F.col("plain"), F.col("sigs")).alias("sigs")).join(need, "cid", "left_semi"), "signatures")
+    both = pairs.join(some.alias("x"), F.col("a") == F.col("x.cid")).join(some.alias("y"), F.col("b") == F.col("y.cid"))
+    common = F.size(F.array_intersect("x.sigs", "y.sigs"))
+    return both.where(~(F.col("x.plain") & F.col("y.plain")) | (common >= _shared_at_least(percent))).select("a", "b")
+
+
 def merged_lists(listed: DataFrame) -> DataFrame:
     """``listed`` (sig, pos, cid; a class once in a list) with one signature, the
-    smallest, of all that the same classes have, and their number as ``weight``."""
+    rarest, of all that the same classes have, and their number as ``weight``."""
     members = [F.bit_xor(F.xxhash64(F.lit(i), F.col("cid"))).alias(f"h{i}") for i in range(2)]
     lists = listed.groupBy("sig").agg(F.count("*").alias("m"), *members)
-    merged = lists.groupBy("m", "h0", "h1").agg(F.min("sig").alias("sig"), F.count("*").alias("weight")).select("sig", "weight")
+    merged = lists.groupBy("m", "h0", "h1").agg(F.min_by("sig", _unsigned("sig")).alias("sig"), F.count("*").alias("weight")).select("sig", "weight")
     return written(listed.join(written(merged, "merged"), "sig"), "merged-lists")
 
 
@@ -385,32 +458,14 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str, k: int, percent: i
     links = written(compared(first), "links")
     grouped = written(components(links), "components")
     # then: the rest between different components of one list
-    lists = written(
-        listed.join(grouped, F.col("cid") == F.col("node"), "left").select("sig", "weight", "pos", "cid", F.coalesce("component", "cid").alias("comp")), "lists"
-    )
-    main = (
-        lists.groupBy("sig")
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("pos", "cid", "comp")).alias("p"))
-        .where("lo <> hi")
-        .select("sig", F.col("p.comp").alias("main"))
-    )
-    lists = written(lists.drop("pos").join(main, "sig"), "open-lists")
-    lists = written(lists.join(classes.select(*sizes.columns, "wide"), "cid"), "open")
-    # members of the main component are on the right only; both sides read the same columns and rows, so one shuffle serves them
-    together = (
-        (F.col("x.sig") == F.col("y.sig"))
-        & (F.col("x.comp") != F.col("y.comp"))
-        & ((F.col("y.comp") == F.col("x.main")) | ((F.col("x.comp") != F.col("y.main")) & (F.col("x.cid") < F.col("y.cid"))))
-        & _likely(percent, wide=True)
-    )
-    rest = lists.alias("x").join(lists.alias("y"), together)
-    rest = rest.groupBy(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).agg(
-        F.sum(F.least("x.weight", "y.weight")).alias("m"), F.first(_shared_at_least(percent)).alias("least")
-    )
-    rest = written(rest.where("m >= least").select("a", "b"), "rest-pairs")
-    more = compared(rest.join(first, ["a", "b"], "left_anti"))
-    # links of the rest join components, not single classes: contract first
     node = grouped.select("node", "component")
+    lists = listed.join(node, F.col("cid") == F.col("node"), "left").join(classes.select("cid", "n", "plain"), "cid")
+    lists = written(lists.select("sig", "pos", "cid", F.coalesce("component", "cid").alias("comp"), "n", "plain"), "lists")
+    lists = written(openings(lists, percent).join(classes.select(*sizes.columns, "wide"), "cid"), "open")
+    rest = meetings(lists, percent).select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b"))
+    rest = written(rest.distinct().join(first, ["a", "b"], "left_anti"), "rest-pairs")
+    more = compared(sharing_enough(rest, classes, percent))
+    # links of the rest join components, not single classes: contract first
     joined = (
         more.join(node.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
         .join(node.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
